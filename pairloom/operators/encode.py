@@ -9,31 +9,22 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import tokens as tk
 from ..functions.chat import ChatTemplate, DEFAULT_TEMPLATE
-from .joins import attach
+from ..session import store
+from .joins import attach, fits_broadcast
 from .rowindex import row_index
 
-BROADCAST_VOCAB_ROWS = 200_000
-BROADCAST_VOCAB_BYTES = 64 << 20
-
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """A stored table (token, id, n) whose size was measured when it was built."""
+    """A stored table (token, id, n), and whether it was measured to fit a broadcast."""
 
     table: DataFrame
-    rows: int
-    text_bytes: int
-
-    @property
-    def small(self) -> bool:
-        return self.rows <= BROADCAST_VOCAB_ROWS and self.text_bytes <= BROADCAST_VOCAB_BYTES
+    small: bool
 
     @classmethod
-    def measured(cls, table: DataFrame) -> Vocabulary:
-        r = table.agg(
-            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("token")), F.lit(0)).alias("b")
-        ).first()
-        return cls(table, r["n"], r["b"])
+    def stored(cls, table: DataFrame) -> Vocabulary:
+        written = store(table, "vocabulary")
+        return cls(written, fits_broadcast(written))
 
 
 def token_counts(df: DataFrame, tokens: Column) -> DataFrame:
@@ -68,15 +59,14 @@ def encode(
 ) -> DataFrame:
     """Token arrays to id arrays: (key, keep..., out); unknown tokens become the unk id.
 
-    ``key`` must be unique. Texts are shuffled once by key, before they are
-    exploded, so the per-token rows are joined and gathered inside one stage. A
+    ``key`` must be unique. Texts are shuffled once by key, before they are cut
+    into tokens, so the per-token rows are joined and gathered inside one stage. A
     small vocabulary is broadcast; a larger one is joined by token with the
     frequent tokens split off.
     """
     keep = list(keep)
-    rows = df.select(key, *keep, tokens.alias("__tokens"))
-    if vocab.small:
-        rows = rows.repartition(key)
+    rows = df.repartition(key) if vocab.small else df
+    rows = rows.select(key, *keep, tokens.alias("__tokens"))
     exploded = rows.select(key, *keep, F.posexplode_outer("__tokens").alias("__pos", "token"))
     ids = vocab.table.select("token", "id", "n")
     if vocab.small:
@@ -101,9 +91,8 @@ def decode(
 ) -> DataFrame:
     """Id arrays to text: reserved ids dropped, tokens joined by a blank, line breaks kept."""
     keep = list(keep)
-    rows = df.select(key, *keep, F.filter(ids, lambda x: x >= tk.FIRST_ID).alias("__ids"))
-    if vocab.small:
-        rows = rows.repartition(key)
+    rows = df.repartition(key) if vocab.small else df
+    rows = rows.select(key, *keep, F.filter(ids, lambda x: x >= tk.FIRST_ID).alias("__ids"))
     exploded = rows.select(key, *keep, F.posexplode_outer("__ids").alias("__pos", "id"))
     names = vocab.table.select("id", "token", "n")
     if vocab.small:

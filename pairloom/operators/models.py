@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import tokens as tk
 from ..functions.numeric import as_col
 from ..session import store
-from .joins import attach
+from .joins import lookup
 
 TEXT_FEATURES = ("log_chars", "tokens_per_char", "distinct_share", "digit_share", "upper_share", "newline_share")
 
@@ -84,12 +84,10 @@ BEGIN = "<s>"
 def bigrams(df: DataFrame, *, key: str, text: Column | str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """(key, keep..., pos, prev, tok) for every token; pairs are made inside the row, no shuffle."""
     toks = df.select(key, *keep, tk.tokens(text).alias("__t"))
-    prevs = F.concat(F.array(F.lit(BEGIN)), F.col("__t"))
-    pairs = F.transform("__t", lambda t, i: F.struct(F.get(F.col("__p"), i).alias("prev"), t.alias("tok")))
-    return (
-        toks.withColumn("__p", prevs)
-        .select(key, *keep, F.posexplode(pairs).alias("pos", "__g"))
-        .select(key, *keep, "pos", "__g.prev", "__g.tok")
+    prevs = F.slice(F.concat(F.array(F.lit(BEGIN)), "__t"), F.lit(1), F.size("__t"))
+    pairs = F.zip_with(prevs, "__t", lambda p, t: F.struct(p.alias("prev"), t.alias("tok")))
+    return toks.select(key, *keep, F.posexplode(pairs).alias("pos", "__g")).select(
+        key, *keep, "pos", "__g.prev", "__g.tok"
     )
 
 
@@ -102,14 +100,14 @@ def lm_fit(df: DataFrame, *, key: str, text: Column | str = "text") -> BigramMod
     counts = store(lm_counts(df, key=key, text=text), "bigrams")
     contexts = counts.groupBy("prev").agg(F.sum("n").alias("n_prev"))
     size = counts.select("tok").distinct().count()
-    return BigramModel(counts, contexts, size)
+    return BigramModel(counts, store(contexts, "contexts"), size)
 
 
 def pair_nll(wanted: DataFrame, model: BigramModel, *, name: str = "nll") -> DataFrame:
-    """-ln((n + 1) / (N + V)) for each (prev, tok, weight) of ``wanted``."""
+    """-ln((n + 1) / (N + V)) for each distinct (prev, tok, ...) of ``wanted``."""
     seen = wanted.join(model.bigrams, ["prev", "tok"], "left")
-    contexts = model.contexts.withColumn("__weight_n", F.col("n_prev"))
-    seen = attach(seen, contexts, ["prev"], weight="__weight_n", spread=["prev", "tok"])
+    contexts = model.contexts.withColumn("__weight", F.col("n_prev"))
+    seen = lookup(seen, contexts, ["prev"], weight="__weight", spread=["prev", "tok"])
     p = (F.coalesce("n", F.lit(0)) + F.lit(1.0)) / (F.coalesce("n_prev", F.lit(0)) + F.lit(float(model.vocab_size)))
     return seen.withColumn(name, -F.log(p)).drop("n", "n_prev")
 
@@ -117,14 +115,15 @@ def pair_nll(wanted: DataFrame, model: BigramModel, *, name: str = "nll") -> Dat
 def text_nll(df: DataFrame, models: dict[str, BigramModel], *, key: str, text: Column | str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Summed negative log-likelihood of each text under each model (one column per name).
 
-    Probabilities are worked out once per distinct pair, then attached to the
-    tokens; a pair that makes up much of the corpus is served by broadcast.
+    Probabilities are worked out and written once per distinct pair, then
+    attached to the tokens; a pair that makes up much of the corpus is served by
+    broadcast.
     """
     grams = bigrams(df, key=key, text=text, keep=keep)
     table = grams.groupBy("prev", "tok").agg(F.count(F.lit(1)).alias("weight"))
     for name, model in models.items():
         table = pair_nll(table, model, name=name)
-    scored = attach(grams, table, ["prev", "tok"], weight="weight", spread=[key, "pos"])
+    scored = lookup(grams, store(table, "pair-nll"), ["prev", "tok"], weight="weight", spread=[key, "pos"])
     return scored.groupBy(key, *keep).agg(
         F.count(F.lit(1)).alias("n_tokens"), *[F.sum(name).alias(name) for name in models]
     )

@@ -102,15 +102,21 @@ def split_report(df: DataFrame, plan: StagePlan, *, idx: str = "idx") -> DataFra
     )
 
 
-def leaked_texts(df: DataFrame, columns: tuple[str, ...], *, stage: str = "stage") -> DataFrame:
-    """Normalised texts that occur in more than one stage.
+def hash_texts(df: DataFrame, columns: tuple[str, ...] = ("prompt", "chosen")) -> DataFrame:
+    """Replace texts by the digest of their normalised form, so that sorting and
+    joining them moves 32 characters instead of the text."""
+    return df.withColumns({c: F.md5(normalise(c)) for c in columns})
 
-    One row per (column, text hash): the number of stages and of rows. Copies
+
+def leaked_texts(hashed: DataFrame, columns: tuple[str, ...], *, stage: str = "stage") -> DataFrame:
+    """Digests that occur in more than one stage.
+
+    One row per (column, digest): the number of stages and of rows. Copies
     collapse on the map side, so a text with many copies costs one row per task;
     the set of stages is as small as the plan.
     """
     return (
-        _long_texts(df, columns, (stage,))
+        _long(hashed, columns, (stage,))
         .groupBy("field", "text_hash")
         .agg(
             F.size(F.collect_set(stage)).alias("n_stages"),
@@ -121,15 +127,18 @@ def leaked_texts(df: DataFrame, columns: tuple[str, ...], *, stage: str = "stage
 
 
 def leakage_audit(
-    df: DataFrame,
+    hashed: DataFrame,
     columns: tuple[str, ...] = ("prompt", "chosen"),
     *,
     idx: str = "idx",
     stage: str = "stage",
 ) -> DataFrame:
-    """Every row whose text also occurs in another stage: (field, idx, stage, text_hash)."""
-    rows = _long_texts(df, columns, (idx, stage))
-    leaked = leaked_texts(df, columns, stage=stage).select("field", "text_hash", "n_rows")
+    """Every row whose text also occurs in another stage: (field, idx, stage, text_hash).
+
+    ``hashed`` is a staged table whose ``columns`` went through ``hash_texts``.
+    """
+    rows = _long(hashed, columns, (idx, stage))
+    leaked = leaked_texts(hashed, columns, stage=stage).select("field", "text_hash", "n_rows")
     return attach(rows, leaked, ["field", "text_hash"], weight="n_rows", spread=[idx], how="semi")
 
 
@@ -142,8 +151,6 @@ def overlapping_rows(df: DataFrame, *, idx: str = "idx", stage: str = "stage") -
     )
 
 
-def _long_texts(df: DataFrame, columns: tuple[str, ...], keep: tuple[str, ...]) -> DataFrame:
-    entries = F.array(
-        *[F.struct(F.lit(c).alias("field"), F.md5(normalise(c)).alias("text_hash")) for c in columns]
-    )
-    return df.select(*keep, F.explode(entries).alias("e")).select(*keep, "e.field", "e.text_hash")
+def _long(hashed: DataFrame, columns: tuple[str, ...], keep: tuple[str, ...]) -> DataFrame:
+    entries = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text_hash")) for c in columns])
+    return hashed.select(*keep, F.explode(entries).alias("e")).select(*keep, "e.field", "e.text_hash")

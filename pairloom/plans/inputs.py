@@ -15,11 +15,11 @@ from ..functions import tokens as tk
 from ..functions.chat import DEFAULT_TEMPLATE, chat_array
 from ..functions.numeric import idiv
 from ..operators import encode as enc
-from ..operators.joins import attach
+from ..operators.joins import attach, lookup
 from ..operators.models import BigramModel, lm_fit, text_features
 from ..operators.rowindex import indexed, row_index
 from ..operators.splits import StagePlan
-from ..session import new_path, store
+from ..session import fill_cores, new_path, store
 
 WEIGHTS = [((i * 7) % 11 - 5) / 10 for i in range(64)]
 ROLLOUT_BATCH = 8
@@ -30,8 +30,10 @@ VOCAB_SIZE = 2000
 _PREPARED: dict[tuple, object] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *, spread: bool = False) -> DataFrame:
+    """A given table. ``spread`` is for heavy work per row: see ``fill_cores``."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return fill_cores(df) if spread else df
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]):
@@ -167,12 +169,13 @@ def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     document and joined as numbers.
     """
 
-    def make() -> DataFrame:
-        docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-        labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-        return row_index(docs.join(labels, "doc_id"), ["doc_id"], partition_by=["lang", "quality"], name="r")
+    return _once(spark, sf_dir, "doc_pairs", lambda: store(build_doc_pairs(spark, sf_dir), "doc-pairs"))
+
 
-    ranked = _once(spark, sf_dir, "doc_ranks", make)
+def build_doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    ranked = row_index(docs.join(labels, "doc_id"), ["doc_id"], partition_by=["lang", "quality"], name="r")
     sizes = ranked.groupBy("lang").agg(
         F.sum(F.when(F.col("quality") == 1, 1).otherwise(0)).alias("n_good"),
         F.sum(F.when(F.col("quality") == 0, 1).otherwise(0)).alias("n_bad"),
@@ -187,14 +190,23 @@ def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def featured_doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Document pairs with both sides' text features."""
+    """Document pairs with both sides' text features (worked out once per document)."""
+
+    def features() -> DataFrame:
+        labelled = table(spark, sf_dir, "labels").select("doc_id")
+        docs = table(spark, sf_dir, "documents", spread=True).join(labelled, "doc_id", "left_semi")
+        return store(docs.select("doc_id", text_features("text").alias("feature")), "doc-features")
+
+    def joined() -> DataFrame:
+        ids = doc_pairs(spark, sf_dir).select("lang", "chosen_id", "rejected_id")
+        feats = features()
+        uses = ids.groupBy("rejected_id").agg(F.count(F.lit(1)).alias("uses"))
+        good = feats.select(F.col("doc_id").alias("chosen_id"), F.col("feature").alias("chosen_feature"))
+        bad = feats.select(F.col("doc_id").alias("rejected_id"), F.col("feature").alias("rejected_feature"))
+        bad = store(bad.join(uses, "rejected_id"), "rejected-features")
+        return store(lookup(ids.join(good, "chosen_id"), bad, ["rejected_id"], weight="uses", spread=["chosen_id"], how="inner"), "featured-pairs")
 
-    ids = doc_pairs(spark, sf_dir).select("lang", "chosen_id", "rejected_id")
-    feats = table(spark, sf_dir, "documents").select("doc_id", text_features("text").alias("feature"))
-    uses = ids.groupBy("rejected_id").agg(F.count(F.lit(1)).alias("uses"))
-    bad = feats.select(F.col("doc_id").alias("rejected_id"), F.col("feature").alias("rejected_feature")).join(uses, "rejected_id")
-    good = feats.select(F.col("doc_id").alias("chosen_id"), F.col("feature").alias("chosen_feature"))
-    return attach(ids.join(good, "chosen_id"), bad, ["rejected_id"], weight="uses", spread=["chosen_id"], how="inner")
+    return _once(spark, sf_dir, "featured_doc_pairs", joined)
 
 
 def chat_vocab(spark: SparkSession, sf_dir: str) -> enc.Vocabulary:
@@ -202,13 +214,13 @@ def chat_vocab(spark: SparkSession, sf_dir: str) -> enc.Vocabulary:
 
     def make() -> enc.Vocabulary:
         counts = enc.token_counts(pairs(spark, sf_dir).rows, chat_tokens())
-        return enc.Vocabulary.measured(enc.build_vocab(counts, VOCAB_SIZE))
+        return enc.Vocabulary.stored(enc.build_vocab(counts, VOCAB_SIZE))
 
     return _once(spark, sf_dir, "chat_vocab", make)
 
 
 def lm_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return table(spark, sf_dir, "documents", spread=True).select("doc_id", "text", "lang")
 
 
 def reference_lm(spark: SparkSession, sf_dir: str) -> BigramModel:

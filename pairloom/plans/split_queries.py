@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.chat import DEFAULT_TEMPLATE, INSTRUCTION, chat_array, completion_tail, extract_post, user_prompt
 from ..operators import chats, splits
-from ..operators.rowindex import row_index
+from ..operators.rowindex import indexed, row_index
 from ..operators.splits import StagePlan
 from ..sources.comparisons import complete_rows, load_comparisons
 from . import inputs, sql
@@ -79,10 +79,9 @@ def q_report(spark, sf_dir):
     ),
 )
 def q_leakage(spark, sf_dir):
-    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", "text")
-    indexed = row_index(docs, ["doc_id"])
-    plan = StagePlan.scaled(docs.count())
-    staged = splits.stage_assign(indexed, plan).filter("stage <> 'unused'")
+    docs = inputs.table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
+    numbered, n = indexed(splits.hash_texts(docs, ("text",)), ["doc_id"])
+    staged = splits.stage_assign(numbered, StagePlan.scaled(n)).filter("stage <> 'unused'")
     return splits.leakage_audit(staged, ("text",)).select("field", "idx", "stage", "text_hash")
 
 

@@ -30,7 +30,7 @@ def spaced(ids: Column | str) -> Column:
     FROM (SELECT doc_id, {sql.tokens('text')} AS t FROM documents)""",
 )
 def q_tokens(spark, sf_dir):
-    rows = inputs.table(spark, sf_dir, "documents").select("doc_id", tk.tokens("text").alias("t"))
+    rows = inputs.table(spark, sf_dir, "documents", spread=True).select("doc_id", tk.tokens("text").alias("t"))
     return rows.select("doc_id", F.size("t").cast("bigint").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("digest"))
 
 
@@ -42,7 +42,7 @@ def q_tokens(spark, sf_dir):
     UNION ALL SELECT * FROM (VALUES ('{sql.END}', {tk.PAD_ID}, 0), ('<unk>', {tk.UNK_ID}, 0), ('{sql.START}', {tk.START_ID}, 0))""",
 )
 def q_vocab(spark, sf_dir):
-    docs = inputs.table(spark, sf_dir, "documents")
+    docs = inputs.table(spark, sf_dir, "documents", spread=True)
     built = enc.build_vocab(enc.token_counts(docs, tk.tokens("text")), inputs.VOCAB_SIZE)
     return built.select("token", F.col("id").cast("bigint").alias("id"), "n")
 
@@ -160,7 +160,7 @@ def _text_stats(batch: pd.DataFrame) -> pd.DataFrame:
         length(text) - length(replace(text, E'\n', '')) + 1 AS n_lines FROM documents""",
 )
 def q_map(spark, sf_dir):
-    docs = inputs.table(spark, sf_dir, "documents")
+    docs = inputs.table(spark, sf_dir, "documents", spread=True)
     return map_batches(docs, _text_stats, "doc_id BIGINT, n_words BIGINT, n_lines BIGINT", columns=["doc_id", "text"])
 
 

@@ -62,3 +62,13 @@ def store(df: DataFrame, name: str, *, partition_by: tuple[str, ...] = ()) -> Da
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fill_cores(df: DataFrame) -> DataFrame:
+    """Cut an input with fewer splits than cores into one part per core.
+
+    A small table in one file would run its whole per-row work in one task. A
+    table with enough splits is returned as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
