@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import tokens as tk
 from ..functions.chat import ChatTemplate, DEFAULT_TEMPLATE
 from ..session import store
-from .joins import attach, fits_broadcast
+from .joins import fits_broadcast, lookup
 from .rowindex import row_index
 
 
@@ -61,25 +61,34 @@ def encode(
 
     ``key`` must be unique. Texts are shuffled once by key, before they are cut
     into tokens, so the per-token rows are joined and gathered inside one stage. A
-    small vocabulary is broadcast; a larger one is joined by token with the
-    frequent tokens split off.
+    small vocabulary is broadcast; with a larger one the frequent tokens are
+    split off.
     """
     keep = list(keep)
     rows = df.repartition(key) if vocab.small else df
     rows = rows.select(key, *keep, tokens.alias("__tokens"))
-    exploded = rows.select(key, *keep, F.posexplode_outer("__tokens").alias("__pos", "token"))
-    ids = vocab.table.select("token", "id", "n")
-    if vocab.small:
-        coded = exploded.join(F.broadcast(ids.drop("n")), "token", "left")
-    else:
-        coded = attach(exploded, ids, ["token"], weight="n", spread=[key, "__pos"])
-    item = F.when(
-        F.col("token").isNotNull(), F.struct("__pos", F.coalesce("id", F.lit(tk.UNK_ID)).alias("id"))
-    )
+    exploded = rows.select(key, *keep, F.posexplode_outer("__tokens").alias("__pos", "__token"))
+    coded = _translate(exploded, vocab, "__token", "__id", key)
+    coded_id = F.coalesce("__id", F.lit(tk.UNK_ID)).alias("id")
+    item = F.when(F.col("__token").isNotNull(), F.struct("__pos", coded_id))
     gathered = coded.groupBy(key, *keep).agg(F.array_sort(F.collect_list(item)).alias("__items"))
     return gathered.select(key, *keep, F.transform("__items", lambda m: m["id"]).alias(out))
 
 
+def _translate(exploded: DataFrame, vocab: Vocabulary, given: str, wanted: str, key: str) -> DataFrame:
+    """``exploded`` with the vocabulary's ``wanted`` column for its ``given`` one.
+
+    Which values are frequent is counted on the rows at hand, known or not: the
+    vocabulary may come from other texts.
+    """
+    pairs = vocab.table.select(F.col("token").alias("__token"), F.col("id").alias("__id"))
+    if vocab.small:
+        return exploded.join(F.broadcast(pairs), given, "left")
+    used = exploded.filter(F.col(given).isNotNull()).groupBy(given).agg(F.count(F.lit(1)).alias("__n"))
+    table = store(used.join(pairs, given, "left").select(given, wanted, "__n"), "translation")
+    return lookup(exploded, table, [given], weight="__n", spread=[key, "__pos"])
+
+
 def decode(
     df: DataFrame,
     vocab: Vocabulary,
@@ -93,13 +102,9 @@ def decode(
     keep = list(keep)
     rows = df.repartition(key) if vocab.small else df
     rows = rows.select(key, *keep, F.filter(ids, lambda x: x >= tk.FIRST_ID).alias("__ids"))
-    exploded = rows.select(key, *keep, F.posexplode_outer("__ids").alias("__pos", "id"))
-    names = vocab.table.select("id", "token", "n")
-    if vocab.small:
-        named = exploded.join(F.broadcast(names.drop("n")), "id", "left")
-    else:
-        named = attach(exploded, names, ["id"], weight="n", spread=[key, "__pos"])
-    item = F.when(F.col("token").isNotNull(), F.struct("__pos", "token"))
+    exploded = rows.select(key, *keep, F.posexplode_outer("__ids").alias("__pos", "__id"))
+    named = _translate(exploded, vocab, "__id", "__token", key)
+    item = F.when(F.col("__token").isNotNull(), F.struct("__pos", F.col("__token").alias("token")))
     gathered = named.groupBy(key, *keep).agg(F.array_sort(F.collect_list(item)).alias("__items"))
     joined = F.array_join(F.transform("__items", lambda m: m["token"]), " ")
     return gathered.select(key, *keep, F.regexp_replace(joined, " ?\\n ?", "\n").alias(out))

@@ -24,8 +24,9 @@ def attach(
 ) -> DataFrame:
     """Join ``left`` to ``table``, which has one row per key ``on``.
 
-    ``weight`` is a column of ``table`` that grows with the number of left rows
-    of its key. The ``heavy`` keys with most weight are broadcast (a fixed number
+    ``weight`` is a column of ``table`` with the number of left rows of its key
+    (or a number in proportion). Keys of ``left`` that the table lacks count as
+    rare, so the table must hold every frequent key, if need be with NULL values. The ``heavy`` keys with most weight are broadcast (a fixed number
     of rows, however large the table is); every other key holds at most
     1/(heavy+1) of the weight and goes through an ordinary shuffle join. Rows
     served by the broadcast, and rows with a NULL key, are spread over the

@@ -106,8 +106,9 @@ def lm_fit(df: DataFrame, *, key: str, text: Column | str = "text") -> BigramMod
 def pair_nll(wanted: DataFrame, model: BigramModel, *, name: str = "nll") -> DataFrame:
     """-ln((n + 1) / (N + V)) for each distinct (prev, tok, ...) of ``wanted``."""
     seen = wanted.join(model.bigrams, ["prev", "tok"], "left")
-    contexts = model.contexts.withColumn("__weight", F.col("n_prev"))
-    seen = lookup(seen, contexts, ["prev"], weight="__weight", spread=["prev", "tok"])
+    used = wanted.groupBy("prev").agg(F.count(F.lit(1)).alias("__uses"))
+    contexts = store(used.join(model.contexts, "prev", "left"), "used-contexts")
+    seen = lookup(seen, contexts, ["prev"], weight="__uses", spread=["prev", "tok"])
     p = (F.coalesce("n", F.lit(0)) + F.lit(1.0)) / (F.coalesce("n_prev", F.lit(0)) + F.lit(float(model.vocab_size)))
     return seen.withColumn(name, -F.log(p)).drop("n", "n_prev")
 
@@ -115,12 +116,13 @@ def pair_nll(wanted: DataFrame, model: BigramModel, *, name: str = "nll") -> Dat
 def text_nll(df: DataFrame, models: dict[str, BigramModel], *, key: str, text: Column | str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Summed negative log-likelihood of each text under each model (one column per name).
 
-    Probabilities are worked out and written once per distinct pair, then
-    attached to the tokens; a pair that makes up much of the corpus is served by
+    Probabilities are worked out and written once per distinct pair, then joined
+    to the tokens; a pair that makes up much of the corpus is served by
     broadcast.
     """
     grams = bigrams(df, key=key, text=text, keep=keep)
     table = grams.groupBy("prev", "tok").agg(F.count(F.lit(1)).alias("weight"))
+    table = store(table, "pairs")
     for name, model in models.items():
         table = pair_nll(table, model, name=name)
     scored = lookup(grams, store(table, "pair-nll"), ["prev", "tok"], weight="weight", spread=[key, "pos"])

@@ -10,6 +10,7 @@ from ..functions import tokens as tk
 from ..functions.chat import ChatTemplate, DEFAULT_TEMPLATE, INSTRUCTION, chat_array, extract_post
 from ..functions.numeric import as_col, dot, literal_vector
 from .encode import Vocabulary, decode, encode
+from .joins import attach
 
 DEFAULT_REWARD = 0.0
 MAX_LENGTH = 512
@@ -53,11 +54,29 @@ def score_table(features: DataFrame, *, key: str, feature: str, weights: Sequenc
     return features.select(key, reward_score(feature, weights, bias).alias("score"))
 
 
-def score_pairs(pairs: DataFrame, scores: DataFrame, *, chosen: str = "chosen_id", rejected: str = "rejected_id", key: str) -> DataFrame:
-    """Both sides of each pair scored. ``scores`` has one row per ``key``."""
-    c = scores.select(F.col(key).alias(chosen), F.col("score").alias("chosen_score"))
-    r = scores.select(F.col(key).alias(rejected), F.col("score").alias("rejected_score"))
-    return pairs.join(c, chosen, "left").join(r, rejected, "left")
+def score_pairs(
+    pairs: DataFrame,
+    scores: DataFrame,
+    *,
+    pair: str = "idx",
+    chosen: str = "chosen_id",
+    rejected: str = "rejected_id",
+    key: str,
+    unique: bool = False,
+) -> DataFrame:
+    """Both sides of each pair scored. ``scores`` has one row per ``key``.
+
+    Pass ``unique`` when no item is in more than one pair. Otherwise the uses of
+    each item are counted first, so that one that is in very many pairs is split off.
+    """
+    for side, out in ((chosen, "chosen_score"), (rejected, "rejected_score")):
+        table = scores.select(F.col(key).alias(side), F.col("score").alias(out))
+        if unique:
+            pairs = pairs.join(table, side, "left")
+        else:
+            uses = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("__uses"))
+            pairs = attach(pairs, uses.join(table, side, "left"), [side], weight="__uses", spread=[pair])
+    return pairs
 
 
 def rollout_join(queries: DataFrame, responses: DataFrame, *, on: Sequence[str] = ("batch_id", "pos")) -> DataFrame:

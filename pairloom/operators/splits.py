@@ -108,12 +108,11 @@ def hash_texts(df: DataFrame, columns: tuple[str, ...] = ("prompt", "chosen")) -
     return df.withColumns({c: F.md5(normalise(c)) for c in columns})
 
 
-def leaked_texts(hashed: DataFrame, columns: tuple[str, ...], *, stage: str = "stage") -> DataFrame:
-    """Digests that occur in more than one stage.
+def repeated_texts(hashed: DataFrame, columns: tuple[str, ...], *, stage: str = "stage") -> DataFrame:
+    """Digests with more than one row: how many rows, in how many stages.
 
-    One row per (column, digest): the number of stages and of rows. Copies
-    collapse on the map side, so a text with many copies costs one row per task;
-    the set of stages is as small as the plan.
+    Copies collapse on the map side, so a text with many copies costs one row
+    per task; the set of stages is as small as the plan.
     """
     return (
         _long(hashed, columns, (stage,))
@@ -122,7 +121,7 @@ def leaked_texts(hashed: DataFrame, columns: tuple[str, ...], *, stage: str = "s
             F.size(F.collect_set(stage)).alias("n_stages"),
             F.count(F.lit(1)).alias("n_rows"),
         )
-        .filter("n_stages > 1")
+        .filter("n_rows > 1")
     )
 
 
@@ -136,10 +135,13 @@ def leakage_audit(
     """Every row whose text also occurs in another stage: (field, idx, stage, text_hash).
 
     ``hashed`` is a staged table whose ``columns`` went through ``hash_texts``.
+    The join also carries texts repeated inside one stage only, because those
+    can be the frequent ones; they are dropped afterwards.
     """
     rows = _long(hashed, columns, (idx, stage))
-    leaked = leaked_texts(hashed, columns, stage=stage).select("field", "text_hash", "n_rows")
-    return attach(rows, leaked, ["field", "text_hash"], weight="n_rows", spread=[idx], how="semi")
+    repeated = repeated_texts(hashed, columns, stage=stage)
+    found = attach(rows, repeated, ["field", "text_hash"], weight="n_rows", spread=[idx], how="inner")
+    return found.filter("n_stages > 1").drop("n_stages")
 
 
 def overlapping_rows(df: DataFrame, *, idx: str = "idx", stage: str = "stage") -> DataFrame:

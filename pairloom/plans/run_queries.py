@@ -55,7 +55,7 @@ def _scored_pairs(spark, sf_dir) -> DataFrame:
         (F.col("idx") * 2).alias("chosen_id"),
         (F.col("idx") * 2 + 1).alias("rejected_id"),
     )
-    return scoring.score_pairs(ids, _scores(spark, sf_dir), key="vec_id")
+    return scoring.score_pairs(ids, _scores(spark, sf_dir), key="vec_id", unique=True)
 
 
 SCORED = (*PAIRS, "scores", "scored_pairs")
