@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import tokens as tk
 from ..functions.numeric import as_col
 from ..session import store
-from .joins import lookup
+from .joins import attach, fits_broadcast, lookup
 
 TEXT_FEATURES = ("log_chars", "tokens_per_char", "distinct_share", "digit_share", "upper_share", "newline_share")
 
@@ -71,11 +71,13 @@ def head_weights(model: LogisticRegressionModel) -> list[float]:
 
 @dataclass(frozen=True)
 class BigramModel:
-    """Counts of (previous token, token), counts of previous tokens, vocabulary size."""
+    """Counts of (previous token, token), counts of previous tokens, vocabulary
+    size, and whether the table of previous tokens was measured to fit a broadcast."""
 
     bigrams: DataFrame
     contexts: DataFrame
     vocab_size: int
+    few_contexts: bool
 
 
 BEGIN = "<s>"
@@ -98,17 +100,20 @@ def lm_counts(df: DataFrame, *, key: str, text: Column | str = "text") -> DataFr
 def lm_fit(df: DataFrame, *, key: str, text: Column | str = "text") -> BigramModel:
     """Add-one bigram model. The count table is written once; both uses read it."""
     counts = store(lm_counts(df, key=key, text=text), "bigrams")
-    contexts = counts.groupBy("prev").agg(F.sum("n").alias("n_prev"))
+    contexts = store(counts.groupBy("prev").agg(F.sum("n").alias("n_prev")), "contexts")
     size = counts.select("tok").distinct().count()
-    return BigramModel(counts, store(contexts, "contexts"), size)
+    return BigramModel(counts, contexts, size, fits_broadcast(contexts))
 
 
 def pair_nll(wanted: DataFrame, model: BigramModel, *, name: str = "nll") -> DataFrame:
     """-ln((n + 1) / (N + V)) for each distinct (prev, tok, ...) of ``wanted``."""
     seen = wanted.join(model.bigrams, ["prev", "tok"], "left")
-    used = wanted.groupBy("prev").agg(F.count(F.lit(1)).alias("__uses"))
-    contexts = store(used.join(model.contexts, "prev", "left"), "used-contexts")
-    seen = lookup(seen, contexts, ["prev"], weight="__uses", spread=["prev", "tok"])
+    if model.few_contexts:
+        seen = seen.join(F.broadcast(model.contexts), "prev", "left")
+    else:
+        used = wanted.groupBy("prev").agg(F.count(F.lit(1)).alias("__uses"))
+        contexts = used.join(model.contexts, "prev", "left")
+        seen = attach(seen, contexts, ["prev"], weight="__uses", spread=["prev", "tok"])
     p = (F.coalesce("n", F.lit(0)) + F.lit(1.0)) / (F.coalesce("n_prev", F.lit(0)) + F.lit(float(model.vocab_size)))
     return seen.withColumn(name, -F.log(p)).drop("n", "n_prev")
 
@@ -122,7 +127,8 @@ def text_nll(df: DataFrame, models: dict[str, BigramModel], *, key: str, text: C
     """
     grams = bigrams(df, key=key, text=text, keep=keep)
     table = grams.groupBy("prev", "tok").agg(F.count(F.lit(1)).alias("weight"))
-    table = store(table, "pairs")
+    if not all(m.few_contexts for m in models.values()):
+        table = store(table, "pairs")  # read several times below
     for name, model in models.items():
         table = pair_nll(table, model, name=name)
     scored = lookup(grams, store(table, "pair-nll"), ["prev", "tok"], weight="weight", spread=[key, "pos"])

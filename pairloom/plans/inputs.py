@@ -18,6 +18,7 @@ from ..operators import encode as enc
 from ..operators.joins import attach, lookup
 from ..operators.models import BigramModel, lm_fit, text_features
 from ..operators.rowindex import indexed, row_index
+from ..operators.scoring import score_table
 from ..operators.splits import StagePlan
 from ..session import fill_cores, new_path, store
 
@@ -101,24 +102,28 @@ def stage_plan(spark: SparkSession, sf_dir: str) -> StagePlan:
     return StagePlan.scaled(pairs(spark, sf_dir).train_count)
 
 
-def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prompts with responses; a third of the row positions or more has a feature."""
-    rows = pairs(spark, sf_dir).rows
-    features = table(spark, sf_dir, "embeddings").select(F.col("vec_id"), F.col("embedding").alias("feature"))
-    return (
-        rows.select(
-            "idx",
-            idiv("idx", ROLLOUT_BATCH).alias("batch_id"),
-            (F.col("idx") % ROLLOUT_BATCH).alias("pos"),
-            "prompt",
-            F.col("chosen").alias("response"),
-            (F.col("idx") * 3).alias("vec_id"),
-        )
-        .join(features, "vec_id", "left")
-        .drop("vec_id")
+def placed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts and responses at their place in batches of ROLLOUT_BATCH."""
+    return pairs(spark, sf_dir).rows.select(
+        "idx",
+        idiv("idx", ROLLOUT_BATCH).alias("batch_id"),
+        (F.col("idx") % ROLLOUT_BATCH).alias("pos"),
+        "prompt",
+        F.col("chosen").alias("response"),
     )
 
 
+def feature_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vec_id, score): each vector is reduced to its reward before any join."""
+    return score_table(table(spark, sf_dir, "embeddings"), key="vec_id", feature="embedding", weights=WEIGHTS)
+
+
+def rollout_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollouts with the score of their feature; some positions have no feature and no score."""
+    rows = placed_pairs(spark, sf_dir).withColumn("vec_id", F.col("idx") * 3)
+    return rows.join(feature_scores(spark, sf_dir), "vec_id", "left").drop("vec_id")
+
+
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of at most STATE_ROWS hidden states, masks ending seq_id % 5 places early."""
     e = table(spark, sf_dir, "embeddings")
@@ -262,7 +267,7 @@ def logged_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def make() -> DataFrame:
         vocab = chat_vocab(spark, sf_dir)
-        rows = rollouts(spark, sf_dir)
+        rows = placed_pairs(spark, sf_dir)
         q = enc.encode(rows, vocab, key="idx", tokens=chat_tokens(answer=None), keep=["batch_id", "pos"], out="query_ids")
         r = enc.encode(rows, vocab, key="idx", tokens=tk.tokens("response", newlines=True), out="response_ids")
         return store(q.join(r, "idx"), "logged-rollouts")

@@ -41,11 +41,7 @@ def q_last(spark, sf_dir):
 
 @query("reward_score", build("SELECT vec_id, round(score, 6) AS score FROM scores", "scores"))
 def q_score(spark, sf_dir):
-    return rounded(_scores(spark, sf_dir), "score")
-
-
-def _scores(spark, sf_dir) -> DataFrame:
-    return scoring.score_table(inputs.table(spark, sf_dir, "embeddings"), key="vec_id", feature="embedding", weights=inputs.WEIGHTS)
+    return rounded(inputs.feature_scores(spark, sf_dir), "score")
 
 
 def _scored_pairs(spark, sf_dir) -> DataFrame:
@@ -55,7 +51,7 @@ def _scored_pairs(spark, sf_dir) -> DataFrame:
         (F.col("idx") * 2).alias("chosen_id"),
         (F.col("idx") * 2 + 1).alias("rejected_id"),
     )
-    return scoring.score_pairs(ids, _scores(spark, sf_dir), key="vec_id", unique=True)
+    return scoring.score_pairs(ids, inputs.feature_scores(spark, sf_dir), key="vec_id", unique=True)
 
 
 SCORED = (*PAIRS, "scores", "scored_pairs")
@@ -99,8 +95,7 @@ def q_means(spark, sf_dir):
 
 
 def _rewards(spark, sf_dir) -> DataFrame:
-    rows = inputs.rollouts(spark, sf_dir).select("idx", "batch_id", "pos", "response", scoring.reward_score("feature", inputs.WEIGHTS).alias("score"))
-    return scoring.reward_default(rows).drop("score")
+    return scoring.reward_default(inputs.rollout_scores(spark, sf_dir)).select("idx", "batch_id", "pos", "reward", "defaulted")
 
 
 sql.CTES["rewards"] = f"SELECT *, coalesce({sql.score('feature')}, 0.0::DOUBLE) AS reward, feature IS NULL AS defaulted FROM rollouts"
@@ -114,9 +109,9 @@ def q_default(spark, sf_dir):
 
 @query("rollout_join", build("SELECT batch_id, pos, prompt, response FROM rollouts WHERE feature IS NOT NULL", *PAIRS, "rollouts"))
 def q_join(spark, sf_dir):
-    rows = inputs.rollouts(spark, sf_dir)
-    answered = rows.filter("feature IS NOT NULL").select("batch_id", "pos", "response")
-    return scoring.rollout_join(rows.select("batch_id", "pos", "prompt"), answered)
+    queries = inputs.placed_pairs(spark, sf_dir).select("batch_id", "pos", "prompt")
+    answered = inputs.rollout_scores(spark, sf_dir).filter("score IS NOT NULL").select("batch_id", "pos", "response")
+    return scoring.rollout_join(queries, answered)
 
 
 sql.CTES["asked"] = f"""SELECT idx, unnest(t) AS token, generate_subscripts(t, 1) AS place
@@ -153,9 +148,7 @@ sql.CTES["posts"] = f"""SELECT idx, r.text AS response, CASE
     ),
 )
 def q_rollout_rewards(spark, sf_dir):
-    features = inputs.table(spark, sf_dir, "embeddings").filter(F.col("vec_id") % 3 == 0)
-    scores = scoring.score_table(features, key="vec_id", feature="embedding", weights=inputs.WEIGHTS)
-    scores = scores.select((idiv("vec_id", 3)).alias("idx"), "score")
+    scores = inputs.rollout_scores(spark, sf_dir).select("idx", "score")
     out = scoring.rollout_rewards(inputs.logged_rollouts(spark, sf_dir), inputs.chat_vocab(spark, sf_dir), scores)
     return rounded(out, "reward")
 
@@ -273,7 +266,7 @@ def q_checkpoint(spark, sf_dir):
 
 @query("sample_preview", build("SELECT batch_id, left(response, 100) || '...' AS sample FROM rollouts WHERE batch_id % 10 = 0 AND pos = 0", *PAIRS, "rollouts"))
 def q_preview(spark, sf_dir):
-    return metrics.sample_preview(inputs.rollouts(spark, sf_dir))
+    return metrics.sample_preview(inputs.placed_pairs(spark, sf_dir))
 
 
 @query(

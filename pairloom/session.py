@@ -19,6 +19,8 @@ def build_session(app: str = "pairloom", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # a join side measured at run time to be small per partition is hashed, not sorted
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
         "spark.ui.showConsoleProgress": "false",
         **conf,
     }

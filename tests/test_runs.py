@@ -1,5 +1,6 @@
 """Batch plans, losses, sampling, models, side files and streams."""
 
+import dataclasses
 import json
 import math
 
@@ -149,9 +150,10 @@ def test_reward_head_learns_and_reloads(spark, tmp_path):
     assert Flow.scored_pairs(df.withColumn("idx", F.col("id")), weights).filter("chosen_score > rejected_score").count() == 60
 
 
-def test_bigram_model_by_hand(spark):
+@pytest.mark.parametrize("few", [True, False])
+def test_bigram_model_by_hand(spark, few):
     fit = spark.createDataFrame([(1, "a b a b"), (2, "a c")], "id BIGINT, text STRING")
-    model = models.lm_fit(fit, key="id")
+    model = dataclasses.replace(models.lm_fit(fit, key="id"), few_contexts=few)
     assert model.vocab_size == 3
     got = models.text_nll(spark.createDataFrame([(9, "a b"), (10, "z")], "id BIGINT, text STRING"), {"m": model}, key="id")
     nll = {r.id: r.m for r in got.collect()}
