@@ -149,9 +149,8 @@ def run_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eval_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every 50th step of each run with its loss as eval loss."""
-    steps = run_steps(spark, sf_dir).select("run", (F.col("m") + 1).alias("step"), F.col("loss").alias("eval_loss"))
-    return steps.filter("step % 50 = 0")
+    """Every step of each run with its loss as eval loss."""
+    return run_steps(spark, sf_dir).select("run", (F.col("m") + 1).alias("step"), F.col("loss").alias("eval_loss"))
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,7 +72,7 @@ CTES: dict[str, str] = {
     "run_steps": f"""SELECT run, m, m // {EPOCH_BATCHES} AS epoch, m % {EPOCH_BATCHES} AS batch_id, loss
         FROM (SELECT event_type AS run, value AS loss,
                      row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS m FROM events)""",
-    "eval_points": "SELECT run, m + 1 AS step, loss AS eval_loss FROM run_steps WHERE (m + 1) % 50 = 0",
+    "eval_points": "SELECT run, m + 1 AS step, loss AS eval_loss FROM run_steps",
     "candidates": """SELECT conv_id AS prompt_id, turn AS cand_id, text AS response, ln(1 + length(text)) AS logit
         FROM conversations WHERE role = 'assistant'""",
     "scores": f"SELECT vec_id, {score('embedding')} AS score FROM embeddings",
