@@ -57,35 +57,45 @@ class Prepared:
 def build_pairs(spark: SparkSession, sf_dir: str) -> Prepared:
     """Comparisons from conversations: a user turn, its reply, and the next pair's reply.
 
-    "Next turn" is the next row in (conv_id, turn) order, found by an equi-join
-    on the row position; a window per conversation would put a very long one in
-    a single task.
+    Everything about order is worked out on keys. "Next turn" is the next row in
+    (conv_id, turn) order, found by an equi-join on the row position; a window per
+    conversation would put a very long one in a single task. Texts come last: one
+    join by turn, then three texts per pair are gathered.
     """
-    turns = row_index(table(spark, sf_dir, "conversations"), ["conv_id", "turn"], name="at")
-    following = turns.select(
-        (F.col("at") - 1).alias("at"),
-        F.col("conv_id").alias("next_conv"),
-        F.col("role").alias("next_role"),
-        F.col("text").alias("chosen"),
-    ).filter("next_role = 'assistant'")
-    pairs = (
+    source = table(spark, sf_dir, "conversations")
+    turns = row_index(source.select("conv_id", "turn", "role"), ["conv_id", "turn"], name="at")
+    replies = turns.filter("role = 'assistant'").select(
+        (F.col("at") - 1).alias("at"), F.col("conv_id").alias("next_conv"), F.col("turn").alias("reply")
+    )
+    keys = (
         turns.filter("role = 'user'")
-        .join(following, "at")
+        .join(replies, "at")
         .filter("conv_id = next_conv")
-        .select("conv_id", "turn", F.col("text").alias("prompt"), "chosen")
+        .select("conv_id", "turn", "reply", F.when(F.col("conv_id") % 10 == 9, "valid1").otherwise("train").alias("split"))
+    )
+    numbered, n = indexed(keys, ["conv_id", "turn"])
+    placed = row_index(numbered, ["idx"], partition_by=["split"], name="split_pos")
+    others = placed.select(
+        F.pmod(F.col("idx") - 1, F.lit(max(n, 1))).alias("idx"), F.col("conv_id").alias("other_conv"), F.col("reply").alias("other_reply")
     )
-    numbered, n = indexed(pairs, ["conv_id", "turn"])
-    others = numbered.select(F.pmod(F.col("idx") - 1, F.lit(max(n, 1))).alias("idx"), F.col("chosen").alias("rejected"))
-    whole = numbered.join(others, "idx").withColumn(
-        "split", F.when(F.col("conv_id") % 10 == 9, "valid1").otherwise("train")
+
+    def ref(slot: str, conv: str, turn: str) -> Column:
+        return F.struct(F.lit(slot).alias("slot"), F.col(conv).alias("c"), F.col(turn).alias("t"))
+
+    slots = F.array(ref("prompt", "conv_id", "turn"), ref("chosen", "conv_id", "reply"), ref("rejected", "other_conv", "other_reply"))
+    own = ["idx", "conv_id", "turn", "split_pos", "split"]
+    refs = placed.join(others, "idx").select(*own, F.explode(slots).alias("r")).select(*own, "r.*")
+    texts = source.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), "text")
+    gathered = (
+        refs.join(texts, ["c", "t"])
+        .groupBy(*own)
+        .agg(*[F.max(F.when(F.col("slot") == s, F.col("text"))).alias(s) for s in ("prompt", "chosen", "rejected")])
+        .select("idx", "conv_id", "turn", "prompt", "chosen", "rejected", "split_pos", "split")
     )
-    placed = row_index(whole, ["idx"], partition_by=["split"], name="split_pos")
-    columns = ["idx", "conv_id", "turn", "prompt", "chosen", "rejected", "split_pos", "split"]
     path = new_path(spark, "comparisons")
-    placed.select(*columns).write.partitionBy("split").parquet(path)
-    rows = spark.read.schema(placed.select(*columns).schema).parquet(path)
-    train = rows.filter("split = 'train'").count()
-    return Prepared(path, rows, n, train)
+    gathered.write.partitionBy("split").parquet(path)
+    rows = spark.read.schema(gathered.schema).parquet(path)
+    return Prepared(path, rows, n, rows.filter("split = 'train'").count())
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> Prepared:

@@ -473,7 +473,6 @@ def q_todo(spark, sf_dir):
 def q_stream(spark, sf_dir):
     source = live.read_events(spark, sf_dir)
     out = live.run_stream_metrics(source, window="1 day", mode="complete")
-    out = out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
     return rounded(out, "reward_mean", "reward_std")
 
 
