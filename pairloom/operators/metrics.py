@@ -36,30 +36,30 @@ def step_pair_metrics(
     The loss covers all micro-batches of the step. Accuracy and reward means come
     from the last micro-batch only (``last_micro``) or from all (``group``). Sums
     and counts per micro-batch are the partial state; incomplete groups drop out.
+    Unscored pairs (NULL) are left out of the means, not of the micro-batches.
     """
     if scope not in ("last_micro", "group"):
         raise ValueError(f"unknown scope {scope!r}")
+    win = pair_win(chosen, rejected)
+    parts = {"accuracy": win, "chosen_reward_mean": F.col(chosen), "rejected_reward_mean": F.col(rejected)}
     micro = df.groupBy(*by, batch).agg(
-        F.avg(pair_loss(chosen, rejected)).alias("l"),
-        F.sum(pair_win(chosen, rejected)).alias("wins"),
-        F.sum(chosen).alias("c"),
-        F.sum(rejected).alias("r"),
-        F.count(F.lit(1)).alias("n"),
+        F.avg(pair_loss(chosen, rejected)).alias("__loss"),
+        *[F.sum(c).alias(f"__sum_{name}") for name, c in parts.items()],
+        *[F.count(c).alias(f"__n_{name}") for name, c in parts.items()],
     )
     last = F.col(batch) % accumulation == accumulation - 1
     counted = last if scope == "last_micro" else F.lit(True)
 
-    def total(name: str):
-        return F.sum(F.when(counted, F.col(name)))
+    def mean(name: str):
+        total, n = (F.sum(F.when(counted, F.col(f"__{part}_{name}"))) for part in ("sum", "n"))
+        return F.try_divide(total, n).alias(name)
 
     return (
         micro.groupBy(*by, idiv(batch, accumulation).alias("accum_group"))
         .agg(
             F.count(F.lit(1)).alias("__micro"),
-            F.sum(F.col("l") / accumulation).alias("loss"),
-            (total("wins") / total("n")).alias("accuracy"),
-            (total("c") / total("n")).alias("chosen_reward_mean"),
-            (total("r") / total("n")).alias("rejected_reward_mean"),
+            F.sum(F.col("__loss") / accumulation).alias("loss"),
+            *[mean(name) for name in parts],
         )
         .filter(F.col("__micro") == accumulation)
         .drop("__micro")

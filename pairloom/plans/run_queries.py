@@ -89,8 +89,7 @@ def q_accuracy(spark, sf_dir):
     ),
 )
 def q_means(spark, sf_dir):
-    scored = _scored_pairs(spark, sf_dir).filter("chosen_score IS NOT NULL AND rejected_score IS NOT NULL")
-    stepped = metrics.step_pair_metrics(scored, accumulation=4)
+    stepped = metrics.step_pair_metrics(_scored_pairs(spark, sf_dir), accumulation=4)
     return rounded(stepped.select("accum_group", "chosen_reward_mean", "rejected_reward_mean"), "chosen_reward_mean", "rejected_reward_mean")
 
 

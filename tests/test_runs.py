@@ -73,6 +73,13 @@ def test_step_metrics_scopes(spark):
     assert last[0].loss == pytest.approx((math.log1p(math.e**-1) + math.log1p(math.e)) / 2) == group[0].loss
 
 
+def test_unscored_pairs_do_not_break_a_step(spark):
+    df = pairs(spark, [(0, None, 1.0), (1, None, None), (2, 1.0, 0.0), (3, 2.0, None)])
+    first, second = metrics.step_pair_metrics(df, accumulation=2).orderBy("accum_group").collect()
+    assert (first.loss, first.accuracy, first.chosen_reward_mean) == (None, None, None)
+    assert (second.accuracy, second.chosen_reward_mean) == (None, 2.0) and second.loss is not None
+
+
 def test_eval_loss_is_the_mean_of_batch_means(spark):
     df = spark.createDataFrame([(0, 1.0), (0, 3.0), (1, 10.0)], "b BIGINT, loss DOUBLE")
     assert metrics.eval_loss(df, batch=["b"]).first()["eval_loss"] == 6.0
