@@ -68,9 +68,10 @@ def fits_broadcast(table: DataFrame) -> bool:
 
     Reads the table, so it should be a stored one.
     """
+    if table.count() > BROADCAST_ROWS:
+        return False
     size = F.octet_length(F.concat_ws(",", *[F.col(c).cast("string") for c in table.columns]))
-    r = table.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
-    return r["n"] <= BROADCAST_ROWS and r["b"] <= BROADCAST_BYTES
+    return table.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"] <= BROADCAST_BYTES
 
 
 def lookup(

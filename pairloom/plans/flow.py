@@ -29,6 +29,7 @@ class FlowConfig:
     policy: bt.BatchPlan = bt.POLICY_PLAN
     vocab_size: int = 50_000
     max_length: int = 1024
+    eval_rows: int = 2500
     step_cap: int = bt.POLICY_STEP_CAP
 
 
@@ -50,6 +51,11 @@ class Flow:
     def train(self) -> DataFrame:
         return complete_rows(check_columns(self.comparisons)).filter("split = 'train'")
 
+    @property
+    def held_out(self) -> DataFrame:
+        """The first rows of the evaluation split; both fitting stages use them."""
+        return splits.head_n(complete_rows(self.comparisons).filter("split = 'valid1'"), self.config.eval_rows)
+
     def stage_rows(self, name: str) -> DataFrame:
         stage = next(s for s in self.config.plan.stages if s.name == name)
         return splits.slice_rows(self.train, stage.start, stage.end)
@@ -70,7 +76,7 @@ class Flow:
         return ran
 
     def run_sft(self) -> None:
-        """Encoded chats, their batch plan and the language model counts."""
+        """Encoded chats, their batch plan, the language model counts and its evaluation loss."""
         rows, c = self.stage_rows("sft"), self.config
         text = DEFAULT_TEMPLATE.render(chat_array("prompt", "chosen"))
         tokens = tk.tokens(text, template=DEFAULT_TEMPLATE, newlines=True)
@@ -83,7 +89,14 @@ class Flow:
         coded.write.mode("overwrite").parquet(self.path("sft/encoded"))
         plan = bt.plan_batches(rows.select("idx").withColumnRenamed("idx", "row_id"), key="row_id", plan=c.sft)
         plan.select(F.col("row_id").alias("idx"), "epoch", "batch_id", "pos").write.mode("overwrite").parquet(self.path("sft/batches"))
-        models.lm_counts(rows, key="idx", text="chosen").write.mode("overwrite").parquet(self.path("sft/bigrams"))
+        model = models.lm_fit(rows, key="idx", text="chosen")
+        model.bigrams.write.mode("overwrite").parquet(self.path("sft/bigrams"))
+        scored = models.text_nll(self.held_out, {"nll": model}, key="idx", text="chosen")
+        losses = bt.batch_ids(scored.withColumn("loss", F.try_divide("nll", "n_tokens")), c.sft.batch_size)
+        found = metrics.eval_loss(losses, batch=["batch_id"])
+        steps = c.sft.epochs * c.sft.steps_per_epoch(rows.count())
+        found = found.select(F.lit(c.run).alias("run"), F.lit(steps).alias("step"), F.col("eval_loss").alias("loss"))
+        runlog.append_log(runlog.metrics_long(found, stage="eval", metrics=["loss"]), self.path("log"))
 
     def sft_batches(self, epoch: int) -> DataFrame:
         """Padded and stacked batches of one epoch, put together from keys and ids."""
@@ -115,8 +128,7 @@ class Flow:
         names = ["loss", "accuracy", "chosen_reward_mean", "rejected_reward_mean"]
         logged = steps.select(F.lit(c.run).alias("run"), F.col("global_step").alias("step"), *names)
         runlog.append_log(runlog.metrics_long(logged, stage="reward", metrics=names), self.path("log"))
-        held_out = complete_rows(self.comparisons).filter("split = 'valid1'")
-        evaluated = metrics.pair_metrics(self.scored_pairs(self.pair_features(held_out), weights))
+        evaluated = metrics.pair_metrics(self.scored_pairs(self.pair_features(self.held_out), weights))
         evaluated.write.mode("overwrite").parquet(self.path("reward/eval"))
         fields = {"model_type": "reward_head", "base_model_path": self.path("sft"), "hidden_size": len(weights)}
         one = self.spark.sql(f"SELECT '{c.run}' AS run")
@@ -162,11 +174,14 @@ class Flow:
         manifests.write_manifests(manifests.run_manifest(totals, keep=["run"], fields=fields), self.path("policy/manifest"))
 
     def reports(self) -> dict[str, DataFrame]:
-        """Audits over the whole table: stage ranges with gaps, leaked texts, rejected rows."""
+        """Audits over the whole table: stage ranges with gaps, leaked texts, rejected
+        rows, and evaluation rows that more than one stage reads."""
+        readers = F.explode(F.array(F.lit("sft"), F.lit("reward")))
         staged = splits.stage_assign(self.train, self.config.plan).filter("stage <> 'unused'")
         hashed = splits.hash_texts(staged.select("idx", "stage", "prompt", "chosen"))
         return {
             "splits": splits.split_report(self.train, self.config.plan),
             "leakage": splits.leakage_audit(hashed),
             "quarantine": quarantine(self.comparisons),
+            "eval_reuse": splits.overlapping_rows(self.held_out.select("idx", readers.alias("stage"))),
         }

@@ -253,7 +253,9 @@ def test_flow_runs_skips_and_reports(spark, tmp_path):
     assert len(stacked) == 6 and all(len({len(x) for x in r.input_ids}) == 1 for r in stacked)
     assert spark.read.parquet(flow.path("policy/selected")).count() == 6
     log = runlog.read_log(spark, flow.path("log"))
-    assert {r.stage for r in log.select("stage").distinct().collect()} == {"reward", "ppo"}
+    assert {r.stage for r in log.select("stage").distinct().collect()} == {"eval", "reward", "ppo"}
+    assert log.filter("name = 'eval/loss' AND step = 6 AND value > 0").count() == 1
+    assert flow.reports()["eval_reuse"].count() == rows.filter("split = 'valid1'").count() == 3
     assert log.filter("name = 'reward/accuracy'").count() == 2
     manifest = json.loads(spark.read.text(flow.path("policy/manifest")).first()[0])
     assert manifest["total_steps"] == 2 and manifest["data_splits"]["policy_samples"] == "24-29"
