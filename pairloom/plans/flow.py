@@ -96,7 +96,7 @@ class Flow:
         found = metrics.eval_loss(losses, batch=["batch_id"])
         steps = c.sft.epochs * c.sft.steps_per_epoch(rows.count())
         found = found.select(F.lit(c.run).alias("run"), F.lit(steps).alias("step"), F.col("eval_loss").alias("loss"))
-        runlog.append_log(runlog.metrics_long(found, stage="eval", metrics=["loss"]), self.path("log"))
+        runlog.replace_log(runlog.metrics_long(found, stage="eval", metrics=["loss"]), self.path("log"))
 
     def sft_batches(self, epoch: int) -> DataFrame:
         """Padded and stacked batches of one epoch, put together from keys and ids."""
@@ -127,7 +127,7 @@ class Flow:
         steps = bt.global_step(steps, steps_per_epoch=c.reward.steps_per_epoch(rows.count()))
         names = ["loss", "accuracy", "chosen_reward_mean", "rejected_reward_mean"]
         logged = steps.select(F.lit(c.run).alias("run"), F.col("global_step").alias("step"), *names)
-        runlog.append_log(runlog.metrics_long(logged, stage="reward", metrics=names), self.path("log"))
+        runlog.replace_log(runlog.metrics_long(logged, stage="reward", metrics=names), self.path("log"))
         evaluated = metrics.pair_metrics(self.scored_pairs(self.pair_features(self.held_out), weights))
         evaluated.write.mode("overwrite").parquet(self.path("reward/eval"))
         fields = {"model_type": "reward_head", "base_model_path": self.path("sft"), "hidden_size": len(weights)}
@@ -161,7 +161,7 @@ class Flow:
         stats.write.mode("overwrite").parquet(self.path("policy/stats"))
         stats = self.spark.read.parquet(self.path("policy/stats")).withColumn("run", F.lit(c.run))
         names = ["reward_mean", "reward_std", "reward_min", "reward_max"]
-        runlog.append_log(runlog.metrics_long(stats, stage="ppo", metrics=names, step="batch_id"), self.path("log"))
+        runlog.replace_log(runlog.metrics_long(stats, stage="ppo", metrics=names, step="batch_id"), self.path("log"))
         last = F.max_by(F.struct("reward_mean", "reward_std"), "batch_id")
         totals = stats.groupBy("run").agg(F.count(F.lit(1)).alias("total_steps"), last.alias("f")).select("run", "total_steps", "f.*")
         totals = totals.withColumns({"base_model": F.lit(self.path("sft")), "model": F.lit(self.path("policy"))})

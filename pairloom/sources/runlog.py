@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 LOG_SCHEMA = T.StructType(
     [
-        T.StructField("stage", T.StringType()),
         T.StructField("step", T.LongType()),
         T.StructField("name", T.StringType()),
         T.StructField("value", T.DoubleType()),
         T.StructField("run", T.StringType()),
+        T.StructField("stage", T.StringType()),
     ]
 )
 
@@ -29,8 +29,20 @@ def metrics_long(df: DataFrame, *, stage: str, metrics: Sequence[str], run: str
 
 
 def append_log(df: DataFrame, path: str) -> None:
-    """Append long metrics to the log, one folder per run."""
-    df.select(*LOG_SCHEMA.fieldNames()).write.mode("append").partitionBy("run").parquet(path)
+    """Append long metrics to the log, one folder per run and stage."""
+    _writer(df).mode("append").parquet(path)
+
+
+def replace_log(df: DataFrame, path: str) -> None:
+    """Write the metrics of a stage anew: a repeated stage leaves no second copy.
+
+    Only the folders of the runs and stages in ``df`` are replaced.
+    """
+    _writer(df).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def _writer(df: DataFrame):
+    return df.select(*LOG_SCHEMA.fieldNames()).write.partitionBy("run", "stage")
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

@@ -179,6 +179,9 @@ def test_log_appends(spark, tmp_path):
         runlog.append_log(runlog.metrics_long(df, stage="train", metrics=["loss", "acc"]), str(tmp_path / "log"))
     rows = runlog.read_log(spark, str(tmp_path / "log")).collect()
     assert len(rows) == 4 and {r["name"] for r in rows} == {"train/loss", "train/acc"}
+    runlog.replace_log(runlog.metrics_long(df, stage="train", metrics=["loss"]), str(tmp_path / "log"))
+    runlog.replace_log(runlog.metrics_long(df, stage="eval", metrics=["loss"]), str(tmp_path / "log"))
+    assert runlog.read_log(spark, str(tmp_path / "log")).count() == 2
 
 
 def test_manifest_defaults(spark):
@@ -248,7 +251,9 @@ def test_flow_runs_skips_and_reports(spark, tmp_path):
     )
     flow = Flow(spark, rows, str(tmp_path / "out"), config)
     assert flow.run() == ["sft", "reward", "policy"]
+    logged = runlog.read_log(spark, flow.path("log")).count()
     assert flow.run() == ["policy"]
+    assert runlog.read_log(spark, flow.path("log")).count() == logged
     stacked = flow.sft_batches(1).collect()
     assert len(stacked) == 6 and all(len({len(x) for x in r.input_ids}) == 1 for r in stacked)
     assert spark.read.parquet(flow.path("policy/selected")).count() == 6
