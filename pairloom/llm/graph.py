@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import store
 
 #: Keys with more members than this are compared in blocks inside tasks.
-FEW = 48
-BLOCK = 512
+FEW = 32
+BLOCK = 384
 
 
 def _checksum(edges: DataFrame) -> tuple:
@@ -61,22 +61,26 @@ def labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def linked_by_keys(
     postings: DataFrame,
-    payload: DataFrame,
-    alike: Callable[[np.ndarray, np.ndarray], np.ndarray],
     verify: Callable[[DataFrame], DataFrame],
+    sets: Callable[[DataFrame], DataFrame],
+    linked: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray],
+    payload: DataFrame | None = None,
+    alike: Callable[[np.ndarray, list[np.ndarray]], np.ndarray] | None = None,
 ) -> DataFrame:
     """Links (a, b) that join up all nodes which share a key and are confirmed by ``verify``.
 
-    ``postings`` is (key, node), distinct; ``payload`` is (node, sketch array<bigint>).
-    ``alike(x, ys)`` says which rows of ys have a sketch close enough to x to be
-    worth verifying; ``verify`` takes pairs (a, b) and keeps the true links.
+    ``postings`` is (key, node), distinct; ``verify`` takes pairs (a, b) and keeps the
+    true links. ``sets`` takes nodes and gives their full sets (node, members array<bigint>);
+    ``linked(shared, x, y)`` is the exact test on sizes of intersections and sets. With ``payload`` (node, sketch array<bigint>), ``alike(x, ys)`` says which
+    of the sketches ys are close enough to x for their pair to be worth verifying.
 
     First every member of a key is compared with the key's smallest member.
     Groups of near copies collapse into one component by that. Then only
     members of one key that are still in different components are compared:
-    in short keys by a join, in long ones block against block inside tasks,
-    which give out only pairs with close sketches. Every pair that shares a key
-    is either compared or already connected, so components are whole.
+    in short keys by a join. Long keys with members in common form a cluster, and all
+    pairs of a cluster are compared on their full sets, block against block inside tasks,
+    which give out only links that join up what was apart. Every pair that
+    shares a key is either compared or already connected, so components are whole.
     """
     sized = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lead")).filter("n > 1")
     shared = store(postings.join(sized, "key"), "shared-keys")
@@ -106,13 +110,16 @@ def linked_by_keys(
     )
     more = _close(pairs, payload, alike)
     many = left.filter(F.col("rest") > FEW)
+    found = links.union(store(verify(more), "other-links"))
     if many.limit(1).count():
-        more = more.union(_block_pairs(many, payload, alike)).distinct()
-    return links.union(store(verify(more), "other-links"))
+        found = found.union(store(_block_links(many, sets, linked), "block-links"))
+    return found
 
 
-def _close(pairs: DataFrame, payload: DataFrame, alike: Callable) -> DataFrame:
+def _close(pairs: DataFrame, payload: DataFrame | None, alike: Callable | None) -> DataFrame:
     """Pairs whose sketches are close enough."""
+    if payload is None:
+        return pairs
     left = payload.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
     right = payload.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
 
@@ -124,31 +131,54 @@ def _close(pairs: DataFrame, payload: DataFrame, alike: Callable) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInPandas(keep, "a bigint, b bigint")
 
 
-def _block_pairs(members: DataFrame, payload: DataFrame, alike: Callable) -> DataFrame:
-    """Pairs of members of one key with different labels and close sketches.
+def _block_links(
+    members: DataFrame,
+    sets: Callable[[DataFrame], DataFrame],
+    linked: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray],
+) -> DataFrame:
+    """Links among all nodes of each cluster of keys, as forests of the blocks compared.
 
-    A key of m members is dealt into about m / BLOCK blocks; every pair of
-    blocks is one group, so no group holds more than about two blocks.
+    Nodes that share a key with others in different components form clusters; a cluster of m nodes is dealt into about
+    m / BLOCK blocks, and every pair of blocks is one group, so no group holds more than about two blocks
+    and gives out fewer rows than it has.
     """
-    blocks = F.ceil(F.col("rest") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    dealt = members.withColumn("blocks", blocks).withColumn("own", own)
+    low = members.groupBy("key").agg(F.min("node").alias("v"))
+    cluster = components(members.join(low, "key").select(F.col("node").alias("u"), "v"))
+    sized = cluster.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = cluster.join(sized, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", "node", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    dealt = dealt.select("root", "node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        sketches = [np.asarray(s) for s in rows["sketch"]]
-        label, own, node = (rows[c].to_numpy() for c in ("label", "own", "node"))
-        same = rows["i"].iloc[0] == rows["j"].iloc[0]
-        a, b = [], []
-        for k in range(len(rows) - 1):
-            rest = np.arange(k + 1, len(rows))
-            rest = rest[label[rest] != label[k]]
-            if not same:
-                rest = rest[own[rest] != own[k]]
-            hit = rest[alike(sketches[k], [sketches[r] for r in rest])] if len(rest) else rest
-            a += np.minimum(node[k], node[hit]).tolist()
-            b += np.maximum(node[k], node[hit]).tolist()
+        own, node = rows["members"].tolist(), rows["node"].to_numpy()
+        size = np.array([len(x) for x in own])
+        value, at, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+        several = (times > 1)[at]
+        row, column = np.repeat(np.arange(len(own)), size)[several], (np.cumsum(times > 1) - 1)[at[several]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        shared = np.zeros((len(own), len(own)), np.float32)
+        for c in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+            a, b = np.searchsorted(column, [c, c + 2048])
+            part = np.zeros((len(own), 2048), np.float32)
+            part[row[a:b], column[a:b] - c] = 1
+            shared += part @ part.T
+        alike = linked(shared.astype(np.int64), size[:, None], size[None, :])
+        # a spanning forest: each newly reached node with the node that reached it
+        left, a, b = np.ones(len(own), bool), [], []
+        for start in range(len(own)):
+            if not left[start]:
+                continue
+            left[start] = False
+            front = [start]
+            while front:
+                k = front.pop()
+                new = np.flatnonzero(alike[k] & left)
+                left[new] = False
+                front += new.tolist()
+                a += [node[k]] * len(new)
+                b += node[new].tolist()
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
-    return dealt.join(payload, "node").groupBy("key", "i", "j").applyInPandas(compare, "a bigint, b bigint")
+    full = sets(store(cluster.select("node"), "cluster-nodes"))
+    return dealt.join(full, "node").groupBy("root", "i", "j").applyInPandas(compare, "a bigint, b bigint")

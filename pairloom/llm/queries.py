@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from . import gam, lines, minhash, mixing, packing, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,13 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A file of the public tokenizers that every machine has installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,4 +36,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op3_minhash_near_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents at a similarity of 0.85."""
-    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op2_temperature_mixing", mixing.SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of all documents mixed by temperature: as many tokens as there are, no source read more than twice."""
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "source", "pass_no", "block_no", "n_tokens", "order_key")
+
+
+@query("op4_sequence_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op5_fuzzy_line_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with one line of each group of near-equal lines left; (doc_id, text, n_removed)."""
+    return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True).select("doc_id", "text", "n_removed")
+
+
+@query("op8_quality_additive")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labels that are not held out."""
+    return gam.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of repeated 200-byte strings."""
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
