@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import gam, lines, minhash, mixing, packing, suffix
+from . import fingerprint, gam, lines, minhash, mixing, packing, suffix, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,3 +68,21 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of repeated 200-byte strings."""
     return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op6_warc_round_trip", warc.SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as archives and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op9_exact_topk", topk.SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best inner products for every vector whose id is divisible by 100, among all other vectors."""
+    return topk.search_self(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_scaled_fingerprint")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited forms."""
+    return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
