@@ -14,6 +14,8 @@ PIECE = 1 << 19
 
 WHITE = np.zeros(256, bool)
 WHITE[[32, 9, 10, 11, 12, 13]] = True
+CLOSING = np.zeros(256, bool)
+CLOSING[[ord(c) for c in ".,;:!?"]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -112,10 +114,11 @@ def _spans(piece: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.flatnonzero(opens), np.flatnonzero(closes) + 1
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, i: int, j: int, tails: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of rows i..j-1, lower-cased A-Z, and the word count of each row.
 
-    A word is a run of bytes other than 0x20 and 0x09-0x0D.
+    A word is a run of bytes other than 0x20 and 0x09-0x0D. Into ``tails`` goes, for each word, the
+    number of its last two bytes before a closing mark.
     """
     hashes, counts = [], np.zeros(j - i, np.int64)
     for lo, hi in _pieces(data, int(offsets[i]), int(offsets[j])):
@@ -125,6 +128,11 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, i: int, j: int) -> tuple[
         starts, ends = _spans(piece, offsets[i:j] - lo)
         sums, down = window_sums(_LOWER_VALUE[piece], hi - lo)
         hashes.append(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
+        if tails is not None:
+            low = LOWER[piece].astype(np.int64)
+            last = ends - 1
+            last = np.where(CLOSING[piece[last]] & (last > starts), last - 1, last)
+            tails.append(low[last] + 256 * np.where(last > starts, low[last - 1], 0))
         at = np.searchsorted(starts, np.clip(offsets[i : j + 1] - lo, 0, hi - lo))
         counts += np.diff(at)
     return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), counts

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, gam, lines, minhash, mixing, packing, suffix, topk, warc
+from . import fingerprint, gam, lines, lm, minhash, mixing, packing, suffix, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +86,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited forms."""
     return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op1_maxent_lm_score")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents, learned from the nine tenths that are not held out."""
+    return lm.score_documents(table(spark, sf_dir, "documents"))
