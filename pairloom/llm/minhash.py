@@ -98,7 +98,8 @@ def near_duplicates(
     k: int = SKETCH,
     shared: int = SHARED,
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, kept, and row (a number of its own).
+    """Per row of ``docs``: doc_id, n_shingles, component_id and kept; besides, a row number, the
+    group's node (root; null without shingles) and two hashes of the text (t1, t2).
 
     Texts are linked when 100 * intersection >= similarity * union holds for their
     sets of distinct word shingles; component_id is the smallest doc_id that can be reached.
@@ -128,15 +129,16 @@ def near_duplicates(
     links = _links(docs, classes, id_col, text_col, words, similarity, k, shared)
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     member = classes.join(roots, "node", "left").select("c1", "c2", F.coalesce("root", "node").alias("root"))
-    placed = rows.select("row", "doc_id", "n_shingles", "c1", "c2").join(member, ["c1", "c2"], "left")
+    placed = rows.select("row", "doc_id", "t1", "t2", "n_shingles", "c1", "c2").join(member, ["c1", "c2"], "left")
     # a text without shingles is alone
-    placed = placed.select("row", "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("root")).alias("root"))
+    placed = placed.select("row", "doc_id", "t1", "t2", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("root")).alias("root"))
     placed = store(placed, "placed")
     lowest = placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("lowest"))
     out = placed.join(lowest, "root", "left").withColumn(
         "component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("lowest"))
     )
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "row")
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return out.select("doc_id", "n_shingles", "component_id", kept, "row", "root", "t1", "t2")
 
 
 def _links(docs, classes, id_col, text_col, words, similarity, k, shared):
@@ -163,8 +165,21 @@ def _links(docs, classes, id_col, text_col, words, similarity, k, shared):
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
         return both.mapInArrow(exact, "a bigint, b bigint")
 
+    def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in range(0, batch.num_rows, 256):
+                part = batch.slice(b, 256)
+                values = lists_of(list(text_shingles(part.column(1), words)), pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), values], ["node", "members"])
+
+    def sets(nodes: DataFrame) -> DataFrame:
+        return texts.join(nodes, "node").select("node", "text").mapInArrow(full_sets, "node bigint, members array<bigint>")
+
+    def linked(both: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return 100 * both >= similarity * (x + y - both)
+
     # the estimate may be off by as much as the shared number allows for
-    return linked_by_keys(postings, payload, _alike(k, shared / k), verify)
+    return linked_by_keys(postings, verify, sets, linked, payload, _alike(k, shared / k))
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -177,3 +192,30 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
     keyed = _keyed(docs, id_col, text_col)
     same = (F.col("t1") == F.col("w1")) & (F.col("t2") == F.col("w2")) & F.col("doc_id").eqNullSafe(F.col("w"))
     return keyed.join(side, same).select("node", "text").dropDuplicates(["node"])
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of which one in each group of near-duplicates stays.
+
+    The one with the smallest doc_id stays (a null counts as larger), of rows that repeat it the one with the smallest text key,
+    and of wholly repeated rows one. Texts without shingles are in no group and all stay.
+    """
+    rows = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t1", "t2", "row")
+    in_group = F.col("root").isNotNull()
+    members = rows.filter(in_group).select("root", order.alias("place"), F.struct("doc_id", "t1", "t2").alias("key"))
+    best = members.groupBy("root").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n"))
+    # groups of one keep their row; the others give the keys of the rows that go
+    several = members.drop("place").join(best.filter("n > 1"), "root")
+    chosen = F.struct(F.col("place.doc_id"), F.col("place.t1"), F.col("place.t2"))
+    fate = several.select("key", (F.col("key") == chosen).alias("one")).groupBy("key").agg(F.max("one").alias("one"))
+    fate = store(fate.select("key.*", "one").toDF("__id", "__t1", "__t2", "__one"), "near-fate")
+    text = F.col(text_col)
+    keyed = docs.withColumns({"__k1": F.xxhash64(text), "__k2": F.xxhash64(F.lit(1), F.octet_length(text), text)})
+    same = F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__k1") == F.col("__t1")) & (F.col("__k2") == F.col("__t2"))
+    side = F.broadcast(fate) if fits_broadcast(fate) else fate
+    joined = keyed.join(side, same, "left").filter("__one is null or __one")
+    single = joined.filter("__one is null")
+    # rows that repeat the chosen doc_id and text: one of them
+    again = joined.filter("__one").dropDuplicates(["__id", "__t1", "__t2"])
+    return single.union(again).select(*docs.columns)
