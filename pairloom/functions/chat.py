@@ -12,6 +12,8 @@ from .numeric import as_col
 SYSTEM_PROMPT = "You are a helpful assistant that summarizes text with the same voice as the author."
 INSTRUCTION = "Summarize the following post:"
 PREVIEW_CHARS = 100
+#: The instruction as a decoder gives it, with a blank between tokens.
+DECODED_INSTRUCTION = INSTRUCTION.replace(":", " :")
 
 
 @dataclass(frozen=True)
@@ -21,12 +23,18 @@ class ChatTemplate:
     start: str = "<|im_start|>"
     end: str = "<|im_end|>"
 
+    @property
+    def decoded_cue(self) -> str:
+        """What is left of the end of turn and the cue when a decoder drops the markers."""
+        return "\nassistant\n"
+
     @property
     def cue(self) -> str:
         return f"{self.start}assistant\n"
 
     def turn(self, role: Column, content: Column) -> Column:
-        return F.concat(F.lit(self.start), role, F.lit("\n"), content, F.lit(f"{self.end}\n"))
+        """One turn; markers inside its content are broken, so content cannot open or close a turn."""
+        return F.concat(F.lit(self.start), role, F.lit("\n"), self.escape(content), F.lit(f"{self.end}\n"))
 
     def render(self, chat: Column | str, *, add_cue: bool = False) -> Column:
         turns = F.transform(as_col(chat), lambda m: self.turn(m["role"], m["content"]))
@@ -66,19 +74,32 @@ def chat_array(prompt: Column | str, answer: Column | str | None = None) -> Colu
     return F.when(present, F.array(*turns))
 
 
-def extract_post(query: Column | str, *, marker: str = INSTRUCTION, mode: str = "first_line") -> Column:
+def extract_post(
+    query: Column | str, *, marker: str = INSTRUCTION, mode: str = "first_line", template: ChatTemplate = DEFAULT_TEMPLATE
+) -> Column:
     """The post inside a decoded query.
 
     No marker: the whole text. Marker with a newline: the text after the first
-    one, up to the next marker (and, in ``first_line`` mode, the next newline).
+    one, up to the next newline in ``first_line`` mode, and in ``full`` mode up to
+    the end of the user's turn, which is the template's end marker in raw text and the bare
+    assistant cue at the end of decoded text.
     Marker without a newline: NULL, which scoring turns into the default reward.
     """
     q = as_col(query)
     full = F.lit(f"{marker}\n")
-    after = F.split_part(q, full, F.lit(2))
     if mode == "first_line":
-        after = F.split_part(after, F.lit("\n"), F.lit(1))
-    elif mode != "full":
+        after = F.split_part(F.split_part(q, full, F.lit(2)), F.lit("\n"), F.lit(1))
+    elif mode == "full":
+        rest = F.substring(q, F.position(full, q) + F.length(full), F.length(q))
+        rest = F.split_part(rest, F.lit(template.end), F.lit(1))
+        cue = F.lit(template.decoded_cue)
+        bare = F.lit(template.decoded_cue.rstrip("\n"))
+        after = (
+            F.when(F.endswith(rest, cue), F.substring(rest, F.lit(1), F.length(rest) - F.length(cue)))
+            .when(F.endswith(rest, bare), F.substring(rest, F.lit(1), F.length(rest) - F.length(bare)))
+            .otherwise(rest)
+        )
+    else:
         raise ValueError(f"unknown mode {mode!r}")
     return (
         F.when(F.contains(q, full), after)

@@ -7,11 +7,14 @@ from pyspark.sql import Column, functions as F
 from .chat import ChatTemplate, DEFAULT_TEMPLATE
 from .numeric import as_col
 
-# Ids below FIRST_ID are reserved. The pad id is the eos id.
+# Ids below FIRST_ID are reserved. The pad id is the eos id. A word outside the
+# vocabulary is written byte by byte: its first byte above FIRST_BYTE, the others above NEXT_BYTE.
 PAD_ID = 0
 UNK_ID = 1
 START_ID = 2
-FIRST_ID = 3
+FIRST_BYTE = 3
+NEXT_BYTE = FIRST_BYTE + 256
+FIRST_ID = NEXT_BYTE + 256
 IGNORE_LABEL = -100
 
 WORDS = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
@@ -39,6 +42,26 @@ def reserved_tokens(template: ChatTemplate = DEFAULT_TEMPLATE) -> dict[str, int]
     return {template.end: PAD_ID, "<unk>": UNK_ID, template.start: START_ID}
 
 
+def byte_pieces(token: Column | str) -> Column:
+    """The ids of a word outside the vocabulary, one per byte of its UTF-8 form."""
+    digits = F.hex(as_col(token))
+    places = F.sequence(F.lit(0), F.octet_length(as_col(token)) - 1)
+
+    def piece(i: Column) -> Column:
+        byte = F.conv(F.substring(digits, 2 * i + 1, F.lit(2)), 16, 10).cast("int")
+        return byte + F.when(i == 0, FIRST_BYTE).otherwise(NEXT_BYTE)
+
+    return F.transform(places, piece)
+
+
+def decoded_part(id_: Column | str, token: Column | str) -> Column:
+    """What an id adds to a decoded text, in hexadecimal: words and first bytes follow a blank."""
+    i = as_col(id_)
+    byte = F.lpad(F.hex(F.when(i < NEXT_BYTE, i - FIRST_BYTE).otherwise(i - NEXT_BYTE)), 2, "0")
+    word = F.when(as_col(token).isNotNull(), F.concat(F.lit("20"), F.hex(as_col(token))))
+    return F.when(i >= FIRST_ID, word).when(i >= NEXT_BYTE, byte).when(i >= FIRST_BYTE, F.concat(F.lit("20"), byte))
+
+
 def truncate(ids: Column | str, limit: int) -> Column:
     return F.slice(as_col(ids), 1, limit)
 

@@ -37,16 +37,17 @@ def render_conversations(
     role: str = "role",
     text: str = "text",
     segment_turns: int = SEGMENT_TURNS,
+    segments: bool = False,
     template: ChatTemplate = DEFAULT_TEMPLATE,
 ) -> DataFrame:
-    """Chats stored as one row per turn, rendered in turn order.
+    """Chats stored as one row per turn, rendered in turn order: one row per conversation.
 
-    The output has one row per (conversation, segment of ``segment_turns`` turn
-    numbers); segments put together in order are the whole text. An ordinary
-    chat is a single segment, and an endless one never has to fit in one task.
+    Turns are put together by segments of ``segment_turns`` turn numbers first, so a long chat is
+    rendered by many tasks, and the few segments of a conversation then give its text. With ``segments``
+    the segments themselves are returned, for a caller that cannot hold a whole chat in a row.
     """
     rendered = template.turn(F.col(role), F.col(text))
-    return (
+    parts = (
         turns.select(key, idiv(turn, segment_turns).alias("segment"), F.struct(F.col(turn).alias("t"), rendered.alias("x")).alias("m"))
         .groupBy(key, "segment")
         .agg(F.array_sort(F.collect_list("m")).alias("ms"))
@@ -57,3 +58,7 @@ def render_conversations(
             F.array_join(F.transform("ms", lambda m: m["x"]), "").alias("text"),
         )
     )
+    if segments:
+        return parts
+    whole = parts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("segment", "text"))).alias("ps"), F.sum("n_turns").alias("n_turns"))
+    return whole.select(key, "n_turns", F.array_join(F.transform("ps", lambda p: p["text"]), "").alias("text"))

@@ -56,23 +56,25 @@ def encode(
     tokens: Column,
     keep: Sequence[str] = (),
     out: str = "input_ids",
+    placed: bool = False,
 ) -> DataFrame:
-    """Token arrays to id arrays: (key, keep..., out); unknown tokens become the unk id.
+    """Token arrays to id arrays: (key, keep..., out). A token outside the vocabulary becomes
+    its byte pieces, so nothing is lost: ``decode`` gives every token back.
 
     ``key`` must be unique. Texts are shuffled once by key, before they are cut
     into tokens, so the per-token rows are joined and gathered inside one stage. A
     small vocabulary is broadcast; with a larger one the frequent tokens are
-    split off.
+    split off. ``placed`` says that the rows already lie by key.
     """
     keep = list(keep)
-    rows = df.repartition(key) if vocab.small else df
+    rows = df.repartition(key) if vocab.small and not placed else df
     rows = rows.select(key, *keep, tokens.alias("__tokens"))
     exploded = rows.select(key, *keep, F.posexplode_outer("__tokens").alias("__pos", "__token"))
     coded = _translate(exploded, vocab, "__token", "__id", key)
-    coded_id = F.coalesce("__id", F.lit(tk.UNK_ID)).alias("id")
-    item = F.when(F.col("__token").isNotNull(), F.struct("__pos", coded_id))
+    pieces = F.coalesce(F.when(F.col("__id").isNotNull(), F.array("__id")), tk.byte_pieces("__token")).alias("ids")
+    item = F.when(F.col("__token").isNotNull(), F.struct("__pos", pieces))
     gathered = coded.groupBy(key, *keep).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-    return gathered.select(key, *keep, F.transform("__items", lambda m: m["id"]).alias(out))
+    return gathered.select(key, *keep, F.flatten(F.transform("__items", lambda m: m["ids"])).alias(out))
 
 
 def _translate(exploded: DataFrame, vocab: Vocabulary, given: str, wanted: str, key: str) -> DataFrame:
@@ -98,16 +100,30 @@ def decode(
     keep: Sequence[str] = (),
     out: str = "text",
 ) -> DataFrame:
-    """Id arrays to text: reserved ids dropped, tokens joined by a blank, line breaks kept."""
+    """Id arrays to text: reserved ids dropped, byte pieces put together, tokens joined by a blank, line breaks kept.
+
+    A cut through a word leaves the bytes before it; a cut character becomes the replacement character.
+    """
+    return decode_columns(df, vocab, {ids: out}, key=key, keep=keep)
+
+
+def decode_columns(df: DataFrame, vocab: Vocabulary, columns: dict[str, str], *, key: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``decode`` of several id columns at once: all ids go through one explode, one translation and one regroup by key."""
     keep = list(keep)
     rows = df.repartition(key) if vocab.small else df
-    rows = rows.select(key, *keep, F.filter(ids, lambda x: x >= tk.FIRST_ID).alias("__ids"))
-    exploded = rows.select(key, *keep, F.posexplode_outer("__ids").alias("__pos", "__id"))
-    named = _translate(exploded, vocab, "__id", "__token", key)
-    item = F.when(F.col("__token").isNotNull(), F.struct("__pos", F.col("__token").alias("token")))
+    sides = F.array(*[F.struct(F.lit(k).alias("side"), F.filter(c, lambda x: x >= tk.FIRST_BYTE).alias("ids")) for k, c in enumerate(columns)])
+    each = rows.select(key, *keep, F.explode(sides).alias("s")).select(key, *keep, F.col("s.side").alias("__side"), F.posexplode_outer("s.ids").alias("__pos", "__id"))
+    named = _translate(each, vocab, "__id", "__token", key)
+    part = tk.decoded_part("__id", "__token")
+    item = F.when(part.isNotNull(), F.struct("__side", "__pos", part.alias("part")))
     gathered = named.groupBy(key, *keep).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-    joined = F.array_join(F.transform("__items", lambda m: m["token"]), " ")
-    return gathered.select(key, *keep, F.regexp_replace(joined, " ?\\n ?", "\n").alias(out))
+
+    def text(side: int) -> Column:
+        own = F.filter("__items", lambda m: m["__side"] == side)
+        raw = F.make_valid_utf8(F.unhex(F.array_join(F.transform(own, lambda m: m["part"]), "")).cast("string"))
+        return F.regexp_replace(F.substring(raw, 2, 2**31 - 1), " ?\\n ?", "\n")
+
+    return gathered.select(key, *keep, *[text(k).alias(c) for k, c in enumerate(columns.values())])
 
 
 def pad_batch(

@@ -89,9 +89,14 @@ def accum_loss(
     )
 
 
-def eval_loss(df: DataFrame, *, batch: Sequence[str], by: Sequence[str] = (), loss: str = "loss") -> DataFrame:
-    """Mean of batch means, 0 when there is no batch (a short last batch counts in full)."""
-    batches = df.groupBy(*by, *batch).agg(F.avg(loss).alias("__m"))
+def eval_loss(df: DataFrame, *, batch: Sequence[str], by: Sequence[str] = (), loss: str = "loss", tokens: str | None = None) -> DataFrame:
+    """Mean of batch losses, 0 when there is no batch (a short last batch counts in full).
+
+    A batch's loss is the mean of its rows' losses; with ``tokens``, where ``loss`` is summed over each
+    row's tokens, it is the mean over all tokens of the batch.
+    """
+    mean = F.try_divide(F.sum(loss), F.sum(tokens)) if tokens else F.avg(loss)
+    batches = df.groupBy(*by, *batch).agg(mean.alias("__m"))
     return batches.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_batches"), F.coalesce(F.avg("__m"), F.lit(0.0)).alias("eval_loss")
     )

@@ -121,20 +121,22 @@ def pair_nll(wanted: DataFrame, model: BigramModel, *, name: str = "nll") -> Dat
 def text_nll(df: DataFrame, models: dict[str, BigramModel], *, key: str, text: Column | str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Summed negative log-likelihood of each text under each model (one column per name).
 
-    Probabilities are worked out and written once per distinct pair, then joined
-    to the tokens; a pair that makes up much of the corpus is served by
-    broadcast.
+    Pairs are counted inside each text before anything is joined, and written once. Probabilities are worked out
+    per distinct pair and joined to the counts; a pair that makes up much of the corpus is served by
+    broadcast. Columns to ``keep`` are joined to the sums at the end.
     """
-    grams = bigrams(df, key=key, text=text, keep=keep)
-    table = grams.groupBy("prev", "tok").agg(F.count(F.lit(1)).alias("weight"))
+    grams = bigrams(df, key=key, text=text).groupBy(key, "prev", "tok").agg(F.count(F.lit(1)).alias("times"))
+    grams = store(grams, "text-pairs")
+    table = grams.groupBy("prev", "tok").agg(F.sum("times").alias("weight"))
     if not all(m.few_contexts for m in models.values()):
         table = store(table, "pairs")  # read several times below
     for name, model in models.items():
         table = pair_nll(table, model, name=name)
-    scored = lookup(grams, store(table, "pair-nll"), ["prev", "tok"], weight="weight", spread=[key, "pos"])
-    return scored.groupBy(key, *keep).agg(
-        F.count(F.lit(1)).alias("n_tokens"), *[F.sum(name).alias(name) for name in models]
+    scored = lookup(grams, store(table, "pair-nll"), ["prev", "tok"], weight="weight", spread=[key])
+    sums = scored.groupBy(key).agg(
+        F.sum("times").alias("n_tokens"), *[F.sum(F.col("times") * F.col(name)).alias(name) for name in models]
     )
+    return df.select(key, *keep).join(sums, key) if keep else sums
 
 
 def kl_watch(scored: DataFrame, *, by: Sequence[str], policy: str = "policy", reference: str = "reference", reward: str | None = None, coef: float = KL_COEF, target: float = TARGET_KL) -> DataFrame:

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import tokens as tk
-from ..functions.chat import ChatTemplate, DEFAULT_TEMPLATE, INSTRUCTION, chat_array, extract_post
+from ..functions.chat import DECODED_INSTRUCTION, ChatTemplate, DEFAULT_TEMPLATE, chat_array, extract_post
 from ..functions.numeric import as_col, dot, literal_vector
-from .encode import Vocabulary, decode, encode
+from .encode import Vocabulary, decode_columns, encode
 from .joins import attach
 
 DEFAULT_REWARD = 0.0
@@ -100,22 +100,25 @@ def rollout_chats(
     Decoded text separates tokens by a blank, so the instruction is looked for in
     its decoded form. Rows whose post cannot be found have a NULL chat.
     """
-    marker = INSTRUCTION.replace(":", " :")
-    q = decode(logged, vocab, key=key, ids=query_ids, keep=keep, out="query_text")
-    r = decode(logged, vocab, key=key, ids=response_ids, out="response_text")
-    post = extract_post("query_text", marker=marker, mode=mode)
-    return (
-        q.join(r, key)
-        .withColumn("post", post)
-        .withColumn("chat_text", template.render(chat_array("post", "response_text")))
-        .drop("query_text")
-    )
+    texts = decode_columns(logged, vocab, {query_ids: "query_text", response_ids: "response_text"}, key=key, keep=keep)
+    post = extract_post("query_text", marker=DECODED_INSTRUCTION, mode=mode, template=template)
+    rebuilt = template.render(chat_array("post", "response_text"))
+    return texts.withColumn("post", post).withColumn("chat_text", rebuilt).drop("query_text")
+
+
+def id_features(ids: Column | str) -> Column:
+    """What the chat head sees of an id sequence: log length, share of distinct ids, share of reserved ids and pieces."""
+    a = as_col(ids)
+    n = F.size(a).cast("double")
+    share = lambda x: F.when(n > 0, F.size(x) / n).otherwise(0.0)
+    return F.array(F.log1p(n), share(F.array_distinct(a)), share(F.filter(a, lambda x: x < tk.FIRST_ID)))
 
 
 def rollout_rewards(
     logged: DataFrame,
     vocab: Vocabulary,
-    scores: DataFrame,
+    weights: Sequence[float],
+    bias: float = 0.0,
     *,
     key: str = "idx",
     keep: Sequence[str] = ("batch_id", "pos"),
@@ -126,20 +129,19 @@ def rollout_rewards(
     """The whole scoring path as one plan: decode, find the post, rebuild the chat,
     encode, cut, score, default.
 
-    ``scores`` is (key, score) for the rows that have a frozen feature.
+    The linear head ``weights`` is applied to ``id_features`` of the cut chat. A row whose chat cannot be
+    rebuilt gets the default reward and is flagged. Rows are shuffled by key once; both
+    decodes, the encode and the score follow in that layout when the vocabulary is small.
     """
     chats = rollout_chats(logged, vocab, key=key, keep=keep, template=template, mode=mode)
     tokens = tk.tokens("chat_text", template=template, newlines=True)
     has_chat = F.col("chat_text").isNotNull().alias("has_chat")
-    coded = encode(chats.withColumn("has_chat", has_chat), vocab, key=key, tokens=tokens, keep=[*keep, "has_chat"])
-    sized = coded.select(
+    coded = encode(chats.withColumn("has_chat", has_chat), vocab, key=key, tokens=tokens, keep=[*keep, "has_chat"], placed=True)
+    scored = coded.select(
         key,
         *keep,
-        "has_chat",
-        F.least(F.size("input_ids"), F.lit(max_length)).cast("bigint").alias("n_tokens"),
-        tk.is_truncated("input_ids", max_length).alias("truncated"),
-    )
-    scored = sized.join(scores.select(key, "score"), key, "left").withColumn(
-        "score", F.when(F.col("has_chat"), F.col("score"))
+        F.when(F.col("has_chat"), F.least(F.size("input_ids"), F.lit(max_length)).cast("bigint")).alias("n_tokens"),
+        F.when(F.col("has_chat"), tk.is_truncated("input_ids", max_length)).alias("truncated"),
+        F.when(F.col("has_chat"), reward_score(id_features(tk.truncate("input_ids", max_length)), weights, bias)).alias("score"),
     )
-    return reward_default(scored).drop("score", "has_chat")
+    return reward_default(scored).drop("score")

@@ -88,8 +88,13 @@ def stage_assign(df: DataFrame, plan: StagePlan, *, idx: str = "idx") -> DataFra
 
 
 def split_report(df: DataFrame, plan: StagePlan, *, idx: str = "idx") -> DataFrame:
-    """Rows and index range per stage, and per gap that the plan leaves uncovered."""
-    return (
+    """Rows and index range per stage, and per gap that the plan leaves uncovered.
+
+    Every planned stage and gap has a line, also one without rows (0 rows, no range).
+    """
+    names = [s.name for s in (*plan.stages, *plan.gaps())]
+    lines = df.sparkSession.sql("SELECT explode(array({})) AS stage".format(", ".join(f"'{n}'" for n in names) or "CAST(NULL AS STRING)"))
+    found = (
         df.select(plan.label(idx, with_gaps=True).alias("stage"), F.col(idx).alias("__i"))
         .groupBy("stage")
         .agg(
@@ -97,7 +102,12 @@ def split_report(df: DataFrame, plan: StagePlan, *, idx: str = "idx") -> DataFra
             F.min("__i").alias("first_idx"),
             F.max("__i").alias("last_idx"),
         )
-        .withColumn("range", F.concat_ws("-", F.col("first_idx").cast("string"), F.col("last_idx").cast("string")))
+    )
+    return (
+        lines.filter("stage IS NOT NULL")
+        .join(found, "stage", "full")
+        .withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("bigint")))
+        .withColumn("range", F.concat(F.col("first_idx").cast("string"), F.lit("-"), F.col("last_idx").cast("string")))
         .withColumn("is_gap", F.when(F.col("stage").startswith("gap_"), 1).otherwise(0).cast("bigint"))
     )
 

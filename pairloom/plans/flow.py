@@ -9,9 +9,10 @@ reach the driver.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.ml.classification import LogisticRegressionModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import tokens as tk
 from ..functions.chat import DEFAULT_TEMPLATE, chat_array
@@ -22,15 +23,18 @@ from ..sources.comparisons import check_columns, complete_rows, quarantine
 
 @dataclass(frozen=True)
 class FlowConfig:
+    """Settings of a run. Without a plan the stages share all training rows in the scaled proportions; without
+    ``eval_rows`` the whole evaluation split is used; without ``step_cap`` no policy batch is left out of the statistics."""
+
     run: str = "run"
-    plan: splits.StagePlan = splits.DEFAULT_PLAN
+    plan: splits.StagePlan | None = None
     sft: bt.BatchPlan = bt.SFT_PLAN
     reward: bt.BatchPlan = bt.REWARD_PLAN
     policy: bt.BatchPlan = bt.POLICY_PLAN
     vocab_size: int = 50_000
     max_length: int = 1024
-    eval_rows: int = 2500
-    step_cap: int = bt.POLICY_STEP_CAP
+    eval_rows: int | None = None
+    step_cap: int | None = None
 
 
 @dataclass
@@ -53,17 +57,26 @@ class Flow:
 
     @property
     def held_out(self) -> DataFrame:
-        """The first rows of the evaluation split; both fitting stages use them."""
-        return splits.head_n(complete_rows(self.comparisons).filter("split = 'valid1'"), self.config.eval_rows)
+        """The evaluation split, or its first ``eval_rows``; both fitting stages use it."""
+        rows = complete_rows(self.comparisons).filter("split = 'valid1'")
+        return rows if self.config.eval_rows is None else splits.head_n(rows, self.config.eval_rows)
+
+    @cached_property
+    def plan(self) -> splits.StagePlan:
+        """The given plan, or one scaled to the training rows (positions from 0)."""
+        if self.config.plan:
+            return self.config.plan
+        last = self.comparisons.filter("split = 'train'").agg(F.max("idx")).first()[0]
+        return splits.StagePlan.scaled(0 if last is None else last + 1)
 
     def stage_rows(self, name: str) -> DataFrame:
-        stage = next(s for s in self.config.plan.stages if s.name == name)
+        stage = next(s for s in self.plan.stages if s.name == name)
         return splits.slice_rows(self.train, stage.start, stage.end)
 
     def todo(self) -> list[str]:
         names = ",".join(f"('{self.config.run}', '{s}', {str(s == 'policy').lower()})" for s in self.STAGES)
         planned = self.spark.sql(f"SELECT * FROM VALUES {names} AS p(run, stage, always)")
-        left = ledger.stage_todo(planned, ledger.read_ledger(self.spark, self.path("ledger")))
+        left = ledger.stage_todo(planned, ledger.read_ledger(self.spark, self.path("ledger"), run=self.config.run))
         waiting = {r["stage"] for r in left.collect()}
         return [s for s in self.STAGES if s in waiting]
 
@@ -88,12 +101,12 @@ class Flow:
         )
         coded.write.mode("overwrite").parquet(self.path("sft/encoded"))
         plan = bt.plan_batches(rows.select("idx").withColumnRenamed("idx", "row_id"), key="row_id", plan=c.sft)
-        plan.select(F.col("row_id").alias("idx"), "epoch", "batch_id", "pos").write.mode("overwrite").parquet(self.path("sft/batches"))
+        plan = plan.select(F.col("row_id").alias("idx"), "epoch", "batch_id", "pos")
+        plan.write.mode("overwrite").partitionBy("epoch").parquet(self.path("sft/batches"))
         model = models.lm_fit(rows, key="idx", text="chosen")
         model.bigrams.write.mode("overwrite").parquet(self.path("sft/bigrams"))
         scored = models.text_nll(self.held_out, {"nll": model}, key="idx", text="chosen")
-        losses = bt.batch_ids(scored.withColumn("loss", F.try_divide("nll", "n_tokens")), c.sft.batch_size)
-        found = metrics.eval_loss(losses, batch=["batch_id"])
+        found = metrics.eval_loss(bt.batch_ids(scored, c.sft.batch_size), batch=["batch_id"], loss="nll", tokens="n_tokens")
         steps = c.sft.epochs * c.sft.steps_per_epoch(rows.count())
         found = found.select(F.lit(c.run).alias("run"), F.lit(steps).alias("step"), F.col("eval_loss").alias("loss"))
         runlog.replace_log(runlog.metrics_long(found, stage="eval", metrics=["loss"]), self.path("log"))
@@ -155,32 +168,43 @@ class Flow:
         rewarded = scoring.reward_default(rows.withColumn("score", score)).drop("score", "defaulted")
         best.best_of_n(rewarded).write.mode("overwrite").parquet(self.path("policy/selected"))
         kept = self.spark.read.parquet(self.path("policy/selected"))
-        first = next(s.start for s in c.plan.stages if s.name == "policy")
-        placed = bt.batch_ids(kept.withColumn("at", F.col("prompt_id") - first), c.policy.batch_size, idx="at")
-        stats = metrics.batch_reward_stats(bt.step_cap(placed, c.step_cap))
+        first = next(s.start for s in self.plan.stages if s.name == "policy")
+        placed = kept.withColumn("at", F.col("prompt_id") - first)
+        placed = bt.batch_ids(placed, c.policy.batch_size, idx="at", rows=kept.count(), drop_last=c.policy.drop_last)
+        stats = metrics.batch_reward_stats(placed if c.step_cap is None else bt.step_cap(placed, c.step_cap))
         stats.write.mode("overwrite").parquet(self.path("policy/stats"))
         stats = self.spark.read.parquet(self.path("policy/stats")).withColumn("run", F.lit(c.run))
         names = ["reward_mean", "reward_std", "reward_min", "reward_max"]
         runlog.replace_log(runlog.metrics_long(stats, stage="ppo", metrics=names, step="batch_id"), self.path("log"))
         last = F.max_by(F.struct("reward_mean", "reward_std"), "batch_id")
-        totals = stats.groupBy("run").agg(F.count(F.lit(1)).alias("total_steps"), last.alias("f")).select("run", "total_steps", "f.*")
-        totals = totals.withColumns({"base_model": F.lit(self.path("sft")), "model": F.lit(self.path("policy"))})
-        manifests.write_report(manifests.run_report(totals), self.path("policy/report"))
+        totals = stats.groupBy("run").agg(
+            F.count(F.lit(1)).alias("total_steps"), F.min("reward_min").alias("reward_min"), F.max("reward_max").alias("reward_max"), last.alias("f")
+        ).select("run", "total_steps", "reward_min", "reward_max", "f.*")
+        totals = totals.withColumns({"base_model": self.base_path(), "reward_model": F.lit(self.path("reward/model")), "model": F.lit(self.path("policy"))})
+        manifests.write_report(manifests.run_report(totals, plan=self.plan), self.path("policy/report"))
         fields = {
             "run": F.col("run"), "model_type": "ppo_final", "total_steps": F.col("total_steps"),
             "final_reward_mean": F.col("reward_mean"), "final_reward_std": F.col("reward_std"),
-            "training_config": {"batch_size": c.policy.batch_size}, "data_splits": manifests.plan_ranges(c.plan),
+            "reward_range": {"reward_min": F.col("reward_min"), "reward_max": F.col("reward_max")},
+            "base_sft_model": F.col("base_model"), "reward_model": F.col("reward_model"), "total_epochs": c.policy.epochs,
+            "training_config": manifests.POLICY_SETTINGS | {"batch_size": c.policy.batch_size}, "data_splits": manifests.plan_ranges(self.plan),
         }
         manifests.write_manifests(manifests.run_manifest(totals, keep=["run"], fields=fields), self.path("policy/manifest"))
 
+    def base_path(self) -> Column:
+        """The base model's path as the reward stage's manifest gives it, with its default."""
+        written = self.spark.read.text(self.path("reward/manifest")).limit(1).withColumnRenamed("value", "manifest")
+        found = written.select(manifests.manifest_field("manifest", "base_model_path", "STRING", self.path("sft")).alias("p")).first()
+        return F.lit(found["p"] if found else self.path("sft"))
+
     def reports(self) -> dict[str, DataFrame]:
         """Audits over the whole table: stage ranges with gaps, leaked texts, rejected
         rows, and evaluation rows that more than one stage reads."""
         readers = F.explode(F.array(F.lit("sft"), F.lit("reward")))
-        staged = splits.stage_assign(self.train, self.config.plan).filter("stage <> 'unused'")
+        staged = self.train.withColumn("stage", self.plan.label("idx", with_gaps=True))
         hashed = splits.hash_texts(staged.select("idx", "stage", "prompt", "chosen"))
         return {
-            "splits": splits.split_report(self.train, self.config.plan),
+            "splits": splits.split_report(self.train, self.plan),
             "leakage": splits.leakage_audit(hashed),
             "quarantine": quarantine(self.comparisons),
             "eval_reuse": splits.overlapping_rows(self.held_out.select("idx", readers.alias("stage"))),

@@ -12,17 +12,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import tokens as tk
-from ..functions.chat import DEFAULT_TEMPLATE, chat_array
+from ..functions.chat import DEFAULT_TEMPLATE, INSTRUCTION, chat_array
 from ..functions.numeric import idiv
 from ..operators import encode as enc
 from ..operators.joins import attach, lookup
-from ..operators.models import BigramModel, lm_fit, text_features
+from ..operators.models import BigramModel, lm_fit, text_features, text_nll
 from ..operators.rowindex import indexed, row_index
 from ..operators.scoring import score_table
 from ..operators.splits import StagePlan
 from ..session import fill_cores, new_path, store
 
 WEIGHTS = [((i * 7) % 11 - 5) / 10 for i in range(64)]
+CHAT_WEIGHTS = (0.5, -1.25, 2.0)
 ROLLOUT_BATCH = 8
 EPOCH_BATCHES = 500
 STATE_ROWS = 16
@@ -37,8 +38,20 @@ def table(spark: SparkSession, sf_dir: str, name: str, *, spread: bool = False)
     return fill_cores(df) if spread else df
 
 
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the files of a folder's tables, one level of part files included."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for top in files.listStatus(path):
+        for f in files.listStatus(top.getPath()) if top.isDirectory() else [top]:
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]):
-    key = (spark.sparkContext.applicationId, str(sf_dir), name)
+    """What ``make`` gives, made again only when the session or the files of the folder have changed."""
+    key = (spark.sparkContext.applicationId, _state(spark, str(sf_dir)), name)
     if key not in _PREPARED:
         _PREPARED[key] = make()
     return _PREPARED[key]
@@ -93,7 +106,8 @@ def build_pairs(spark: SparkSession, sf_dir: str) -> Prepared:
         .select("idx", "conv_id", "turn", "prompt", "chosen", "rejected", "split_pos", "split")
     )
     path = new_path(spark, "comparisons")
-    gathered.write.partitionBy("split").parquet(path)
+    # sorted by split and position: a slice opens only the files and row groups of its range
+    gathered.repartitionByRange("split", "split_pos").sortWithinPartitions("split", "split_pos").write.partitionBy("split").parquet(path)
     rows = spark.read.schema(gathered.schema).parquet(path)
     return Prepared(path, rows, n, rows.filter("split = 'train'").count())
 
@@ -237,17 +251,36 @@ def lm_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents", spread=True).select("doc_id", "text", "lang")
 
 
+def is_fit_part() -> Column:
+    """Documents that language models learn from; the others are held out."""
+    return F.col("doc_id") % 10 < 8
+
+
+def fit_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_documents(spark, sf_dir).filter(is_fit_part())
+
+
 def reference_lm(spark: SparkSession, sf_dir: str) -> BigramModel:
-    """Fitted on all documents."""
-    return _once(spark, sf_dir, "reference_lm", lambda: lm_fit(lm_documents(spark, sf_dir), key="doc_id"))
+    """Fitted on all documents of the fit part."""
+    return _once(spark, sf_dir, "reference_lm", lambda: lm_fit(fit_documents(spark, sf_dir), key="doc_id"))
+
+
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document under both models, scored and written once: (doc_id, n_tokens, policy, reference)."""
+
+    def make() -> DataFrame:
+        both = {"policy": policy_lm(spark, sf_dir), "reference": reference_lm(spark, sf_dir)}
+        return store(text_nll(lm_documents(spark, sf_dir), both, key="doc_id"), "lm-scores")
+
+    return _once(spark, sf_dir, "lm_scores", make)
 
 
 def policy_lm(spark: SparkSession, sf_dir: str) -> BigramModel:
-    """Fitted on the documents with a good label."""
+    """Fitted on the documents of the fit part with a good label."""
 
     def make() -> BigramModel:
         good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
-        docs = lm_documents(spark, sf_dir).join(good, "doc_id", "left_semi")
+        docs = fit_documents(spark, sf_dir).join(good, "doc_id", "left_semi")
         return lm_fit(docs, key="doc_id")
 
     return _once(spark, sf_dir, "policy_lm", make)
@@ -271,13 +304,20 @@ def encoded_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("idx", idiv("idx", ROLLOUT_BATCH).alias("batch_id"), (F.col("idx") % ROLLOUT_BATCH).alias("pos"), "input_ids")
 
 
+def logged_query() -> Column:
+    """The query text of a rollout. In every fifth the line break after the instruction is lost, so its post cannot be found."""
+    text = DEFAULT_TEMPLATE.render(chat_array("prompt"), add_cue=True)
+    return F.when(F.col("idx") % 5 == 4, F.replace(text, F.lit(f"{INSTRUCTION}\n"), F.lit(f"{INSTRUCTION} "))).otherwise(text)
+
+
 def logged_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rollouts as a policy run logs them: query and response ids per (batch_id, pos)."""
 
     def make() -> DataFrame:
         vocab = chat_vocab(spark, sf_dir)
         rows = placed_pairs(spark, sf_dir)
-        q = enc.encode(rows, vocab, key="idx", tokens=chat_tokens(answer=None), keep=["batch_id", "pos"], out="query_ids")
+        asked = tk.tokens(logged_query(), template=DEFAULT_TEMPLATE, newlines=True)
+        q = enc.encode(rows, vocab, key="idx", tokens=asked, keep=["batch_id", "pos"], out="query_ids")
         r = enc.encode(rows, vocab, key="idx", tokens=tk.tokens("response", newlines=True), out="response_ids")
         return store(q.join(r, "idx"), "logged-rollouts")
 

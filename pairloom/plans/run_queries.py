@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.chat import DECODED_INSTRUCTION
 from ..functions.numeric import idiv
+from ..functions.tokens import FIRST_ID
 from ..operators import best, metrics, models, sampling, scoring
 from ..operators.splits import DEFAULT_PLAN
 from ..session import new_path
@@ -113,30 +115,35 @@ def q_join(spark, sf_dir):
     return scoring.rollout_join(queries, answered)
 
 
-sql.CTES["asked"] = f"""SELECT idx, unnest(t) AS token, generate_subscripts(t, 1) AS place
-    FROM (SELECT idx, {sql.tokens(sql.prompt_chat('prompt'), sql.MARKED)} AS t FROM pairs)"""
 sql.CTES["answered"] = f"""SELECT idx, unnest(t) AS token, generate_subscripts(t, 1) AS place
     FROM (SELECT idx, {sql.tokens('chosen', sql.LINES)} AS t FROM pairs)"""
-DECODED = r"""SELECT idx, regexp_replace(coalesce(string_agg(token, ' ' ORDER BY place) FILTER (WHERE id >= 3), ''), ' ?\n ?', E'\n', 'g') AS text
-    FROM {source} LEFT JOIN vocab USING (token) GROUP BY idx"""
+DECODED = rf"""SELECT idx, regexp_replace(coalesce(string_agg(token, ' ' ORDER BY place) FILTER (WHERE token NOT IN ('{sql.START}', '{sql.END}')), ''),
+        ' ?\n ?', E'\n', 'g') AS text
+    FROM {{source}} GROUP BY idx"""
 sql.CTES["query_text"] = DECODED.format(source="asked")
 sql.CTES["response_text"] = DECODED.format(source="answered")
-_MARK = "'Summarize the following post :'"
-_MARK_LINE = "E'Summarize the following post :\\n'"
+_MARK = sql.text(DECODED_INSTRUCTION)
+_MARK_LINE = sql.text(f"{DECODED_INSTRUCTION}\n")
 sql.CTES["posts"] = f"""SELECT idx, r.text AS response, CASE
         WHEN contains(q.text, {_MARK_LINE}) THEN split_part(split_part(q.text, {_MARK_LINE}, 2), E'\\n', 1)
         WHEN contains(q.text, {_MARK}) THEN NULL ELSE q.text END AS post
     FROM query_text q JOIN response_text r USING (idx)"""
+sql.CTES["rebuilt"] = f"""SELECT idx, flatten(list({sql.IDS} ORDER BY place)) AS ids FROM (
+        SELECT idx, unnest(t) AS token, generate_subscripts(t, 1) AS place
+        FROM (SELECT idx, {sql.tokens(sql.chat('post', 'response'), sql.MARKED)} AS t FROM posts WHERE post IS NOT NULL))
+    LEFT JOIN vocab USING (token) GROUP BY idx"""
+sql.CTES["cut"] = "SELECT idx, len(ids) AS n, ids[1:512] AS c FROM rebuilt"
+_HEAD = " + ".join(f"({w}::DOUBLE) * ({x})" for w, x in zip(inputs.CHAT_WEIGHTS, (
+    "ln(1 + len(c))", "len(list_distinct(c))::DOUBLE / len(c)", f"len([x FOR x IN c IF x < {FIRST_ID}])::DOUBLE / len(c)")))
 
 
 @query(
     "rollout_rewards",
     build(
-        f"""SELECT idx, batch_id, pos, least(n, 512) AS n_tokens, n > 512 AS truncated,
-            round(CASE WHEN post IS NULL THEN 0.0::DOUBLE ELSE reward END, 6) AS reward, defaulted OR post IS NULL AS defaulted
-        FROM (SELECT idx, post, len({sql.tokens(sql.chat('post', 'response'), sql.MARKED)}) AS n FROM posts)
-        JOIN rewards USING (idx)""",
-        *ROLLOUTS,
+        f"""SELECT idx, idx // {inputs.ROLLOUT_BATCH} AS batch_id, idx % {inputs.ROLLOUT_BATCH} AS pos,
+            CASE WHEN n IS NOT NULL THEN least(n, 512) END AS n_tokens, n > 512 AS truncated, round(coalesce({_HEAD}, 0.0::DOUBLE), 6) AS reward, n IS NULL AS defaulted
+        FROM posts LEFT JOIN cut USING (idx)""",
+        *PAIRS,
         "chat_tokens",
         "vocab",
         "asked",
@@ -144,11 +151,12 @@ sql.CTES["posts"] = f"""SELECT idx, r.text AS response, CASE
         "query_text",
         "response_text",
         "posts",
+        "rebuilt",
+        "cut",
     ),
 )
 def q_rollout_rewards(spark, sf_dir):
-    scores = inputs.rollout_scores(spark, sf_dir).select("idx", "score")
-    out = scoring.rollout_rewards(inputs.logged_rollouts(spark, sf_dir), inputs.chat_vocab(spark, sf_dir), scores)
+    out = scoring.rollout_rewards(inputs.logged_rollouts(spark, sf_dir), inputs.chat_vocab(spark, sf_dir), inputs.CHAT_WEIGHTS)
     return rounded(out, "reward")
 
 
@@ -224,15 +232,17 @@ def q_format(spark, sf_dir):
 @query(
     "metrics_long",
     build(
-        """SELECT 'ppo' AS stage, batch_id AS step, 'rollouts' AS run, 'ppo/' || name AS name, round(value, 6) AS value FROM (
-            UNPIVOT (SELECT batch_id, avg(reward) AS reward_mean, min(reward) AS reward_min, max(reward) AS reward_max FROM rewards GROUP BY batch_id)
-            ON reward_mean, reward_min, reward_max INTO NAME name VALUE value)""",
+        """, stats AS (SELECT batch_id, avg(reward) AS reward_mean, stddev_samp(reward) AS reward_std,
+                min(reward) AS reward_min, max(reward) AS reward_max FROM rewards GROUP BY batch_id)
+        SELECT 'ppo' AS stage, batch_id AS step, 'rollouts' AS run, 'ppo/' || name AS name, round(value, 6) AS value FROM (
+            SELECT batch_id, 'reward_mean' AS name, reward_mean AS value FROM stats UNION ALL SELECT batch_id, 'reward_std', reward_std FROM stats
+            UNION ALL SELECT batch_id, 'reward_min', reward_min FROM stats UNION ALL SELECT batch_id, 'reward_max', reward_max FROM stats)""",
         *ROLLOUTS,
     ),
 )
 def q_long(spark, sf_dir):
     stats = metrics.batch_reward_stats(_rewards(spark, sf_dir)).withColumn("run", F.lit("rollouts"))
-    long = runlog.metrics_long(stats, stage="ppo", metrics=["reward_mean", "reward_min", "reward_max"], step="batch_id")
+    long = runlog.metrics_long(stats, stage="ppo", metrics=["reward_mean", "reward_std", "reward_min", "reward_max"], step="batch_id")
     path = new_path(spark, "run-log")
     runlog.append_log(long, path)
     return rounded(runlog.read_log(spark, path), "value")
@@ -331,10 +341,10 @@ def _head_metrics(pairs: DataFrame, weights: list[float]) -> DataFrame:
     return rounded(metrics.pair_metrics(scored, by=["lang"]), "loss", "accuracy", "chosen_reward_mean", "rejected_reward_mean")
 
 
-sql.CTES["lm_n"] = "SELECT prev, tok, count(*) AS n FROM grams GROUP BY ALL"
+sql.CTES["lm_n"] = "SELECT prev, tok, count(*) AS n FROM grams WHERE doc_id % 10 < 8 GROUP BY ALL"
 sql.CTES["lm_c"] = "SELECT prev, sum(n) AS c FROM lm_n GROUP BY prev"
 sql.CTES["good_n"] = """SELECT prev, tok, count(*) AS n FROM grams
-    WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) GROUP BY ALL"""
+    WHERE doc_id % 10 < 8 AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) GROUP BY ALL"""
 sql.CTES["good_c"] = "SELECT prev, sum(n) AS c FROM good_n GROUP BY prev"
 sql.CTES["nll"] = """SELECT doc_id, count(*) AS n_tokens,
         sum(-ln((coalesce(a.n, 0) + 1.0::DOUBLE) / (coalesce(ac.c, 0) + (SELECT count(DISTINCT tok) FROM lm_n)))) AS reference,
@@ -346,60 +356,72 @@ LM = ("grams", "lm_n", "lm_c", "good_n", "good_c", "nll")
 
 @query("lm_fit", build("SELECT prev, tok, n FROM lm_n", "grams", "lm_n"))
 def q_lm(spark, sf_dir):
-    return models.lm_counts(inputs.lm_documents(spark, sf_dir), key="doc_id")
+    return models.lm_counts(inputs.fit_documents(spark, sf_dir), key="doc_id")
+
+
+_PART = "CASE WHEN doc_id % 10 < 8 THEN 'fit' ELSE 'held_out' END"
+
+
+def _lm_parts(spark, sf_dir) -> DataFrame:
+    """Scored documents with their part (fit or held out) and batch of 16 ids."""
+    part = F.when(inputs.is_fit_part(), "fit").otherwise("held_out")
+    return inputs.lm_scores(spark, sf_dir).withColumn("part", part).withColumn("batch_id", idiv("doc_id", 16))
 
 
 @query(
     "lm_eval_loss",
     build(
-        """SELECT lang, count(*) AS n_batches, round(avg(l), 6) AS eval_loss FROM (
-            SELECT lang, doc_id // 16 AS b, avg(policy / n_tokens) AS l FROM nll JOIN documents USING (doc_id) GROUP BY ALL)
-        GROUP BY lang""",
+        f"""SELECT lang, part, count(*) AS n_batches, round(avg(l), 6) AS eval_loss FROM (
+            SELECT lang, {_PART} AS part, doc_id // 16 AS b, sum(policy) / sum(n_tokens) AS l FROM nll JOIN documents USING (doc_id) GROUP BY ALL)
+        GROUP BY ALL""",
         *LM,
     ),
 )
 def q_lm_eval(spark, sf_dir):
-    scored = models.text_nll(inputs.lm_documents(spark, sf_dir), {"policy": inputs.policy_lm(spark, sf_dir)}, key="doc_id", keep=["lang"])
-    losses = scored.withColumn("loss", F.col("policy") / F.col("n_tokens")).withColumn("b", idiv("doc_id", 16))
-    return rounded(metrics.eval_loss(losses, by=["lang"], batch=["b"]), "eval_loss")
+    langs = inputs.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    scored = _lm_parts(spark, sf_dir).join(langs, "doc_id")
+    return rounded(metrics.eval_loss(scored, by=["lang", "part"], batch=["batch_id"], loss="policy", tokens="n_tokens"), "eval_loss")
 
 
 @query(
     "kl_watch",
     build(
-        """SELECT b AS batch_id, count(*) AS n_rows, round(avg(r), 6) AS kl, round(avg(ln(1 + length(text)) - 0.2 * r), 6) AS penalised_reward,
+        f"""SELECT part, b AS batch_id, count(*) AS n_rows, round(avg(r), 6) AS kl, round(avg(ln(1 + length(text)) - 0.2 * r), 6) AS penalised_reward,
             avg(r) > 0.1 AS over_target
-        FROM (SELECT doc_id // 16 AS b, (reference - policy) / n_tokens AS r, text FROM nll JOIN documents USING (doc_id)) GROUP BY b""",
+        FROM (SELECT {_PART} AS part, doc_id // 16 AS b, (reference - policy) / n_tokens AS r, text FROM nll JOIN documents USING (doc_id)) GROUP BY ALL""",
         *LM,
     ),
 )
 def q_kl(spark, sf_dir):
-    docs = inputs.lm_documents(spark, sf_dir).withColumn("reward", F.log(F.lit(1.0) + F.length("text")))
-    both = {"policy": inputs.policy_lm(spark, sf_dir), "reference": inputs.reference_lm(spark, sf_dir)}
-    scored = models.text_nll(docs, both, key="doc_id", keep=["reward"])
-    per_token = scored.select(
-        idiv("doc_id", 16).alias("batch_id"),
+    rewards = inputs.table(spark, sf_dir, "documents").select("doc_id", F.log(F.lit(1.0) + F.length("text")).alias("reward"))
+    per_token = _lm_parts(spark, sf_dir).join(rewards, "doc_id").select(
+        "part",
+        "batch_id",
         "reward",
         (F.col("policy") / F.col("n_tokens")).alias("policy"),
         (F.col("reference") / F.col("n_tokens")).alias("reference"),
     )
-    return rounded(models.kl_watch(per_token, by=["batch_id"], reward="reward"), "kl", "penalised_reward")
+    return rounded(models.kl_watch(per_token, by=["part", "batch_id"], reward="reward"), "kl", "penalised_reward")
 
 
-RUN_TOTALS = """run_totals AS (SELECT event_type AS run, count(*) AS total_steps, avg(value) AS reward_mean, stddev_samp(value) AS reward_std
-    FROM events GROUP BY event_type)"""
+RUN_TOTALS = """run_totals AS (SELECT event_type AS run, count(*) AS total_steps, avg(value) AS reward_mean, stddev_samp(value) AS reward_std,
+    min(value) AS reward_min, max(value) AS reward_max FROM events GROUP BY event_type)"""
 
 
 def _run_totals(spark, sf_dir) -> DataFrame:
     return inputs.table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("run")).agg(
-        F.count(F.lit(1)).alias("total_steps"), F.avg("value").alias("reward_mean"), F.stddev_samp("value").alias("reward_std")
+        F.count(F.lit(1)).alias("total_steps"), F.avg("value").alias("reward_mean"), F.stddev_samp("value").alias("reward_std"),
+        F.min("value").alias("reward_min"), F.max("value").alias("reward_max"),
     )
 
 
 @query(
     "run_manifest",
     f"""WITH {RUN_TOTALS} SELECT run, 'ppo_final' AS model_type, total_steps, round(reward_mean, 6) AS final_reward_mean,
-        round(reward_std, 6) AS final_reward_std, 8::BIGINT AS batch_size, '0-9999' AS sft_samples, '25000-29999' AS policy_samples FROM run_totals""",
+        round(reward_std, 6) AS final_reward_std, round(reward_min, 6) AS reward_min, round(reward_max, 6) AS reward_max, 'sft' AS base_sft_model,
+        'reward' AS reward_model, 1::BIGINT AS total_epochs, 8::BIGINT AS batch_size, 2::BIGINT AS mini_batch_size, 4::BIGINT AS ppo_epochs,
+        0.1::DOUBLE AS target_kl, 0.00001::DOUBLE AS learning_rate, 0.2::DOUBLE AS cliprange,
+        '0-9999' AS sft_samples, '10000-19999' AS reward_samples, '25000-29999' AS policy_samples FROM run_totals""",
 )
 def q_manifest(spark, sf_dir):
     fields = {
@@ -407,19 +429,25 @@ def q_manifest(spark, sf_dir):
         "total_steps": F.col("total_steps"),
         "final_reward_mean": F.col("reward_mean"),
         "final_reward_std": F.col("reward_std"),
-        "training_config": {"batch_size": 8, "mini_batch_size": 2, "ppo_epochs": 4, "target_kl": models.TARGET_KL},
+        "reward_range": {"reward_min": F.col("reward_min"), "reward_max": F.col("reward_max")},
+        "base_sft_model": "sft",
+        "reward_model": "reward",
+        "total_epochs": 1,
+        "training_config": manifests.POLICY_SETTINGS,
         "data_splits": manifests.plan_ranges(DEFAULT_PLAN),
     }
     written = manifests.run_manifest(_run_totals(spark, sf_dir), keep=["run"], fields={"run": F.col("run"), **fields})
     path = new_path(spark, "manifests")
     manifests.write_manifests(written, path)
     schema = """run STRING, model_type STRING, total_steps BIGINT, final_reward_mean DOUBLE, final_reward_std DOUBLE,
-        training_config STRUCT<batch_size: BIGINT>, data_splits STRUCT<sft_samples: STRING, policy_samples: STRING>"""
+        reward_range STRUCT<reward_min: DOUBLE, reward_max: DOUBLE>, base_sft_model STRING, reward_model STRING, total_epochs BIGINT,
+        training_config STRUCT<batch_size: BIGINT, mini_batch_size: BIGINT, ppo_epochs: BIGINT, target_kl: DOUBLE, learning_rate: DOUBLE, cliprange: DOUBLE>,
+        data_splits STRUCT<sft_samples: STRING, reward_samples: STRING, policy_samples: STRING>"""
     back = manifests.read_manifests(spark, path, schema).select(
         "run", "model_type", "total_steps", "final_reward_mean", "final_reward_std",
-        "training_config.batch_size", "data_splits.sft_samples", "data_splits.policy_samples",
+        "reward_range.*", "base_sft_model", "reward_model", "total_epochs", "training_config.*", "data_splits.*",
     )
-    return rounded(back, "final_reward_mean", "final_reward_std")
+    return rounded(back, "final_reward_mean", "final_reward_std", "reward_min", "reward_max")
 
 
 @query(
@@ -439,13 +467,14 @@ def q_lookup(spark, sf_dir):
 
 @query(
     "run_report",
-    f"""WITH {RUN_TOTALS} SELECT run, '# Run ' || run || E'\\n\\n## Model\\n- Base model: sft\\n- Final model: policy\\n\\n## Training\\n- Steps: '
+    f"""WITH {RUN_TOTALS} SELECT run, '# Run ' || run || E'\\n\\n## Model\\n- Base model: sft\\n- Reward model: reward\\n- Final model: policy\\n\\n## Training\\n- Steps: '
         || total_steps || E'\\n- Final reward mean: ' || round(reward_mean, 3)::DECIMAL(18, 3)
-        || E'\\n- Final reward deviation: ' || round(reward_std, 3)::DECIMAL(18, 3) || E'\\n' AS report FROM run_totals""",
+        || E'\\n- Final reward deviation: ' || round(reward_std, 3)::DECIMAL(18, 3)
+        || E'\\n\\n## Stages\\n- sft: rows 0-9999\\n- reward: rows 10000-19999\\n- policy: rows 25000-29999\\n' AS report FROM run_totals""",
 )
 def q_run_report(spark, sf_dir):
-    totals = _run_totals(spark, sf_dir).withColumns({"base_model": F.lit("sft"), "model": F.lit("policy")})
-    return manifests.run_report(totals)
+    totals = _run_totals(spark, sf_dir).withColumns({"base_model": F.lit("sft"), "reward_model": F.lit("reward"), "model": F.lit("policy")})
+    return manifests.run_report(totals, plan=DEFAULT_PLAN)
 
 
 @query(
@@ -471,7 +500,7 @@ def q_todo(spark, sf_dir):
 )
 def q_stream(spark, sf_dir):
     source = live.read_events(spark, sf_dir)
-    out = live.run_stream_metrics(source, window="1 day", mode="complete")
+    out = live.run_stream_metrics(source, window="1 day", late=live.LATE, mode="update")
     return rounded(out, "reward_mean", "reward_std")
 
 

@@ -58,9 +58,10 @@ def q_assign(spark, sf_dir):
 @query(
     "split_report",
     build(
-        f"""SELECT stage, count(*) AS n_rows, min(i) AS first_idx, max(i) AS last_idx,
+        f"""SELECT stage, count(i) AS n_rows, min(i) AS first_idx, max(i) AS last_idx,
             min(i) || '-' || max(i) AS range, CASE WHEN stage LIKE 'gap_%' THEN 1 ELSE 0 END::BIGINT AS is_gap
-        FROM (SELECT split_pos AS i, {sql.stage_case('split_pos', 'n', gaps=True)} AS stage FROM train) GROUP BY stage""",
+        FROM (VALUES ('sft'), ('reward'), ('policy'), ('gap_before_policy')) s(stage)
+        FULL JOIN (SELECT split_pos AS i, {sql.stage_case('split_pos', 'n', gaps=True)} AS stage FROM train) USING (stage) GROUP BY stage""",
         *PAIRS,
         "train",
     ),
@@ -81,10 +82,43 @@ def q_report(spark, sf_dir):
 def q_leakage(spark, sf_dir):
     docs = inputs.table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     numbered, n = indexed(splits.hash_texts(docs, ("text",)), ["doc_id"])
-    staged = splits.stage_assign(numbered, StagePlan.scaled(n)).filter("stage <> 'unused'")
+    staged = numbered.withColumn("stage", StagePlan.scaled(n).label("idx", with_gaps=True))
     return splits.leakage_audit(staged, ("text",)).select("field", "idx", "stage", "text_hash")
 
 
+@query(
+    "leakage_pairs",
+    build(
+        rf"""SELECT field, idx, stage, h AS text_hash FROM (SELECT *, count(DISTINCT stage) OVER (PARTITION BY field, h) AS n FROM (
+            SELECT field, split_pos AS idx, {sql.stage_case('split_pos', 'n', gaps=True)} AS stage,
+                md5(trim(lower(regexp_replace(t, '[ \t\n\r]+', ' ', 'g')), ' ')) AS h
+            FROM (SELECT split_pos, n, 'prompt' AS field, prompt AS t FROM train UNION ALL SELECT split_pos, n, 'chosen', chosen FROM train))) WHERE n > 1""",
+        *PAIRS,
+        "train",
+    ),
+)
+def q_leakage_pairs(spark, sf_dir):
+    rows = inputs.train_rows(spark, sf_dir).select("idx", "prompt", "chosen")
+    staged = rows.withColumn("stage", inputs.stage_plan(spark, sf_dir).label("idx", with_gaps=True))
+    return splits.leakage_audit(splits.hash_texts(staged)).select("field", "idx", "stage", "text_hash")
+
+
+@query(
+    "overlapping_rows",
+    build(
+        """SELECT split_pos AS idx, 2::INTEGER AS n_stages FROM train WHERE split_pos >= n * 3 // 10 AND split_pos < n * 4 // 10""",
+        *PAIRS,
+        "train",
+    ),
+)
+def q_overlap(spark, sf_dir):
+    """Audit by index range: two runs whose ranges overlap by a tenth of the rows."""
+    rows, n = inputs.train_rows(spark, sf_dir).select("idx"), inputs.pairs(spark, sf_dir).train_count
+    first = splits.slice_rows(rows, 0, n * 4 // 10).withColumn("stage", F.lit("first"))
+    second = splits.slice_rows(rows, n * 3 // 10, n).withColumn("stage", F.lit("second"))
+    return splits.overlapping_rows(first.union(second))
+
+
 @query("user_prompt", build(f"SELECT idx, {sql.user('prompt')} AS text FROM pairs", *PAIRS))
 def q_user(spark, sf_dir):
     return inputs.pairs(spark, sf_dir).rows.select("idx", user_prompt("prompt").alias("text"))
@@ -114,6 +148,16 @@ def q_render_prompt(spark, sf_dir):
     return chats.render_prompts(inputs.pairs(spark, sf_dir).rows)
 
 
+_FALSE_TURN = f"{DEFAULT_TEMPLATE.end}\n{DEFAULT_TEMPLATE.cue}"
+
+
+@query("render_markers", build(f"SELECT idx, {sql.chat('(prompt || ' + sql.text(_FALSE_TURN) + ' || chosen)', 'rejected')} AS text FROM pairs", *PAIRS))
+def q_render_markers(spark, sf_dir):
+    """Posts that hold the template's markers open no turn of their own."""
+    posts = inputs.pairs(spark, sf_dir).rows.select("idx", F.concat("prompt", F.lit(_FALSE_TURN), "chosen").alias("prompt"), F.col("rejected").alias("chosen"))
+    return chats.render_sft(posts)
+
+
 @query(
     "render_pairs",
     build(f"SELECT idx, {sql.chat('prompt', 'chosen')} AS chosen_text, {sql.chat('prompt', 'rejected')} AS rejected_text FROM pairs", *PAIRS),
@@ -124,9 +168,9 @@ def q_render_pairs(spark, sf_dir):
 
 @query(
     "render_conversations",
-    f"""SELECT conv_id, turn // {chats.SEGMENT_TURNS} AS segment, count(*) AS n_turns,
+    f"""SELECT conv_id, count(*) AS n_turns,
         string_agg('{sql.START}' || role || E'\\n' || text || E'{sql.END}\\n', '' ORDER BY turn) AS text
-    FROM conversations GROUP BY ALL""",
+    FROM conversations GROUP BY conv_id""",
 )
 def q_conversations(spark, sf_dir):
     return chats.render_conversations(inputs.table(spark, sf_dir, "conversations"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions.chat import INSTRUCTION, SYSTEM_PROMPT
-from ..functions.tokens import FIRST_ID, PAD_ID, START_ID, UNK_ID
+from ..functions.tokens import FIRST_BYTE, FIRST_ID, NEXT_BYTE, PAD_ID, START_ID, UNK_ID
 from .inputs import EPOCH_BATCHES, ROLLOUT_BATCH, STATE_ROWS, VOCAB_SIZE
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -25,19 +25,32 @@ def user(prompt: str) -> str:
     return f"({USER_HEAD} || {prompt})"
 
 
+def escaped(value: str) -> str:
+    """Markers inside content, broken as in rendering."""
+    for marker in (START, END):
+        value = f"replace({value}, '{marker}', '{marker[0]} {marker[1:]}')"
+    return value
+
+
 def prompt_chat(prompt: str) -> str:
+    prompt = escaped(prompt)
     head = text(f"{START}system\n{SYSTEM_PROMPT}{END}\n{START}user\n{INSTRUCTION}\n")
     return f"({head} || {prompt} || {text(f'{END}{chr(10)}{START}assistant{chr(10)}')})"
 
 
 def chat(prompt: str, answer: str) -> str:
-    return f"({prompt_chat(prompt)} || {answer} || {text(f'{END}{chr(10)}')})"
+    return f"({prompt_chat(prompt)} || {escaped(answer)} || {text(f'{END}{chr(10)}')})"
 
 
 def tokens(expr: str, pattern: str = PLAIN) -> str:
     return f"regexp_extract_all({expr}, '{pattern}', 1)"
 
 
+#: Ids of a token: its own, or its bytes when the vocabulary lacks it.
+IDS = f"""CASE WHEN id IS NOT NULL THEN [id] ELSE [('0x' || substr(hex(token), 2 * i + 1, 2))::BIGINT
+    + CASE WHEN i = 0 THEN {FIRST_BYTE} ELSE {NEXT_BYTE} END FOR i IN range(octet_length(encode(token)))] END"""
+
+
 def score(vector: str) -> str:
     return f"list_sum([a::DOUBLE * ((((i - 1) * 7) % 11) - 5) / 10.0::DOUBLE FOR a, i IN {vector}])"
 
@@ -93,15 +106,17 @@ CTES: dict[str, str] = {
         FROM chat_tokens WHERE token NOT IN ('{START}', '{END}') GROUP BY token
         QUALIFY id < {VOCAB_SIZE + FIRST_ID}
         UNION ALL SELECT * FROM (VALUES ('{END}', {PAD_ID}), ('<unk>', {UNK_ID}), ('{START}', {START_ID}))""",
-    "encoded": f"""SELECT idx, list(coalesce(id, {UNK_ID}) ORDER BY place) AS input_ids
+    "asked": f"""SELECT idx, unnest(t) AS token, generate_subscripts(t, 1) AS place FROM (SELECT idx, {tokens(
+        f"CASE WHEN idx % 5 = 4 THEN replace({prompt_chat('prompt')}, {USER_HEAD}, '{INSTRUCTION} ') ELSE {prompt_chat('prompt')} END", MARKED)} AS t FROM pairs)""",
+    "encoded": f"""SELECT idx, flatten(list({IDS} ORDER BY place)) AS input_ids
         FROM chat_tokens LEFT JOIN vocab USING (token) GROUP BY idx""",
     "padded": f"""SELECT idx, idx // {ROLLOUT_BATCH} AS batch_id, idx % {ROLLOUT_BATCH} AS pos, len(input_ids) AS n,
             max(len(input_ids)) OVER (PARTITION BY idx // {ROLLOUT_BATCH}) AS width, input_ids
         FROM encoded""",
     "filled": f"SELECT *, input_ids || [{PAD_ID} FOR i IN range(width - n)] AS ids FROM padded",
-    "staged": rf"""SELECT * FROM (SELECT r.idx, {stage_case('r.idx', 'r.n')} AS stage,
+    "staged": rf"""SELECT * FROM (SELECT r.idx, {stage_case('r.idx', 'r.n', gaps=True)} AS stage,
             md5(trim(lower(regexp_replace(d.text, '[ \t\n\r]+', ' ', 'g')), ' ')) AS h
-        FROM doc_rank r JOIN documents d USING (doc_id)) WHERE stage <> 'unused'""",
+        FROM doc_rank r JOIN documents d USING (doc_id))""",
     "grams": f"""SELECT doc_id, place, coalesce(lag(tok) OVER (PARTITION BY doc_id ORDER BY place), '<s>') AS prev, tok
         FROM (SELECT doc_id, unnest(t) AS tok, generate_subscripts(t, 1) AS place
               FROM (SELECT doc_id, {tokens('text')} AS t FROM documents))""",

@@ -58,10 +58,9 @@ def q_encode(spark, sf_dir):
     "decode",
     build(
         rf"""SELECT idx, regexp_replace(string_agg(token, ' ' ORDER BY place), ' ?\n ?', E'\n', 'g') AS text
-        FROM chat_tokens JOIN vocab USING (token) WHERE id >= {tk.FIRST_ID} GROUP BY idx""",
+        FROM chat_tokens WHERE token NOT IN ('{sql.START}', '{sql.END}') GROUP BY idx""",
         *PAIRS,
         "chat_tokens",
-        "vocab",
     ),
 )
 def q_decode(spark, sf_dir):
@@ -88,9 +87,12 @@ def q_truncate(spark, sf_dir):
 @query(
     "prompt_budget",
     build(
-        f"""SELECT idx, least(len(t), {MAX_LENGTH} // 2) AS n_kept, len(t) > {MAX_LENGTH} // 2 AS cue_lost
-        FROM (SELECT idx, {sql.tokens(sql.prompt_chat('prompt'), sql.MARKED)} AS t FROM pairs)""",
+        f"""SELECT idx, least(n, {MAX_LENGTH} // 2)::BIGINT AS n_kept, n > {MAX_LENGTH} // 2 AS cue_lost
+        FROM (SELECT idx, sum(len({sql.IDS})) AS n FROM asked LEFT JOIN vocab USING (token) GROUP BY idx)""",
         *PAIRS,
+        "chat_tokens",
+        "vocab",
+        "asked",
     ),
 )
 def q_budget(spark, sf_dir):

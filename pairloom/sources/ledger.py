@@ -19,14 +19,24 @@ def stage_todo(planned: DataFrame, done: DataFrame, *, on: Sequence[str] = ("run
     )
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger, empty when nothing was recorded yet."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(folder):
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def read_ledger(spark: SparkSession, path: str, *, run: str | None = None) -> DataFrame:
+    """The ledger, empty when nothing was recorded yet.
+
+    With ``run``, that run's entries whose output is still there: a stage whose output was deleted has to run again.
+    """
+    if not path_exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).json(path)
+    entries = spark.read.schema(LEDGER_SCHEMA).json(path)
+    if run is None:
+        return entries
+    # a run has as many outputs as stages
+    own = entries.filter(F.col("run") == run).distinct().collect()
+    return spark.createDataFrame([r for r in own if path_exists(spark, r["output"])], LEDGER_SCHEMA)
 
 
 def record_stage(spark: SparkSession, path: str, *, run: str, stage: str, output: str) -> None:

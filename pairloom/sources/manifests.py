@@ -10,6 +10,10 @@ from ..functions.numeric import as_col, money
 from ..operators.splits import StagePlan
 
 
+# The settings of the policy stage that its manifest records.
+POLICY_SETTINGS = {"batch_size": 8, "mini_batch_size": 2, "ppo_epochs": 4, "target_kl": 0.1, "learning_rate": 1e-5, "cliprange": 0.2}
+
+
 def _struct(values: dict) -> Column:
     def field(v):
         if isinstance(v, dict):
@@ -52,16 +56,20 @@ def manifest_lookup(runs: DataFrame, manifests: DataFrame, *, key: str, name: st
     )
 
 
-def run_report(totals: DataFrame, *, run: str = "run", base: str = "base_model", model: str = "model") -> DataFrame:
-    """A markdown report per run from its totals (steps, reward_mean, reward_std)."""
+def run_report(
+    totals: DataFrame, *, run: str = "run", base: str = "base_model", reward: str = "reward_model", model: str = "model", plan: StagePlan | None = None
+) -> DataFrame:
+    """A markdown report per run from its totals (steps, reward_mean, reward_std) and, with a plan, the rows of its stages."""
+    stages = "".join(f"- {s.name}: rows {s.start}-{s.end - 1}\n" for s in plan.stages) if plan else ""
     text = F.concat(
         F.lit("# Run "), F.col(run).cast("string"),
         F.lit("\n\n## Model\n- Base model: "), F.col(base),
+        F.lit("\n- Reward model: "), F.col(reward),
         F.lit("\n- Final model: "), F.col(model),
         F.lit("\n\n## Training\n- Steps: "), F.col("total_steps").cast("string"),
         F.lit("\n- Final reward mean: "), F.coalesce(money("reward_mean", 3), F.lit("n/a")),
         F.lit("\n- Final reward deviation: "), F.coalesce(money("reward_std", 3), F.lit("n/a")),
-        F.lit("\n"),
+        F.lit(f"\n\n## Stages\n{stages}" if stages else "\n"),
     )
     return totals.select(run, text.alias("report"))
 

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.best import best_so_far
 from ..session import new_path
+from ..sources.ledger import path_exists
+
+#: How late a row may be before its window is closed; bounds the state.
+LATE = "30 days"
+_STATS = ("n_rows", "reward_mean", "reward_std", "reward_min", "reward_max")
 
 EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
@@ -43,64 +49,82 @@ def windowed_stats(
     )
 
 
-def run_stream_metrics(stream: DataFrame, *, window: str, late: str | None = None, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """Drain the stream and return the stats as a table.
+def _states(base: str) -> tuple[str, str]:
+    """Below one base folder: the stream's checkpoint and its outputs, so that one is never used without the other."""
+    return f"{base}/checkpoint", f"{base}/out"
+
+
+def _triggers(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """All rows written under ``trigger=N`` folders, with N; empty before the first trigger."""
+    schema = StructType([*schema.fields, StructField("trigger", LongType())])
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder)
+
+
+def run_stream_metrics(stream: DataFrame, *, window: str, late: str = LATE, mode: str = "append", base: str | None = None) -> DataFrame:
+    """Drain the stream and return the stats of all windows seen so far as a table.
 
-    ``append`` emits a window once it is closed by the watermark. ``complete``
-    rewrites all windows at each trigger; the last rewrite is returned.
+    ``append`` emits a window once it is closed by the watermark. ``update`` gives the newest state of
+    every window that a trigger changed, open ones too; the latest per window is returned. In both the watermark
+    bounds the state. Checkpoint and results are kept under ``base``: a later call with the same folder goes on
+    where the last one ended and returns the results of both; without new data it returns what is stored.
     """
     spark = stream.sparkSession
-    out = new_path(spark, "live-metrics")
+    checkpoint, out = _states(base or new_path(spark, "live-metrics"))
     stats = windowed_stats(stream, window=window, late=late)
-    start = stats.writeStream.option("checkpointLocation", checkpoint or new_path(spark, "live-state")).trigger(availableNow=True)
-    if mode == "append":
-        start.outputMode("append").format("parquet").option("path", out).start().awaitTermination()
-        return spark.read.schema(stats.schema).parquet(out)
-    last: list[int] = []
+    if mode not in ("append", "update"):
+        raise ValueError(f"unknown mode {mode!r}")
 
-    def rewrite(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/trigger={batch_id}")
-        last.append(batch_id)
 
-    start.outputMode(mode).foreachBatch(rewrite).start().awaitTermination()
-    if not last:
-        return spark.createDataFrame([], stats.schema)
-    return spark.read.schema(stats.schema).parquet(f"{out}/trigger={last[-1]}")
+    start = stats.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    start.outputMode(mode).foreachBatch(write).start().awaitTermination()
+    rows = _triggers(spark, out, stats.schema)
+    key = [c for c in stats.columns if c not in _STATS]
+    latest = rows.groupBy(*key).agg(F.max_by(F.struct(*_STATS), "trigger").alias("s"))
+    return latest.select(*key, "s.*").select(*stats.columns)
 
 
-def run_stream_best(stream: DataFrame, *, run: str = "run", step: str = "step", loss: str = "loss", path: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """New-best steps of each run, as the steps arrive in order over the triggers.
+def run_stream_best(stream: DataFrame, *, run: str = "run", step: str = "step", loss: str = "loss", base: str | None = None) -> DataFrame:
+    """New-best steps of each run, as the steps arrive over the triggers.
 
     Each trigger flags its own steps with the batch operator, which cuts long
-    runs into blocks, and then holds them against the best loss per run so far,
-    kept as a small table per trigger. Both outputs are written under the
+    runs into blocks, and then holds them against the best loss and the last step per run so far,
+    kept as a small table per trigger. A step that comes after a later one was judged is not judged; it is counted per
+    trigger (``out_of_order``). Outputs are written under the
     trigger's number, so a trigger that is repeated after a failure overwrites
-    its own results and nothing else.
+    its own results and nothing else. Everything is below ``base``: a later call goes on where the last one ended.
     """
     spark = stream.sparkSession
-    base = path or new_path(spark, "live-best")
+    checkpoint, out = _states(base or new_path(spark, "live-best"))
     found_schema = stream.select(run, step, loss).schema
-    best_schema = stream.select(run, loss).schema
+    best_schema = stream.select(run, loss, F.col(step).alias("__last")).schema
 
     def trigger(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        flagged = best_so_far(batch.select(run, step, loss), run=[run], step=step, loss=loss).filter("is_best")
+        prior = session.createDataFrame([], best_schema)
         if batch_id > 0:
-            prior = session.read.schema(best_schema).parquet(f"{base}/best/trigger={batch_id - 1}")
-        else:
-            prior = session.createDataFrame([], best_schema)
+            prior = session.read.schema(best_schema).parquet(f"{out}/best/trigger={batch_id - 1}")
         floor = prior.withColumnRenamed(loss, "__floor")
+        judged = batch.select(run, step, loss).join(floor.select(run, "__last"), run, "left")
+        late = F.col("__last").isNotNull() & (F.col(step) <= F.col("__last"))
+        judged.groupBy(run).agg(F.count(F.when(late, 1)).alias("out_of_order")).write.mode("overwrite").parquet(f"{out}/late/trigger={batch_id}")
+        fresh = judged.filter(~late).select(run, step, loss)
+        flagged = best_so_far(fresh, run=[run], step=step, loss=loss).filter("is_best")
         kept = flagged.join(floor, run, "left").filter(F.col("__floor").isNull() | (F.col(loss) < F.col("__floor")))
-        kept.select(run, step, loss).write.mode("overwrite").parquet(f"{base}/found/trigger={batch_id}")
-        found = session.read.schema(found_schema).parquet(f"{base}/found/trigger={batch_id}")
-        merged = prior.unionByName(found.select(run, loss)).groupBy(run).agg(F.min(loss).alias(loss))
-        merged.write.mode("overwrite").parquet(f"{base}/best/trigger={batch_id}")
-
-    (
-        stream.writeStream.option("checkpointLocation", checkpoint or new_path(spark, "live-state"))
-        .trigger(availableNow=True)
-        .foreachBatch(trigger)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.schema(found_schema).parquet(f"{base}/found/trigger=*")
+        kept.select(run, step, loss).write.mode("overwrite").parquet(f"{out}/found/trigger={batch_id}")
+        seen = prior.unionByName(fresh.select(run, loss, F.col(step).alias("__last")))
+        merged = seen.groupBy(run).agg(F.min(loss).alias(loss), F.max("__last").alias("__last"))
+        merged.write.mode("overwrite").parquet(f"{out}/best/trigger={batch_id}")
+
+    start = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    start.foreachBatch(trigger).start().awaitTermination()
+    return _triggers(spark, f"{out}/found", found_schema).drop("trigger")
+
+
+def out_of_order(spark: SparkSession, base: str, run_type: str = "STRING", run: str = "run") -> DataFrame:
+    """Steps of each run that came too late to be judged by ``run_stream_best`` in ``base``."""
+    schema = StructType.fromDDL(f"`{run}` {run_type}, out_of_order BIGINT")
+    return _triggers(spark, f"{_states(base)[1]}/late", schema).groupBy(run).agg(F.sum("out_of_order").alias("out_of_order"))

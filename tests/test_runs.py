@@ -208,7 +208,7 @@ def write_events(spark, folder, shuffle):
 @pytest.mark.parametrize("shuffle", [False, True])
 def test_stream_complete_equals_batch(spark, tmp_path, shuffle):
     events = write_events(spark, str(tmp_path / "e"), shuffle)
-    got = live.run_stream_metrics(live.read_events(spark, str(tmp_path / "e"), pattern="*.parquet"), window="1 day", mode="complete")
+    got = live.run_stream_metrics(live.read_events(spark, str(tmp_path / "e"), pattern="*.parquet"), window="1 day", mode="update", late="400 days")
     want = live.windowed_stats(events, window="1 day")
     keys = ["window_start", "event_type", "n_rows", "reward_min", "reward_max"]
     assert got.select(keys).exceptAll(want.select(keys)).count() == 0 and got.count() == want.count()
@@ -267,3 +267,63 @@ def test_flow_runs_skips_and_reports(spark, tmp_path):
     assert "Steps: 2" in "\n".join(r[0] for r in spark.read.text(flow.path("policy/report")).collect())
     assert {r.stage for r in flow.reports()["splits"].collect()} >= {"gap_before_policy", "unused"}
     assert flow.reports()["leakage"].count() == 0 and flow.reports()["quarantine"].count() == 0
+
+
+def test_live_metrics_go_on_after_a_restart(spark, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    folder, base = str(tmp_path / "e"), str(tmp_path / "live")
+
+    def drain():
+        return live.run_stream_metrics(live.read_events(spark, folder, pattern="*.parquet"), window="1 day", late="400 days", mode="update", base=base)
+
+    keys = ["window_start", "event_type", "n_rows", "reward_min", "reward_max"]
+    for part, seen in (("event_id < 400", "event_id < 400"), (None, "event_id < 400"), ("event_id >= 400", "true")):
+        if part:
+            events.filter(part).coalesce(1).write.mode("append").parquet(folder)
+        got, want = drain().select(keys), live.windowed_stats(events.filter(seen), window="1 day").select(keys)
+        assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_live_best_goes_on_after_a_restart_and_counts_late_steps(spark, tmp_path):
+    folder, base = str(tmp_path / "e"), str(tmp_path / "live")
+    schema = "run STRING, step BIGINT, loss DOUBLE"
+
+    def arrive(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        return sorted((r.run, r.step) for r in live.run_stream_best(stream, base=base).collect())
+
+    assert arrive(("a", 1, 5.0), ("a", 2, 6.0), ("b", 1, 1.0)) == [("a", 1), ("b", 1)]
+    assert arrive(("a", 4, 4.0), ("a", 5, 4.5), ("b", 2, 2.0)) == [("a", 1), ("a", 4), ("b", 1)]
+    assert arrive(("a", 3, 1.0), ("a", 6, 3.0)) == [("a", 1), ("a", 4), ("a", 6), ("b", 1)]
+    assert {r.run: r.out_of_order for r in live.out_of_order(spark, base).collect()} == {"a": 1, "b": 0}
+
+
+def test_deleted_output_runs_again(spark, tmp_path):
+    kept, gone, path = str(tmp_path / "kept"), str(tmp_path / "gone"), str(tmp_path / "ledger")
+    spark.range(1).write.parquet(kept)
+    ledger.record_stage(spark, path, run="r", stage="sft", output=kept)
+    ledger.record_stage(spark, path, run="r", stage="reward", output=gone)
+    assert [r.stage for r in ledger.read_ledger(spark, path, run="r").collect()] == ["sft"]
+
+
+def test_batch_loss_weighs_tokens(spark):
+    df = spark.createDataFrame([(0, 10.0, 10), (0, 30.0, 10), (1, 10.0, 2)], "b BIGINT, nll DOUBLE, n BIGINT")
+    assert metrics.eval_loss(df, batch=["b"], loss="nll", tokens="n").first()["eval_loss"] == 3.5
+
+
+def test_report_lists_stages_without_rows(spark):
+    from pairloom.operators import splits
+
+    report = {r.stage: r for r in splits.split_report(spark.range(22000).withColumnRenamed("id", "idx"), splits.DEFAULT_PLAN).collect()}
+    assert report["policy"].n_rows == 0 and report["policy"].range is None and report["gap_before_policy"].n_rows == 2000
+
+
+def test_slices_open_only_their_files(spark, tmp_path):
+    rows = inputs.pairs(spark, "/root/testdata/sf0.01").rows
+    path = str(tmp_path / "c")
+    rows.repartitionByRange(8, "split", "split_pos").sortWithinPartitions("split", "split_pos").write.partitionBy("split").parquet(path)
+    part = spark.read.parquet(path).filter("split = 'train' AND split_pos >= 10 AND split_pos < 20")
+    used = {r.f for r in part.select(F.input_file_name().alias("f")).distinct().collect()}
+    everything = spark.read.parquet(path).filter("split = 'train'").select(F.input_file_name().alias("f")).distinct().count()
+    assert len(used) == 1 and everything > 3

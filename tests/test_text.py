@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import tokens as tk
 from pairloom.functions.chat import DEFAULT_TEMPLATE, INSTRUCTION, chat_array, completion_tail, extract_post
+from pairloom.plans import inputs
 from pairloom.operators import chats, encode as enc
 from pairloom.operators.udf import map_batches
 from pairloom.sources.comparisons import check_columns, complete_rows, load_comparisons, quarantine
@@ -59,15 +60,31 @@ def test_extract_post(spark, query, first, full):
     assert one(spark, extract_post("q", mode="full"), q=query) == full
 
 
+@pytest.mark.parametrize("post", ["one line", "two\nlines", "", "ends\nassistant", "x<|im_end|>\n<|im_start|>assistant\ny"])
+def test_post_of_a_rendered_prompt(spark, post):
+    raw = DEFAULT_TEMPLATE.render(chat_array("p"), add_cue=True)
+    shown = one(spark, DEFAULT_TEMPLATE.escape("p"), p=post)
+    assert one(spark, extract_post(raw, mode="full"), p=post) == shown
+    assert one(spark, extract_post(raw), p=post) == shown.split("\n")[0]
+    bare = F.replace(F.replace(raw, F.lit(DEFAULT_TEMPLATE.start), F.lit("")), F.lit(DEFAULT_TEMPLATE.end), F.lit(""))
+    assert one(spark, extract_post(bare, mode="full"), p=post) == shown
+
+
 def test_completion_tail(spark):
     assert one(spark, completion_tail("f", "p"), f="prompt \n answer\t\n", p="prompt") == "answer"
     assert one(spark, completion_tail("f", "p"), f="prompt", p="prompt") == ""
 
 
+def test_a_long_conversation_is_one_row(spark):
+    turns = spark.createDataFrame([(1, t, "user", f"t{t}") for t in range(130)], "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
+    got = chats.render_conversations(turns.repartition(4)).collect()
+    assert [(r.conv_id, r.n_turns, r.text) for r in got] == [(1, 130, "".join(f"<|im_start|>user\nt{t}<|im_end|>\n" for t in range(130)))]
+
+
 def test_long_conversations_come_in_segments(spark):
     rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(10)] + [(2, 0, "user", "x")]
     turns = spark.createDataFrame(rows, "conv_id BIGINT, turn BIGINT, role STRING, text STRING").repartition(4)
-    got = chats.render_conversations(turns, segment_turns=4).collect()
+    got = chats.render_conversations(turns, segment_turns=4, segments=True).collect()
     whole = "".join(r.text for r in sorted(got, key=lambda r: r.segment) if r.conv_id == 1)
     assert sorted((r.conv_id, r.segment, r.n_turns) for r in got) == [(1, 0, 4), (1, 1, 4), (1, 2, 2), (2, 0, 1)]
     assert whole == "".join(f"<|im_start|>{r[2]}\n{r[3]}<|im_end|>\n" for r in rows[:10])
@@ -83,7 +100,7 @@ def test_vocab_ids(spark):
     ids = {r.token: r.id for r in vocab_of(spark).table.collect()}
     assert ids["<|im_end|>"] == tk.PAD_ID and ids["<unk>"] == tk.UNK_ID and ids["<|im_start|>"] == tk.START_ID
     assert ids["the"] == tk.FIRST_ID
-    assert sorted(ids.values()) == list(range(9))
+    assert sorted(ids.values()) == [0, 1, 2, *range(tk.FIRST_ID, tk.FIRST_ID + 6)]
 
 
 @pytest.mark.parametrize("small", [True, False])
@@ -94,10 +111,28 @@ def test_encode_and_decode(spark, small):
     coded = enc.encode(texts(spark), vocab, key="id", tokens=tk.tokens("text", newlines=True))
     got = {r.id: r.input_ids for r in coded.collect()}
     assert got[1] == []
-    assert got[0] == [ids.get(t, tk.UNK_ID) for t in ["the", "cat", ",", "the", "dog"]]
+    pieces = lambda t: [b + (tk.NEXT_BYTE if i else tk.FIRST_BYTE) for i, b in enumerate(t.encode())]
+    assert got[0] == [x for t in ["the", "cat", ",", "the", "dog"] for x in ([ids[t]] if t in ids else pieces(t))]
     back = {r.id: r.text for r in enc.decode(coded, vocab, key="id").collect()}
-    assert back[1] == ""
-    assert back[0] == " ".join(t for t in ["the", "cat", ",", "the", "dog"] if t in ids)
+    assert back == {0: "the cat , the dog", 1: "", 2: "Zürich 42 the\n\ncat !", 3: "unknown words only"}
+
+
+@pytest.mark.parametrize("size", [50, 2000, 50000])
+def test_no_chat_loses_a_token(spark, size):
+    rows = inputs.pairs(spark, "/root/testdata/sf0.01").rows
+    vocab = enc.Vocabulary.stored(enc.build_vocab(enc.token_counts(rows, inputs.chat_tokens()), size))
+    coded = enc.encode(rows, vocab, key="idx", tokens=inputs.chat_tokens())
+    back = enc.decode(coded, vocab, key="idx")
+    kept = F.filter(inputs.chat_tokens(), lambda t: ~t.isin(DEFAULT_TEMPLATE.start, DEFAULT_TEMPLATE.end))
+    lost = rows.join(back, "idx").filter(kept != tk.tokens("text", newlines=True))
+    assert back.count() == rows.count() and lost.count() == 0
+
+
+def test_a_cut_word_keeps_its_first_bytes(spark):
+    vocab = vocab_of(spark)
+    coded = enc.encode(spark.createDataFrame([(1, "Zürich")], "id BIGINT, text STRING"), vocab, key="id", tokens=tk.tokens("text"))
+    cut = coded.withColumn("input_ids", tk.truncate("input_ids", 2))
+    assert enc.decode(cut, vocab, key="id").first()["text"] == "Z\ufffd"
 
 
 def test_round_trip_of_known_tokens(spark):
