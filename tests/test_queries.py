@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import compare, connect
+from pairloom.plans import catalog
 
 SF = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = catalog.QUERIES
+SQL = catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -33,4 +34,4 @@ def test_entry(spark):
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries()) and set(QUERIES) <= set(contract.queries())
