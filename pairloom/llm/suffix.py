@@ -64,15 +64,15 @@ def _keys(text: str | Column) -> tuple[Column, Column]:
 def _anchor_rows(texts: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_view(batch.column(2))
+            data, offsets = text_view(batch.column(1))
             for i, j in row_runs(offsets):
                 gram, row, place = anchors(data, offsets, i, j)
                 if len(gram):
                     take = pa.array(row)
-                    columns = [pa.array(gram.view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), pa.array(place)]
-                    yield pa.RecordBatch.from_arrays(columns, ["h", "t1", "t2", "pos"])
+                    columns = [pa.array(gram.view(np.int64)), batch.column(0).take(take), pa.array(place)]
+                    yield pa.RecordBatch.from_arrays(columns, ["h", "t1", "pos"])
 
-    return texts.select("t1", "t2", "text").mapInArrow(scan, "h bigint, t1 bigint, t2 bigint, pos bigint")
+    return texts.select("t1", "text").mapInArrow(scan, "h bigint, t1 bigint, pos bigint")
 
 
 def _contexts(texts: DataFrame) -> DataFrame:
@@ -124,23 +124,29 @@ def _parts(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
 
 
 def _digit_rows(nodes: DataFrame) -> DataFrame:
-    """Second pass: for each j the WINDOW - STEP bytes that all windows with j*STEP to (j+1)*STEP bytes before the anchor share."""
+    """Second pass. For each j, key is of the WINDOW - STEP bytes that all windows with j*STEP to (j+1)*STEP bytes
+    before the anchor share, and full of all bytes that any of them has."""
     back = np.arange(0, _REACH, STEP)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (p for whole in batches for p in _parts(whole)):
             sums, down, before, after = _aligned(batch)
-            h = batch.column(1).to_numpy().view(np.uint64)
-            key = mix(_slice_hash(sums, down, _REACH - back, _REACH - back + WINDOW - STEP) ^ mix(h)[:, None])
-            row, j = np.nonzero((before[:, None] >= back) & (after[:, None] >= WINDOW - STEP - back))
-            columns = [batch.column(0).take(pa.array(row)), pa.array(j), pa.array(key[row, j].view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "j", "key"])
+            h = mix(batch.column(1).to_numpy().view(np.uint64))
+            key = mix(_slice_hash(sums, down, _REACH - back, _REACH - back + WINDOW - STEP) ^ h[:, None])
+            some = np.maximum(back, WINDOW - after[:, None]) <= np.minimum(back + STEP, before[:, None])
+            row, j = np.nonzero((before[:, None] >= back) & (after[:, None] >= WINDOW - STEP - back) & some)
+            start = _REACH - np.minimum(before[row], back[j] + STEP)
+            stop = _REACH + np.minimum(after[row], WINDOW - back[j])
+            ends = mix((start * 1024 + stop).astype(np.uint64))
+            full = mix(((sums[row, stop] - sums[row, start]) * down[start]) ^ ends ^ h[row])
+            columns = [batch.column(0).take(pa.array(row)), pa.array(j), pa.array(key[row, j].view(np.int64)), pa.array(full.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "j", "key", "full"])
 
-    return nodes.select("node", "h", "before", "around").mapInArrow(scan, "node bigint, j bigint, key bigint")
+    return nodes.select("node", "h", "before", "around").mapInArrow(scan, "node bigint, j bigint, key bigint, full bigint")
 
 
 def _window_rows(nodes: DataFrame) -> DataFrame:
-    """Last pass: every whole window of the digits that are still shared."""
+    """Last pass: every whole window of the digits that are still open."""
     back = np.arange(_REACH + 1)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,16 +159,17 @@ def _window_rows(nodes: DataFrame) -> DataFrame:
                     open_[k, j * STEP : (j + 1) * STEP + 1] = True
             row, l = np.nonzero(open_ & (before[:, None] >= back) & (after[:, None] >= WINDOW - back))
             key = mix(_slice_hash(sums, down, _REACH - back, _REACH - back + WINDOW) ^ mix(h)[:, None])
-            columns = [batch.column(0).take(pa.array(row)), pa.array(l), pa.array(key[row, l].view(np.int64))]
+            columns = [batch.column(0).take(pa.array(row)), pa.array(l.astype(np.int32)), pa.array(key[row, l].view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["node", "l", "key"])
 
-    return nodes.select("node", "h", "before", "around", "digits").mapInArrow(scan, "node bigint, l bigint, key bigint")
+    return nodes.select("node", "h", "before", "around", "digits").mapInArrow(scan, "node bigint, l int, key bigint")
 
 
-def _repeated(rows: DataFrame) -> DataFrame:
-    """The rows whose key has more than one node."""
-    several = rows.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x <> y").select("key")
-    return rows.join(several, "key")
+def _settled(df: DataFrame, name: str) -> DataFrame:
+    """``store``, after which the shuffle files of the jobs so far are of no use and are given back."""
+    out = store(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -173,35 +180,48 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     First pass over the most significant digit, a gram of GRAM bytes: of all suffixes only those at anchors
     take part, which is enough to find every repeated window, and groups of one are dropped. Equal contexts
     (all bytes that a window around the anchor can have) then stand as one node; if there are several
-    of them, all their windows are repeated. The second pass sorts nodes by digits of WINDOW - STEP bytes, the last
-    by whole windows, in each case only where the digit before is shared; groups of several nodes in the last
-    pass are exactly the repeated windows. Groups are only ever counted, never gathered, so a passage
-    that a third of all texts share costs what it costs elsewhere.
+    of them, all their windows are repeated. The second pass sorts nodes by digits of WINDOW - STEP bytes. Nodes
+    that agree in all bytes of a digit's windows form a cell: several nodes in a cell have all these windows
+    repeated, and one of them stands for the cell. Only where different cells share a digit
+    the last pass sorts whole windows; groups of several cells there are exactly the repeated windows. Groups are only
+    ever counted, never gathered, so a passage that a third of all texts share costs what it costs elsewhere.
     """
-    first = store(_anchor_rows(texts), "suffix-anchors")
-    occurrence = F.xxhash64("t1", "t2", "pos")
+    first = _settled(_anchor_rows(texts), "suffix-anchors")
+    occurrence = F.xxhash64("t1", "pos")
     shared = first.groupBy("h").agg(F.min(occurrence).alias("x"), F.max(occurrence).alias("y")).filter("x <> y").select("h")
-    marks = first.join(shared, "h").distinct().groupBy("t1", "t2").agg(F.collect_list(F.struct("pos", "h")).alias("places"))
-    marks = store(marks, "suffix-marks")
+    marks = first.join(shared, "h").groupBy("t1").agg(F.collect_set(F.struct("pos", "h")).alias("places"))
+    marks = _settled(marks, "suffix-marks")
 
-    wanted = marks.select("t1", "t2")
+    wanted = marks.select("t1")
     side = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
-    bodies = texts.select("t1", "t2", "text").join(side, ["t1", "t2"], "left_semi").dropDuplicates(["t1", "t2"])
-    around = store(_contexts(bodies.join(marks, ["t1", "t2"])), "suffix-contexts")
+    bodies = texts.select("t1", "t2", "text").join(side, "t1", "left_semi").dropDuplicates(["t1", "t2"])
+    around = _settled(_contexts(bodies.join(marks, "t1")), "suffix-contexts")
     node = F.xxhash64("h", "before", "around").alias("node")
-    placed = around.select(node, "t1", "t2", "pos", "before", (F.octet_length("around") - F.col("before")).alias("after"))
+    placed = _settled(
+        around.select(node, "t1", "t2", "pos", "before", (F.octet_length("around") - F.col("before")).alias("after")), "suffix-places"
+    )
     counts = placed.groupBy("node").agg(F.count(F.lit(1)).alias("copies"))
-    nodes = store(around.select(node, "h", "before", "around").dropDuplicates(["node"]), "suffix-nodes")
+    nodes = _settled(around.select(node, "h", "before", "around").dropDuplicates(["node"]), "suffix-nodes")
 
-    digits = _repeated(_digit_rows(nodes)).groupBy("node").agg(F.collect_list("j").alias("digits"))
-    windows = store(_window_rows(nodes.join(digits, "node")), "suffix-windows")
-    reach = _repeated(windows).groupBy("node").agg(F.min("l").alias("low"), F.max("l").alias("high"))
-    known = store(counts.join(reach, "node", "left").filter("copies > 1 or high is not null"), "suffix-reach")
+    digits = _settled(_digit_rows(nodes), "suffix-digits")
+    cells = digits.groupBy("key", "full").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("j").alias("j"))
+    cells = _settled(cells, "suffix-cells")
+    whole = digits.join(cells.filter("n > 1").select("key", "full"), ["key", "full"]).groupBy("node").agg(
+        F.min("j").alias("j_low"), F.max("j").alias("j_high")
+    )
+    several = cells.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
+    opened = cells.join(several, "key").groupBy("node").agg(F.collect_set("j").alias("digits"))
+    windows = _settled(_window_rows(nodes.join(opened, "node")), "suffix-windows")
+    twice = windows.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x <> y").select("key")
+    reach = windows.join(twice, "key").groupBy("node").agg(F.min("l").alias("low"), F.max("l").alias("high"))
+    known = counts.join(whole, "node", "left").join(reach, "node", "left").filter("copies > 1 or high is not null or j_high is not null")
+    known = _settled(known, "suffix-reach")
 
     found = placed.join(known, "node")
-    least, most = F.greatest(F.lit(0), F.lit(WINDOW) - F.col("after")), F.col("before")
-    low = F.when(F.col("copies") > 1, least).otherwise(F.col("low"))
-    high = F.when(F.col("copies") > 1, most).otherwise(F.col("high"))
+    celled = F.col("j_high").isNotNull()
+    least, most = F.greatest(F.lit(0), F.lit(WINDOW) - F.col("after")), F.least(F.col("before"), F.lit(_REACH))
+    low = F.when(F.col("copies") > 1, least).otherwise(F.least("low", F.when(celled, F.greatest(F.col("j_low") * STEP, least))))
+    high = F.when(F.col("copies") > 1, most).otherwise(F.greatest("high", F.when(celled, F.least((F.col("j_high") + 1) * STEP, most))))
     spans = found.select("t1", "t2", "pos", low.alias("low"), high.alias("high")).filter("low <= high")
     span = F.struct((F.col("pos") - F.col("high")).alias("start"), (F.col("pos") - F.col("low") + WINDOW).alias("stop"))
     return spans.groupBy("t1", "t2").agg(F.array_sort(F.collect_set(span)).alias("spans"))
