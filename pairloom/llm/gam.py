@@ -11,6 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.joins import fits_broadcast
 from ..session import store
 from .common import mix, row_runs, text_view, word_hashes
 
@@ -241,10 +242,12 @@ def keep_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     """The rows of ``docs``, with all their columns, whose text scores at least ``threshold``.
 
     Learns as ``quality`` does: from labels of rows that are not held out. The texts of labelled rows
-    are read for the fit, all texts once more for the scores.
+    are read for the fit, all texts once more for the scores; labels measured to be few go to the texts.
     """
     own = F.col(id_col).cast("bigint")
     texts = docs.select(own.alias("doc_id"), F.col(text_col).alias("text")).filter(~held_out("doc_id", folds))
-    marked = texts.join(_marks(labels), "doc_id").select("doc_id", "label", features_of("text").alias("x"))
+    marks = _marks(labels)
+    side = F.broadcast(marks) if fits_broadcast(marks) else marks
+    marked = texts.join(side, "doc_id").select("doc_id", "label", features_of("text").alias("x"))
     models = train(store(marked, "labelled"))
     return docs.filter(score_of(docs.sparkSession, text_col, models, of_text=True) >= threshold)
