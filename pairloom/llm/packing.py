@@ -8,6 +8,7 @@ import types
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,58 +51,60 @@ class WordEncoder:
 
     def _clear(self) -> None:
         self.codes: dict[bytes | None, int] = {None: 0}
-        self.cores: dict[bytes, np.ndarray] = {}
         self.flat = np.array([self.end_id], np.uint32)
         self.lengths, self.kind, self.first = np.array([1]), np.array([DOCUMENT]), np.array([0])
+        # words are put together from parts; part 0 is empty
+        self.parts: dict[str, int] = {"": 0}
+        self.part_ids, self.part_sizes = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _encode_each(self, texts: list[bytes]) -> list[np.ndarray]:
-        got = self.tokenizer.encode_batch_fast([t.decode("utf-8") for t in texts], add_special_tokens=False)
-        return [np.array(g.ids, np.uint32) for g in got]
+    def _encode_each(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = [g.ids for g in got]
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
+        return [flat], [np.fromiter(map(len, ids), np.int64, len(ids))]
 
-    def _encode_letters(self, texts: list[bytes]) -> list[np.ndarray]:
+    def _encode_letters(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Each text is letters only, so one part to the tokenizer: many are encoded as one line."""
-        out = []
+        ids, sizes = [], []
         for k in range(0, len(texts), 2000):
             chunk = texts[k : k + 2000]
-            got = self.tokenizer.encode(b" ".join(chunk).decode("utf-8"), add_special_tokens=False)
+            got = self.tokenizer.encode(" ".join(chunk), add_special_tokens=False)
             size = np.bincount(np.array(got.word_ids, np.int64), minlength=len(chunk))
             if len(size) != len(chunk) or not size.all():  # a character came apart in normal form
-                out += self._encode_each(chunk)
+                flat, size = self._encode_each(chunk)
+                ids, sizes = ids + flat, sizes + size
             else:
-                out += np.split(np.array(got.ids, np.uint32), np.cumsum(size)[:-1])
-        return out
-
-    def _learn(self, words: set[bytes]) -> None:
-        split = []
-        for word in words:
-            core = word.rstrip(b".,;:!?")
-            if core and core.decode("utf-8").isalpha():
-                split.append((word, core.lower(), word[len(core) :]))
-            else:
-                split.append((word, word, b""))
-        letters, others = set(), set()
-        for word, core, tail in split:
-            if core not in self.cores:
-                (letters if len(core) < len(word) or core.decode("utf-8").isalpha() else others).add(core)
-            if tail and tail not in self.cores:
-                others.add(tail)
-        for group, encode in ((letters, self._encode_letters), (others, self._encode_each)):
-            group = list(group)
-            self.cores.update(zip(group, encode(group)))
-        new, sizes, ends = [], [], []
-        for word, core, tail in split:
-            self.codes[word] = len(self.codes)
-            ids = self.cores[core]
-            new.append(ids)
-            n = len(ids)
-            if tail:
-                new.append(self.cores[tail])
-                n += len(new[-1])
-            sizes.append(n)
-            ends.append(SENTENCE if word[-1:] in (b".", b"!", b"?") else INSIDE)
-        self.flat = np.concatenate([self.flat, *new])
-        self.lengths = np.concatenate([self.lengths, np.array(sizes, np.int64)])
-        self.kind = np.concatenate([self.kind, np.array(ends, np.int64)])
+                ids.append(np.array(got.ids, np.uint32))
+                sizes.append(size)
+        return ids, sizes
+
+    def _learn(self, new: set[bytes]) -> None:
+        words = list(new)
+        line = b" ".join(words)
+        whole = line.decode("utf-8").split(" ")
+        cores = [w.rstrip(".,;:!?") for w in line.lower().decode("utf-8").split(" ")]
+        split = list(map(str.isalpha, cores))
+        tails = [w[len(c) :] if s else "" for w, c, s in zip(whole, cores, split)]
+        cores = [c if s else w for w, c, s in zip(whole, cores, split)]
+        letters = {c for c, s in zip(cores, split) if s}.difference(self.parts)
+        others = {c for c, s in zip(cores, split) if not s}.union(tails).difference(self.parts)
+        for group, encode in ((list(letters), self._encode_letters), (list(others), self._encode_each)):
+            if group:
+                ids, sizes = encode(group)
+                self.parts.update(zip(group, range(len(self.parts), len(self.parts) + len(group))))
+                self.part_ids = np.concatenate([self.part_ids, *ids])
+                self.part_sizes = np.concatenate([self.part_sizes, *sizes])
+        n = len(words)
+        part = np.empty(2 * n, np.int64)
+        part[0::2] = np.fromiter(map(self.parts.__getitem__, cores), np.int64, n)
+        part[1::2] = np.fromiter(map(self.parts.__getitem__, tails), np.int64, n)
+        size = self.part_sizes[part]
+        begin = (np.cumsum(self.part_sizes) - self.part_sizes)[part] - (np.cumsum(size) - size)
+        self.flat = np.concatenate([self.flat, self.part_ids[np.repeat(begin, size) + np.arange(int(size.sum()))]])
+        self.lengths = np.concatenate([self.lengths, size[0::2] + size[1::2]])
+        last = np.fromiter((w[-1] for w in words), np.uint8, n)
+        self.kind = np.concatenate([self.kind, np.where(np.isin(last, list(b".!?")), SENTENCE, INSIDE)])
+        self.codes.update(zip(words, range(len(self.codes), len(self.codes) + n)))
         self.first = np.cumsum(self.lengths) - self.lengths
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,7 +115,7 @@ class WordEncoder:
             words.append(None)
         if len(self.codes) > _CACHE_WORDS:
             self._clear()
-        missing = {w for w in words if w not in self.codes}
+        missing = set(words).difference(self.codes)
         if missing:
             self._learn(missing)
         code = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
