@@ -68,6 +68,7 @@ def mix_sources(
     source_col: str = "source",
     seed: int = SEED,
     block_rows: int = BLOCK_ROWS,
+    place_col: str | None = None,
 ) -> DataFrame:
     """The rows of ``docs``, each as often as the mixture takes it, with pass_no, block_no, n_tokens and order_key.
 
@@ -77,6 +78,10 @@ def mix_sources(
     Whole passes are taken while they fit; the last pass takes, in its order, the documents
     up to the first that no longer fits. Sorting by (pass_no, order_key) reads a source in its mixed order.
 
+    ``place_col`` names one more column, 0 to 1: the share of what the source gives that comes before the copy
+    (by the blocks before it and, in its block, by its hash; a document counts its tokens and one). Sorting by it, then pass_no and
+    order_key, keeps every source's mixed order and reads the sources side by side at their weights.
+
     Running sums are taken over blocks, and over documents only in the one block of a source in which its
     budget ends, so a source that holds most rows is never in one task.
     A null source is a source of its own; a null or empty text has no tokens and rides along
@@ -95,6 +100,7 @@ def mix_sources(
     allowed = F.floor(share / F.lit(norm) * F.lit(budget) + 0.5)
     plan = sources.select(
         "s",
+        "tokens",
         F.ceil(F.col("n") / block_rows).alias("blocks"),
         F.when(F.col("tokens") > 0, F.floor(allowed / F.col("tokens"))).otherwise(1).cast("bigint").alias("whole"),
         F.when(F.col("tokens") > 0, allowed % F.col("tokens")).otherwise(0).cast("bigint").alias("rest"),
@@ -102,7 +108,7 @@ def mix_sources(
     plan = store(plan, "mix-plan")
 
     def placed(rows: DataFrame) -> DataFrame:
-        side = F.broadcast(plan) if fits_broadcast(plan) else plan
+        side = (F.broadcast(plan) if fits_broadcast(plan) else plan).drop("tokens")
         bucket = F.conv(F.substring(_digest(F.lit(seed), F.col("id")), 1, 8), 16, 10).cast("bigint")
         return rows.join(side, "s").withColumn("block_no", bucket % F.col("blocks"))
 
@@ -124,18 +130,40 @@ def mix_sources(
     within = Window.partitionBy("s").orderBy("dkey")
     cut = inside.withColumn("upto", F.col("before") + F.sum("tokens").over(within)).filter("upto <= rest")
     cuts = blocks.join(cut.groupBy("s", "block_no").agg(F.max("dkey").alias("cut")), ["s", "block_no"], "left")
-    cuts = store(cuts.select("s", "block_no", "state", F.coalesce("cut", F.lit("")).alias("cut")), "mix-cuts")
+    cuts = cuts.select("s", "block_no", "state", F.coalesce("cut", F.lit("")).alias("cut"))
+    if place_col:
+        starts = _starts(rows, block_key, plan)
+        cuts = cuts.join(starts, ["s", "block_no"])
+    cuts = store(cuts, "mix-cuts")
 
-    whole = docs.drop("pass_no", "block_no", "n_tokens", "order_key")
+    whole = docs.drop("pass_no", "block_no", "n_tokens", "order_key", *([place_col] if place_col else []))
     work = whole.select(F.struct("*").alias("doc"), key.alias("s"), ident.cast("string").alias("id"), n_words(text_col).alias("n_tokens"))
     side = F.broadcast(cuts) if fits_broadcast(cuts) else cuts
     work = placed(work).join(side, ["s", "block_no"])
     partial = (F.col("state") == "all") | ((F.col("state") == "part") & (doc_key(F.col("whole")) <= F.col("cut")))
     passes = F.col("whole") + partial.cast("bigint")
     copies = work.filter(passes > 0).withColumn("pass_no", F.explode(F.sequence(F.lit(0).cast("bigint"), passes - 1)))
-    return copies.select(
-        "doc.*", "pass_no", "block_no", "n_tokens", F.concat(block_key(F.col("pass_no")), doc_key(F.col("pass_no"))).alias("order_key")
+    out = ["doc.*", "pass_no", "block_no", "n_tokens", F.concat(block_key(F.col("pass_no")), doc_key(F.col("pass_no"))).alias("order_key")]
+    if place_col:
+        inner = F.conv(F.substring(doc_key(F.col("pass_no")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+        at = F.element_at("starts", (F.col("pass_no") + 1).cast("int")) + inner * F.col("width")
+        out.append((at / F.col("given")).alias(place_col))
+    return copies.select(*out)
+
+
+def _starts(rows: DataFrame, block_key, plan: DataFrame) -> DataFrame:
+    """Per (s, block_no): its width, by pass the width of all that its source gives before it, and the width of all that the source gives."""
+    sizes = rows.groupBy("s", "block_no", "whole").agg((F.sum("tokens") + F.count(F.lit(1))).alias("width"))
+    passes = sizes.withColumn("pass_no", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("whole"))))
+    order = Window.partitionBy("s", "pass_no").orderBy("key", "block_no").rowsBetween(Window.unboundedPreceding, -1)
+    before = passes.withColumn("key", block_key(F.col("pass_no"))).withColumn("before", F.coalesce(F.sum("width").over(order), F.lit(0)))
+    total = sizes.groupBy("s").agg(F.sum("width").alias("total"))
+    ratio = F.col("whole") + F.when(F.col("tokens") > 0, F.col("rest") / F.col("tokens")).otherwise(0.0)
+    total = total.join(plan, "s").select("s", "total", (F.col("total") * ratio).alias("given"))
+    listed = before.join(total, "s").groupBy("s", "block_no", "width", "given").agg(
+        F.array_sort(F.collect_list(F.struct("pass_no", (F.col("pass_no") * F.col("total") + F.col("before")).cast("double").alias("at")))).alias("list")
     )
+    return listed.select("s", "block_no", "width", "given", F.col("list.at").alias("starts"))
 
 
 #: The same mixture in DuckDB, for ``mix_sources`` with its default parameters.

@@ -11,7 +11,7 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from brute import TRICKY, frame
 from compare import compare, connect
-from pairloom.llm import queries, topk, warc
+from pairloom.llm import mixing, queries, topk, warc
 
 SF = "/root/testdata/sf0.001"
 
@@ -110,3 +110,24 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, out, str(tmp_path))
         assert (out.count() > 0) == (part.count() > 0)
+
+
+def test_sequences_follow_the_mixture(spark):
+    """Sources lie one after the other in the input; packed, they come side by side, and a source's second pass after its first."""
+    rows = [(i, f"word{i} " * 20, "en", "large" if i < 900 else "small", 100) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").coalesce(1)
+    mixed = corpus_pipeline.mixture(spark, docs, SF)
+    placed = mixing.mix_sources(docs, place_col="at").collect()
+    want = [r.doc_id for r in sorted(placed, key=lambda r: (r["at"], r.pass_no, r.order_key))]
+    for source in ("large", "small"):
+        own = [r for r in placed if r.source == source]
+        assert sorted(own, key=lambda r: r["at"]) == sorted(own, key=lambda r: (r.pass_no, r.order_key))
+        assert all(0 <= r["at"] <= 1.01 for r in own)
+    written = corpus_pipeline.store(mixed, "test-order")
+    pieces = corpus_pipeline.packed(spark, written, SF).filter("start = 0").orderBy("sequence_id", "offset").collect()
+    got = [r.doc_id for r in pieces]
+    assert got == want and len(got) > len(set(got))
+    first, second = got[: len(got) // 2], got[len(got) // 2 :]
+    small = [sum(i >= 900 for i in half) for half in (first, second)]
+    assert min(small) > 0.8 * max(small)
+    assert all(a != b for a, b in zip(got, got[1:]))
