@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, gam, lines, lm, minhash, mixing, packing, suffix, topk, warc
+from . import audit, fingerprint, gam, lines, lm, minhash, mixing, packing, pieces, ranked, suffix, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of all documents, learned from the nine tenths that are not held out."""
     return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op11_ranked_lexical", ranked.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest-scoring documents for every benchmark item, among all documents."""
+    return ranked.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_filter_audit", audit.SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents: what each step of each order keeps, removes and loses."""
+    return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_piece_round_trip")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to pieces and decoded again, as digests."""
+    return pieces.digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
