@@ -77,30 +77,26 @@ def chat_array(prompt: Column | str, answer: Column | str | None = None) -> Colu
 def extract_post(
     query: Column | str, *, marker: str = INSTRUCTION, mode: str = "first_line", template: ChatTemplate = DEFAULT_TEMPLATE
 ) -> Column:
-    """The post inside a decoded query.
+    """The post inside a query, raw or decoded.
 
-    No marker: the whole text. Marker with a newline: the text after the first
-    one, up to the next newline in ``first_line`` mode, and in ``full`` mode up to
-    the end of the user's turn, which is the template's end marker in raw text and the bare
-    assistant cue at the end of decoded text.
+    No marker: the whole text. Marker with a newline: what follows the first one, up to the next such marker, up to the
+    template's end of turn, and up to the next newline in ``first_line`` mode. In ``full`` mode a text that has lost the template's
+    markers ends with the bare assistant cue, which goes too, once.
     Marker without a newline: NULL, which scoring turns into the default reward.
     """
+    if mode not in ("first_line", "full"):
+        raise ValueError(f"unknown mode {mode!r}")
     q = as_col(query)
-    full = F.lit(f"{marker}\n")
+    full, end = F.lit(f"{marker}\n"), F.lit(template.end)
+    rest = F.split_part(q, full, F.lit(2))
+    turn = F.split_part(rest, end, F.lit(1))
     if mode == "first_line":
-        after = F.split_part(F.split_part(q, full, F.lit(2)), F.lit("\n"), F.lit(1))
-    elif mode == "full":
-        rest = F.substring(q, F.position(full, q) + F.length(full), F.length(q))
-        rest = F.split_part(rest, F.lit(template.end), F.lit(1))
-        cue = F.lit(template.decoded_cue)
-        bare = F.lit(template.decoded_cue.rstrip("\n"))
-        after = (
-            F.when(F.endswith(rest, cue), F.substring(rest, F.lit(1), F.length(rest) - F.length(cue)))
-            .when(F.endswith(rest, bare), F.substring(rest, F.lit(1), F.length(rest) - F.length(bare)))
-            .otherwise(rest)
-        )
+        after = F.split_part(turn, F.lit("\n"), F.lit(1))
     else:
-        raise ValueError(f"unknown mode {mode!r}")
+        after = F.when(F.contains(rest, end), turn)
+        for cue in (template.decoded_cue, template.decoded_cue.rstrip("\n")):
+            after = after.when(F.endswith(rest, F.lit(cue)), F.substring(rest, F.lit(1), F.length(rest) - len(cue)))
+        after = after.otherwise(rest)
     return (
         F.when(F.contains(q, full), after)
         .when(F.contains(q, F.lit(marker)), F.lit(None).cast("string"))

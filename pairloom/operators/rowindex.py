@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import as_col, seeded_hash
 from ..session import store
-from .joins import attach
+from .joins import BROADCAST_ROWS, attach
+from .prefix import levels_for, sums_before
 
 _POSITION_BITS = 33  # monotonically_increasing_id(): partition number above, row number below
 _FEW_GROUPS = 1024
@@ -30,8 +31,8 @@ def row_index(
 
     One range shuffle sorts by the whole key, so a group (or first key) that
     holds a third of all rows is still cut into many tasks. The sorted rows are
-    written once with (partition, place) numbers; counts per partition, one row
-    per task, turn these into positions. Writing first matters: range bounds are
+    written once with (partition, place) numbers; a joined table of the rows before each
+    partition, one row per task, turns these into positions. Writing first matters: range bounds are
     sampled, so counts and places must come from the same run of the sort.
     """
     return indexed(df, order_by, partition_by=partition_by, name=name, size_name=size_name)[0]
@@ -46,21 +47,18 @@ def indexed(
     size_name: str | None = None,
 ) -> tuple[DataFrame, int]:
     """``row_index`` together with the number of rows."""
-    groups = list(partition_by)
+    spark, groups = df.sparkSession, list(partition_by)
     placed = df.orderBy(*groups, *order_by).withColumn("__slot", F.monotonically_increasing_id())
     stored = store(placed, "row-index")
-    part = F.shiftright("__slot", _POSITION_BITS).cast("int")
-    sizes = {
-        r["part"]: r["n"]
-        for r in stored.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
-    }
-    starts, total = [], 0
-    for p in range(max(sizes, default=-1) + 1):
-        starts.append(total)
-        total += sizes.get(p, 0)
-    offsets = F.expr(f"array({','.join(f'{s}L' for s in starts) or '0L'})")
+    part = F.shiftright("__slot", _POSITION_BITS)
+    sizes = stored.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
+    most = _most_partitions(spark)
+    offsets = store(partition_offsets(sizes, most), "row-offsets")
+    side = F.broadcast(offsets) if most <= BROADCAST_ROWS else offsets
     place = F.col("__slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    out = stored.withColumn(name, F.get(offsets, part) + place)
+    out = stored.withColumn("__part", part).join(side.drop("__rows"), "__part").withColumn(name, F.col("__rows_before") + place)
+    out = out.drop("__part", "__rows_before")
+    total = offsets.agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias("n")).first()["n"]
     if groups:
         out = _restart(out, groups, name, size_name)
     elif size_name:
@@ -68,6 +66,17 @@ def indexed(
     return out.drop("__slot"), total
 
 
+def _most_partitions(spark: SparkSession) -> int:
+    """How many partitions a sort can have: a row of offsets each."""
+    first = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(first or 0))
+
+
+def partition_offsets(sizes: DataFrame, partitions: int) -> DataFrame:
+    """(__part, __rows, __rows_before): rows before each partition, summed in blocks of partitions."""
+    return sums_before(sizes, step="__part", values=["__rows"], levels=levels_for(partitions))
+
+
 def _restart(df: DataFrame, groups: list[str], name: str, size_name: str | None) -> DataFrame:
     firsts = df.groupBy(*groups).agg(
         F.min(name).alias("__first"),

@@ -8,10 +8,11 @@ from ..functions.chat import DECODED_INSTRUCTION
 from ..functions.numeric import idiv
 from ..functions.tokens import FIRST_ID
 from ..operators import best, metrics, models, sampling, scoring
+from ..operators.components import component_split
 from ..operators.splits import DEFAULT_PLAN
-from ..session import new_path
+from ..session import new_path, store
 from ..sources import ledger, manifests, runlog
-from ..streaming import live
+from ..streaming import best as live_best, live
 from . import inputs, sql
 from .registry import query
 from .sql import PAIRS, build
@@ -310,26 +311,86 @@ def q_best_of_n(spark, sf_dir):
     return rounded(best.best_of_n(rewarded), "reward")
 
 
-def _fit_split(spark, sf_dir, split: str) -> DataFrame:
-    held_out = F.col("chosen_id") % 10 == 9
-    rows = inputs.featured_doc_pairs(spark, sf_dir)
-    return rows.filter(held_out if split == "valid1" else ~held_out)
+_T = sql.tokens("text")
+sql.CTES["doc_features"] = f"""SELECT doc_id, lang, quality, [ln(1 + length(text)), len(t)::DOUBLE / c, len(list_distinct(t))::DOUBLE / greatest(len(t), 1),
+        length(regexp_replace(text, '[^0-9]', '', 'g'))::DOUBLE / c, length(regexp_replace(text, '[^A-Z]', '', 'g'))::DOUBLE / c,
+        length(regexp_replace(text, '[^\\n]', '', 'g'))::DOUBLE / c] AS f
+    FROM (SELECT doc_id, lang, quality, text, {_T} AS t, greatest(length(text), 1)::DOUBLE AS c FROM documents JOIN labels USING (doc_id))"""
+sql.CTES["dealt"] = """SELECT *, row_number() OVER (PARTITION BY lang, quality ORDER BY doc_id) - 1 AS r,
+        count(*) FILTER (quality = 0) OVER (PARTITION BY lang) AS n_bad FROM doc_features"""
+# a bad document and all good ones it is dealt to make one component
+sql.CTES["split_pairs"] = """SELECT *, CASE WHEN component % 10 = 9 THEN 'valid1' ELSE 'train' END AS split FROM (
+        SELECT g.lang, g.doc_id AS chosen_id, b.doc_id AS rejected_id, g.f AS c, b.f AS r,
+            least(b.doc_id, min(g.doc_id) OVER (PARTITION BY b.doc_id)) AS component
+        FROM dealt g JOIN dealt b ON g.quality = 1 AND b.quality = 0 AND b.lang = g.lang AND b.r = g.r % g.n_bad)"""
+FEATURED = ("doc_features", "dealt", "split_pairs")
+HEAD_REG, HEAD_STEPS = 1e-3, 1500
+_J = ", ".join(f"avg(d[{j}] / (1 + exp(m)))" for j in range(1, len(models.TEXT_FEATURES) + 1))
+# gradient steps with momentum down the penalised ranking loss, to its one optimum
+_DIFFS = "SELECT list_transform(range(1, 7), lambda j: c[j] - r[j]) AS d FROM split_pairs WHERE split = 'train'"
+HEAD = f""", diffs AS ({_DIFFS}),
+    rate AS (SELECT sqrt(avg(list_inner_product(d, d)) / 4 + {HEAD_REG}) AS hi, sqrt({HEAD_REG}) AS lo FROM diffs),
+    descent AS (SELECT 0 AS k, list_transform(range(6), lambda j: 0.0::DOUBLE) AS w, list_transform(range(6), lambda j: 0.0::DOUBLE) AS p
+        UNION ALL SELECT k + 1, list_transform(range(1, 7), lambda j: w[j] - 4 / (hi + lo) ** 2 * ({HEAD_REG} * w[j] - g[j]) + ((hi - lo) / (hi + lo)) ** 2 * (w[j] - p[j])), w
+            FROM (SELECT k, w, p, any_value(hi) AS hi, any_value(lo) AS lo, [{_J}] AS g
+                FROM (SELECT k, w, p, hi, lo, d, list_inner_product(w, d) AS m FROM descent, diffs, rate WHERE k < {HEAD_STEPS}) GROUP BY k, w, p)),
+    head AS (SELECT w FROM descent WHERE k = {HEAD_STEPS}),
+    judged AS (SELECT lang, split, list_inner_product(w, c) AS chosen_score, list_inner_product(w, r) AS rejected_score FROM split_pairs, head)
+    SELECT lang, count(*) AS n_pairs, round(avg({sql.softplus('rejected_score - chosen_score')}), 6) AS loss,
+        round(avg((chosen_score > rejected_score)::INT::DOUBLE), 6) AS accuracy, round(avg(chosen_score), 6) AS chosen_reward_mean,
+        round(avg(rejected_score), 6) AS rejected_reward_mean FROM judged WHERE split = '{{split}}' GROUP BY lang"""
+
+
+def _split_pairs(spark, sf_dir) -> DataFrame:
+    """Featured document pairs; a component of documents that meet in pairs is held out whole or not at all."""
+
+    def make() -> DataFrame:
+        return store(component_split(inputs.featured_doc_pairs(spark, sf_dir), a="chosen_id", b="rejected_id"), "split-pairs")
+
+    return inputs._once(spark, sf_dir, "split_pairs", make)
+
+
+def _head(spark, sf_dir) -> list[float]:
+    """The reward head at the optimum of the training pairs: fitted, then refined."""
+
+    def make() -> list[float]:
+        train = _split_pairs(spark, sf_dir).filter("split = 'train'")
+        differences = store(models.feature_differences(train), "differences")
+        return models.refine_head(differences, models.head_weights(models.reward_fit(train, reg=HEAD_REG)), reg=HEAD_REG)
+
+    return inputs._once(spark, sf_dir, "reward_head", make)
 
 
-def _fitted(spark, sf_dir):
-    return inputs._once(spark, sf_dir, "reward_model", lambda: models.reward_fit(_fit_split(spark, sf_dir, "train")))
+@query(
+    "reward_split",
+    build(
+        """SELECT split, count(*) AS n_pairs, count(DISTINCT component) AS n_components, count(DISTINCT chosen_id) + count(DISTINCT rejected_id) AS n_documents,
+            0::BIGINT AS shared_documents FROM split_pairs GROUP BY split""",
+        *FEATURED,
+    ),
+)
+def q_reward_split(spark, sf_dir):
+    """Pairs, components and documents of both sides, and how many documents a side shares with the other: none."""
+    rows = _split_pairs(spark, sf_dir)
+    seen = rows.select("split", F.explode(F.array("chosen_id", "rejected_id")).alias("doc_id")).distinct()
+    sides = seen.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sides"))
+    documents = seen.join(sides, "doc_id").groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.sum(F.when(F.col("n_sides") > 1, 1).otherwise(0)).alias("shared_documents")
+    )
+    found = rows.groupBy("split", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("split").agg(F.sum("n").alias("n_pairs"), F.count(F.lit(1)).alias("n_components"))
+    return found.join(documents, "split").select("split", "n_pairs", "n_components", "n_documents", "shared_documents")
 
 
-@query("reward_fit")
+@query("reward_fit", build(HEAD.format(split="train"), *FEATURED, recursive=True))
 def q_fit(spark, sf_dir):
-    """Training metrics of the fitted head (the weights depend on the solver)."""
-    model = models.reward_fit(_fit_split(spark, sf_dir, "train"))
-    return _head_metrics(_fit_split(spark, sf_dir, "train"), models.head_weights(model))
+    """Training metrics of the fitted head."""
+    return _head_metrics(_split_pairs(spark, sf_dir).filter("split = 'train'"), _head(spark, sf_dir))
 
 
-@query("reward_eval")
+@query("reward_eval", build(HEAD.format(split="valid1"), *FEATURED, recursive=True))
 def q_eval_head(spark, sf_dir):
-    return _head_metrics(_fit_split(spark, sf_dir, "valid1"), models.head_weights(_fitted(spark, sf_dir)))
+    """Its metrics on pairs none of whose documents it has seen."""
+    return _head_metrics(_split_pairs(spark, sf_dir).filter("split = 'valid1'"), _head(spark, sf_dir))
 
 
 def _head_metrics(pairs: DataFrame, weights: list[float]) -> DataFrame:
@@ -450,19 +511,54 @@ def q_manifest(spark, sf_dir):
     return rounded(back, "final_reward_mean", "final_reward_std", "reward_min", "reward_max")
 
 
+DUE_EVERY = 50
+
+
+@query(
+    "checkpoint_manifests",
+    build(
+        f""", sofar AS (SELECT run, step, eval_loss AS v, count(*) OVER w AS n, avg(eval_loss) OVER w AS mean, stddev_samp(eval_loss) OVER w AS std,
+                avg(eval_loss) OVER (PARTITION BY run ORDER BY step ROWS BETWEEN {DUE_EVERY - 1} PRECEDING AND CURRENT ROW) AS e
+            FROM eval_points WINDOW w AS (PARTITION BY run ORDER BY step)),
+        due AS (SELECT *, min(e) OVER (PARTITION BY run ORDER BY step) AS best, min(e) OVER (PARTITION BY run ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior
+            FROM sofar WHERE step % {DUE_EVERY} = 0)
+        SELECT run, step AS epoch, n AS total_steps, round(mean, 6) AS reward_mean, round(std, 6) AS reward_std, round(v, 6) AS last_value, round(e, 6) AS eval_loss,
+            round(best, 6) AS best_loss, prior IS NULL OR e < prior AS is_best, 'ppo_checkpoint' AS model_type, 'sft' AS base_sft_model, 'reward' AS reward_model FROM due""",
+        "run_steps",
+        "eval_points",
+    ),
+)
+def q_checkpoints(spark, sf_dir):
+    """A manifest after every 50th step of each run: what the run looks like so far and whether it is the best yet; written to a folder per run and read back."""
+    states = manifests.checkpoint_states(inputs.eval_points(spark, sf_dir), value="eval_loss", every=DUE_EVERY)
+    path = new_path(spark, "checkpoints")
+    manifests.write_checkpoints(states, path, settings={"base_sft_model": "sft", "reward_model": "reward"})
+    back = manifests.read_manifests(spark, path, manifests.CHECKPOINT_SCHEMA).drop("__run")
+    return rounded(back, "reward_mean", "reward_std", "last_value", "eval_loss", "best_loss")
+
+
 @query(
     "manifest_lookup",
-    """SELECT user_id, coalesce(k, -1) AS k FROM (SELECT DISTINCT user_id FROM events) LEFT JOIN (
-        SELECT user_id, arg_max(CASE WHEN event_id % 3 = 0 THEN NULL ELSE (props->>'$.k')::BIGINT END, event_id) FILTER (WHERE true) AS k
-        FROM (SELECT user_id, event_id, props, max(event_id) OVER (PARTITION BY user_id) AS last FROM events WHERE event_type = 'purchase' AND value > 40)
-        WHERE event_id = last GROUP BY user_id) USING (user_id)""",
+    """SELECT user_id, CASE WHEN user_id % 5 < 2 THEN k ELSE -1 END AS k, CASE WHEN k IS NULL THEN 'absent' ELSE ['found', 'found', 'no key', 'malformed', 'wrong type'][user_id % 5 + 1] END AS reason
+    FROM (SELECT user_id, max(event_id) FILTER (event_type = 'purchase' AND value > 40) AS k FROM events GROUP BY user_id)
+    WHERE k IS NOT NULL UNION ALL
+    SELECT user_id, -1, 'absent' FROM events GROUP BY user_id HAVING count(*) FILTER (event_type = 'purchase' AND value > 40) = 0""",
 )
 def q_lookup(spark, sf_dir):
+    """A file per run, some without the key, broken off or of the wrong type, and runs without a file: one field for all of them, with its default."""
     events = inputs.table(spark, sf_dir, "events")
-    text = F.when(F.col("event_id") % 3 == 0, F.lit('{"other": 1}')).otherwise(F.col("props"))
-    written = events.filter("event_type = 'purchase' AND value > 40").groupBy("user_id").agg(F.max_by(text, "event_id").alias("manifest"))
+    last = events.filter("event_type = 'purchase' AND value > 40").groupBy("user_id").agg(F.max("event_id").alias("k"))
+    k, case = F.col("k").cast("string"), F.col("user_id") % 5
+    text = (
+        F.when(case == 2, F.lit('{"other": 1}'))
+        .when(case == 3, F.concat(F.lit('{"k": '), k))
+        .when(case == 4, F.lit('{"k": [1]}'))
+        .otherwise(F.concat(F.lit('{\n "k": '), k, F.lit("\n}")))
+    )
+    path = new_path(spark, "run-folders")
+    last.select("user_id", text.alias("value")).repartition("user_id").write.partitionBy("user_id").text(path)
     runs = events.select("user_id").distinct()
-    return manifests.manifest_lookup(runs, written, key="user_id", name="k", ddl="BIGINT", default=-1)
+    return manifests.folder_lookup(runs, path, key="user_id", name="k", ddl="BIGINT", default=-1, folder="user_id={}")
 
 
 @query(
@@ -504,6 +600,42 @@ def q_stream(spark, sf_dir):
     return rounded(out, "reward_mean", "reward_std")
 
 
+def _arriving(spark, sf_dir) -> str:
+    """A folder of events in files by week, written in order; a tenth of all is held back to the last file."""
+    events = inputs.table(spark, sf_dir, "events")
+    path = new_path(spark, "arriving")
+    back = F.col("event_id") % 10 == 3
+    week = F.date_trunc("day", "ts")
+    cuts = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-02-01"]
+    for a, b in zip(cuts, cuts[1:]):
+        part = events.filter(~back & (week >= F.lit(a).cast("timestamp")) & (week < F.lit(b).cast("timestamp")))
+        part.coalesce(1).write.mode("append").parquet(path)
+    events.filter(back).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+_WEEK = "CASE WHEN event_id % 10 = 3 THEN 4 WHEN ts < '2024-01-08' THEN 0 WHEN ts < '2024-01-15' THEN 1 WHEN ts < '2024-01-22' THEN 2 ELSE 3 END"
+
+
+@query(
+    "stream_late",
+    f"""WITH e AS (SELECT *, {_WEEK} AS trigger FROM events),
+    m AS (SELECT trigger, max(max(ts)) OVER (ORDER BY trigger ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - INTERVAL 7 DAY AS mark FROM e GROUP BY trigger)
+    SELECT row_number() OVER (ORDER BY trigger) - 1 AS trigger, count(*) AS input_rows,
+        count(*) - count(*) FILTER (coalesce(date_trunc('day', ts) + INTERVAL 1 DAY <= date_trunc('millisecond', mark), false)) AS accepted_rows,
+        count(*) FILTER (date_trunc('day', ts) + INTERVAL 1 DAY <= date_trunc('millisecond', mark)) AS late_rows
+    FROM e JOIN m USING (trigger) GROUP BY trigger""",
+)
+def q_stream_late(spark, sf_dir):
+    """Events that come a week at a time, a tenth of them after all others: how many each trigger took and how many were behind the watermark.
+
+    The watermark that a trigger's rows are held against is the one the trigger before it ran with: it comes from the rows up to two triggers back."""
+    base = new_path(spark, "live-late")
+    source = live.read_events(spark, _arriving(spark, sf_dir), pattern="*.parquet")
+    live.run_stream_metrics(source, window="1 day", late="7 days", mode="append", base=base)
+    return live.late_rows(spark, base).filter("input_rows > 0").select("trigger", "input_rows", "accepted_rows", "late_rows")
+
+
 @query(
     "stream_best",
     """SELECT event_type AS run, event_id AS step, value AS loss FROM (SELECT *, min(value) OVER (PARTITION BY event_type ORDER BY event_id
@@ -512,4 +644,4 @@ def q_stream(spark, sf_dir):
 def q_stream_best(spark, sf_dir):
     source = live.read_events(spark, sf_dir)
     steps = source.select(F.col("event_type").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("loss"))
-    return live.run_stream_best(steps)
+    return live_best.run_stream_best(steps)

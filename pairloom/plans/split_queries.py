@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 
 from ..functions.chat import DEFAULT_TEMPLATE, INSTRUCTION, chat_array, completion_tail, extract_post, user_prompt
 from ..operators import chats, splits
+from ..operators.coverage import coverage_report
 from ..operators.rowindex import indexed, row_index
 from ..operators.splits import StagePlan
-from ..sources.comparisons import complete_rows, load_comparisons
+from ..session import new_path, store
+from ..sources.comparisons import complete_rows, load_comparisons, load_json
 from . import inputs, sql
 from .registry import query
 from .sql import PAIRS, build
@@ -86,21 +88,106 @@ def q_leakage(spark, sf_dir):
     return splits.leakage_audit(staged, ("text",)).select("field", "idx", "stage", "text_hash")
 
 
+#: Every ninth row takes the prompt of the row half a table away, which lies in another stage or a gap.
+_PLANTED = f"""SELECT a.split_pos AS idx, {sql.stage_case('a.split_pos', 'a.n', gaps=True)} AS stage,
+        CASE WHEN a.split_pos % 9 = 4 THEN b.prompt ELSE a.prompt END AS prompt, a.chosen
+    FROM train a JOIN train b ON b.split_pos = (a.split_pos + a.n // 2) % a.n"""
+
+
 @query(
     "leakage_pairs",
     build(
-        rf"""SELECT field, idx, stage, h AS text_hash FROM (SELECT *, count(DISTINCT stage) OVER (PARTITION BY field, h) AS n FROM (
-            SELECT field, split_pos AS idx, {sql.stage_case('split_pos', 'n', gaps=True)} AS stage,
-                md5(trim(lower(regexp_replace(t, '[ \t\n\r]+', ' ', 'g')), ' ')) AS h
-            FROM (SELECT split_pos, n, 'prompt' AS field, prompt AS t FROM train UNION ALL SELECT split_pos, n, 'chosen', chosen FROM train))) WHERE n > 1""",
+        rf""", planted AS ({_PLANTED}),
+        hashed AS (SELECT field, idx, stage, md5(trim(lower(regexp_replace(t, '[ \t\n\r]+', ' ', 'g')), ' ')) AS h
+            FROM (SELECT idx, stage, 'prompt' AS field, prompt AS t FROM planted UNION ALL SELECT idx, stage, 'chosen', chosen FROM planted)),
+        leaks AS (SELECT field, h FROM hashed GROUP BY field, h HAVING count(DISTINCT stage) > 1)
+        SELECT field, idx, stage, h AS text_hash FROM hashed JOIN leaks USING (field, h)
+        UNION ALL SELECT 'idx', split_pos, s, NULL FROM train, (VALUES ('policy'), ('extra')) v(s)
+            WHERE split_pos >= n * 85 // 100 AND split_pos < n * 9 // 10""",
         *PAIRS,
         "train",
     ),
 )
 def q_leakage_pairs(spark, sf_dir):
+    """Rows that more than one stage sees: by equal prompt or answer, after copies were planted across stages, and by index, for a run that takes rows from 85% on."""
+    n, plan = inputs.pairs(spark, sf_dir).train_count, inputs.stage_plan(spark, sf_dir)
     rows = inputs.train_rows(spark, sf_dir).select("idx", "prompt", "chosen")
-    staged = rows.withColumn("stage", inputs.stage_plan(spark, sf_dir).label("idx", with_gaps=True))
-    return splits.leakage_audit(splits.hash_texts(staged)).select("field", "idx", "stage", "text_hash")
+    taken = rows.filter(F.pmod("idx", F.lit(9)) == 4).select("idx", F.pmod(F.col("idx") + n // 2, F.lit(max(n, 1))).alias("source"))
+    copies = taken.join(rows.select(F.col("idx").alias("source"), F.col("prompt").alias("copy")), "source").drop("source")
+    planted = rows.join(copies, "idx", "left").select("idx", F.coalesce("copy", "prompt").alias("prompt"), "chosen")
+    staged = planted.withColumn("stage", plan.label("idx", with_gaps=True))
+    by_text = splits.leakage_audit(splits.hash_texts(staged)).select("field", "idx", "stage", "text_hash")
+    policy = next(s for s in plan.stages if s.name == "policy")
+    runs = splits.slice_rows(rows.select("idx"), policy.start, policy.end).withColumn("stage", F.lit("policy"))
+    runs = runs.unionByName(splits.slice_rows(rows.select("idx"), n * 85 // 100, n).withColumn("stage", F.lit("extra")))
+    by_index = runs.join(splits.overlapping_rows(runs).select("idx"), "idx")
+    return by_text.unionByName(by_index.select(F.lit("idx").alias("field"), "idx", "stage", F.lit(None).cast("string").alias("text_hash")))
+
+
+_KEPT = "length(chosen) % 5 <> 0"
+
+
+@query(
+    "split_coverage",
+    build(
+        f""", written AS (SELECT split_pos AS i, {sql.stage_case('split_pos', 'n')} AS stage FROM train WHERE {_KEPT}),
+        used AS (SELECT * FROM written WHERE stage <> 'unused'),
+        runs AS (SELECT stage, i, i - row_number() OVER (PARTITION BY stage ORDER BY i) AS g FROM used),
+        free AS (SELECT split_pos AS i, split_pos - row_number() OVER (ORDER BY split_pos) AS g FROM train WHERE split_pos NOT IN (SELECT i FROM used))
+        SELECT stage, min(i) AS first_idx, max(i) AS last_idx, count(*) AS n_rows FROM runs GROUP BY stage, g
+        UNION ALL SELECT '(none)', min(i), max(i), 0 FROM free GROUP BY g""",
+        *PAIRS,
+        "train",
+    ),
+)
+def q_coverage(spark, sf_dir):
+    """Unbroken ranges of each stage and of no stage, from the rows the stages have written; rows whose answer has a length divisible by 5 were left out."""
+    rows = inputs.train_rows(spark, sf_dir).filter(_KEPT).select("idx", "chosen")
+    staged = splits.stage_assign(rows.select("idx"), inputs.stage_plan(spark, sf_dir)).filter("stage <> 'unused'")
+    written = store(staged, "stage-rows", partition_by=("stage",))
+    return coverage_report(written, inputs.pairs(spark, sf_dir).train_count)
+
+
+_BROKEN = {0: "malformed", 1: "not text chosen", 2: "null rejected", 3: "missing prompt", 4: "not an object", 5: "not text prompt"}
+
+
+@query(
+    "load_json",
+    build(
+        "SELECT CASE idx % 20 {} ELSE 'kept' END AS reason, split, count(*) AS n_rows, sum(CASE WHEN idx % 20 > 5 THEN length(prompt) + length(chosen) + length(rejected) END)::BIGINT AS n_chars, "
+        "sum(CASE WHEN idx % 20 > 5 THEN idx END)::BIGINT AS idx_sum FROM pairs GROUP BY ALL".format(" ".join(f"WHEN {k} THEN '{v}'" for k, v in _BROKEN.items())),
+        *PAIRS,
+    ),
+)
+def q_load_json(spark, sf_dir):
+    """Comparisons written as JSON lines, some broken off, of the wrong type, null or without a field; read back, with what was kept and why the rest was not."""
+    rows, case = inputs.pairs(spark, sf_dir).rows, F.col("idx") % 20
+
+    def line(**fields) -> Column:
+        return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]), {"ignoreNullFields": "false"})
+
+    p, c, r, i = (F.col(x) for x in ("prompt", "chosen", "rejected", "idx"))
+    whole = line(prompt=p, chosen=c, rejected=r, idx=i, split=F.col("split"))
+    text = (
+        F.when(case == 0, F.expr("left(whole, length(whole) - 3)"))
+        .when(case == 1, line(prompt=p, chosen=F.length(c), rejected=r, idx=i))
+        .when(case == 2, line(prompt=p, chosen=c, rejected=F.lit(None).cast("string"), idx=i))
+        .when(case == 3, line(chosen=c, rejected=r, idx=i))
+        .when(case == 4, F.to_json(F.array(p, c, r)))
+        .when(case == 5, line(prompt=F.struct(p.alias("text")), chosen=c, rejected=r, idx=i))
+        .otherwise(F.col("whole"))
+    )
+    path = new_path(spark, "comparisons-json")
+    rows.withColumn("whole", whole).select("split", text.alias("line")).write.partitionBy("split").text(path)
+    kept, refused = load_json(spark, path, extra="idx BIGINT, split STRING")
+    none = F.lit(None).cast("bigint")
+    counted = kept.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("prompt") + F.length("chosen") + F.length("rejected")).cast("bigint").alias("n_chars"), F.sum("idx").alias("idx_sum")
+    )
+    refused = refused.groupBy("reason", F.regexp_extract("file", "split=([^/]+)/", 1).alias("split")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.select(F.lit("kept").alias("reason"), "split", "n_rows", "n_chars", "idx_sum").unionByName(
+        refused.select("reason", "split", "n_rows", none.alias("n_chars"), none.alias("idx_sum"))
+    )
 
 
 @query(
@@ -176,13 +263,13 @@ def q_conversations(spark, sf_dir):
     return chats.render_conversations(inputs.table(spark, sf_dir, "conversations"))
 
 
+#: From the contract: a rendered post comes back as it was shown, its first line alone in the default mode; a text without
+#: the instruction is the post itself; an instruction without a line break gives none.
 @query(
     "extract_post",
     build(
-        f"""SELECT idx, CASE WHEN contains(q, {sql.USER_HEAD}) THEN split_part(split_part(q, {sql.USER_HEAD}, 2), E'\\n', 1)
-            WHEN contains(q, '{INSTRUCTION}') THEN NULL ELSE q END AS post
-        FROM (SELECT idx, CASE idx % 3 WHEN 0 THEN {sql.prompt_chat('prompt')} WHEN 1 THEN prompt
-                ELSE '{INSTRUCTION} ' || prompt END AS q FROM pairs)""",
+        f"""SELECT idx, CASE idx % 3 WHEN 0 THEN split_part({sql.escaped('prompt')}, E'\\n', 1) WHEN 1 THEN prompt END AS post,
+            CASE idx % 3 WHEN 0 THEN {sql.escaped('prompt')} WHEN 1 THEN prompt END AS whole_post FROM pairs""",
         *PAIRS,
     ),
 )
@@ -193,7 +280,7 @@ def q_extract(spark, sf_dir):
         .otherwise(F.concat(F.lit(f"{INSTRUCTION} "), "prompt"))
     )
     rows = inputs.pairs(spark, sf_dir).rows.select("idx", logged.alias("query"))
-    return rows.select("idx", extract_post("query").alias("post"))
+    return rows.select("idx", extract_post("query").alias("post"), extract_post("query", mode="full").alias("whole_post"))
 
 
 @query(

@@ -123,10 +123,10 @@ CTES: dict[str, str] = {
 }
 
 
-def build(body: str, *names: str) -> str:
+def build(body: str, *names: str, recursive: bool = False) -> str:
     """``body`` after the CTEs ``names``, which are given in order of use."""
     parts = ", ".join(f"{n} AS ({CTES[n]})" for n in names)
-    return f"WITH {parts} {body}"
+    return f"WITH {'RECURSIVE ' if recursive else ''}{parts} {body}"
 
 
 PAIRS = ("turns", "p", "pairs")

@@ -60,3 +60,37 @@ def complete_rows(df: DataFrame, columns: tuple[str, ...] = REQUIRED) -> DataFra
 def quarantine(df: DataFrame, columns: tuple[str, ...] = REQUIRED) -> DataFrame:
     """Rows with a NULL text."""
     return df.filter(_any_null(columns))
+
+
+GOOD = "kept"
+_RAW = "raw"
+
+
+def read_json_rows(spark: SparkSession, path: str, *, extra: str = "", required: tuple[str, ...] = REQUIRED) -> DataFrame:
+    """JSON lines as rows with the texts ``required``, the fields of ``extra`` (DDL), ``reason``, ``raw`` and ``file``.
+
+    Every line that is not blank is one row. ``reason`` is ``kept`` for a row whose required fields are all texts, and otherwise says
+    what is wrong with the first one that is not: ``malformed`` (the line is no JSON, or breaks off), ``not an object``, ``missing <field>``,
+    ``null <field>`` or ``not text <field>``: a number is not taken for a text. Of a line with several values the first counts. Rows that are not kept have null fields and the line
+    in ``raw``. The schema is given, so nothing is inferred, and one pass reads and judges.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    lines = lines.filter(F.trim(F.regexp_replace("value", r"\s+", " ")) != "")
+    parsed = lines.withColumn("__v", F.try_parse_json("value"))
+    kind = F.schema_of_variant("__v")
+    reason = F.when(F.col("__v").isNull(), "malformed").when(~F.startswith(kind, F.lit("OBJECT")), "not an object")
+    for c in required:
+        field = F.try_variant_get("__v", f"$.{c}", "variant")
+        own = F.schema_of_variant(field)
+        reason = reason.when(field.isNull(), f"missing {c}").when(own == "VOID", f"null {c}").when(own != "STRING", f"not text {c}")
+    judged = parsed.withColumn("reason", reason.otherwise(GOOD))
+    good = F.col("reason") == GOOD
+    texts = [F.when(good, F.try_variant_get("__v", f"$.{c}", "string")).alias(c) for c in required]
+    more = [F.when(good, F.try_variant_get("__v", f"$.{f.name}", f.dataType.simpleString())).alias(f.name) for f in T.StructType.fromDDL(extra).fields] if extra else []
+    return judged.select(*texts, *more, "reason", F.when(~good, F.col("value")).alias(_RAW), "file")
+
+
+def load_json(spark: SparkSession, path: str, *, extra: str = "") -> tuple[DataFrame, DataFrame]:
+    """The rows of JSON lines that are fit for use, and the quarantined lines (reason, raw, file)."""
+    rows = read_json_rows(spark, path, extra=extra)
+    return check_columns(rows.filter(F.col("reason") == GOOD).drop("reason", _RAW, "file")), rows.filter(F.col("reason") != GOOD).select("reason", _RAW, "file")

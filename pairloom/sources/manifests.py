@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.numeric import as_col, money
+from ..functions.numeric import as_col, idiv, money
+from ..operators.best import best_so_far, prior_min
+from ..operators.prefix import moments_upto
 from ..operators.splits import StagePlan
+from .ledger import path_exists
 
 
 # The settings of the policy stage that its manifest records.
@@ -76,3 +80,75 @@ def run_report(
 
 def write_report(reports: DataFrame, path: str) -> None:
     reports.select("report").write.mode("overwrite").text(path)
+
+
+def checkpoint_states(log: DataFrame, *, run: Sequence[str] = ("run",), step: str = "step", value: str = "loss", every: int) -> DataFrame:
+    """What a checkpoint after each due step (every ``every`` steps, counted from 1) knows of its run.
+
+    Returns run..., step, n, mean and std (over all steps so far), last_value, eval_loss (the mean since the due step
+    before), best_loss (the least eval loss so far) and is_best (strictly below every earlier one).
+    """
+    run = list(run)
+    states = moments_upto(log, run=run, step=step, value=value, every=every).withColumnRenamed("stretch_mean", "eval_loss")
+    # due steps are numbered 1, 2, ... for the blocks of the running minimum
+    placed = states.withColumn("__k", idiv(step, every))
+    flagged = best_so_far(placed, run=run, step="__k", loss="eval_loss")
+    best = prior_min(flagged, run=run, step="__k", value="eval_loss", out="__prior")
+    return best.withColumn("best_loss", F.least("__prior", "eval_loss")).drop("__k", "__prior")
+
+
+def write_checkpoints(states: DataFrame, path: str, *, run: str = "run", step: str = "step", settings: dict | None = None) -> None:
+    """A JSON manifest per checkpoint, in files below a folder per run: ``run=.../``, a manifest a line."""
+    fields = {
+        "run": F.col(run), "epoch": F.col(step), "total_steps": F.col("n"), "reward_mean": F.col("mean"), "reward_std": F.col("std"),
+        "last_value": F.col("last_value"), "eval_loss": F.col("eval_loss"), "best_loss": F.col("best_loss"), "is_best": F.col("is_best"),
+        "model_type": "ppo_checkpoint", **(settings or {}),
+    }
+    written = run_manifest(states, keep=[run], fields=fields)
+    written.select(F.col(run).alias("__run"), "manifest").repartition("__run").write.mode("overwrite").partitionBy("__run").text(path)
+
+
+CHECKPOINT_SCHEMA = """run STRING, epoch BIGINT, total_steps BIGINT, reward_mean DOUBLE, reward_std DOUBLE, last_value DOUBLE,
+    eval_loss DOUBLE, best_loss DOUBLE, is_best BOOLEAN, model_type STRING, base_sft_model STRING, reward_model STRING"""
+
+
+def read_folder(spark: SparkSession, root: str, *, key_pattern: str = "([^/]+)/[^/]+$", glob: str | None = None) -> DataFrame:
+    """(key, manifest, file): every file below ``root`` as one text, with the key that ``key_pattern`` finds in its path (default: its folder's name).
+
+    No row where there is no folder. A key with several files gives several rows.
+    """
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], "key STRING, manifest STRING, file STRING")
+    reader = spark.read.option("recursiveFileLookup", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    file = F.col("_metadata.file_path")
+    # paths are URIs: what a folder's name holds beyond plain characters is escaped in them
+    files = reader.text(root, wholetext=True).select(F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B"))).alias("file"), F.col("value").alias("manifest"))
+    return files.select(F.regexp_extract("file", key_pattern, 1).alias("key"), "manifest", "file")
+
+
+def folder_lookup(runs: DataFrame, root: str, *, key: str, name: str, ddl: str, default, folder: str = "{}", glob: str | None = None, out: str | None = None) -> DataFrame:
+    """One field for every row of ``runs`` from the manifest file in its folder below ``root``, with its default and why the default was taken.
+
+    ``folder`` is the folder's name with {} for the key. ``reason`` is ``found``, ``absent`` (no file), ``empty``, ``malformed`` (no JSON object), ``no key``
+    (the key is missing or null) or ``wrong type``. Of several files in one folder the last by name counts.
+    """
+    spark = runs.sparkSession
+    before, after = (re.escape(p) for p in folder.split("{}"))
+    found = read_folder(spark, root, key_pattern=f"{before}([^/]+?){after}/[^/]+$", glob=glob)
+    parsed = found.withColumn("__v", F.try_parse_json("manifest"))
+    field = F.try_variant_get("__v", f"$.{name}", "variant")
+    value = F.try_variant_get("__v", f"$.{name}", ddl)
+    kind = F.schema_of_variant("__v")
+    why = (
+        F.when(F.trim("manifest") == "", "empty")
+        .when(F.col("__v").isNull() | ~F.startswith(kind, F.lit("OBJECT")), "malformed")
+        .when(field.isNull() | (F.schema_of_variant(field) == "VOID"), "no key")
+        .when(value.isNull(), "wrong type")
+        .otherwise("found")
+    )
+    judged = parsed.select("key", F.struct("file", value.alias("value"), why.alias("why")).alias("__m"))
+    latest = judged.groupBy(F.col("key").alias("__key")).agg(F.max_by("__m", "__m.file").alias("__m"))
+    joined = runs.join(latest, F.col(key).cast("string") == F.col("__key"), "left")
+    return joined.withColumns({out or name: F.coalesce("__m.value", F.lit(default)), "reason": F.coalesce("__m.why", F.lit("absent"))}).drop("__m", "__key")

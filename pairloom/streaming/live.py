@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+import json
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
-from ..operators.best import best_so_far
 from ..session import new_path
 from ..sources.ledger import path_exists
 
@@ -62,69 +64,77 @@ def _triggers(spark: SparkSession, folder: str, schema: StructType) -> DataFrame
     return spark.read.schema(schema).parquet(folder)
 
 
+def _progress_of(query: StreamingQuery, seen: dict[int, dict]) -> None:
+    for p in query.recentProgress:
+        p = p if isinstance(p, dict) else json.loads(p.json)
+        seen[p["batchId"]] = p
+
+
+def _write_progress(spark: SparkSession, out: str, progress: list[dict]) -> None:
+    """Per trigger the rows that came in and the watermark that held, each in a folder of its own, so that repeats overwrite."""
+    for p in progress:
+        came = (p.get("observedMetrics") or {}).get("came") or {}
+        row = [(came["n"] if isinstance(came, dict) else came[0]) if came else 0, (p.get("eventTime") or {}).get("watermark")]
+        one = spark.createDataFrame([tuple(row)], "input_rows BIGINT, watermark STRING")
+        typed = one.withColumn("watermark", F.to_timestamp("watermark"))
+        typed.coalesce(1).write.mode("overwrite").parquet(f"{out}/progress/trigger={p['batchId']}")
+
+
+_PROGRESS = StructType([StructField("input_rows", LongType()), StructField("watermark", TimestampType())])
+
+
 def run_stream_metrics(stream: DataFrame, *, window: str, late: str = LATE, mode: str = "append", base: str | None = None) -> DataFrame:
     """Drain the stream and return the stats of all windows seen so far as a table.
 
-    ``append`` emits a window once it is closed by the watermark. ``update`` gives the newest state of
-    every window that a trigger changed, open ones too; the latest per window is returned. In both the watermark
-    bounds the state. Checkpoint and results are kept under ``base``: a later call with the same folder goes on
-    where the last one ended and returns the results of both; without new data it returns what is stored.
+    Every trigger writes the newest state of the windows it changed; the latest per window is returned: in ``update`` mode all of them, in
+    ``append`` mode those that the watermark has closed. In both the watermark bounds the state and a row whose window is closed is
+    dropped; ``late_rows`` counts these per trigger. Checkpoint and results are kept under ``base``: a later call with the same folder goes
+    on where the last one ended and returns the results of both; without new data it returns what is stored.
     """
     spark = stream.sparkSession
     checkpoint, out = _states(base or new_path(spark, "live-metrics"))
-    stats = windowed_stats(stream, window=window, late=late)
     if mode not in ("append", "update"):
         raise ValueError(f"unknown mode {mode!r}")
+    # what comes in is counted before the watermark drops anything
+    stats = windowed_stats(stream.observe("came", F.count(F.lit(1)).alias("n")), window=window, late=late)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/trigger={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{out}/windows/trigger={batch_id}")
 
     start = stats.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    start.outputMode(mode).foreachBatch(write).start().awaitTermination()
-    rows = _triggers(spark, out, stats.schema)
+    query = start.outputMode("update").foreachBatch(write).start()
+    seen: dict[int, dict] = {}
+    written: set[int] = set()
+    done = False
+    while not done:
+        done = query.awaitTermination(0.5)
+        _progress_of(query, seen)
+        new = sorted(set(seen) - written)
+        _write_progress(spark, out, [seen[b] for b in new])
+        written.update(new)
+    rows = _triggers(spark, f"{out}/windows", stats.schema)
     key = [c for c in stats.columns if c not in _STATS]
-    latest = rows.groupBy(*key).agg(F.max_by(F.struct(*_STATS), "trigger").alias("s"))
-    return latest.select(*key, "s.*").select(*stats.columns)
+    latest = rows.groupBy(*key).agg(F.max_by(F.struct(*_STATS), "trigger").alias("s")).select(*key, "s.*").select(*stats.columns)
+    if mode == "update":
+        return latest
+    mark = _triggers(spark, f"{out}/progress", _PROGRESS).agg(F.max("watermark").alias("mark")).first()["mark"]
+    # a window whose end is at the watermark is closed: rows at the mark itself belong to the next one
+    end = F.col("window_start").cast("timestamp") + F.expr(f"INTERVAL {window}")
+    return latest.filter(end <= F.lit(mark)) if mark is not None else latest.limit(0)
 
 
-def run_stream_best(stream: DataFrame, *, run: str = "run", step: str = "step", loss: str = "loss", base: str | None = None) -> DataFrame:
-    """New-best steps of each run, as the steps arrive over the triggers.
+def late_rows(spark: SparkSession, base: str, *, window_key: tuple[str, ...] = ("window_start", "event_type")) -> DataFrame:
+    """(trigger, input_rows, accepted_rows, late_rows, watermark) of ``run_stream_metrics`` in ``base``: per trigger, how many rows came behind the watermark.
 
-    Each trigger flags its own steps with the batch operator, which cuts long
-    runs into blocks, and then holds them against the best loss and the last step per run so far,
-    kept as a small table per trigger. A step that comes after a later one was judged is not judged; it is counted per
-    trigger (``out_of_order``). Outputs are written under the
-    trigger's number, so a trigger that is repeated after a failure overwrites
-    its own results and nothing else. Everything is below ``base``: a later call goes on where the last one ended.
+    A row was accepted if its window's count grew by it, so late rows are those that came in and are in no window. A trigger whose progress
+    was lost with its driver has null counts. The tables hold one row per trigger and changed window.
     """
-    spark = stream.sparkSession
-    checkpoint, out = _states(base or new_path(spark, "live-best"))
-    found_schema = stream.select(run, step, loss).schema
-    best_schema = stream.select(run, loss, F.col(step).alias("__last")).schema
-
-    def trigger(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        prior = session.createDataFrame([], best_schema)
-        if batch_id > 0:
-            prior = session.read.schema(best_schema).parquet(f"{out}/best/trigger={batch_id - 1}")
-        floor = prior.withColumnRenamed(loss, "__floor")
-        judged = batch.select(run, step, loss).join(floor.select(run, "__last"), run, "left")
-        late = F.col("__last").isNotNull() & (F.col(step) <= F.col("__last"))
-        judged.groupBy(run).agg(F.count(F.when(late, 1)).alias("out_of_order")).write.mode("overwrite").parquet(f"{out}/late/trigger={batch_id}")
-        fresh = judged.filter(~late).select(run, step, loss)
-        flagged = best_so_far(fresh, run=[run], step=step, loss=loss).filter("is_best")
-        kept = flagged.join(floor, run, "left").filter(F.col("__floor").isNull() | (F.col(loss) < F.col("__floor")))
-        kept.select(run, step, loss).write.mode("overwrite").parquet(f"{out}/found/trigger={batch_id}")
-        seen = prior.unionByName(fresh.select(run, loss, F.col(step).alias("__last")))
-        merged = seen.groupBy(run).agg(F.min(loss).alias(loss), F.max("__last").alias("__last"))
-        merged.write.mode("overwrite").parquet(f"{out}/best/trigger={batch_id}")
-
-    start = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    start.foreachBatch(trigger).start().awaitTermination()
-    return _triggers(spark, f"{out}/found", found_schema).drop("trigger")
-
-
-def out_of_order(spark: SparkSession, base: str, run_type: str = "STRING", run: str = "run") -> DataFrame:
-    """Steps of each run that came too late to be judged by ``run_stream_best`` in ``base``."""
-    schema = StructType.fromDDL(f"`{run}` {run_type}, out_of_order BIGINT")
-    return _triggers(spark, f"{_states(base)[1]}/late", schema).groupBy(run).agg(F.sum("out_of_order").alias("out_of_order"))
+    _, out = _states(base)
+    fields = [StructField(c, spark.read.parquet(f"{out}/windows").schema[c].dataType) for c in window_key] if path_exists(spark, f"{out}/windows") else [StructField(c, LongType()) for c in window_key]
+    counts = _triggers(spark, f"{out}/windows", StructType([*fields, StructField("n_rows", LongType())]))
+    before = Window.partitionBy(*window_key).orderBy("trigger")
+    grown = counts.withColumn("__new", F.col("n_rows") - F.coalesce(F.lag("n_rows").over(before), F.lit(0)))
+    accepted = grown.groupBy("trigger").agg(F.sum("__new").alias("accepted_rows"))
+    known = _triggers(spark, f"{out}/progress", _PROGRESS).join(accepted, "trigger", "full")
+    taken = F.coalesce("accepted_rows", F.lit(0).cast("bigint"))
+    return known.select("trigger", "input_rows", taken.alias("accepted_rows"), (F.col("input_rows") - taken).alias("late_rows"), "watermark")

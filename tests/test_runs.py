@@ -15,7 +15,7 @@ from pairloom.plans import inputs
 from pairloom.plans.catalog import QUERIES
 from pairloom.plans.flow import Flow, FlowConfig
 from pairloom.sources import ledger, manifests, runlog
-from pairloom.streaming import live
+from pairloom.streaming import best as live_best, live
 
 SF = "/root/testdata/sf0.001"
 
@@ -234,7 +234,7 @@ def test_stream_best_equals_batch_over_triggers(spark, tmp_path):
         events.filter(f"event_id >= {a} AND event_id < {b}").coalesce(1).write.mode("append").parquet(str(tmp_path / "e"))
     stream = live.read_events(spark, str(tmp_path / "e"), pattern="*.parquet")
     steps = stream.select(F.col("event_type").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("loss"))
-    got = {(r.run, r.step) for r in live.run_stream_best(steps).collect()}
+    got = {(r.run, r.step) for r in live_best.run_stream_best(steps).collect()}
     best, want = {}, set()
     for r in sorted(events.collect(), key=lambda r: r.event_id):
         if r.value < best.get(r.event_type, math.inf):
@@ -291,12 +291,12 @@ def test_live_best_goes_on_after_a_restart_and_counts_late_steps(spark, tmp_path
     def arrive(*rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-        return sorted((r.run, r.step) for r in live.run_stream_best(stream, base=base).collect())
+        return sorted((r.run, r.step) for r in live_best.run_stream_best(stream, base=base).collect())
 
     assert arrive(("a", 1, 5.0), ("a", 2, 6.0), ("b", 1, 1.0)) == [("a", 1), ("b", 1)]
     assert arrive(("a", 4, 4.0), ("a", 5, 4.5), ("b", 2, 2.0)) == [("a", 1), ("a", 4), ("b", 1)]
     assert arrive(("a", 3, 1.0), ("a", 6, 3.0)) == [("a", 1), ("a", 4), ("a", 6), ("b", 1)]
-    assert {r.run: r.out_of_order for r in live.out_of_order(spark, base).collect()} == {"a": 1, "b": 0}
+    assert {r.run: r.out_of_order for r in live_best.out_of_order(spark, base).collect()} == {"a": 1, "b": 0}
 
 
 def test_deleted_output_runs_again(spark, tmp_path):
