@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import sys
 import types
 
@@ -10,13 +9,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import row_runs, text_view
+from .common import PIECE, mix, row_runs, text_view, window_sums
+from .runs import HashIndex
 
 SPACE = "▁"
-#: Distinct segments, and characters of them all, that a worker process remembers.
-_CACHE_SEGMENTS, _CACHE_LENGTH = 400_000, 8_000_000
+#: Distinct segments, and ids of them all, that a worker process remembers; a longer segment is searched each time.
+_CACHE_SEGMENTS, _CACHE_IDS, _LONG = 1_000_000, 8_000_000, 4096
 #: Token pairs whose check a worker process remembers.
-_CACHE_PAIRS = 2_000_000
+_CACHE_PAIRS = 400_000
 #: Characters whose longest matches are searched at once.
 _BLOCK = 1 << 16
 # Kinds of pieces in a model file, and what a decoder writes for the unknown id.
@@ -81,10 +81,10 @@ class PieceModel:
         self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 1, -1) if p[:k] in usable), p[0]) for p in usable if len(p) > 1}
         self.automaton = ahocorasick.Automaton()
         for p in self.shorter:
-            self.automaton.add_word(p, p)
+            self.automaton.add_word(p, (len(p) - 1, p))
         self.automaton.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.segments = self._segments()
+        self._adjacent()
         self._clear()
         self._decode_table(proto)
 
@@ -105,46 +105,54 @@ class PieceModel:
 
     def _fit(self, left: str, right: str) -> bool:
         """Whether merging the joined text keeps the two tokens apart."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= _CACHE_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = bool(self.merge(left + right, len(left)))
-        return known
+        if len(self.pairs) >= _CACHE_PAIRS:
+            self.pairs.clear()
+        fits = self.pairs[left, right] = bool(self.merge(left + right, len(left)))
+        return fits
 
     def _search(self, text: str) -> list[str]:
+        """The longest piece that starts at each position, or the character there."""
         longest = list(text)
-        for end, piece in self.automaton.iter(text):  # ends ascend and the longest of an end comes first, so later is not shorter
-            start = end + 1 - len(piece)
-            if len(piece) > len(longest[start]):
-                longest[start] = piece
+        for end, (back, piece) in self.automaton.iter(text):  # ends ascend, so of one start the longest comes last
+            longest[end - back] = piece
         return longest
 
     def tokens(self, text: str) -> list[str]:
-        """The tokens of a text: the longest match first, a shorter one where neighbours do not fit, back by one where
-        none does. A position from which nothing goes on is marked and never tried again, so the search is linear."""
+        """The tokens of a text."""
         n = len(text)
-        longest = self._search(text) if n <= _BLOCK else _Matches(self._search, text, self.reach)
+        return self._walk(self._search(text) if n <= _BLOCK else _Matches(self._search, text, self.reach), 0, n)
+
+    def _walk(self, longest: list[str] | _Matches, first: int, n: int) -> list[str]:
+        """The tokens of the ``n`` characters from ``first`` on: the longest match first, a shorter one where neighbours do
+        not fit, back by one where none does. A position from which nothing goes on is marked and never tried again, so the
+        search is linear."""
         alive = bytearray(b"\1") * (n + 1)
         out: list[str] = []
-        at, token = 0, longest[0] if n else None
-        shorter, fit = self.shorter, self._fit
+        at, token = 0, longest[first] if n else None
+        shorter, pairs, fit = self.shorter, self.pairs, self._fit
+        last = None
         while at < n:
             end = at + len(token)
-            if alive[end] and (not out or fit(out[-1], token)):
+            if alive[end] and (last is None or (pairs[last, token] if (last, token) in pairs else fit(last, token))):
                 out.append(token)
-                at = end
-                token = longest[at] if at < n else None
+                at, last = end, token
+                if at < n:
+                    token = longest[first + at]
             elif len(token) > 1:
                 token = shorter[token]
             else:
                 alive[at] = 0
                 token = out.pop()
+                last = out[-1] if out else None
                 at -= len(token)
         return out
 
     def token_ids(self, tokens: list[str]) -> list[int]:
-        out = []
+        try:
+            return [self.ids[t] for t in tokens]
+        except KeyError:
+            pass
+        out: list[int] = []
         for t in tokens:
             known = self.ids.get(t)
             if known is not None:
@@ -155,50 +163,81 @@ class PieceModel:
                 out.append(self.unknown)
         return out
 
-    def _segments(self) -> re.Pattern | None:
-        """Where no piece crosses, texts are cut: before a run of spaces, and around the characters that only stand alone."""
-        if not self.fallback or any(SPACE in p.lstrip(SPACE) for p in self.ids):
-            return None
-        joined = {c for p in self.ids if len(p) > 1 for c in p}
-        alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joined and chr(c) != " ")
-        single = f"[{alone}]|" if alone else ""
-        return re.compile(f"{single}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+")
+    def _adjacent(self) -> None:
+        """Which characters stand side by side in any piece. Where two do not, no piece crosses and a text can be cut."""
+        chars = sorted({c for p in self.shorter for c in p})
+        number = {c: k + 1 for k, c in enumerate(chars)}
+        self.char_class = np.zeros(0x110000, np.int16)
+        self.char_class[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.joined = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+        for p in self.shorter:
+            for a, b in zip(p, p[1:]):
+                self.joined[number[a], number[b]] = True
+        self.between = next(chr(k) for k in range(0x10000) if chr(k) not in number)  # joins segments for one search
 
     def _clear(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.held = 0
+        self.known = HashIndex()
         self.flat, self.sizes, self.first = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _learn(self, new: set[str]) -> None:
-        ids = [self.token_ids(self.tokens(s)) for s in new]
-        self.held += sum(map(len, new))
-        self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
-        self.flat = np.concatenate([self.flat, *(np.array(i, np.int32) for i in ids)])
+    def _learn(self, hashes: np.ndarray, segments: list[str]) -> None:
+        longest = self._search(self.between.join(segments))
+        ids, at = [], 0
+        for s in segments:
+            ids.append(self.token_ids(self._walk(longest, at, len(s))))
+            at += len(s) + 1
+        self.known.add(hashes)
+        self.flat = np.concatenate([self.flat, np.fromiter((i for own in ids for i in own), np.int32)])
         self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, ids), np.int64, len(ids))])
         self.first = np.cumsum(self.sizes) - self.sizes
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one after the other, and how many each has. Equal segments are searched once."""
-        parts: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            if text:
-                text = self.prefix + text.replace(" ", SPACE)
-                own = self.segments.findall(text) if self.segments else [text]
-                parts += own
-                counts[k] = len(own)
-        if len(self.codes) > _CACHE_SEGMENTS or self.held > _CACHE_LENGTH:
-            self._clear()
-        missing = set(parts).difference(self.codes)
-        if missing:
-            self._learn(missing)
-        code = np.fromiter(map(self.codes.__getitem__, parts), np.int64, len(parts))
+    def _chunk(self, text: str, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the segments text[starts:ends], which follow each other, and the number of ids of each."""
+        lo, hi = int(starts[0]), int(ends[-1])
+        if len(starts) == 1 and hi - lo > _LONG:
+            ids = np.array(self.token_ids(self.tokens(text[lo:hi])), np.int32)
+            return ids, np.array([len(ids)])
+        sums, down = window_sums(mix(points[lo:hi].astype(np.uint64) + np.uint64(1)), hi - lo)
+        a, b = starts - lo, ends - lo
+        hashes, where, own = np.unique(mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64)), return_index=True, return_inverse=True)
+        new = self.known.missing(hashes)
+        if len(new):
+            if len(self.known) + len(new) > _CACHE_SEGMENTS or len(self.flat) > _CACHE_IDS:
+                self._clear()
+                new = np.arange(len(hashes))
+            self._learn(hashes[new], [text[x:y] for x, y in zip(starts[where[new]].tolist(), ends[where[new]].tolist())])
+        code = self.known.find(hashes)[own]
         sizes = self.sizes[code]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.first[code] - (ends - sizes), sizes) + np.arange(total)]
-        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return ids, np.diff(upto)
+        upto = np.cumsum(sizes)
+        return self.flat[np.repeat(self.first[code] - (upto - sizes), sizes) + np.arange(int(upto[-1]))], sizes
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and how many each has.
+
+        Texts are cut wherever no piece crosses. Equal segments (by a 64-bit hash) are searched once and looked up afterwards.
+        """
+        ready = [self.prefix + t.replace(" ", SPACE) if t else "" for t in texts]
+        text = "".join(ready)
+        if not text:
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        opens = np.zeros(len(points) + 1, bool)
+        if self.fallback:  # else unknown neighbours make one id, over any cut
+            kind = self.char_class[points]
+            opens[1:-1] = ~self.joined[kind[:-1], kind[1:]]
+        rows = np.concatenate([[0], np.cumsum([len(r) for r in ready])])
+        opens[rows] = True
+        bounds = np.flatnonzero(opens)
+        starts, ends = bounds[:-1], bounds[1:]
+        # a long segment is a chunk of its own; the others go by about PIECE characters
+        long = ends - starts > _LONG
+        breaks = np.flatnonzero(long[1:] | long[:-1] | (starts[1:] // PIECE != starts[:-1] // PIECE)) + 1
+        ids, sizes = [], []
+        for a, b in zip([0, *breaks.tolist()], [*breaks.tolist(), len(starts)]):
+            own, size = self._chunk(text, points, starts[a:b], ends[a:b])
+            ids.append(own)
+            sizes.append(size)
+        upto = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        return np.concatenate(ids), np.diff(upto[np.searchsorted(bounds, rows)])
 
     def _decode_table(self, proto) -> None:
         raw = [{NORMAL: p.piece.replace(SPACE, " "), UNKNOWN: UNKNOWN_TEXT}.get(p.type, "").encode() for p in proto.pieces]

@@ -34,24 +34,63 @@ def _cuts(data: np.ndarray, lo: int, hi: int, member: np.ndarray) -> Iterator[tu
         yield lo, hi
 
 
-def run_hashes(data: np.ndarray, offsets: np.ndarray, i: int, j: int, member: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and row (from 0) of each maximal run of ``member`` bytes in rows i..j-1, in order.
-
-    ``values`` has a number for each byte; bytes that are to count as equal have the same one.
-    """
-    hashes, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+def run_spans(data: np.ndarray, offsets: np.ndarray, i: int, j: int, member: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """First byte, end and row (from 0) of each maximal run of ``member`` bytes in rows i..j-1, in order, piece by piece."""
     for lo, hi in _cuts(data, int(offsets[i]), int(offsets[j]), member):
-        piece = data[lo:hi]
-        inside = member[piece]
+        inside = member[data[lo:hi]]
         opens, closes = inside.copy(), inside.copy()
         opens[1:] &= ~inside[:-1]
         closes[:-1] &= ~inside[1:]
         breaks = offsets[i:j] - lo
-        breaks = breaks[(breaks > 0) & (breaks < len(piece))]
+        breaks = breaks[(breaks > 0) & (breaks < hi - lo)]
         opens[breaks] |= inside[breaks]
         closes[breaks - 1] |= inside[breaks - 1]
-        starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-        sums, down = window_sums(values[piece], len(piece))
-        hashes.append(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
-        rows.append(np.searchsorted(offsets[i : j + 1], starts + lo, "right") - 1)
+        starts, ends = np.flatnonzero(opens) + lo, np.flatnonzero(closes) + 1 + lo
+        yield starts, ends, np.searchsorted(offsets[i : j + 1], starts, "right") - 1
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Hashes of the ascending spans data[starts:ends] by ``values``, a number for each byte; bytes that are to count as equal have the same one."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lo, hi = int(starts[0]), int(ends[-1])
+    sums, down = window_sums(values[data[lo:hi]], hi - lo)
+    a, b = starts - lo, ends - lo
+    return mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
+
+
+def run_hashes(data: np.ndarray, offsets: np.ndarray, i: int, j: int, member: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and row of each run of ``run_spans``."""
+    hashes, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for starts, ends, row in run_spans(data, offsets, i, j, member):
+        hashes.append(span_hashes(data, starts, ends, values))
+        rows.append(row)
     return np.concatenate(hashes), np.concatenate(rows)
+
+
+class HashIndex:
+    """Numbers 0, 1, 2, ... of 64-bit hashes, for lookups of whole arrays."""
+
+    def __init__(self):
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def missing(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the hashes without a number."""
+        if not len(self.keys):
+            return np.arange(len(hashes))
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.flatnonzero(self.keys[at] != hashes)
+
+    def add(self, hashes: np.ndarray) -> None:
+        """Number new hashes in their order."""
+        keys = np.concatenate([self.keys, hashes])
+        numbers = np.concatenate([self.numbers, np.arange(len(self.keys), len(keys))])
+        order = np.argsort(keys, kind="stable")  # two runs, the first of them sorted: merged, not sorted anew
+        self.keys, self.numbers = keys[order], numbers[order]
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of hashes that all have one."""
+        return self.numbers[np.searchsorted(self.keys, hashes)]
