@@ -63,7 +63,17 @@ def store(df: DataFrame, name: str, *, partition_by: tuple[str, ...] = ()) -> Da
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``store`` wrote, once what was made of them is written itself. Nothing that still has to run may read them."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._stored_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fill_cores(df: DataFrame) -> DataFrame:
