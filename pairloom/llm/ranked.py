@@ -163,7 +163,7 @@ class Block:
         upto = np.searchsorted(rank[group][docs], np.arange(len(order)), "right")  # documents of the first masks
         mask, step, done = 0, FIRST_STEP, 0
         while mask < len(order) and bound[order[mask]] > 0 and not (len(best) == k and -best[-1][0] > bound[order[mask]]):
-            mask = min(int(np.searchsorted(upto, done + step)) + 1, len(order))
+            mask = max(mask + 1, int(np.searchsorted(upto, done + step, "right")))
             some = np.sort(docs[done : upto[mask - 1]])
             score = self.scores(rows, some)
             floor = -best[-1][0] if len(best) == k else 1
