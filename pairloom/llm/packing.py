@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 import types
+import unicodedata
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -15,7 +17,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import row_runs, text_view
+from .common import BYTE_VALUE, CLOSING, WHITE, row_runs, text_view
+from .runs import Column, HashIndex, run_spans, span_hashes
 
 LENGTH = 2048
 END_ID = 1
@@ -24,7 +27,7 @@ DOCUMENT, SENTENCE, INSIDE = 0, 2, 48
 #: Tokens packed at once; a longer document is packed whole.
 SEGMENT = 1 << 20
 #: Distinct words that a worker process remembers.
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 1_000_000
 
 
 def _encoder(path: str, end_id: int) -> WordEncoder:
@@ -38,8 +41,9 @@ def _encoder(path: str, end_id: int) -> WordEncoder:
 class WordEncoder:
     """Token ids of texts by a tokenizer that never joins words over white space.
 
-    Every distinct word is encoded once and looked up afterwards; the table is emptied
-    when it is full. Code 0 stands for the end of a document.
+    A word's closing marks are a part of their own to the tokenizer if what is before them is plain letters. Every distinct part is
+    encoded once and looked up afterwards by a 64-bit hash of its bytes; the table is emptied
+    when it is full. Number 0 stands for the end of a document.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -50,79 +54,106 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.codes: dict[bytes | None, int] = {None: 0}
-        self.flat = np.array([self.end_id], np.uint32)
-        self.lengths, self.kind, self.first = np.array([1]), np.array([DOCUMENT]), np.array([0])
-        # words are put together from parts; part 0 is empty
-        self.parts: dict[str, int] = {"": 0}
-        self.part_ids, self.part_sizes = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def _encode_each(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = [g.ids for g in got]
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
-        return [flat], [np.fromiter(map(len, ids), np.int64, len(ids))]
-
-    def _encode_letters(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Each text is letters only, so one part to the tokenizer: many are encoded as one line."""
-        ids, sizes = [], []
-        for k in range(0, len(texts), 2000):
-            chunk = texts[k : k + 2000]
+        self.known = HashIndex()
+        self.flat, self.plain, self.lengths, self.first = (Column(t) for t in (np.uint32, bool, np.int64, np.int64))
+        self._add(np.zeros(1, np.uint64), [[self.end_id]], np.zeros(1, bool))
+
+    def _add(self, hashes: np.ndarray, ids: list[list[int]], plain: np.ndarray) -> None:
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.known.add(hashes)
+        self.plain.extend(plain)
+        self.first.extend(len(self.flat) + np.cumsum(lengths) - lengths)
+        self.lengths.extend(lengths)
+        self.flat.extend(np.fromiter(chain.from_iterable(ids), np.uint32))
+
+    def _encode_letters(self, words: list[str]) -> list[list[int]]:
+        """Each word is plain letters, so one part to the tokenizer: many are encoded as one line."""
+        out: list[list[int]] = []
+        for k in range(0, len(words), 2000):
+            chunk = words[k : k + 2000]
             got = self.tokenizer.encode(" ".join(chunk), add_special_tokens=False)
-            size = np.bincount(np.array(got.word_ids, np.int64), minlength=len(chunk))
-            if len(size) != len(chunk) or not size.all():  # a character came apart in normal form
-                flat, size = self._encode_each(chunk)
-                ids, sizes = ids + flat, sizes + size
-            else:
-                ids.append(np.array(got.ids, np.uint32))
-                sizes.append(size)
-        return ids, sizes
-
-    def _learn(self, new: set[bytes]) -> None:
-        words = list(new)
-        line = b" ".join(words)
-        whole = line.decode("utf-8").split(" ")
-        cores = [w.rstrip(".,;:!?") for w in line.lower().decode("utf-8").split(" ")]
-        split = list(map(str.isalpha, cores))
-        tails = [w[len(c) :] if s else "" for w, c, s in zip(whole, cores, split)]
-        cores = [c if s else w for w, c, s in zip(whole, cores, split)]
-        letters = {c for c, s in zip(cores, split) if s}.difference(self.parts)
-        others = {c for c, s in zip(cores, split) if not s}.union(tails).difference(self.parts)
-        for group, encode in ((list(letters), self._encode_letters), (list(others), self._encode_each)):
-            if group:
-                ids, sizes = encode(group)
-                self.parts.update(zip(group, range(len(self.parts), len(self.parts) + len(group))))
-                self.part_ids = np.concatenate([self.part_ids, *ids])
-                self.part_sizes = np.concatenate([self.part_sizes, *sizes])
-        n = len(words)
-        part = np.empty(2 * n, np.int64)
-        part[0::2] = np.fromiter(map(self.parts.__getitem__, cores), np.int64, n)
-        part[1::2] = np.fromiter(map(self.parts.__getitem__, tails), np.int64, n)
-        size = self.part_sizes[part]
-        begin = (np.cumsum(self.part_sizes) - self.part_sizes)[part] - (np.cumsum(size) - size)
-        self.flat = np.concatenate([self.flat, self.part_ids[np.repeat(begin, size) + np.arange(int(size.sum()))]])
-        self.lengths = np.concatenate([self.lengths, size[0::2] + size[1::2]])
-        last = np.fromiter((w[-1] for w in words), np.uint8, n)
-        self.kind = np.concatenate([self.kind, np.where(np.isin(last, list(b".!?")), SENTENCE, INSIDE)])
-        self.codes.update(zip(words, range(len(self.codes), len(self.codes) + n)))
-        self.first = np.cumsum(self.lengths) - self.lengths
+            ends = np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(chunk) + 1)).tolist()
+            ids = got.ids
+            out += [ids[a:b] for a, b in zip(ends, ends[1:])]
+        return out
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts, each followed by the end id; the position after each word; the kind of a cut there."""
-        words: list[bytes | None] = []
-        for text in texts:
-            words += text.split()
-            words.append(None)
-        if len(self.codes) > _CACHE_WORDS:
+    def _learn(self, hashes: np.ndarray, parts: list[bytes]) -> None:
+        texts = [p.decode("utf-8") for p in parts]
+        plain = np.fromiter((PLAIN_WORD.fullmatch(t) is not None for t in texts), bool, len(texts))
+        ids: list[list[int]] = [[]] * len(texts)
+        letters, rest = np.flatnonzero(plain).tolist(), np.flatnonzero(~plain).tolist()
+        for k, own in zip(letters, self._encode_letters([texts[k] for k in letters])):
+            ids[k] = own
+        for k, own in zip(rest, self.tokenizer.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False)):
+            ids[k] = own.ids
+        self._add(hashes, ids, plain)
+
+    def _numbers(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Numbers of the parts data[starts:ends], ascending spans; parts that are new are learned."""
+        if not len(starts):
+            return np.zeros(0, np.int64)
+        distinct, where, own = np.unique(span_hashes(data, starts, ends, BYTE_VALUE), return_index=True, return_inverse=True)
+        number = self.known.find(distinct)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            lo = int(starts[0])
+            raw = data[lo : int(ends[-1])].tobytes()
+            self._learn(distinct[new], [raw[x:y] for x, y in zip((starts[where[new]] - lo).tolist(), (ends[where[new]] - lo).tolist())])
+            number[new] = np.arange(len(self.known) - len(new), len(self.known))
+        return number[own]
+
+    def _words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each word the numbers of its first part and of the closing marks behind it (-1 if they belong to the first part)."""
+        lo, hi = int(starts[0]), int(ends[-1])
+        other = np.flatnonzero(~CLOSING[data[lo:hi]])
+        last = np.searchsorted(other, ends - lo) - 1  # the last byte of each word that is no closing mark
+        core = np.where((last >= 0) & (other[np.maximum(last, 0)] >= starts - lo), other[np.maximum(last, 0)] + lo + 1, ends) if len(other) else ends
+        first = self._numbers(data, starts, core)
+        whole = (core < ends) & ~self.plain.values[first]
+        first[whole] = self._numbers(data, starts[whole], ends[whole])
+        marks = np.flatnonzero((core < ends) & ~whole)
+        second = np.full(len(starts), -1)
+        second[marks] = self._numbers(data, core[marks], ends[marks])
+        return first, second
+
+    def encode_rows(self, data: np.ndarray, offsets: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of rows i..j-1, each followed by the end id; the position after each word; the kind of a cut there."""
+        if len(self.known) > _CACHE_WORDS:
             self._clear()
-        missing = set(words).difference(self.codes)
-        if missing:
-            self._learn(missing)
-        code = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
-        lengths = self.lengths[code]
+        pieces = [(*self._words(data, starts, ends), data[ends - 1], row) for starts, ends, row in run_spans(data, offsets, i, j, ~WHITE) if len(starts)]
+        none = np.zeros(0, np.int64)
+        first, second, closing, row = (np.concatenate(c) for c in zip(*pieces)) if pieces else (none, none, none.astype(np.uint8), none)
+        # two places for each word and one for the end of each document, in order
+        place = 2 * np.arange(len(first)) + row
+        code = np.full(2 * len(first) + j - i, 0, np.int64)
+        code[place], code[place + 1] = first, second
+        lengths = np.where(code >= 0, self.lengths.values[code], 0)
         after = np.cumsum(lengths)
-        index = np.repeat(self.first[code] - (after - lengths), lengths) + np.arange(int(after[-1]) if len(after) else 0)
-        return self.flat[index], after, self.kind[code]
+        index = np.repeat(self.first.values[code] - (after - lengths), lengths) + np.arange(int(after[-1]) if len(after) else 0)
+        kind = np.full(len(code), DOCUMENT)
+        kind[place + 1] = np.where(SENTENCE_END[closing], SENTENCE, INSIDE)
+        ends = np.ones(len(code), bool)
+        ends[place] = False
+        return self.flat.values[index], after[ends], kind[ends]
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``encode_rows`` of texts given one by one."""
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        return self.encode_rows(data, offsets, 0, len(texts))
+
+
+def _plain_letters() -> str:
+    """Letters that stay one letter, and start no combination, under the normal form and lower case: those of
+    Latin, Greek and Cyrillic in one piece. No mark that combines is among them, so a run of them stays letters."""
+    return "".join(
+        c for c in map(chr, range(0x41, 0x530)) if c.isalpha() and len(c.lower()) == 1 and c.lower().isalpha() and unicodedata.normalize("NFC", c) == c and unicodedata.category(c) in ("Lu", "Ll")
+    )
+
+
+PLAIN_WORD = re.compile(f"[{_plain_letters()}]+")
+SENTENCE_END = np.zeros(256, bool)
+SENTENCE_END[list(b".!?")] = True
 
 
 def cut_points(total: int, at: np.ndarray, cost: np.ndarray, length: int = LENGTH, inside: int = INSIDE) -> np.ndarray:
@@ -197,8 +228,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
         for batch in batches:
             data, offsets = text_view(batch.column(1))
             for i, j in row_runs(offsets):
-                texts = [data[offsets[k] : offsets[k + 1]].tobytes() for k in range(i, j)]
-                held.append((batch.column(0).slice(i, j - i), *encoder.encode(texts)))
+                held.append((batch.column(0).slice(i, j - i), *encoder.encode_rows(data, offsets, i, j)))
                 tokens += len(held[-1][1])
                 if tokens >= SEGMENT:
                     out, sequence = _pieces(held, sequence, length)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import PIECE, mix, row_runs, text_view, window_sums
-from .runs import HashIndex
+from .runs import Column, HashIndex
 
 SPACE = "▁"
 #: Distinct segments, and ids of them all, that a worker process remembers; a longer segment is searched each time.
@@ -177,7 +177,7 @@ class PieceModel:
 
     def _clear(self) -> None:
         self.known = HashIndex()
-        self.flat, self.sizes, self.first = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.sizes, self.first = Column(np.int32), Column(np.int64), Column(np.int64)
 
     def _learn(self, hashes: np.ndarray, segments: list[str]) -> None:
         longest = self._search(self.between.join(segments))
@@ -185,10 +185,11 @@ class PieceModel:
         for s in segments:
             ids.append(self.token_ids(self._walk(longest, at, len(s))))
             at += len(s) + 1
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         self.known.add(hashes)
-        self.flat = np.concatenate([self.flat, np.fromiter((i for own in ids for i in own), np.int32)])
-        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, ids), np.int64, len(ids))])
-        self.first = np.cumsum(self.sizes) - self.sizes
+        self.first.extend(len(self.flat) + np.cumsum(sizes) - sizes)
+        self.sizes.extend(sizes)
+        self.flat.extend(np.fromiter((i for own in ids for i in own), np.int32))
 
     def _chunk(self, text: str, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the segments text[starts:ends], which follow each other, and the number of ids of each."""
@@ -199,16 +200,18 @@ class PieceModel:
         sums, down = window_sums(mix(points[lo:hi].astype(np.uint64) + np.uint64(1)), hi - lo)
         a, b = starts - lo, ends - lo
         hashes, where, own = np.unique(mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64)), return_index=True, return_inverse=True)
-        new = self.known.missing(hashes)
+        number = self.known.find(hashes)
+        new = np.flatnonzero(number < 0)
         if len(new):
             if len(self.known) + len(new) > _CACHE_SEGMENTS or len(self.flat) > _CACHE_IDS:
                 self._clear()
                 new = np.arange(len(hashes))
             self._learn(hashes[new], [text[x:y] for x, y in zip(starts[where[new]].tolist(), ends[where[new]].tolist())])
-        code = self.known.find(hashes)[own]
-        sizes = self.sizes[code]
+            number[new] = np.arange(len(self.known) - len(new), len(self.known))
+        code = number[own]
+        sizes = self.sizes.values[code]
         upto = np.cumsum(sizes)
-        return self.flat[np.repeat(self.first[code] - (upto - sizes), sizes) + np.arange(int(upto[-1]))], sizes
+        return self.flat.values[np.repeat(self.first.values[code] - (upto - sizes), sizes) + np.arange(int(upto[-1]))], sizes
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has.

@@ -68,29 +68,63 @@ def run_hashes(data: np.ndarray, offsets: np.ndarray, i: int, j: int, member: np
     return np.concatenate(hashes), np.concatenate(rows)
 
 
+class Column:
+    """An array that grows at its end without being copied each time."""
+
+    def __init__(self, kind: type):
+        self._held, self._n = np.zeros(1024, kind), 0
+
+    def __len__(self) -> int:
+        return self._n
+
+    @property
+    def values(self) -> np.ndarray:
+        return self._held[: self._n]
+
+    def extend(self, more: np.ndarray) -> None:
+        n = self._n + len(more)
+        if n > len(self._held):
+            self._held = np.concatenate([self.values, np.zeros(max(n, 2 * self._n) - self._n, self._held.dtype)])
+        self._held[self._n : n] = more
+        self._n = n
+
+
 class HashIndex:
-    """Numbers 0, 1, 2, ... of 64-bit hashes, for lookups of whole arrays."""
+    """Numbers 0, 1, 2, ... of 64-bit hashes, for lookups of whole arrays.
+
+    New hashes wait in a small table of their own until there are enough to be worth a merge.
+    """
+
+    WAITING = 1 << 16
 
     def __init__(self):
-        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        empty = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.tables = [empty, empty]
 
     def __len__(self) -> int:
-        return len(self.keys)
+        return sum(len(keys) for keys, _ in self.tables)
 
-    def missing(self, hashes: np.ndarray) -> np.ndarray:
-        """Places of the hashes without a number."""
-        if not len(self.keys):
-            return np.arange(len(hashes))
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        return np.flatnonzero(self.keys[at] != hashes)
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The numbers of hashes, -1 for those without one."""
+        out = np.full(len(hashes), -1)
+        for keys, numbers in self.tables:
+            left = np.flatnonzero(out < 0)
+            if len(keys) and len(left):
+                at = np.minimum(np.searchsorted(keys, hashes[left]), len(keys) - 1)
+                out[left] = np.where(keys[at] == hashes[left], numbers[at], -1)
+        return out
 
     def add(self, hashes: np.ndarray) -> None:
         """Number new hashes in their order."""
-        keys = np.concatenate([self.keys, hashes])
-        numbers = np.concatenate([self.numbers, np.arange(len(self.keys), len(keys))])
-        order = np.argsort(keys, kind="stable")  # two runs, the first of them sorted: merged, not sorted anew
-        self.keys, self.numbers = keys[order], numbers[order]
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Numbers of hashes that all have one."""
-        return self.numbers[np.searchsorted(self.keys, hashes)]
+        new = hashes, np.arange(len(self), len(self) + len(hashes))
+        main, waiting = self.tables
+        waiting = self._merged(waiting, new)
+        if len(waiting[0]) > self.WAITING:
+            main, waiting = self._merged(main, waiting), (waiting[0][:0], waiting[1][:0])
+        self.tables = [main, waiting]
+
+    @staticmethod
+    def _merged(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.concatenate([x[0], y[0]])
+        order = np.argsort(keys, kind="stable")
+        return keys[order], np.concatenate([x[1], y[1]])[order]
