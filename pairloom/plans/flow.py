@@ -24,7 +24,8 @@ from ..sources.comparisons import check_columns, complete_rows, quarantine
 @dataclass(frozen=True)
 class FlowConfig:
     """Settings of a run. Without a plan the stages share all training rows in the scaled proportions; without
-    ``eval_rows`` the whole evaluation split is used; without ``step_cap`` no policy batch is left out of the statistics."""
+    ``eval_rows`` the whole evaluation split is used; without ``step_cap`` no policy batch is left out of the statistics.
+    The policy stage leaves a manifest after every ``save_every`` batches."""
 
     run: str = "run"
     plan: splits.StagePlan | None = None
@@ -35,6 +36,7 @@ class FlowConfig:
     max_length: int = 1024
     eval_rows: int | None = None
     step_cap: int | None = None
+    save_every: int = 100
 
 
 @dataclass
@@ -176,6 +178,9 @@ class Flow:
         stats = self.spark.read.parquet(self.path("policy/stats")).withColumn("run", F.lit(c.run))
         names = ["reward_mean", "reward_std", "reward_min", "reward_max"]
         runlog.replace_log(runlog.metrics_long(stats, stage="ppo", metrics=names, step="batch_id"), self.path("log"))
+        log = stats.select("run", (F.col("batch_id") + 1).alias("step"), "reward_mean")
+        states = manifests.checkpoint_states(log, value="reward_mean", every=c.save_every, higher_is_better=True)
+        manifests.write_checkpoints(states, self.path("policy/checkpoints"), settings={"base_sft_model": self.base_path(), "reward_model": self.path("reward/model")})
         last = F.max_by(F.struct("reward_mean", "reward_std"), "batch_id")
         totals = stats.groupBy("run").agg(
             F.count(F.lit(1)).alias("total_steps"), F.min("reward_min").alias("reward_min"), F.max("reward_max").alias("reward_max"), last.alias("f")

@@ -39,13 +39,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *, spread: bool = False)
 
 
 def _state(spark: SparkSession, folder: str) -> tuple:
-    """Names, sizes and times of the files of a folder's tables, one level of part files included."""
+    """Names, sizes and times of all files below a folder, partition folders included."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
     out = []
-    for top in files.listStatus(path):
-        for f in files.listStatus(top.getPath()) if top.isDirectory() else [top]:
-            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
     return tuple(sorted(out))
 
 

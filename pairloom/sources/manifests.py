@@ -82,19 +82,23 @@ def write_report(reports: DataFrame, path: str) -> None:
     reports.select("report").write.mode("overwrite").text(path)
 
 
-def checkpoint_states(log: DataFrame, *, run: Sequence[str] = ("run",), step: str = "step", value: str = "loss", every: int) -> DataFrame:
+def checkpoint_states(
+    log: DataFrame, *, run: Sequence[str] = ("run",), step: str = "step", value: str = "loss", every: int, higher_is_better: bool = False
+) -> DataFrame:
     """What a checkpoint after each due step (every ``every`` steps, counted from 1) knows of its run.
 
     Returns run..., step, n, mean and std (over all steps so far), last_value, eval_loss (the mean since the due step
-    before), best_loss (the least eval loss so far) and is_best (strictly below every earlier one).
+    before), best_loss (the least eval loss so far) and is_best (strictly below every earlier one); with ``higher_is_better``, for
+    rewards, the highest so far and strictly above.
     """
+    sign = -1.0 if higher_is_better else 1.0
     run = list(run)
     states = moments_upto(log, run=run, step=step, value=value, every=every).withColumnRenamed("stretch_mean", "eval_loss")
     # due steps are numbered 1, 2, ... for the blocks of the running minimum
-    placed = states.withColumn("__k", idiv(step, every))
-    flagged = best_so_far(placed, run=run, step="__k", loss="eval_loss")
-    best = prior_min(flagged, run=run, step="__k", value="eval_loss", out="__prior")
-    return best.withColumn("best_loss", F.least("__prior", "eval_loss")).drop("__k", "__prior")
+    placed = states.withColumns({"__k": idiv(step, every), "__judged": F.col("eval_loss") * sign})
+    flagged = best_so_far(placed, run=run, step="__k", loss="__judged")
+    best = prior_min(flagged, run=run, step="__k", value="__judged", out="__prior")
+    return best.withColumn("best_loss", F.least("__prior", "__judged") * sign).drop("__k", "__prior", "__judged")
 
 
 def write_checkpoints(states: DataFrame, path: str, *, run: str = "run", step: str = "step", settings: dict | None = None) -> None:

@@ -247,7 +247,7 @@ def test_flow_runs_skips_and_reports(spark, tmp_path):
     rows = inputs.pairs(spark, SF).rows.withColumn("idx", F.col("split_pos"))
     plan = StagePlan((Stage("sft", 0, 12), Stage("reward", 12, 22), Stage("policy", 24, 30)))
     config = FlowConfig(
-        run="r1", plan=plan, sft=bt.BatchPlan(2, 2, 2), reward=bt.BatchPlan(2, 2, 1), policy=bt.BatchPlan(4, 1, 1), vocab_size=500
+        run="r1", plan=plan, sft=bt.BatchPlan(2, 2, 2), reward=bt.BatchPlan(2, 2, 1), policy=bt.BatchPlan(4, 1, 1), vocab_size=500, save_every=1
     )
     flow = Flow(spark, rows, str(tmp_path / "out"), config)
     assert flow.run() == ["sft", "reward", "policy"]
@@ -263,6 +263,9 @@ def test_flow_runs_skips_and_reports(spark, tmp_path):
     assert flow.reports()["eval_reuse"].count() == rows.filter("split = 'valid1'").count() == 3
     assert log.filter("name = 'reward/accuracy'").count() == 2
     manifest = json.loads(spark.read.text(flow.path("policy/manifest")).first()[0])
+    saved = manifests.read_manifests(spark, flow.path("policy/checkpoints"), manifests.CHECKPOINT_SCHEMA).orderBy("epoch").collect()
+    assert [(r.run, r.epoch, r.is_best, r.base_sft_model) for r in saved][0] == ("r1", 1, True, flow.path("sft")) and len(saved) == 2
+    assert saved[1].best_loss == max(r.eval_loss for r in saved)
     assert manifest["total_steps"] == 2 and manifest["data_splits"]["policy_samples"] == "24-29"
     assert "Steps: 2" in "\n".join(r[0] for r in spark.read.text(flow.path("policy/report")).collect())
     assert {r.stage for r in flow.reports()["splits"].collect()} >= {"gap_before_policy", "unused"}

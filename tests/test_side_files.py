@@ -79,6 +79,8 @@ def test_checkpoints_know_their_run_so_far(spark, tmp_path):
         ("a", 2, 2, 4.5, 4.5, True), ("a", 4, 4, 4.0, 4.0, True), ("a", 6, 6, 5.0, 4.0, False), ("a", 8, 8, 0.5, 0.5, True), ("b/1", 2, 2, 1.0, 1.0, True),
     ]
     assert back[1].reward_mean == pytest.approx(4.25) and back[1].reward_std == pytest.approx(np.std(losses[:4], ddof=1)) and back[1].last_value == 2.0
+    rewards = manifests.checkpoint_states(log.filter("run = 'a'"), every=2, higher_is_better=True).orderBy("step").collect()
+    assert [(r.best_loss, r.is_best) for r in rewards] == [(4.5, True), (4.5, False), (5.0, True), (5.0, False)]
     assert {r.model_type for r in back} == {"ppo_checkpoint"} and {r.base_sft_model for r in back} == {"sft"}
     assert len([p for p in (tmp_path / "c").iterdir() if p.is_dir()]) == 2
 
