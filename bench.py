@@ -13,7 +13,7 @@ import os
 import sys
 import time
 
-from pairloom.plans import inputs
+from pairloom.plans import inputs, run_queries
 from pairloom.plans.catalog import QUERIES
 from pairloom.session import build_session
 
@@ -24,6 +24,8 @@ SETUP = {
     "logged_rollouts": inputs.logged_rollouts,
     "run_steps": inputs.run_steps,
     "doc_pairs": inputs.featured_doc_pairs,
+    "split_pairs": run_queries._split_pairs,
+    "reward_head": run_queries._head,
     "reference_lm": inputs.reference_lm,
     "policy_lm": inputs.policy_lm,
     "lm_scores": inputs.lm_scores,
@@ -31,10 +33,11 @@ SETUP = {
 #: The prepared tables that a query reads.
 NEEDS = {
     **dict.fromkeys(("lm_eval_loss", "kl_watch"), ("reference_lm", "policy_lm", "lm_scores")),
-    **dict.fromkeys(("reward_fit", "reward_eval"), ("doc_pairs",)),
+    "reward_split": ("doc_pairs", "split_pairs"),
+    **dict.fromkeys(("reward_fit", "reward_eval"), ("doc_pairs", "split_pairs", "reward_head")),
     **dict.fromkeys(("encode", "decode", "truncate", "attention_mask", "pad_batch", "causal_labels", "stack_batch"), ("pairs", "chat_vocab", "encoded_chats")),
     **dict.fromkeys(("prompt_budget", "rollout_rewards"), ("pairs", "chat_vocab", "logged_rollouts")),
-    **dict.fromkeys(("accum_loss", "eval_loss", "metric_merge", "metric_format", "best_so_far", "best_checkpoint"), ("run_steps",)),
+    **dict.fromkeys(("accum_loss", "eval_loss", "metric_merge", "metric_format", "best_so_far", "best_checkpoint", "checkpoint_manifests"), ("run_steps",)),
 }
 
 
