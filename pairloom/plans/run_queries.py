@@ -322,7 +322,7 @@ sql.CTES["dealt"] = """SELECT *, row_number() OVER (PARTITION BY lang, quality O
 sql.CTES["split_pairs"] = """SELECT *, CASE WHEN component % 10 = 9 THEN 'valid1' ELSE 'train' END AS split FROM (
         SELECT g.lang, g.doc_id AS chosen_id, b.doc_id AS rejected_id, g.f AS c, b.f AS r,
             least(b.doc_id, min(g.doc_id) OVER (PARTITION BY b.doc_id)) AS component
-        FROM dealt g JOIN dealt b ON g.quality = 1 AND b.quality = 0 AND b.lang = g.lang AND b.r = g.r % g.n_bad)"""
+        FROM dealt g JOIN dealt b ON g.quality = 1 AND b.quality = 0 AND b.lang = g.lang AND b.r = g.r % nullif(g.n_bad, 0))"""
 FEATURED = ("doc_features", "dealt", "split_pairs")
 HEAD_REG, HEAD_STEPS = 1e-3, 1500
 _J = ", ".join(f"avg(d[{j}] / (1 + exp(m)))" for j in range(1, len(models.TEXT_FEATURES) + 1))
