@@ -7,24 +7,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import text_shingles
 
-#: Share of all shingle hashes that a fingerprint keeps: 1 in ONE_IN.
-ONE_IN = 8
+#: Share of all shingle hashes that a fingerprint keeps: 1 in ONE_IN. Short texts need a large share: of n shingles none is kept
+#: with a probability of 2^-n, and a share of p in another text is read off with a deviation of sqrt(2 p (1 - p) / n).
+ONE_IN = 2
 _FIRST = -(2**63)
+#: Bytes of text that one task takes.
+_TASK_BYTES = 32 << 20
 
 
 def fingerprints(texts: pa.Array, words: int = 5, one_in: int = ONE_IN) -> Iterator[np.ndarray]:
-    """Per text the shingle hashes below 2^64 / one_in, and the smallest one, so that no text with words is without.
+    """Per text the shingle hashes below 2^64 / one_in.
 
     Which hashes are kept does not depend on the text's length: the fingerprint of a union is the
     union of the fingerprints (``merge``), and containment can be read off between texts of any sizes.
     """
     limit = np.uint64(2**64 // one_in)
     for values in text_shingles(texts, words):
-        yield values[: max(int(np.searchsorted(values, limit)), min(1, len(values)))]
+        yield values[: int(np.searchsorted(values, limit))]
 
 
 def written(values: np.ndarray) -> str:
@@ -36,48 +39,66 @@ def read(text: str) -> np.ndarray:
     return np.frombuffer(bytes.fromhex(text), ">u8").astype(np.uint64)
 
 
-def merge(x: np.ndarray, y: np.ndarray, one_in: int = ONE_IN) -> np.ndarray:
+def merge(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The fingerprint of two texts' shingles together."""
-    both = np.union1d(x, y)
-    return both[: max(int(np.searchsorted(both, np.uint64(2**64 // one_in))), min(1, len(both)))]
+    return np.union1d(x, y)
 
 
 def likeness(x: np.ndarray, y: np.ndarray) -> float:
-    """Estimated share of the smaller text's shingles that the other holds, 0 to 1; two empty fingerprints are alike."""
+    """Estimated share of the smaller text's shingles that the other holds, 0 to 1; two empty fingerprints are alike, an empty and another are not."""
     least = min(len(x), len(y))
     if not least:
         return float(len(x) == len(y))
     return len(np.intersect1d(x, y, assume_unique=True)) / least
 
 
+def _placed_keys(spark: SparkSession, parts: int) -> np.ndarray:
+    """For each partition a number that a shuffle into ``parts`` partitions sends there, so that buckets do not fall together."""
+    tried = spark.range(40 * parts + 400).select("id", F.pmod(F.hash("id"), F.lit(parts)).alias("part"))
+    found = {r["part"]: r["id"] for r in tried.groupBy("part").agg(F.min("id").alias("id")).collect()}  # a row per partition
+    return np.array([found.get(p, p) for p in range(parts)], np.int64)
+
+
 def _neighbours(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows dealt to buckets by descending id and sorted in them, each bucket closed by the row that follows it.
 
-    Bounds come from the ids alone. The first row of a bucket also goes, as a guest, to the bucket
+    Bounds come from the ids alone, as many as the bytes of all texts ask for. An id that fills several buckets is cut by a hash of the text, by which
+    rows of one id are ordered. The first row of a bucket also goes, as a guest, to the bucket
     before it, and the first row of all to the last bucket; so a text is moved once.
     """
     spark = docs.sparkSession
-    ids = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_FIRST)).alias("id"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = ids.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)] or [0.5], 10 * max(parts, 1000))).first()[0]
-    bounds = np.unique(np.array(cuts or [], np.int64))  # ids up to a bound lie below it
-    bucket_of = lambda x: len(bounds) - np.searchsorted(bounds, x, "left")
-
-    def bucket(values: pa.Array) -> pa.Array:
-        return pa.array(bucket_of(values.to_numpy()).astype(np.int32))
-
-    heads = {r["b"]: r["id"] for r in ids.groupBy(F.arrow_udf(bucket, "int")("id").alias("b")).agg(F.max("id").alias("id")).collect()}
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.withColumns({"id": F.coalesce("doc_id", F.lit(_FIRST)), "h": F.xxhash64("text")})
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0)).alias("b")).first()["b"]
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // _TASK_BYTES))
+    cuts = rows.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)] or [0.5], 10 * max(parts, 1000))).first()[0]
+    bounds = np.sort(np.array(cuts or [], np.int64))  # ids up to a bound lie below it
+
+    def bucket_of(x: np.ndarray, h: np.ndarray) -> np.ndarray:
+        low, high = np.searchsorted(bounds, x, "left"), np.searchsorted(bounds, x, "right")
+        share = ((h >> 32) + (1 << 31)) / float(1 << 32)  # 0 to 1 by the hash
+        return len(bounds) - low - np.floor(share * np.maximum(high - low, 1)).astype(np.int64)
+
+    def bucket(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        return pa.array(bucket_of(ids.to_numpy(), hashes.to_numpy()).astype(np.int32))
+
+    slim = rows.select("id", "h", F.arrow_udf(bucket, "int")("id", "h").alias("b"))
+    heads = {r["b"]: (r["top"]["id"], r["top"]["h"]) for r in slim.groupBy("b").agg(F.max(F.struct("id", "h")).alias("top")).collect()}
     order = sorted(heads)  # one entry per bucket
     guest_of = {heads[b]: order[k - 1] for k, b in enumerate(order)}
+    keys = _placed_keys(spark, parts)
 
-    def places(values: pa.Array) -> pa.Array:
-        x = values.to_numpy()
-        return pa.array([[b, guest_of[i]] if i in guest_of else [b] for i, b in zip(x.tolist(), bucket_of(x).tolist())], pa.list_(pa.int32()))
+    def places(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        x, h = ids.to_numpy(), hashes.to_numpy()
+        own = bucket_of(x, h).tolist()
+        return pa.array([[b, guest_of[k]] if k in guest_of else [b] for k, b in zip(zip(x.tolist(), h.tolist()), own)], pa.list_(pa.int32()))
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("id", F.coalesce("doc_id", F.lit(_FIRST)))
-    dealt = rows.select("doc_id", "id", "text", F.posexplode(F.arrow_udf(places, "array<int>")("id")).alias("guest", "bucket"))
-    return dealt.repartition(parts, "bucket").sortWithinPartitions("bucket", "guest", F.desc("id"), "text").select("doc_id", "text", "guest", "bucket")
+    def key(buckets: pa.Array) -> pa.Array:
+        return pa.array(keys[buckets.to_numpy() % len(keys)])
+
+    dealt = rows.select("doc_id", "id", "h", "text", F.posexplode(F.arrow_udf(places, "array<int>")("id", "h")).alias("guest", "bucket"))
+    dealt = dealt.withColumn("key", F.arrow_udf(key, "bigint")("bucket"))
+    return dealt.repartition(parts, "key").sortWithinPartitions("bucket", "guest", F.desc("id"), F.desc("h"), "text").select("doc_id", "text", "guest", "bucket")
 
 
 def fingerprint_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, one_in: int = ONE_IN) -> DataFrame:
@@ -88,7 +109,7 @@ def fingerprint_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     edited_sha256, fingerprint, edited_fingerprint, near_edited (own against edited) and near_next (own against next).
 
     A null text is empty: it has the empty fingerprint, as a blank one has. A null doc_id comes after all
-    others; rows with the same doc_id follow by text; a single row is its own next.
+    others; rows with the same doc_id follow by a hash of the text, descending; a single row is its own next.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

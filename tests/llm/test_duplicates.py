@@ -9,6 +9,7 @@ import pytest
 
 from brute import TRICKY, frame, joined, shingles, similar, without_repeats, words
 from pairloom.llm import common, fingerprint, graph, lines, minhash, suffix
+from pairloom.llm.common import text_view
 
 SF = "/root/testdata/sf0.001"
 
@@ -116,6 +117,23 @@ def test_line_dedup(spark):
     assert lines.dedup_lines(frame(spark, [])).count() == 0
 
 
+def test_rows_that_repeat_a_document_go_together(spark):
+    line = "some line that is kept by the first document"
+    rows = [(1, line), (7, line), (7, line), (8, f"{line}\nand a line of its own\n"), (8, f"{line}\nand a line of its own\n"), (9, f"\n \n{line}\n"), (None, line)]
+    got = lines.dedup_lines(frame(spark, rows), counts=True).collect()
+    assert sorted((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got) == [(1, line, 0, 0), (8, "and a line of its own\n", 2, 1), (8, "and a line of its own\n", 2, 1)]
+
+
+def test_line_spans_are_those_of_a_split():
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice("ab \n\t\r") for _ in range(rnd.randrange(0, 30))) for _ in range(400)] + ["", "\n", "a", "a\n", "\na", " "]
+    data, offsets = text_view(pa.array(texts))
+    starts, ends, row, number = lines._line_spans(data, offsets, 0, len(texts))
+    got = [(r, k, bytes(data[a:b]).decode()) for a, b, r, k in zip(starts, ends, row.tolist(), number.tolist())]
+    assert got == [(r, k, x) for r, t in enumerate(texts) for k, x in enumerate(t.split("\n")) if x.strip(" \t\r\x0b\x0c")]
+    assert lines._gathered(data, starts, ends).to_pylist() == [x for _, _, x in got]
+
+
 def test_repeated_windows(spark):
     rnd = random.Random(2)
     make = lambda n: "".join(rnd.choice("abcde ") for _ in range(n))
@@ -151,6 +169,58 @@ def test_fingerprints(spark, rows):
     assert got == sorted(want, key=str)
 
 
+def independent_prints(text):
+    """A second version of the shingle rule, on words as bytes: equal sets must give equal fingerprints and the other way round."""
+    return frozenset(shingles(text))
+
+
+@pytest.mark.parametrize("n,miss,error", [(10, 0.05, 0.25), (20, 0.001, 0.15), (60, 0, 0.07), (300, 0, 0.03)])
+def test_likeness_by_length_of_the_text(n, miss, error):
+    """Texts wholly contained in one 30 times as long, and texts of which two thirds are: what the estimate gives against the true share."""
+    rnd = random.Random(n)
+    texts, shares = [], []
+    for _ in range(300):
+        own = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+        other = [f"w{rnd.randrange(10**6)}" for _ in range(30 * n)]
+        at = rnd.randrange(29 * n)
+        part = own[: 2 * n // 3]
+        texts += [" ".join(own), " ".join(other[:at] + own + other[at:]), " ".join(part + other)]
+        x, y = independent_prints(texts[-3]), independent_prints(texts[-1])
+        shares.append(len(x & y) / len(x))
+    prints = list(fingerprint.fingerprints(pa.array(texts)))
+    whole = [fingerprint.likeness(x, y) for x, y in zip(prints[0::3], prints[1::3])]
+    assert all(v == (1.0 if len(x) else 0.0) for v, x in zip(whole, prints[0::3])) and sum(v == 0 for v in whole) <= miss * 300
+    off = [abs(fingerprint.likeness(x, z) - s) for x, z, s in zip(prints[0::3], prints[2::3], shares) if len(x)]
+    assert sum(off) / len(off) < error
+
+
+def test_fingerprints_tell_sets_of_shingles_apart():
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choice("abcde") for _ in range(rnd.randrange(0, 14))) for _ in range(800)] + [t or "" for _, t in TRICKY]
+    limit = 2**64 // fingerprint.ONE_IN
+    prints = [p.tolist() for p in fingerprint.fingerprints(pa.array(texts))]
+    sets = [independent_prints(t) for t in texts]
+    hash_of = {}  # of texts with one shingle: its hash, if it is kept
+    for s, p in zip(sets, prints):
+        assert p == sorted(set(p)) and all(h < limit for h in p) and len(p) <= len(s)
+        if len(s) == 1:
+            assert hash_of.setdefault(s, p) == p
+    for s, p in zip(sets, prints):  # a fingerprint is the union of those of its shingles
+        known = [hash_of[frozenset([x])] for x in s if frozenset([x]) in hash_of]
+        assert all(set(k) <= set(p) for k in known)
+    both = {}
+    for s, p in zip(sets, prints):
+        assert both.setdefault(s, p) == p
+
+
+def test_a_heavy_id_is_cut_into_several_buckets(spark):
+    rows = [(7, f"text number {k} " * 12) for k in range(400)] + [(k, f"other {k} words here and there") for k in range(100, 200)] + [(None, None)] * 3
+    got = fingerprint.fingerprint_edits(frame(spark, rows).repartition(5))
+    assert got.count() == len(rows)
+    spread = fingerprint._neighbours(frame(spark, rows), "doc_id", "text").filter("doc_id = 7 and guest = 0").groupBy("bucket").count().collect()
+    assert len(spread) >= 4 and max(r["count"] for r in spread) < 200
+
+
 def test_fingerprints_estimate_containment_and_merge():
     rnd = random.Random(4)
     big = " ".join(f"t{rnd.randrange(10**6)}" for _ in range(20_000))
@@ -158,5 +228,5 @@ def test_fingerprints_estimate_containment_and_merge():
     x, y, z = fingerprint.fingerprints(pa.array([big, small, small + " " + big]))
     assert fingerprint.likeness(x, y) == 1.0
     assert abs(len(x) / (len(words(big)) - 4) - 1 / fingerprint.ONE_IN) < 0.02
-    assert set(fingerprint.merge(x, y).tolist()) <= set(z.tolist()) and len(z) - len(fingerprint.merge(x, y)) <= 5
+    assert set(fingerprint.merge(x, y).tolist()) <= set(z.tolist()) and len(z) - len(fingerprint.merge(x, y)) <= 5  # the seam's shingles
     assert np.array_equal(fingerprint.read(fingerprint.written(x)), x)
