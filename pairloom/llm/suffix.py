@@ -9,34 +9,42 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.joins import fits_broadcast
-from ..session import store
-from .common import BYTE_VALUE, mix, powers, row_runs, text_view, window_sums
+from ..operators.joins import fits_broadcast, lookup
+from ..session import release, store
+from .common import BYTE_VALUE, mix, row_runs, text_view, window_sums
 
 WINDOW = 200
-#: Bytes of the first digit (a gram), and of a further digit.
+#: Bytes of the first digit (a gram), and of the steps of the second and the third.
 GRAM = 50
-STEP = 25
+STEP, FINE = 25, 5
 _REACH = WINDOW - GRAM  # a window holds a gram at 0.._REACH bytes from its start
+_CORE = WINDOW - STEP  # bytes that all windows of a step share
 _PLACE = np.uint64((1 << 24) - 1)
+#: Bytes of a long text, and places of a text, that are worked on at once.
+_PART, _MARKS = 1 << 22, 1 << 12
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The suffixes of rows i..j-1 that take part: gram hash, row and byte position.
+def _slices(sums: np.ndarray, down: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    return mix((sums[stop] - sums[start]) * down[start] + (stop - start).astype(np.uint64))
+
+
+def anchors(data: np.ndarray, offsets: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The suffixes of rows i..j-1 that take part: hash of the gram, row, byte position, bytes up to WINDOW from there on, hash of all bytes that a window around it can have.
 
     Every window of WINDOW bytes takes the position of its smallest gram hash (the first of equals). Equal
     windows take it at the same place, so every repeated window holds a gram that is an anchor in all its copies.
     """
     lo, hi = int(offsets[i]), int(offsets[j])
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    most = 1 << 22  # a longer row is worked on in overlapping parts
-    for at in range(lo, max(hi - WINDOW + 1, lo), most):
-        end = min(at + most + WINDOW - 1, hi)
+    out: list[tuple[np.ndarray, ...]] = []
+    for at in range(lo, max(hi - WINDOW + 1, lo), _PART):  # a longer row is worked on in overlapping parts
+        end = min(at + _PART + WINDOW - 1, hi)
         n = end - at
         if n < WINDOW:
             continue
-        sums, down = window_sums(BYTE_VALUE[data[at:end]], n)
-        grams = mix((sums[GRAM:] - sums[: n - GRAM + 1]) * down[: n - GRAM + 1])
+        left, right = max(lo, at - _REACH), min(hi, end + WINDOW)
+        sums, down = window_sums(BYTE_VALUE[data[left:right]], right - left)
+        first = np.arange(at - left, at - left + n - GRAM + 1)
+        grams = mix((sums[first + GRAM] - sums[first]) * down[first])
         width = _REACH + 1
         padded = np.full(-(-len(grams) // width) * width, np.uint64(2**64 - 1))
         padded[: len(grams)] = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
@@ -50,9 +58,14 @@ def anchors(data: np.ndarray, offsets: np.ndarray, i: int, j: int) -> tuple[np.n
             inside[max(0, b - WINDOW + 1) : max(0, b)] = False
         place = np.unique(low[inside] & _PLACE).astype(np.int64)
         row = np.searchsorted(offsets[i : j + 1], place + at, "right") - 1
-        out.append((grams[place], row + i, place + at - offsets[row + i]))
+        before = np.minimum(place + at - offsets[row + i], _REACH)
+        after = np.minimum(offsets[row + i + 1] - place - at, WINDOW)
+        here = place + at - left
+        around = mix(_slices(sums, down, here - before, here + after) ^ mix((before * 1024 + after).astype(np.uint64)))
+        out.append((grams[place], row + i, place + at - offsets[row + i], after, around))
     if not out:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return none.astype(np.uint64), none, none, none, none.astype(np.uint64)
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -64,112 +77,58 @@ def _keys(text: str | Column) -> tuple[Column, Column]:
 def _anchor_rows(texts: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_view(batch.column(1))
+            data, offsets = text_view(batch.column(2))
             for i, j in row_runs(offsets):
-                gram, row, place = anchors(data, offsets, i, j)
+                gram, row, place, after, around = anchors(data, offsets, i, j)
                 if len(gram):
                     take = pa.array(row)
-                    columns = [pa.array(gram.view(np.int64)), batch.column(0).take(take), pa.array(place)]
-                    yield pa.RecordBatch.from_arrays(columns, ["h", "t1", "pos"])
-
-    return texts.select("t1", "text").mapInArrow(scan, "h bigint, t1 bigint, pos bigint")
-
-
-def _contexts(texts: DataFrame) -> DataFrame:
-    """Per anchor the bytes of all windows that hold it: up to _REACH before it, WINDOW from it on."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_view(batch.column(2))
-            places = batch.column(3)
-            for k in range(batch.num_rows):
-                raw = data[offsets[k] : offsets[k + 1]].tobytes()
-                own = places[k].values
-                pos, h = (own.field(f) for f in ("pos", "h"))
-                at = pos.to_numpy()
-                for b in range(0, len(at), 4096):
-                    part = at[b : b + 4096].tolist()
-                    n = len(part)
-                    around = [raw[max(0, p - _REACH) : p + WINDOW] for p in part]
-                    columns = [h.slice(b, n), pa.repeat(batch.column(0)[k], n), pa.repeat(batch.column(1)[k], n), pos.slice(b, n), pa.array(np.minimum(at[b : b + n], _REACH)), pa.array(around, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["h", "t1", "t2", "pos", "before", "around"])
-
-    schema = "h bigint, t1 bigint, t2 bigint, pos bigint, before bigint, around binary"
-    return texts.select("t1", "t2", "text", "places").mapInArrow(scan, schema)
+                    columns = [batch.column(0).take(take), batch.column(1).take(take), pa.array(place), pa.array(after.astype(np.int32)), pa.array(gram.view(np.int64)), pa.array(around.view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, ["t1", "t2", "pos", "after", "h", "node"])
 
+    return texts.select("t1", "t2", "text").mapInArrow(scan, "t1 bigint, t2 bigint, pos bigint, after int, h bigint, node bigint")
 
-def _aligned(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Prefix sums of contexts laid with their anchors in one column; inverse powers; bytes before and from the anchor on."""
-    before = batch.column(batch.schema.get_field_index("before")).to_numpy().astype(np.int64)
-    data, offsets = text_view(batch.column(batch.schema.get_field_index("around")))
-    size = np.diff(offsets)
-    row = np.repeat(np.arange(len(size)), size)
-    column = np.arange(offsets[0], offsets[-1]) - np.repeat(offsets[:-1], size) + np.repeat(_REACH - before, size)
-    grid = np.zeros((len(size), _REACH + WINDOW), np.uint64)
-    grid[row, column] = BYTE_VALUE[data[offsets[0] : offsets[-1]]]
 
-    up, down = powers(_REACH + WINDOW + 1)
-    sums = np.zeros((len(size), _REACH + WINDOW + 1), np.uint64)
-    np.cumsum(grid * up[:-1], axis=1, out=sums[:, 1:])
-    return sums, down, before, size - before
-
-
-def _slice_hash(sums: np.ndarray, down: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    return mix((sums[:, stop] - sums[:, start]) * down[start] + start.astype(np.uint64))
-
-
-def _parts(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    for b in range(0, batch.num_rows, rows):
-        yield batch.slice(b, rows)
-
-
-def _digit_rows(nodes: DataFrame) -> DataFrame:
-    """Second pass. For each j, key is of the WINDOW - STEP bytes that all windows with j*STEP to (j+1)*STEP bytes
-    before the anchor share, and full of all bytes that any of them has."""
+def _step_rows(bodies: DataFrame, whole: bool) -> DataFrame:
+    """Second digit, read from the texts by position. For each step j, ``key`` is of the _CORE bytes that all windows with j*STEP to
+    (j+1)*STEP bytes before the gram share; with ``whole`` also the bytes that they can have on its left and right, and the hash of all together."""
     back = np.arange(0, _REACH, STEP)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (p for whole in batches for p in _parts(whole)):
-            sums, down, before, after = _aligned(batch)
-            h = mix(batch.column(1).to_numpy().view(np.uint64))
-            key = mix(_slice_hash(sums, down, _REACH - back, _REACH - back + WINDOW - STEP) ^ h[:, None])
-            some = np.maximum(back, WINDOW - after[:, None]) <= np.minimum(back + STEP, before[:, None])
-            row, j = np.nonzero((before[:, None] >= back) & (after[:, None] >= WINDOW - STEP - back) & some)
-            start = _REACH - np.minimum(before[row], back[j] + STEP)
-            stop = _REACH + np.minimum(after[row], WINDOW - back[j])
-            ends = mix((start * 1024 + stop).astype(np.uint64))
-            full = mix(((sums[row, stop] - sums[row, start]) * down[start]) ^ ends ^ h[row])
-            columns = [batch.column(0).take(pa.array(row)), pa.array(j), pa.array(key[row, j].view(np.int64)), pa.array(full.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "j", "key", "full"])
-
-    return nodes.select("node", "h", "before", "around").mapInArrow(scan, "node bigint, j bigint, key bigint, full bigint")
-
-
-def _window_rows(nodes: DataFrame) -> DataFrame:
-    """Last pass: every whole window of the digits that are still open."""
-    back = np.arange(_REACH + 1)
+    def part(raw: bytes, data: np.ndarray, pos: np.ndarray, node: np.ndarray, size: int) -> pa.RecordBatch:
+        lo, hi = max(0, int(pos[0]) - _REACH), min(size, int(pos[-1]) + WINDOW)
+        sums, down = window_sums(BYTE_VALUE[data[lo:hi]], hi - lo)
+        before, after = np.minimum(pos, _REACH)[:, None], np.minimum(size - pos, WINDOW)[:, None]
+        some = np.maximum(back, WINDOW - after) <= np.minimum(back + STEP, before)
+        mark, j = np.nonzero((before >= back) & (after >= _CORE - back) & some)
+        core = pos[mark] - back[j]
+        key = mix(_slices(sums, down, core - lo, core + _CORE - lo) ^ mix(j.astype(np.uint64)))
+        if not whole:
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], ["key"])
+        start = pos[mark] - np.minimum(before[mark, 0], back[j] + STEP)
+        stop = pos[mark] + np.minimum(after[mark, 0], WINDOW - back[j])
+        full = mix(_slices(sums, down, start - lo, stop - lo) ^ mix(key + (core - start).astype(np.uint64)))
+        sides = [pa.array([raw[a:b] for a, b in zip(x.tolist(), y.tolist())], pa.binary()) for x, y in ((start, core), (core + _CORE, stop))]
+        return pa.RecordBatch.from_arrays([pa.array(node[mark]), pa.array(j.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(full.view(np.int64)), *sides], ["node", "j", "key", "full", "l", "r"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (p for whole in batches for p in _parts(whole)):
-            sums, down, before, after = _aligned(batch)
-            h = batch.column(1).to_numpy().view(np.uint64)
-            open_ = np.zeros((batch.num_rows, _REACH + 1), bool)
-            for k, js in enumerate(batch.column(4).to_pylist()):
-                for j in js:
-                    open_[k, j * STEP : (j + 1) * STEP + 1] = True
-            row, l = np.nonzero(open_ & (before[:, None] >= back) & (after[:, None] >= WINDOW - back))
-            key = mix(_slice_hash(sums, down, _REACH - back, _REACH - back + WINDOW) ^ mix(h)[:, None])
-            columns = [batch.column(0).take(pa.array(row)), pa.array(l.astype(np.int32)), pa.array(key[row, l].view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "l", "key"])
+        for batch in batches:
+            data, offsets = text_view(batch.column(0))
+            for k in range(batch.num_rows):
+                own, places = data[offsets[k] : offsets[k + 1]], batch.column(1)[k].values
+                pos, node = (places.field(f).to_numpy() for f in ("pos", "node"))
+                order = np.argsort(pos, kind="stable")
+                pos, node, raw = pos[order], node[order], own.tobytes()
+                for piece in np.split(np.arange(len(pos)), np.flatnonzero(np.diff(pos // _PART)) + 1):
+                    for b in range(0, len(piece), _MARKS):
+                        at = piece[b : b + _MARKS]
+                        yield part(raw, own, pos[at], node[at], len(own))
 
-    return nodes.select("node", "h", "before", "around", "digits").mapInArrow(scan, "node bigint, l int, key bigint")
+    schema = "node bigint, j int, key bigint, full bigint, l binary, r binary" if whole else "key bigint"
+    return bodies.select("text", "places").mapInArrow(scan, schema)
 
 
-def _settled(df: DataFrame, name: str) -> DataFrame:
-    """``store``, after which the shuffle files of the jobs so far are of no use and are given back."""
-    out = store(df, name)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return out
+def _repeated(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, n): the groups of more than one row; groups of one go before anything is written."""
+    return store(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), name)
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -177,49 +136,73 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
 
     ``texts`` has t1, t2 and text, copies included. Windows of one text count against each other, too.
 
-    First pass over the most significant digit, a gram of GRAM bytes: of all suffixes only those at anchors
-    take part, which is enough to find every repeated window, and groups of one are dropped. Equal contexts
-    (all bytes that a window around the anchor can have) then stand as one node; if there are several
-    of them, all their windows are repeated. The second pass sorts nodes by digits of WINDOW - STEP bytes. Nodes
-    that agree in all bytes of a digit's windows form a cell: several nodes in a cell have all these windows
-    repeated, and one of them stands for the cell. Only where different cells share a digit
-    the last pass sorts whole windows; groups of several cells there are exactly the repeated windows. Groups are only
-    ever counted, never gathered, so a passage that a third of all texts share costs what it costs elsewhere.
+    Suffixes are told apart by the most significant digits first, and a group of one is dropped by every pass.
+    First pass: the gram of GRAM bytes at each anchor; of all suffixes only those at anchors
+    take part, which is enough to find every repeated window. What goes on is positions (text key, position). Positions with equal
+    surroundings (all bytes that a window there can have) are one node; if there are several, all their windows are
+    repeated, and one of them stands for all. Second pass: digits of _CORE bytes, read again from the texts of the positions
+    left; nodes that agree in all bytes of the windows of a step have these repeated, and one of them stands for the
+    cell. Only where different cells share a digit the third pass goes on, by WINDOW - FINE bytes, and the last by whole windows: groups of
+    several there are exactly the repeated windows. Groups are only ever counted, never gathered, so a passage that a third of all
+    texts share costs what it costs elsewhere; lookups by a frequent key are spread. Tables are deleted when what is made of them is written.
     """
-    first = _settled(_anchor_rows(texts), "suffix-anchors")
-    occurrence = F.xxhash64("t1", "pos")
-    shared = first.groupBy("h").agg(F.min(occurrence).alias("x"), F.max(occurrence).alias("y")).filter("x <> y").select("h")
-    marks = first.join(shared, "h").groupBy("t1").agg(F.collect_set(F.struct("pos", "h")).alias("places"))
-    marks = _settled(marks, "suffix-marks")
-
-    wanted = marks.select("t1")
-    side = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
-    bodies = texts.select("t1", "t2", "text").join(side, "t1", "left_semi").dropDuplicates(["t1", "t2"])
-    around = _settled(_contexts(bodies.join(marks, "t1")), "suffix-contexts")
-    node = F.xxhash64("h", "before", "around").alias("node")
-    placed = _settled(
-        around.select(node, "t1", "t2", "pos", "before", (F.octet_length("around") - F.col("before")).alias("after")), "suffix-places"
+    first = store(_anchor_rows(texts), "suffix-anchors")
+    grams = _repeated(first, "h", "suffix-grams")
+    kept = lookup(first, grams, ["h"], weight="n", spread=["t1", "pos"], how="inner")
+    # copies of a text give the same places: a set per text
+    marks = store(kept.groupBy("t1", "t2").agg(F.collect_set(F.struct("pos", "after", "node")).alias("places")), "suffix-marks")
+    release(first, grams)
+
+    places = marks.select("t1", "t2", F.explode("places").alias("p")).select("t1", "t2", "p.*")
+    nodes = store(places.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("t1", "t2", "pos")).alias("one")), "suffix-nodes")
+    ones = nodes.select("one.t1", "one.t2", F.struct("one.pos", "node").alias("p")).groupBy("t1", "t2").agg(F.collect_list("p").alias("places"))
+    ones = store(ones, "suffix-ones")
+    wanted = ones.select("t1", "t2")
+    some = texts.select("t1", "t2", "text")
+    some = some.join(F.broadcast(wanted), ["t1", "t2"], "left_semi") if fits_broadcast(wanted) else some
+    bodies = store(some.dropDuplicates(["t1", "t2"]).join(ones, ["t1", "t2"]).select("text", "places"), "suffix-bodies")
+    release(ones)
+
+    cores = _repeated(_step_rows(bodies, False), "key", "suffix-cores")
+    steps = store(lookup(_step_rows(bodies, True), cores, ["key"], weight="n", spread=["node"], how="inner"), "suffix-steps")
+    release(bodies, cores)
+    cells = store(steps.groupBy("key", "full").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")), "suffix-cells")
+    shared = store(cells.filter("n > 1").select("key", "full", "n"), "suffix-shared")
+    settled = lookup(steps.select("key", "full", "node", "j"), shared, ["key", "full"], weight="n", spread=["node"], how="inner")
+    settled = store(settled.groupBy("node").agg(F.min("j").alias("j_low"), F.max("j").alias("j_high")), "suffix-settled")
+    several = _repeated(cells, "key", "suffix-several")
+    ends = lookup(steps, several, ["key"], weight="n", spread=["node"], how="inner").join(cells.select("key", "full", "node"), ["key", "full", "node"])
+    release_later = [cells, shared, several, steps]
+
+    # third digit: a step's windows in turns of FINE bytes, told apart by what they all have beside the core
+    turns = F.explode(F.sequence(F.lit(0), F.lit(STEP // FINE - 1))).alias("s")
+    fine = ends.select("node", "j", "key", "l", "r", turns)
+    left, right = F.octet_length("l"), F.octet_length("r")
+    low, high = F.greatest(F.col("s") * FINE, F.lit(STEP) - right), F.least((F.col("s") + 1) * FINE, left)
+    fine = fine.withColumns({"low": low, "high": high}).filter(
+        (left >= F.col("s") * FINE) & (right >= F.lit(STEP - FINE) - F.col("s") * FINE) & (F.col("low") <= F.col("high"))
     )
-    counts = placed.groupBy("node").agg(F.count(F.lit(1)).alias("copies"))
-    nodes = _settled(around.select(node, "h", "before", "around").dropDuplicates(["node"]), "suffix-nodes")
-
-    digits = _settled(_digit_rows(nodes), "suffix-digits")
-    cells = digits.groupBy("key", "full").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("j").alias("j"))
-    cells = _settled(cells, "suffix-cells")
-    whole = digits.join(cells.filter("n > 1").select("key", "full"), ["key", "full"]).groupBy("node").agg(
-        F.min("j").alias("j_low"), F.max("j").alias("j_high")
-    )
-    several = cells.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
-    opened = cells.join(several, "key").groupBy("node").agg(F.collect_set("j").alias("digits"))
-    windows = _settled(_window_rows(nodes.join(opened, "node")), "suffix-windows")
-    twice = windows.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x <> y").select("key")
-    reach = windows.join(twice, "key").groupBy("node").agg(F.min("l").alias("low"), F.max("l").alias("high"))
-    known = counts.join(whole, "node", "left").join(reach, "node", "left").filter("copies > 1 or high is not null or j_high is not null")
-    known = _settled(known, "suffix-reach")
-
-    found = placed.join(known, "node")
+    fine = fine.withColumn("turn", _beside(F.col("s") * FINE, F.lit(STEP - FINE) - F.col("s") * FINE))
+    fine = store(fine.drop("s"), "suffix-turns")
+    release(*release_later)
+    turns = _repeated(fine, "turn", "suffix-turn-keys")
+    left_over = lookup(fine, turns, ["turn"], weight="n", spread=["node"], how="inner")
+    # last digit: whole windows
+    each = left_over.select("node", "j", "key", "l", "r", F.explode(F.sequence("low", "high")).alias("x"))
+    windows = each.select("node", (F.col("j") * STEP + F.col("x")).alias("low"), _beside(F.col("x"), F.lit(STEP) - F.col("x")).alias("key"))
+    windows = store(windows, "suffix-windows")
+    release(fine, turns)
+    twice = windows.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count(F.lit(1)).alias("n")).filter("x <> y").select("key", "n")
+    twice = store(twice, "suffix-twice")
+    reach = lookup(windows, twice, ["key"], weight="n", spread=["node"], how="inner").groupBy("node").agg(F.min("low").alias("low"), F.max("low").alias("high"))
+
+    known = nodes.drop("one").join(settled, "node", "left").join(reach, "node", "left").filter("copies > 1 or high is not null or j_high is not null")
+    known = store(known, "suffix-reach")
+    release(windows, twice, settled, nodes)
+    found = lookup(places, known.withColumn("n", F.col("copies")), ["node"], weight="n", spread=["t1", "pos"], how="inner")
+    before = F.least(F.col("pos"), F.lit(_REACH))
     celled = F.col("j_high").isNotNull()
-    least, most = F.greatest(F.lit(0), F.lit(WINDOW) - F.col("after")), F.least(F.col("before"), F.lit(_REACH))
+    least, most = F.greatest(F.lit(0), F.lit(WINDOW) - F.col("after")), before
     low = F.when(F.col("copies") > 1, least).otherwise(F.least("low", F.when(celled, F.greatest(F.col("j_low") * STEP, least))))
     high = F.when(F.col("copies") > 1, most).otherwise(F.greatest("high", F.when(celled, F.least((F.col("j_high") + 1) * STEP, most))))
     spans = found.select("t1", "t2", "pos", low.alias("low"), high.alias("high")).filter("low <= high")
@@ -227,26 +210,29 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     return spans.groupBy("t1", "t2").agg(F.array_sort(F.collect_set(span)).alias("spans"))
 
 
+def _beside(left: Column, right: Column) -> Column:
+    """The key of a core together with the last ``left`` bytes before and the first ``right`` bytes behind it."""
+    return F.xxhash64("key", left.cast("int"), F.substring("l", F.octet_length("l") - left + 1, left), F.substring("r", F.lit(1), right))
+
+
 def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
     """What is left of each text: bytes removed, runs removed, and the SHA-256 of the rest."""
     data, offsets = text_view(texts)
+    bounds = spans.offsets.to_numpy()
+    starts, stops = (spans.values.field(f).to_numpy() for f in ("start", "stop"))
     removed, runs, digest = [], [], []
-    for k, own in enumerate(spans.to_pylist()):
-        raw = data[offsets[k] : offsets[k + 1]].tobytes()
-        kept, at, n = hashlib.sha256(), 0, 0
-        end = -1
-        for s in own or ():
-            if s["start"] > end:
-                n += 1
-                kept.update(raw[at : s["start"]])
-            end = at = max(at, s["stop"])
+    for k in range(len(texts)):
+        raw = memoryview(data[offsets[k] : offsets[k + 1]])
+        start, stop = starts[bounds[k] : bounds[k + 1]], np.maximum.accumulate(stops[bounds[k] : bounds[k + 1]])
+        opens = np.flatnonzero(np.append(True, start[1:] > stop[:-1])) if len(start) else np.zeros(0, np.int64)
+        closes = np.append(opens[1:], len(start)) - 1 if len(start) else opens
+        kept, at = hashlib.sha256(), 0
+        for x, y in zip(start[opens].tolist(), stop[closes].tolist()):
+            kept.update(raw[at:x])
+            at = y
         kept.update(raw[at:])
-        total, last = 0, -1
-        for s in own or ():
-            total += max(0, s["stop"] - max(s["start"], last))
-            last = max(last, s["stop"])
-        removed.append(total)
-        runs.append(n)
+        removed.append(int((stop[closes] - start[opens]).sum()))
+        runs.append(len(opens))
         digest.append(kept.hexdigest())
     return pa.StructArray.from_arrays([pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(digest, pa.string())], ["n_removed", "n_spans", "kept_sha256"])
 
@@ -271,7 +257,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     side = F.broadcast(fate) if fits_broadcast(fate) else fate
     joined = rows.join(side, ["t1", "t2"], "left").withColumn("n_bytes", F.octet_length("text").cast("bigint"))
     cut = F.arrow_udf(_cut, "struct<n_removed: bigint, n_spans: bigint, kept_sha256: string>")
-    opened = joined.withColumn("cut", cut(F.when(F.col("spans").isNotNull(), F.col("text")), F.col("spans")))
+    none = F.expr("CAST(array() AS array<struct<start: bigint, stop: bigint>>)")
+    opened = joined.withColumn("cut", cut(F.when(F.col("spans").isNotNull(), F.col("text")), F.coalesce("spans", none)))
     gone = F.col("copied").isNotNull() & (F.col("n_bytes") >= WINDOW)
     changed = F.col("spans").isNotNull()
     return opened.select(
