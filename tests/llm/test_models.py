@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from brute import TRICKY, frame, words
@@ -47,13 +48,44 @@ def test_probabilities_sum_to_one(spark):
     tails = {r["word"]: r["tail"] for r in lm.count_tokens(docs).filter("kind = 0").collect()}
     hashes = np.array(sorted(n), np.int64).view(np.uint64)
     tail = np.array([tails[x] for x in hashes.view(np.int64).tolist()])
-    cls = model.classes.of(hashes, tail)
-    p = lm.probabilities(model.weights, np.array([[3], [9], [1], [77], [500]]))[:, 0]
-    counts = np.array([n[x] for x in hashes.view(np.int64).tolist()])
-    inside = np.where(cls >= lm.SINGLE, (counts + lm.ADD) / 10 ** model.inside[cls], 1.0)
-    unknown = sum(p[c] * lm.ADD / 10 ** model.inside[c] for c in range(lm.SINGLE, model.classes.number))
-    own = p[: lm.SINGLE][np.arange(lm.SINGLE) >= len(model.classes.single)].sum()
-    assert float((p[cls] * inside).sum() + unknown + own) == pytest.approx(1.0, abs=1e-4)
+    cls, part = model.classes.of(hashes, tail), lm.part_of(hashes)
+    before = [3, 9, 1]  # three words of the corpus as the context
+    total = 0.0
+    for c in range(model.classes.number):
+        words_before, classes_before = hashes[before], cls[before]
+        f, g = lm.features(np.append(words_before, hashes[0]), np.append(classes_before, c), np.arange(4), model.bits)
+        of_class = lm.probabilities(model.weights[0], f[:, 3:])[c, 0]
+        if c < lm.SINGLE:
+            total += of_class
+            continue
+        of_part = lm.probabilities(model.weights[1], g[:, 3:])[:, 0]
+        for k in range(lm.PARTS):
+            counts = [n[x] for x in hashes.view(np.int64)[(cls == c) & (part == k)].tolist()]
+            share = (sum(counts) + lm.ADD * (len(counts) + 1)) / 10 ** model.inside[c, k]  # of its words and one unknown
+            total += of_class * of_part[k] * share
+    assert total == pytest.approx(1.0, abs=1e-4)
+
+
+def test_scores_do_not_depend_on_the_file_layout(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    one = {r.doc_id: r.score for r in lm.score_documents(docs.coalesce(1)).collect()}
+    many = {r.doc_id: r.score for r in lm.score_documents(docs.orderBy(F.desc("doc_id")).repartition(7)).collect()}
+    assert one.keys() == many.keys() and all(many[k] == pytest.approx(v, rel=1e-5) for k, v in one.items())
+
+
+def test_words_before_choose_between_words_of_a_class(spark):
+    """Every first word is followed by one of its own; all second words look alike, so only a factor inside their class can tell them apart."""
+    rnd = random.Random(2)
+    rows = [(k, " ".join(f"q{w}x z{w * 7919 % 100000}ing" for w in rnd.choices(range(60), k=200))) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = lm.score_documents(docs).filter("held_out").groupBy().sum("score", "base_score", "n_tokens").first()
+    gain = (got["sum(score)"] - got["sum(base_score)"]) / got["sum(n_tokens)"]
+    # of the 2 * log10(60) for each pair of words half could be gained; the class alone gives log10(2) for each token
+    assert gain > 0.45
+
+
+def test_tables_grow_with_the_corpus():
+    assert [lm.bits_for(n) for n in (0, 10**4, 10**6, 10**8, 10**10, 10**14)] == [10, 10, 11, 14, 18, 18]
 
 
 def test_quality_on_held_out_labels(spark):
@@ -132,6 +164,15 @@ def test_encoder_agrees_with_the_tokenizer():
     assert ids.tolist() == want
 
 
+def test_ids_before_closing_marks_for_all_characters():
+    """Characters that come apart or combine under the normal form do not change the ids around them."""
+    tokenizer, encoder = Tokenizer.from_file(WORDS), packing.WordEncoder(WORDS)
+    for chars in (range(0x21, 0x3000), range(0xF900, 0x10000)):
+        words = [a + chr(c) + m for c in chars for a, m in (("", "."), ("", ",;"), ("e", "!?"), ("হ", ":"))]
+        want = [x for g in tokenizer.encode_batch(words, add_special_tokens=False) for x in [*g.ids, 1]]
+        assert encoder.encode([w.encode() for w in words])[0].tolist() == want
+
+
 def cost(ends, total, at, price, length, inside):
     value, last = 0, 0
     where = dict(zip(at, price))
