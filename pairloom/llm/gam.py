@@ -130,15 +130,32 @@ def _quadrants(g: np.ndarray, h: np.ndarray, ridge: float) -> tuple[float, np.nd
     return float(gain[i, j]), out
 
 
+def bin_edges(x: np.ndarray, bins: int = 48) -> list[np.ndarray]:
+    """Quantiles of every feature, as many as there are different ones."""
+    quantile = np.linspace(0, 1, bins + 1)[1:-1]
+    return [np.unique(np.quantile(x[:, f], quantile)) if len(x) else np.zeros(0) for f in range(x.shape[1])]
+
+
+def averaged(models: list[Additive]) -> Additive:
+    """One model whose tables are the means of those of ``models``, which have the same edges; a pair that a model lacks counts as zero."""
+    first = models[0]
+    single = [np.mean([m.single[f] for m in models], axis=0) for f in range(len(first.single))]
+    table: dict[tuple[int, int], np.ndarray] = {}
+    for m in models:
+        for pair, values in zip(m.pairs, m.table):
+            table[pair] = table.get(pair, 0) + values / len(models)
+    pairs = sorted(table)
+    return Additive(first.edges, float(np.mean([m.intercept for m in models])), single, first.coarse, pairs, [table[p] for p in pairs])
+
+
 def fit(
-    x: np.ndarray, y: np.ndarray, *, bins: int = 48, coarse: int = 12, rounds: int = 160, pair_rounds: int = 60, n_pairs: int = 6, rate: float = 0.08, leaves: int = 3, ridge: float = 2.0
+    x: np.ndarray, y: np.ndarray, *, edges: list[np.ndarray] | None = None, coarse: int = 12, rounds: int = 160, pair_rounds: int = 60, n_pairs: int = 6, rate: float = 0.08, leaves: int = 3, ridge: float = 2.0
 ) -> Additive:
     """Cyclic boosting: in each round every feature in turn gets one shallow tree on the current
     residuals, added to its table; then the pairs that explain most of what is left do the same."""
     y = y.astype(float)
     rest = (y.sum() + 0.5) / (len(y) + 1)
-    quantile = np.linspace(0, 1, bins + 1)[1:-1]
-    edges = [np.unique(np.quantile(x[:, f], quantile)) if len(x) else np.zeros(0) for f in range(x.shape[1])]
+    edges = bin_edges(x) if edges is None else edges
     single = [np.zeros(len(e) + 1) for e in edges]
     coarser = [np.arange(len(e) + 1) * coarse // (len(e) + 1) for e in edges]
     model = Additive(edges, float(np.log(rest / (1 - rest))), single, coarser)
@@ -186,35 +203,36 @@ def features_of(text: str | Column) -> Column:
     return F.arrow_udf(scan, "array<double>")(text)
 
 
-def train(known: DataFrame, *, sample_rows: int = SAMPLE_ROWS, bags: int = BAGS) -> list[Additive]:
+def train(known: DataFrame, *, sample_rows: int = SAMPLE_ROWS, bags: int = BAGS) -> Additive:
     """Fit on (doc_id, x, label): at most ``sample_rows`` rows, in the order of a hash of doc_id.
 
-    Each bag is a task that leaves out its own tenth of the sample; the tables of all bags are averaged in scoring.
+    Each bag is a task that leaves out its own tenth of the sample; all bags have the same bins, and their tables are averaged to one model.
     """
     spark = known.sparkSession
     drawn = known.filter("label is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample_rows)
     rows = drawn.select("x", F.col("label").cast("double").alias("label")).toPandas()
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(FEATURES))
-    shared = spark.sparkContext.broadcast((np.nan_to_num(x), rows["label"].to_numpy()))
+    x = np.nan_to_num(x)
+    shared = spark.sparkContext.broadcast((x, rows["label"].to_numpy(), bin_edges(x)))
 
     def bag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        x, y = shared.value
+        x, y, edges = shared.value
         for batch in batches:
             for k in batch["id"]:
                 keep = np.arange(len(y)) % 10 != k if len(y) >= 100 else np.ones(len(y), bool)
-                yield pd.DataFrame({"bag": [k], "model": [pickle.dumps(vars(fit(x[keep], y[keep])))]})
+                yield pd.DataFrame({"bag": [k], "model": [pickle.dumps(vars(fit(x[keep], y[keep], edges=edges)))]})
 
     fitted = spark.range(0, bags, 1, bags).mapInPandas(bag, "bag bigint, model binary").orderBy("bag").collect()
-    return [Additive(**pickle.loads(bytes(r["model"]))) for r in fitted]
+    return averaged([Additive(**pickle.loads(bytes(r["model"]))) for r in fitted])
 
 
-def score_of(spark: SparkSession, column: str | Column, models: list[Additive], *, of_text: bool) -> Column:
-    """Mean score of the models for a text column, or for a column of its features."""
-    shared = spark.sparkContext.broadcast([vars(m) for m in models])
+def score_of(spark: SparkSession, column: str | Column, model: Additive, *, of_text: bool) -> Column:
+    """The model's score for a text column, or for a column of its features."""
+    shared = spark.sparkContext.broadcast(vars(model))
 
     def scan(values: pa.Array) -> pa.Array:
         x = features(values) if of_text else _flat(values)
-        return pa.array(np.mean([Additive(**m).score(x) for m in shared.value], axis=0) if len(x) else np.zeros(0), pa.float64())
+        return pa.array(Additive(**shared.value).score(x) if len(x) else np.zeros(0), pa.float64())
 
     return F.arrow_udf(scan, "double")(column)
 
@@ -233,8 +251,8 @@ def quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_
     """
     own = F.col(id_col).cast("bigint")
     rows = store(docs.select(own.alias("doc_id"), held_out(own, folds).alias("held_out"), features_of(text_col).alias("x")), "features")
-    models = train(rows.filter(~F.col("held_out")).join(_marks(labels), "doc_id"))
-    out = rows.select("doc_id", "held_out", score_of(docs.sparkSession, "x", models, of_text=False).alias("score"))
+    model = train(rows.filter(~F.col("held_out")).join(_marks(labels), "doc_id"))
+    out = rows.select("doc_id", "held_out", score_of(docs.sparkSession, "x", model, of_text=False).alias("score"))
     return out.select("*", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -249,5 +267,5 @@ def keep_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     marks = _marks(labels)
     side = F.broadcast(marks) if fits_broadcast(marks) else marks
     marked = texts.join(side, "doc_id").select("doc_id", "label", features_of("text").alias("x"))
-    models = train(store(marked, "labelled"))
-    return docs.filter(score_of(docs.sparkSession, text_col, models, of_text=True) >= threshold)
+    model = train(store(marked, "labelled"))
+    return docs.filter(score_of(docs.sparkSession, text_col, model, of_text=True) >= threshold)

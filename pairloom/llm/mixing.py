@@ -129,11 +129,11 @@ def mix_sources(
     inside = rows.join(ends, ["s", "block_no"]).withColumn("dkey", doc_key(F.col("whole")))
     within = Window.partitionBy("s").orderBy("dkey")
     cut = inside.withColumn("upto", F.col("before") + F.sum("tokens").over(within)).filter("upto <= rest")
-    cuts = blocks.join(cut.groupBy("s", "block_no").agg(F.max("dkey").alias("cut")), ["s", "block_no"], "left")
-    cuts = cuts.select("s", "block_no", "state", F.coalesce("cut", F.lit("")).alias("cut"))
+    taken = cut.groupBy("s", "block_no").agg(F.max("dkey").alias("cut"), (F.sum("tokens") + F.count(F.lit(1))).alias("taken"))
+    cuts = blocks.join(taken, ["s", "block_no"], "left")
+    cuts = cuts.select("s", "block_no", "state", F.coalesce("cut", F.lit("")).alias("cut"), F.coalesce("taken", F.lit(0)).alias("taken"))
     if place_col:
-        starts = _starts(rows, block_key, plan)
-        cuts = cuts.join(starts, ["s", "block_no"])
+        cuts = cuts.join(_starts(rows, block_key, cuts), ["s", "block_no"])
     cuts = store(cuts, "mix-cuts")
 
     whole = docs.drop("pass_no", "block_no", "n_tokens", "order_key", *([place_col] if place_col else []))
@@ -145,21 +145,28 @@ def mix_sources(
     copies = work.filter(passes > 0).withColumn("pass_no", F.explode(F.sequence(F.lit(0).cast("bigint"), passes - 1)))
     out = ["doc.*", "pass_no", "block_no", "n_tokens", F.concat(block_key(F.col("pass_no")), doc_key(F.col("pass_no"))).alias("order_key")]
     if place_col:
-        inner = F.conv(F.substring(doc_key(F.col("pass_no")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-        at = F.element_at("starts", (F.col("pass_no") + 1).cast("int")) + inner * F.col("width")
+        inner, reach = _share(doc_key(F.col("pass_no"))), _share(F.col("cut"))
+        last = (F.col("pass_no") == F.col("whole")) & (F.col("state") == "part")
+        # of the block in which a source ends, only the documents up to the cut are there
+        offset = F.when(last, F.when(reach > 0, inner / reach * F.col("taken")).otherwise(0.0)).otherwise(inner * F.col("width"))
+        at = F.element_at("starts", (F.col("pass_no") + 1).cast("int")) + offset
         out.append((at / F.col("given")).alias(place_col))
     return copies.select(*out)
 
 
-def _starts(rows: DataFrame, block_key, plan: DataFrame) -> DataFrame:
+def _share(digest: Column) -> Column:
+    """Where a digest lies among all, 0 to 1."""
+    return F.coalesce(F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32)), F.lit(0.0))
+
+
+def _starts(rows: DataFrame, block_key, cuts: DataFrame) -> DataFrame:
     """Per (s, block_no): its width, by pass the width of all that its source gives before it, and the width of all that the source gives."""
     sizes = rows.groupBy("s", "block_no", "whole").agg((F.sum("tokens") + F.count(F.lit(1))).alias("width"))
     passes = sizes.withColumn("pass_no", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("whole"))))
     order = Window.partitionBy("s", "pass_no").orderBy("key", "block_no").rowsBetween(Window.unboundedPreceding, -1)
     before = passes.withColumn("key", block_key(F.col("pass_no"))).withColumn("before", F.coalesce(F.sum("width").over(order), F.lit(0)))
-    total = sizes.groupBy("s").agg(F.sum("width").alias("total"))
-    ratio = F.col("whole") + F.when(F.col("tokens") > 0, F.col("rest") / F.col("tokens")).otherwise(0.0)
-    total = total.join(plan, "s").select("s", "total", (F.col("total") * ratio).alias("given"))
+    last = F.when(F.col("state") == "all", F.col("width")).when(F.col("state") == "part", F.col("taken")).otherwise(0)
+    total = sizes.join(cuts, ["s", "block_no"]).groupBy("s").agg(F.sum("width").alias("total"), (F.max("whole") * F.sum("width") + F.sum(last)).alias("given"))
     listed = before.join(total, "s").groupBy("s", "block_no", "width", "given").agg(
         F.array_sort(F.collect_list(F.struct("pass_no", (F.col("pass_no") * F.col("total") + F.col("before")).cast("double").alias("at")))).alias("list")
     )
@@ -168,7 +175,7 @@ def _starts(rows: DataFrame, block_key, plan: DataFrame) -> DataFrame:
 
 #: The same mixture in DuckDB, for ``mix_sources`` with its default parameters.
 SQL = f"""
-WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(source, 'null') s, coalesce(doc_id::VARCHAR, 'null') id,
+WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(source, chr(0) || 'null') s, coalesce(doc_id::VARCHAR, 'null') id,
     len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) tokens FROM documents),
 src AS MATERIALIZED (SELECT s, sum(tokens)::BIGINT tokens, count(*) n FROM d GROUP BY s),
 tot AS (SELECT sum(tokens)::DOUBLE t, min(tokens) FILTER (tokens > 0)::DOUBLE least FROM src),

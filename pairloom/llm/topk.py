@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..operators.joins import BROADCAST_BYTES
 from ..session import store
 
 SCALE = 1024
@@ -163,7 +164,9 @@ def top_k(queries: DataFrame, base: DataFrame, k: int = 10, *, block_rows: int =
 
     every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("qb")
     meetings = blocks.select(*[F.col(c).alias("x_" + c) for c in ("rows", "ids", "m", "width")], every)
-    side = F.broadcast(asked) if parts <= 64 else asked
+    # blocks of queries are sent to every executor only if their bytes, vectors included, are few
+    size = asked.agg(F.coalesce(F.sum(F.octet_length("m").cast("bigint") + F.octet_length("floor")), F.lit(0)).alias("b")).first()["b"]
+    side = F.broadcast(asked) if size <= BROADCAST_BYTES else asked
     found = meetings.join(side, "qb").mapInPandas(search, "q bigint, query_id bigint, vec_id bigint, score bigint")
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
