@@ -156,6 +156,11 @@ SENTENCE_END = np.zeros(256, bool)
 SENTENCE_END[list(b".!?")] = True
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def cut_points(total: int, at: np.ndarray, cost: np.ndarray, length: int = LENGTH, inside: int = INSIDE) -> np.ndarray:
     """Ends of the windows of at most ``length`` tokens that cover ``total`` tokens at the least cost.
 
@@ -168,21 +173,33 @@ def cut_points(total: int, at: np.ndarray, cost: np.ndarray, length: int = LENGT
     if total == 0:
         return np.zeros(0, np.int64)
     good = cost < inside
-    marks = np.unique(np.concatenate([[0], at[good], [total]]))
+    marks = _distinct(np.concatenate([[0], at[good], [total]]))
     wide = np.flatnonzero(np.diff(marks) > length // 4)
     extra = [np.arange(marks[k], marks[k + 1], length // 4) for k in wide]
     tail = np.arange(max(0, total - length), total)
-    places = np.unique(np.concatenate([marks, *extra, tail]))
+    places = _distinct(np.concatenate([marks, *extra, tail]))
     price = np.full(len(places), inside, np.int64)
     price[np.searchsorted(places, at[good])] = cost[good]
     price[-1] = 0
+    # where a window of a power of two could begin, for each place: small powers only in the last window
     powers = [1 << k for k in range(length.bit_length()) if 1 << k <= length]
-    large = [p for p in powers if p >= length // 8]
-    where = {int(p): k for k, p in enumerate(places)}
+    late = int(np.searchsorted(places, total - length, "right"))
+    ends_of, begins = [], []
+    for p in powers:
+        j = np.arange(0 if p >= length // 8 else late, len(places))
+        k = np.minimum(np.searchsorted(places, places[j] - p), len(places) - 1)
+        hit = places[k] == places[j] - p
+        ends_of.append(j[hit])
+        begins.append(k[hit])
+    ends_of, begins = np.concatenate(ends_of), np.concatenate(begins)
+    order = np.argsort(ends_of, kind="stable")
+    ends_of, begins = [*ends_of[order].tolist(), -1], begins[order].tolist()
     place, price = places.tolist(), price.tolist()
     best, back = [0] * len(place), [0] * len(place)
     queue: deque[tuple[int, int]] = deque()
-    last_window = total - length
+    h = 0
+    while ends_of[h] == 0:
+        h += 1
     for j in range(1, len(place)):
         c = place[j]
         value = best[j - 1] + place[j - 1]
@@ -193,10 +210,11 @@ def cut_points(total: int, at: np.ndarray, cost: np.ndarray, length: int = LENGT
             queue.popleft()
         cheapest, i = queue[0]
         cheapest += length - c
-        for p in powers if c > last_window else large:
-            k = where.get(c - p)
-            if k is not None and best[k] < cheapest:
+        while ends_of[h] == j:
+            k = begins[h]
+            if best[k] < cheapest:
                 cheapest, i = best[k], k
+            h += 1
         best[j], back[j] = cheapest + price[j], i
     ends, j = [], len(place) - 1
     while j > 0:
@@ -249,7 +267,7 @@ def _pieces(held: list, sequence: int, length: int) -> tuple[pa.RecordBatch, int
     kind = np.concatenate([h[3] for h in held])
     doc_end = at[kind == DOCUMENT]
     ends = cut_points(len(ids), at, kind, length)
-    cuts = np.unique(np.concatenate([doc_end, ends]))
+    cuts = _distinct(np.concatenate([doc_end, ends]))
     begin = np.concatenate([[0], cuts[:-1]])
     doc, seq = np.searchsorted(doc_end, begin, "right"), np.searchsorted(ends, begin, "right")
     doc_start, seq_start = np.concatenate([[0], doc_end]), np.concatenate([[0], ends])
