@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import tokens as tk
 from ..functions.numeric import as_col, dot, literal_vector, softplus
 from ..session import store
-from .joins import attach, fits_broadcast, lookup
+from .joins import attach, fits_broadcast
 
 TEXT_FEATURES = ("log_chars", "tokens_per_char", "distinct_share", "digit_share", "upper_share", "newline_share")
 
@@ -21,6 +21,9 @@ TEXT_FEATURES = ("log_chars", "tokens_per_char", "distinct_share", "digit_share"
 KL_COEF = 0.2
 TARGET_KL = 0.1
 
+#: Pairs of tokens that are broadcast with their scores: a fixed number, some 30 MB.
+HOT_PAIRS = 1 << 18
+
 
 def text_features(text: Column | str) -> Column:
     """Six DOUBLE features of a text, in the order of TEXT_FEATURES."""
@@ -87,9 +90,9 @@ BEGIN = "<s>"
 def bigrams(df: DataFrame, *, key: str, text: Column | str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """(key, keep..., pos, prev, tok) for every token; pairs are made inside the row, no shuffle."""
     toks = df.select(key, *keep, tk.tokens(text).alias("__t"))
-    prevs = F.slice(F.concat(F.array(F.lit(BEGIN)), "__t"), F.lit(1), F.size("__t"))
-    pairs = F.zip_with(prevs, "__t", lambda p, t: F.struct(p.alias("prev"), t.alias("tok")))
-    return toks.select(key, *keep, F.posexplode(pairs).alias("pos", "__g")).select(
+    prev = F.slice(F.concat(F.array(F.lit(BEGIN)), "__t"), F.lit(1), F.size("__t"))
+    pairs = toks.select(key, *keep, prev.alias("prev"), F.col("__t").alias("tok"))
+    return pairs.select(key, *keep, F.posexplode(F.arrays_zip("prev", "tok")).alias("pos", "__g")).select(
         key, *keep, "pos", "__g.prev", "__g.tok"
     )
 
@@ -122,21 +125,29 @@ def pair_nll(wanted: DataFrame, model: BigramModel, *, name: str = "nll") -> Dat
 def text_nll(df: DataFrame, models: dict[str, BigramModel], *, key: str, text: Column | str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Summed negative log-likelihood of each text under each model (one column per name).
 
-    Pairs are counted inside each text before anything is joined, and written once. Probabilities are worked out
-    per distinct pair and joined to the counts; a pair that makes up much of the corpus is served by
-    broadcast. Columns to ``keep`` are joined to the sums at the end.
+    Probabilities are worked out once per distinct pair and written. The ``HOT_PAIRS`` most frequent pairs, or all of a small table,
+    are broadcast, so their tokens are summed where they are read; only tokens of the other pairs are shuffled to their
+    probability, each of them with at most 1/(HOT_PAIRS+1) of all tokens. Columns to ``keep`` are joined to the sums at the end.
     """
-    grams = bigrams(df, key=key, text=text).groupBy(key, "prev", "tok").agg(F.count(F.lit(1)).alias("times"))
-    grams = store(grams, "text-pairs")
-    table = grams.groupBy("prev", "tok").agg(F.sum("times").alias("weight"))
-    if not all(m.few_contexts for m in models.values()):
-        table = store(table, "pairs")  # read several times below
+    pairs = bigrams(df, key=key, text=text).select(key, "prev", "tok")
+    wanted = pairs.groupBy("prev", "tok").agg(F.count(F.lit(1)).alias("weight"))
+    table = store(wanted, "pairs")  # read several times below
     for name, model in models.items():
         table = pair_nll(table, model, name=name)
-    scored = lookup(grams, store(table, "pair-nll"), ["prev", "tok"], weight="weight", spread=[key])
-    sums = scored.groupBy(key).agg(
-        F.sum("times").alias("n_tokens"), *[F.sum(F.col("times") * F.col(name)).alias(name) for name in models]
-    )
+    table = store(table, "pair-nll")
+    on = ["prev", "tok"]
+
+    def summed(scored: DataFrame) -> DataFrame:
+        return scored.groupBy(key).agg(F.count(F.lit(1)).alias("n_tokens"), *[F.sum(name).alias(name) for name in models])
+
+    if fits_broadcast(table):
+        sums = summed(pairs.join(F.broadcast(table.drop("weight")), on))
+    else:
+        hot = store(table.orderBy(F.desc("weight"), *on).limit(HOT_PAIRS).drop("weight"), "hot-pairs")
+        near = summed(pairs.join(F.broadcast(hot), on))
+        rest = pairs.join(F.broadcast(hot.select(*on)), on, "left_anti")
+        both = near.unionByName(summed(rest.join(table.drop("weight"), on)))
+        sums = both.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("n_tokens", *models)])
     return df.select(key, *keep).join(sums, key) if keep else sums
 
 

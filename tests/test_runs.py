@@ -8,6 +8,7 @@ import pytest
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import functions as F
 
+from pairloom import session
 from pairloom.functions.numeric import pair_loss
 from pairloom.operators import batches as bt, metrics, models, sampling, scoring
 from pairloom.operators.splits import Stage, StagePlan
@@ -330,3 +331,22 @@ def test_slices_open_only_their_files(spark, tmp_path):
     used = {r.f for r in part.select(F.input_file_name().alias("f")).distinct().collect()}
     everything = spark.read.parquet(path).filter("split = 'train'").select(F.input_file_name().alias("f")).distinct().count()
     assert len(used) == 1 and everything > 3
+
+
+def test_text_nll_shuffles_only_tokens_of_rare_pairs(spark, monkeypatch):
+    """Frequent pairs are summed where they are read: no written table holds tokens of single texts."""
+    texts = [(1, "a b a b a b"), (1, "b c"), (2, "a b z"), (None, "a b"), (3, ""), (4, None), (5, "c a b d")]
+    df = spark.createDataFrame(texts, "id BIGINT, text STRING")
+    model = models.lm_fit(df.filter("id < 3"), key="id")
+    whole = {r.id: (r.n_tokens, round(r.m, 9)) for r in models.text_nll(df, {"m": model}, key="id").collect()}
+    written = []
+    monkeypatch.setattr(models, "store", lambda t, name, **k: (written.append((name, t.columns)), session.store(t, name, **k))[1])
+    monkeypatch.setattr(models, "fits_broadcast", lambda t: False)
+    monkeypatch.setattr(models, "HOT_PAIRS", 2)
+    got = {r.id: (r.n_tokens, round(r.m, 9)) for r in models.text_nll(df, {"m": model}, key="id").collect()}
+    assert got == whole and set(got) == {1, 2, 5, None} and got[1][0] == 8
+    assert written and not [name for name, columns in written if "id" in columns]
+    counts = {(r.prev, r.tok): r.n for r in model.bigrams.collect()}
+    sums = {r.prev: r.n_prev for r in model.contexts.collect()}
+    by_hand = -sum(math.log((counts.get(p, 0) + 1) / (sums.get(p[0], 0) + model.vocab_size)) for p in [("<s>", "c"), ("c", "a"), ("a", "b"), ("b", "d")])
+    assert got[5] == (4, round(by_hand, 9))
