@@ -556,7 +556,7 @@ def q_lookup(spark, sf_dir):
         .otherwise(F.concat(F.lit('{\n "k": '), k, F.lit("\n}")))
     )
     path = new_path(spark, "run-folders")
-    last.select("user_id", text.alias("value")).repartition("user_id").write.partitionBy("user_id").text(path)
+    manifests.write_folders(last.select("user_id", text.alias("value")), path, key="user_id", text="value", folder="user_id={}")
     runs = events.select("user_id").distinct()
     return manifests.folder_lookup(runs, path, key="user_id", name="k", ddl="BIGINT", default=-1, folder="user_id={}")
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.numeric import as_col, idiv, money
@@ -116,6 +118,33 @@ CHECKPOINT_SCHEMA = """run STRING, epoch BIGINT, total_steps BIGINT, reward_mean
     eval_loss DOUBLE, best_loss DOUBLE, is_best BOOLEAN, model_type STRING, base_sft_model STRING, reward_model STRING"""
 
 
+def write_folders(df: DataFrame, root: str, *, key: str, text: str, folder: str = "{}", file: str = "manifest.txt") -> int:
+    """Write the text of each row, with a line end, to ``file`` in the folder of its key below ``root``; returns how many.
+
+    ``key`` must be unique; signs that a folder's name cannot hold are escaped, and a null key and null text are written, as Spark's partition
+    writer does. Each task writes its files in place through a file system that all executors reach: there is no
+    job commit that moves them one by one, and a task that runs again writes the same files.
+    """
+    context = df.sparkSession.sparkContext
+    tasks = max(context.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = df.select(F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")).repartition(tasks, "key")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = pafs.FileSystem.from_uri(root)
+        n = 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                name = "__HIVE_DEFAULT_PARTITION__" if row["key"] in (None, "") else re.sub(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", row["key"])
+                place = f"{base}/{folder.format(name)}"
+                system.create_dir(place, recursive=True)
+                with system.open_output_stream(f"{place}/{file}", compression=None) as out:
+                    out.write(f"{row['text'] or ''}\n".encode())
+                n += 1
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    return rows.mapInArrow(write, "n bigint").agg(F.sum("n")).first()[0] or 0
+
+
 def read_folder(spark: SparkSession, root: str, *, key_pattern: str = "([^/]+)/[^/]+$", glob: str | None = None) -> DataFrame:
     """(key, manifest, file): every file below ``root`` as one text, with the key that ``key_pattern`` finds in its path (default: its folder's name).
 

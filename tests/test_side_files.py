@@ -100,3 +100,18 @@ def test_refined_head_is_the_fixed_point_from_any_start(spark):
     assert np.abs(gradient).max() < 1e-9
     with pytest.raises(ValueError):
         models.refine_head(d.limit(0), [0.0, 0.0, 0.0])
+
+
+def test_a_file_per_run_is_written_in_place(spark, tmp_path):
+    """Tasks write the run files where they stay: nothing is left to be moved by the driver, and small data is not put into one task."""
+    rows = [("a", '{"k": 1}'), ("b/c", "two\nlines"), ("", "x"), ("d=1", None)]
+    df = spark.createDataFrame(rows, "run STRING, value STRING")
+    root = tmp_path / "files"
+    assert manifests.write_folders(df, str(root), key="run", text="value", folder="run={}") == 4
+    assert manifests.write_folders(df, str(root), key="run", text="value", folder="run={}") == 4
+    found = {f.parent.name: f.read_text() for f in root.rglob("*") if f.is_file()}
+    df.repartition("run").write.partitionBy("run").text(str(tmp_path / "spark"))
+    assert found == {f.parent.name: f.read_text() for f in (tmp_path / "spark").rglob("part-*")}
+    assert manifests.write_folders(df.limit(0), str(tmp_path / "none"), key="run", text="value") == 0
+    got = manifests.folder_lookup(df.select("run"), str(root), key="run", name="k", ddl="BIGINT", default=-1, folder="run={}")
+    assert {r.run: (r.k, r.reason) for r in got.collect()}["a"] == (1, "found")
