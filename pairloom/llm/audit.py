@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import permutations
 
 import numpy as np
@@ -18,7 +19,10 @@ WORD = ~byte_class((0x20, 0x20), (0x09, 0x0D))
 _UPPER = byte_class((0x41, 0x5A))
 _SYMBOL = byte_class(*((ord(c), ord(c)) for c in "#$%&*|"))
 _FOLLOWS = byte_class((0x80, 0xBF))  # bytes of a character after its first
-_MEASURES = "struct<words: bigint, distinct_words: bigint, chars: bigint, uppers: bigint, symbols: bigint>"
+_NAMES = ["words", "distinct_words", "chars", "uppers", "symbols"]
+_MEASURED = "doc_id bigint, part string, digest binary, " + ", ".join(f"{c} bigint" for c in _NAMES)
+#: Rows of a batch that are measured at once.
+_ROWS = 1024
 
 
 def _measures(texts: pa.Array) -> pa.Array:
@@ -37,8 +41,16 @@ def _measures(texts: pa.Array) -> pa.Array:
         for k, member in ((2, ~_FOLLOWS), (3, _UPPER), (4, _SYMBOL)):
             upto = np.concatenate([[0], np.cumsum(member[piece], dtype=np.int32)])
             out[k, i:j] = np.diff(upto[bounds])
-    names = ["words", "distinct_words", "chars", "uppers", "symbols"]
-    return pa.StructArray.from_arrays([pa.array(c) for c in out], names)
+    return pa.StructArray.from_arrays([pa.array(c) for c in out], _NAMES)
+
+
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the measures of their text in its place: no text comes back, and none waits in the JVM for its measures."""
+    for whole in batches:
+        for at in range(0, len(whole), _ROWS):
+            batch = whole.slice(at, _ROWS)
+            kept = [batch.column(c) for c in ("doc_id", "part", "digest")]
+            yield pa.RecordBatch.from_arrays([*kept, *_measures(batch.column("text")).flatten()], names=["doc_id", "part", "digest", *_NAMES])
 
 
 def _firsts(rows: DataFrame) -> DataFrame:
@@ -53,13 +65,14 @@ def failing_ids(docs: DataFrame, labels: DataFrame | None, *, id_col: str, text_
     ``row`` is a number that each row of the stored table has for itself; labels are looked up by doc_id.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    measured = docs.select(
+    asked = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
         F.unhex(F.md5(text)).alias("digest"),
-        F.arrow_udf(_measures, _MEASURES)(text).alias("m"),
+        text.alias("text"),
     )
-    words, distinct, chars, uppers, symbols = (F.col(f"m.{c}") for c in ("words", "distinct_words", "chars", "uppers", "symbols"))
+    measured = asked.mapInArrow(_measured, _MEASURED)
+    words, distinct, chars, uppers, symbols = (F.col(c) for c in _NAMES)
     slim = measured.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", "part", "digest",
         (words < 200).alias("A"), (100 * distinct < 50 * words).alias("B"), (100 * uppers > 3 * chars).alias("C"), (symbols > 0).alias("D"),

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from brute import TRICKY, frame
 from pairloom.llm import audit, pieces, ranked
@@ -250,3 +251,19 @@ def test_all_documents_encode_as_in_the_library(spark, library):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for r in pieces.encode(docs, MODEL).select("text", "ids").collect():
         assert r.ids == library.encode(r.text)
+
+
+def test_audit_keeps_no_texts_beside_the_measures(spark):
+    """Texts stream through the measures; an evaluation beside the rows would queue them in the executor."""
+    df = spark.createDataFrame([(1, "A b" * 2000, "x"), (2, None, None), (None, "b b b", "x"), (1, "A b" * 2000, "x")], "doc_id BIGINT, text STRING, lang STRING")
+    asked = df.select("doc_id", F.col("lang").alias("part"), F.lit(b"d").alias("digest"), "text").mapInArrow(audit._measured, audit._MEASURED)
+    assert "text" not in asked.columns
+    got = sorted((r.doc_id or 0, r.part or "", r.words, r.distinct_words, r.chars, r.uppers, r.symbols) for r in asked.collect())
+    assert got == [(0, "x", 3, 1, 5, 0, 0), (1, "x", 2001, 3, 6000, 2000, 0), (1, "x", 2001, 3, 6000, 2000, 0), (2, "", 0, 0, 0, 0, 0)]
+    stored, _ = audit.failing_ids(df, None, id_col="doc_id", text_col="text", part_col="lang")
+    assert stored.count() == 4
+    assert max(b.num_rows for b in audit._measured(iter([_rows(3000)]))) <= audit._ROWS
+
+
+def _rows(n):
+    return pa.RecordBatch.from_pydict({"doc_id": list(range(n)), "part": ["x"] * n, "digest": [b"d"] * n, "text": ["a b"] * n})
