@@ -122,12 +122,24 @@ def pair_nll(wanted: DataFrame, model: BigramModel, *, name: str = "nll") -> Dat
     return seen.withColumn(name, -F.log(p)).drop("n", "n_prev")
 
 
+def _heaviest(table: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows, those of the highest ``weight``, cut where an eighth of a power of two ends: no task merges the tops of all others."""
+    step = F.floor(F.log2("weight") * 8).cast("int")
+    least, n = None, 0
+    for s, rows in sorted(table.groupBy(step.alias("s")).agg(F.count(F.lit(1))).collect(), reverse=True):  # some 300 at most
+        n += rows
+        if n > most:
+            break
+        least = s
+    return table.limit(0) if least is None else table.filter(step >= least)
+
+
 def text_nll(df: DataFrame, models: dict[str, BigramModel], *, key: str, text: Column | str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Summed negative log-likelihood of each text under each model (one column per name).
 
-    Probabilities are worked out once per distinct pair and written. The ``HOT_PAIRS`` most frequent pairs, or all of a small table,
+    Probabilities are worked out once per distinct pair and written. Up to ``HOT_PAIRS`` of the most frequent pairs, or all of a small table,
     are broadcast, so their tokens are summed where they are read; only tokens of the other pairs are shuffled to their
-    probability, each of them with at most 1/(HOT_PAIRS+1) of all tokens. Columns to ``keep`` are joined to the sums at the end.
+    probability, none of them with more than about 1/HOT_PAIRS of all tokens. Columns to ``keep`` are joined to the sums at the end.
     """
     pairs = bigrams(df, key=key, text=text).select(key, "prev", "tok")
     wanted = pairs.groupBy("prev", "tok").agg(F.count(F.lit(1)).alias("weight"))
@@ -143,7 +155,7 @@ def text_nll(df: DataFrame, models: dict[str, BigramModel], *, key: str, text: C
     if fits_broadcast(table):
         sums = summed(pairs.join(F.broadcast(table.drop("weight")), on))
     else:
-        hot = store(table.orderBy(F.desc("weight"), *on).limit(HOT_PAIRS).drop("weight"), "hot-pairs")
+        hot = store(_heaviest(table, HOT_PAIRS).drop("weight"), "hot-pairs")
         near = summed(pairs.join(F.broadcast(hot), on))
         rest = pairs.join(F.broadcast(hot.select(*on)), on, "left_anti")
         both = near.unionByName(summed(rest.join(table.drop("weight"), on)))

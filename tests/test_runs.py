@@ -350,3 +350,6 @@ def test_text_nll_shuffles_only_tokens_of_rare_pairs(spark, monkeypatch):
     sums = {r.prev: r.n_prev for r in model.contexts.collect()}
     by_hand = -sum(math.log((counts.get(p, 0) + 1) / (sums.get(p[0], 0) + model.vocab_size)) for p in [("<s>", "c"), ("c", "a"), ("a", "b"), ("b", "d")])
     assert got[5] == (4, round(by_hand, 9))
+    heavy = models._heaviest(spark.range(1, 1001).withColumn("weight", F.col("id")), 100)
+    assert 50 < heavy.count() <= 100 and heavy.agg(F.min("id"), F.max("id")).first()[1] == 1000
+    assert models._heaviest(spark.range(9).withColumn("weight", F.lit(5)), 3).count() == 0
