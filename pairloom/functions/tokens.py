@@ -44,14 +44,14 @@ def reserved_tokens(template: ChatTemplate = DEFAULT_TEMPLATE) -> dict[str, int]
 
 def byte_pieces(token: Column | str) -> Column:
     """The ids of a word outside the vocabulary, one per byte of its UTF-8 form."""
-    digits = F.hex(as_col(token))
-    places = F.sequence(F.lit(0), F.octet_length(as_col(token)) - 1)
-
-    def piece(i: Column) -> Column:
-        byte = F.conv(F.substring(digits, 2 * i + 1, F.lit(2)), 16, 10).cast("int")
-        return byte + F.when(i == 0, FIRST_BYTE).otherwise(NEXT_BYTE)
-
-    return F.transform(places, piece)
+    t = as_col(token)
+    digits = F.hex(t)
+    places = F.sequence(F.lit(0), F.octet_length(t) - 1)
+    above = lambda i: F.when(i == 0, FIRST_BYTE).otherwise(NEXT_BYTE)
+    byte = lambda i: F.conv(F.substring(digits, 2 * i + 1, F.lit(2)), 16, 10).cast("int")
+    # where each character is a byte, its code is read as it is
+    plain = F.transform(F.split(t, ""), lambda c, i: F.ascii(c) + above(i))
+    return F.when((F.octet_length(t) == F.char_length(t)) & (t != ""), plain).otherwise(F.transform(places, lambda i: byte(i) + above(i)))
 
 
 def decoded_part(id_: Column | str, token: Column | str) -> Column:

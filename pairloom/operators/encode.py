@@ -16,15 +16,26 @@ from .rowindex import row_index
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """A stored table (token, id, n), and whether it was measured to fit a broadcast."""
+    """A stored table (token, id, n), whether it was measured to fit a broadcast, and, if so and its ids can be
+    places of an array, the largest id."""
 
     table: DataFrame
     small: bool
+    top: int | None = None
 
     @classmethod
     def stored(cls, table: DataFrame) -> Vocabulary:
         written = store(table, "vocabulary")
-        return cls(written, fits_broadcast(written))
+        small = fits_broadcast(written)
+        return cls(written, small, _top(written) if small else None)
+
+
+def _top(table: DataFrame) -> int | None:
+    """The largest id, when no two tokens share one and none is far beyond their number."""
+    ids = F.col("id")
+    row = table.agg(F.min(ids).alias("low"), F.max(ids).alias("top"), F.count(ids).alias("n"), F.count_distinct(ids).alias("distinct")).first()
+    fits = row["n"] and row["low"] >= 0 and row["n"] == row["distinct"] and row["top"] <= 2 * row["n"] + tk.FIRST_ID
+    return row["top"] if fits else None
 
 
 def token_counts(df: DataFrame, tokens: Column) -> DataFrame:
@@ -71,10 +82,12 @@ def encode(
     rows = rows.select(key, *keep, tokens.alias("__tokens"))
     exploded = rows.select(key, *keep, F.posexplode_outer("__tokens").alias("__pos", "__token"))
     coded = _translate(exploded, vocab, "__token", "__id", key)
-    pieces = F.coalesce(F.when(F.col("__id").isNotNull(), F.array("__id")), tk.byte_pieces("__token")).alias("ids")
-    item = F.when(F.col("__token").isNotNull(), F.struct("__pos", pieces))
-    gathered = coded.groupBy(key, *keep).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-    return gathered.select(key, *keep, F.flatten(F.transform("__items", lambda m: m["ids"])).alias(out))
+    # words outside the vocabulary are cut into pieces when they are at their place
+    word = F.when(F.col("__id").isNull(), F.col("__token"))
+    item = F.when(F.col("__token").isNotNull(), F.struct("__pos", "__id", word.alias("word")))
+    gathered = coded.groupBy(key, *keep).agg(F.sort_array(F.collect_list(item)).alias("__items"))
+    pieces = F.transform("__items", lambda m: F.coalesce(F.when(m["__id"].isNotNull(), F.array(m["__id"])), tk.byte_pieces(m["word"])))
+    return gathered.select(key, *keep, F.flatten(pieces).alias(out))
 
 
 def _translate(exploded: DataFrame, vocab: Vocabulary, given: str, wanted: str, key: str) -> DataFrame:
@@ -108,9 +121,23 @@ def decode(
 
 
 def decode_columns(df: DataFrame, vocab: Vocabulary, columns: dict[str, str], *, key: str, keep: Sequence[str] = ()) -> DataFrame:
-    """``decode`` of several id columns at once: all ids go through one explode, one translation and one regroup by key."""
+    """``decode`` of several id columns at once.
+
+    With a small vocabulary the parts of all ids go to the tasks as one array, in which an id is a place, and each row is decoded
+    where it lies, shuffled by key. Otherwise all ids go through one explode, one translation and one regroup by key.
+    """
     keep = list(keep)
     rows = df.repartition(key) if vocab.small else df
+    if vocab.top is not None:
+        told = rows.crossJoin(F.broadcast(_parts(vocab)))
+
+        last = max(vocab.top, tk.FIRST_ID - 1)
+
+        def own(c: str) -> Column:
+            ids = F.filter(c, lambda x: (x >= tk.FIRST_BYTE) & (x <= last))
+            return F.transform(ids, lambda x: F.get("__parts", x.cast("int")))
+
+        return told.select(key, *keep, *[_joined(own(c)).alias(k) for c, k in columns.items()])
     sides = F.array(*[F.struct(F.lit(k).alias("side"), F.filter(c, lambda x: x >= tk.FIRST_BYTE).alias("ids")) for k, c in enumerate(columns)])
     each = rows.select(key, *keep, F.explode(sides).alias("s")).select(key, *keep, F.col("s.side").alias("__side"), F.posexplode_outer("s.ids").alias("__pos", "__id"))
     named = _translate(each, vocab, "__id", "__token", key)
@@ -118,12 +145,26 @@ def decode_columns(df: DataFrame, vocab: Vocabulary, columns: dict[str, str], *,
     item = F.when(part.isNotNull(), F.struct("__side", "__pos", part.alias("part")))
     gathered = named.groupBy(key, *keep).agg(F.array_sort(F.collect_list(item)).alias("__items"))
 
-    def text(side: int) -> Column:
-        own = F.filter("__items", lambda m: m["__side"] == side)
-        raw = F.make_valid_utf8(F.unhex(F.array_join(F.transform(own, lambda m: m["part"]), "")).cast("string"))
-        return F.regexp_replace(F.substring(raw, 2, 2**31 - 1), " ?\\n ?", "\n")
+    def side(k: int) -> Column:
+        return F.transform(F.filter("__items", lambda m: m["__side"] == k), lambda m: m["part"])
+
+    return gathered.select(key, *keep, *[_joined(side(k)).alias(c) for k, c in enumerate(columns.values())])
+
+
+def _parts(vocab: Vocabulary) -> DataFrame:
+    """One row: the array of what each id from 0 to the largest adds to a decoded text, NULL for nothing."""
+    spark = vocab.table.sparkSession
+    ids = spark.range(max(vocab.top + 1, tk.FIRST_ID)).select(F.col("id").cast("int").alias("id"))
+    part = tk.decoded_part("id", "token").alias("part")
+    each = ids.join(F.broadcast(vocab.table.select("id", "token")), "id", "left").select("id", part)
+    placed = each.agg(F.array_sort(F.collect_list(F.struct("id", "part"))).alias("items"))
+    return placed.select(F.transform("items", lambda m: m["part"]).alias("__parts"))
+
 
-    return gathered.select(key, *keep, *[text(k).alias(c) for k, c in enumerate(columns.values())])
+def _joined(parts: Column) -> Column:
+    """The text of decoded parts; NULL ones, and a NULL array, add nothing."""
+    raw = F.make_valid_utf8(F.unhex(F.coalesce(F.array_join(parts, ""), F.lit(""))).cast("string"))
+    return F.regexp_replace(F.substring(raw, 2, 2**31 - 1), " ?\\n ?", "\n")
 
 
 def pad_batch(

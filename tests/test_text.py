@@ -142,6 +142,31 @@ def test_round_trip_of_known_tokens(spark):
     assert back == {0: "the cat , the dog", 1: "", 2: "Zürich 42 the\n\ncat !", 3: "unknown words only"}
 
 
+def test_decode_of_a_small_vocabulary_explodes_no_ids(spark):
+    vocab = vocab_of(spark)
+    assert vocab.top == tk.FIRST_ID + 5
+    odd = [(0, [tk.START_ID, tk.FIRST_ID, None, 10**6, -1, tk.FIRST_BYTE + ord("x"), tk.NEXT_BYTE + ord("y")]), (1, None), (2, [])]
+    rows = spark.createDataFrame(odd, "id BIGINT, input_ids ARRAY<INT>")
+    back = enc.decode(rows, vocab, key="id")
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert {r.id: r.text for r in back.collect()} == {0: "the xy", 1: "", 2: ""}
+    exploded = enc.decode(rows, enc.Vocabulary(vocab.table, True), key="id")
+    assert {r.id: r.text for r in exploded.collect()} == {0: "the xy", 1: "", 2: ""}
+
+
+@pytest.mark.parametrize("ids", [[tk.FIRST_ID, tk.FIRST_ID], [tk.FIRST_ID, 10**8]])
+def test_ids_that_are_no_array_places_are_joined(spark, ids):
+    table = spark.createDataFrame([("a", ids[0], 1), ("b", ids[1], 1)], "token STRING, id INT, n BIGINT")
+    assert enc.Vocabulary.stored(table).top is None
+
+
+def test_byte_pieces_of_plain_and_other_words(spark):
+    for word in ("a", "az09~", "Zürich", "日本", "a\x00b"):
+        want = [b + (tk.NEXT_BYTE if i else tk.FIRST_BYTE) for i, b in enumerate(word.encode())]
+        assert one(spark, tk.byte_pieces("t"), t=word) == want, word
+
+
 def test_encode_shuffles_texts_once(spark):
     coded = enc.encode(texts(spark), vocab_of(spark), key="id", tokens=tk.tokens("text"))
     plan = coded._jdf.queryExecution().executedPlan().toString()
