@@ -74,6 +74,19 @@ def char_shingles(line, k=8):
     return {low[i : i + k] for i in range(max(1, len(low) - k + 1))}
 
 
+def test_pairs_of_lines_are_compared_as_sets_all_at_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    words = ["alpha", "beta ", "Gamma", "dé", "日本 ", "z" * 40, "x", " "]
+    left = ["".join(rng.choice(words, rng.integers(1, 60))) for _ in range(300)] + ["a", "A", "ab", "", "", "aaaaaaaaaaaa"]
+    right = [x[: len(x) - rng.integers(0, 9)] + "end" * rng.integers(0, 2) or x for x in left[:300]] + ["a", "a", "ac", "", "x", "aaaaaaaa"]
+    monkeypatch.setattr(lines, "_sets", None)  # one line after another
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(left))), pa.array(range(len(left))), pa.array(left), pa.array(right)], ["a", "b", "x", "y"])
+    for part in (batch, batch.slice(300), batch.slice(7, 0)):
+        got = [k for out in lines._jaccard(0.8, 8)(iter([part])) for k in out.column(0).to_pylist()]
+        sets = [(k, char_shingles(left[k]) if left[k] else set(), char_shingles(right[k]) if right[k] else set()) for k in part.column(0).to_pylist()]
+        assert got == [k for k, x, y in sets if len(x & y) >= 0.8 * len(x | y) - 1e-9]
+
+
 def test_signatures_find_similar_lines():
     rnd = random.Random(5)
     found = total = 0
