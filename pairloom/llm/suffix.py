@@ -22,6 +22,9 @@ _CORE = WINDOW - STEP  # bytes that all windows of a step share
 _PLACE = np.uint64((1 << 24) - 1)
 #: Bytes of a long text, and places of a text, that are worked on at once.
 _PART, _MARKS = 1 << 22, 1 << 12
+#: Rows that share a digit of _CORE bytes and are compared in one task; groups of more go through further passes.
+GROUP = 1 << 12
+_ODD = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _slices(sums: np.ndarray, down: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -90,7 +93,7 @@ def _anchor_rows(texts: DataFrame) -> DataFrame:
 
 def _step_rows(bodies: DataFrame, whole: bool) -> DataFrame:
     """Second digit, read from the texts by position. For each step j, ``key`` is of the _CORE bytes that all windows with j*STEP to
-    (j+1)*STEP bytes before the gram share; with ``whole`` also the bytes that they can have on its left and right, and the hash of all together."""
+    (j+1)*STEP bytes before the gram share; with ``whole`` also the bytes that they can have on its left and right."""
     back = np.arange(0, _REACH, STEP)
 
     def part(raw: bytes, data: np.ndarray, pos: np.ndarray, node: np.ndarray, size: int) -> pa.RecordBatch:
@@ -105,9 +108,8 @@ def _step_rows(bodies: DataFrame, whole: bool) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], ["key"])
         start = pos[mark] - np.minimum(before[mark, 0], back[j] + STEP)
         stop = pos[mark] + np.minimum(after[mark, 0], WINDOW - back[j])
-        full = mix(_slices(sums, down, start - lo, stop - lo) ^ mix(key + (core - start).astype(np.uint64)))
         sides = [pa.array([raw[a:b] for a, b in zip(x.tolist(), y.tolist())], pa.binary()) for x, y in ((start, core), (core + _CORE, stop))]
-        return pa.RecordBatch.from_arrays([pa.array(node[mark]), pa.array(j.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(full.view(np.int64)), *sides], ["node", "j", "key", "full", "l", "r"])
+        return pa.RecordBatch.from_arrays([pa.array(node[mark]), pa.array(j.astype(np.int32)), pa.array(key.view(np.int64)), *sides], ["node", "j", "key", "l", "r"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,15 +124,107 @@ def _step_rows(bodies: DataFrame, whole: bool) -> DataFrame:
                         at = piece[b : b + _MARKS]
                         yield part(raw, own, pos[at], node[at], len(own))
 
-    schema = "node bigint, j int, key bigint, full bigint, l binary, r binary" if whole else "key bigint"
+    schema = "node bigint, j int, key bigint, l binary, r binary" if whole else "key bigint"
     return bodies.select("text", "places").mapInArrow(scan, schema)
 
 
+def _beside_sums(column: pa.Array, backwards: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Hash sums of the first 0..STEP bytes of each value, with ``backwards`` of the last, one row per number of bytes; and the values' lengths."""
+    data, offsets = text_view(column)
+    size = np.diff(offsets)
+    sums, power = np.zeros((STEP + 1, len(size)), np.uint64), 1
+    for x in range(STEP):
+        at = offsets[1:] - 1 - x if backwards else offsets[:-1] + x
+        has = size > x
+        sums[x + 1] = sums[x]
+        sums[x + 1, has] += BYTE_VALUE[data[at[has]]] * np.uint64(power)
+        power = power * int(_ODD) % (1 << 64)
+    return sums, size
+
+
+def _compared(rows: pa.Table) -> pa.RecordBatch:
+    """Whole groups of step rows -> per row with a window that another row of its group has, the least and the most bytes before the gram of such windows."""
+    key, node, j, l, r = (rows.column(c).combine_chunks() for c in ("key", "node", "j", "l", "r"))
+    group = mix(key.to_numpy().view(np.uint64))
+    (left, n_left), (right, n_right) = _beside_sums(l, True), _beside_sums(r, False)
+    low, high = np.full(len(group), STEP + 1), np.full(len(group), -1)
+    for x in range(STEP + 1):  # x bytes on the left of the core, the others on its right
+        has = np.flatnonzero((n_left >= x) & (n_right >= STEP - x))
+        window = mix(left[x, has] ^ mix(right[STEP - x, has] + group[has]))
+        order = np.argsort(window)
+        same = window[order[1:]] == window[order[:-1]]
+        twice = has[order[np.append(same, False) | np.append(False, same)]] if len(has) else has
+        low[twice], high[twice] = np.minimum(low[twice], x), x
+    found = np.flatnonzero(high >= 0)
+    first = j.to_numpy()[found] * STEP
+    out = [pa.array(node.to_numpy()[found]), pa.array((first + low[found]).astype(np.int32)), pa.array((first + high[found]).astype(np.int32))]
+    return pa.RecordBatch.from_arrays(out, ["node", "low", "high"])
+
+
+def _group_spans(steps: DataFrame) -> DataFrame:
+    """(node, low, high) of step rows in groups of at most GROUP, which meet in one task each; a task holds a batch and a group."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the rows of the last key, which may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = batch.column(0).to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut or (held and held[0].column(0)[0] != batch.column(0)[0]):
+                yield _compared(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield _compared(pa.Table.from_batches(held))
+
+    rows = steps.select("key", "node", "j", "l", "r").repartition("key").sortWithinPartitions("key")
+    return rows.mapInArrow(scan, "node bigint, low int, high int")
+
+
 def _repeated(rows: DataFrame, key: str, name: str) -> DataFrame:
     """(key, n): the groups of more than one row; groups of one go before anything is written."""
     return store(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), name)
 
 
+def _large_spans(steps: DataFrame) -> DataFrame:
+    """(node, low, high) of step rows in groups of any size, which are only counted: cells, then digits of WINDOW - FINE bytes, then whole windows."""
+    left, right = F.octet_length("l"), F.octet_length("r")
+    steps = steps.withColumn("full", F.xxhash64("key", left, "l", "r"))
+    cells = store(steps.groupBy("key", "full").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")), "suffix-cells")
+    shared = store(cells.filter("n > 1").select("key", "full", "n"), "suffix-shared")
+    settled = lookup(steps, shared, ["key", "full"], weight="n", spread=["node"], how="inner")
+    # all windows that a row of a shared cell has
+    settled = settled.select("node", (F.col("j") * STEP + F.greatest(F.lit(0), F.lit(STEP) - right)).alias("low"), (F.col("j") * STEP + F.least(F.lit(STEP), left)).alias("high"))
+    settled = store(settled.groupBy("node").agg(F.min("low").alias("low"), F.max("high").alias("high")), "suffix-settled")
+    several = _repeated(cells, "key", "suffix-several")
+    ends = lookup(steps, several, ["key"], weight="n", spread=["node"], how="inner").join(cells.select("key", "full", "node"), ["key", "full", "node"])
+
+    # third digit: a step's windows in turns of FINE bytes, told apart by what they all have beside the core
+    turns = F.explode(F.sequence(F.lit(0), F.lit(STEP // FINE - 1))).alias("s")
+    fine = ends.select("node", "j", "key", "l", "r", turns)
+    low, high = F.greatest(F.col("s") * FINE, F.lit(STEP) - right), F.least((F.col("s") + 1) * FINE, left)
+    fine = fine.withColumns({"low": low, "high": high}).filter(
+        (left >= F.col("s") * FINE) & (right >= F.lit(STEP - FINE) - F.col("s") * FINE) & (F.col("low") <= F.col("high"))
+    )
+    fine = fine.withColumn("turn", _beside(F.col("s") * FINE, F.lit(STEP - FINE) - F.col("s") * FINE))
+    fine = store(fine.drop("s"), "suffix-turns")
+    release(cells, shared, several)
+    turns = _repeated(fine, "turn", "suffix-turn-keys")
+    left_over = lookup(fine, turns, ["turn"], weight="n", spread=["node"], how="inner")
+    # last digit: whole windows
+    each = left_over.select("node", "j", "key", "l", "r", F.explode(F.sequence("low", "high")).alias("x"))
+    windows = each.select("node", (F.col("j") * STEP + F.col("x")).alias("low"), _beside(F.col("x"), F.lit(STEP) - F.col("x")).alias("key"))
+    windows = store(windows, "suffix-windows")
+    release(fine, turns)
+    twice = windows.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count(F.lit(1)).alias("n")).filter("x <> y").select("key", "n")
+    twice = store(twice, "suffix-twice")
+    reach = lookup(windows, twice, ["key"], weight="n", spread=["node"], how="inner").groupBy("node").agg(F.min("low").alias("low"), F.max("low").alias("high"))
+    reach = store(settled.unionByName(reach), "suffix-large")
+    release(windows, twice, settled)
+    return reach
+
+
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """(t1, t2, spans): per distinct text the byte ranges (start, stop) that repeated windows cover.
 
@@ -141,10 +235,11 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     take part, which is enough to find every repeated window. What goes on is positions (text key, position). Positions with equal
     surroundings (all bytes that a window there can have) are one node; if there are several, all their windows are
     repeated, and one of them stands for all. Second pass: digits of _CORE bytes, read again from the texts of the positions
-    left; nodes that agree in all bytes of the windows of a step have these repeated, and one of them stands for the
-    cell. Only where different cells share a digit the third pass goes on, by WINDOW - FINE bytes, and the last by whole windows: groups of
-    several there are exactly the repeated windows. Groups are only ever counted, never gathered, so a passage that a third of all
-    texts share costs what it costs elsewhere; lookups by a frequent key are spread. Tables are deleted when what is made of them is written.
+    left. Nodes that share a digit differ only in the STEP bytes on each side of it. Up to GROUP of them meet in one task, which finds
+    their repeated windows. Larger groups are only counted, never gathered, so a passage that a third of all texts share is no task's alone: nodes that agree
+    in all bytes of the windows of a step have these repeated, and one of them stands for the cell. Where different cells share
+    a digit the third pass goes on, by WINDOW - FINE bytes, and the last by whole windows: groups of several there are
+    exactly the repeated windows. Lookups by a frequent key are spread. Tables are deleted when what is made of them is written.
     """
     first = store(_anchor_rows(texts), "suffix-anchors")
     grams = _repeated(first, "h", "suffix-grams")
@@ -164,47 +259,24 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     release(ones)
 
     cores = _repeated(_step_rows(bodies, False), "key", "suffix-cores")
-    steps = store(lookup(_step_rows(bodies, True), cores, ["key"], weight="n", spread=["node"], how="inner"), "suffix-steps")
+    any_large = not cores.filter(F.col("n") > GROUP).isEmpty()
+    steps = lookup(_step_rows(bodies, True), cores.withColumn("size", F.col("n")), ["key"], weight="n", spread=["node"], how="inner")
+    steps = store(steps, "suffix-steps")
     release(bodies, cores)
-    cells = store(steps.groupBy("key", "full").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")), "suffix-cells")
-    shared = store(cells.filter("n > 1").select("key", "full", "n"), "suffix-shared")
-    settled = lookup(steps.select("key", "full", "node", "j"), shared, ["key", "full"], weight="n", spread=["node"], how="inner")
-    settled = store(settled.groupBy("node").agg(F.min("j").alias("j_low"), F.max("j").alias("j_high")), "suffix-settled")
-    several = _repeated(cells, "key", "suffix-several")
-    ends = lookup(steps, several, ["key"], weight="n", spread=["node"], how="inner").join(cells.select("key", "full", "node"), ["key", "full", "node"])
-    release_later = [cells, shared, several, steps]
-
-    # third digit: a step's windows in turns of FINE bytes, told apart by what they all have beside the core
-    turns = F.explode(F.sequence(F.lit(0), F.lit(STEP // FINE - 1))).alias("s")
-    fine = ends.select("node", "j", "key", "l", "r", turns)
-    left, right = F.octet_length("l"), F.octet_length("r")
-    low, high = F.greatest(F.col("s") * FINE, F.lit(STEP) - right), F.least((F.col("s") + 1) * FINE, left)
-    fine = fine.withColumns({"low": low, "high": high}).filter(
-        (left >= F.col("s") * FINE) & (right >= F.lit(STEP - FINE) - F.col("s") * FINE) & (F.col("low") <= F.col("high"))
-    )
-    fine = fine.withColumn("turn", _beside(F.col("s") * FINE, F.lit(STEP - FINE) - F.col("s") * FINE))
-    fine = store(fine.drop("s"), "suffix-turns")
-    release(*release_later)
-    turns = _repeated(fine, "turn", "suffix-turn-keys")
-    left_over = lookup(fine, turns, ["turn"], weight="n", spread=["node"], how="inner")
-    # last digit: whole windows
-    each = left_over.select("node", "j", "key", "l", "r", F.explode(F.sequence("low", "high")).alias("x"))
-    windows = each.select("node", (F.col("j") * STEP + F.col("x")).alias("low"), _beside(F.col("x"), F.lit(STEP) - F.col("x")).alias("key"))
-    windows = store(windows, "suffix-windows")
-    release(fine, turns)
-    twice = windows.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count(F.lit(1)).alias("n")).filter("x <> y").select("key", "n")
-    twice = store(twice, "suffix-twice")
-    reach = lookup(windows, twice, ["key"], weight="n", spread=["node"], how="inner").groupBy("node").agg(F.min("low").alias("low"), F.max("low").alias("high"))
-
-    known = nodes.drop("one").join(settled, "node", "left").join(reach, "node", "left").filter("copies > 1 or high is not null or j_high is not null")
-    known = store(known, "suffix-reach")
-    release(windows, twice, settled, nodes)
+    reach = _group_spans(steps.filter(F.col("size") <= GROUP))
+    large = [_large_spans(steps.filter(F.col("size") > GROUP).drop("size"))] if any_large else []
+    for more in large:
+        reach = reach.unionByName(more)
+    # nodes in several places, and those with windows that another node has
+    nothing = F.lit(None).cast("int")
+    many = nodes.filter("copies > 1").select("node", "copies", nothing.alias("low"), nothing.alias("high"))
+    known = many.unionByName(reach.withColumn("copies", F.lit(1).cast("bigint"))).groupBy("node")
+    known = store(known.agg(F.max("copies").alias("copies"), F.min("low").alias("low"), F.max("high").alias("high")), "suffix-reach")
+    release(steps, nodes, *large)
     found = lookup(places, known.withColumn("n", F.col("copies")), ["node"], weight="n", spread=["t1", "pos"], how="inner")
     before = F.least(F.col("pos"), F.lit(_REACH))
-    celled = F.col("j_high").isNotNull()
-    least, most = F.greatest(F.lit(0), F.lit(WINDOW) - F.col("after")), before
-    low = F.when(F.col("copies") > 1, least).otherwise(F.least("low", F.when(celled, F.greatest(F.col("j_low") * STEP, least))))
-    high = F.when(F.col("copies") > 1, most).otherwise(F.greatest("high", F.when(celled, F.least((F.col("j_high") + 1) * STEP, most))))
+    low = F.when(F.col("copies") > 1, F.greatest(F.lit(0), F.lit(WINDOW) - F.col("after"))).otherwise(F.col("low"))
+    high = F.when(F.col("copies") > 1, before).otherwise(F.col("high"))
     spans = found.select("t1", "t2", "pos", low.alias("low"), high.alias("high")).filter("low <= high")
     span = F.struct((F.col("pos") - F.col("high")).alias("start"), (F.col("pos") - F.col("low") + WINDOW).alias("stop"))
     return spans.groupBy("t1", "t2").agg(F.array_sort(F.collect_set(span)).alias("spans"))

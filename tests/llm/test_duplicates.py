@@ -10,6 +10,7 @@ import pytest
 from brute import TRICKY, frame, joined, shingles, similar, without_repeats, words
 from pairloom.llm import common, fingerprint, graph, lines, minhash, suffix
 from pairloom.llm.common import text_view
+from pairloom.operators import joins
 
 SF = "/root/testdata/sf0.001"
 
@@ -160,6 +161,47 @@ def test_repeated_windows(spark):
     assert suffix.remove_repeats(frame(spark, [])).count() == 0
 
 
+def _passages(seed: int, n: int) -> list[tuple]:
+    """Texts with cuts of a few passages, at all places, between words of their own."""
+    rnd = random.Random(seed)
+    make = lambda size: "".join(rnd.choice("abcde ") for _ in range(size))
+    shared = [make(420) for _ in range(3)]
+    rows = []
+    for k in range(n):
+        passage, at = rnd.choice(shared), rnd.randrange(0, 150)
+        rows.append((k, make(rnd.randrange(0, 80)) + passage[at : at + rnd.randrange(190, 300)] + make(rnd.randrange(0, 80))))
+    return rows
+
+
+@pytest.mark.parametrize("group", [2, 7, None])
+def test_repeated_windows_in_groups_of_any_size(spark, monkeypatch, group):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    if group:
+        monkeypatch.setattr(suffix, "GROUP", group)
+    rows = _passages(5, 60) + [(99, None), (None, "x" * 450)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # groups go on in the next batch
+    try:
+        got = suffix.remove_repeats(frame(spark, rows)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = without_repeats([(t or "").encode() for _, t in rows])
+    assert sorted((tuple(r) for r in got), key=str) == sorted(((i, *w) for (i, _), w in zip(rows, want)), key=str)
+
+
+def test_repeated_windows_are_not_written_one_by_one(spark, monkeypatch):
+    written, store = {}, suffix.store
+
+    def counted(df, name, **options):
+        out = store(df, name, **options)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(suffix, "store", counted)
+    assert suffix.remove_repeats(frame(spark, _passages(6, 200))).count() == 200
+    assert written["suffix-steps"] > 500
+    assert max(written.values()) == max(written["suffix-steps"], written["suffix-anchors"])
+
+
 def test_anchors_of_a_long_text_do_not_depend_on_the_cut():
     rnd = np.random.default_rng(1)
     text = rnd.integers(97, 123, (1 << 22) + 5000, dtype=np.uint8)
