@@ -2,15 +2,18 @@
 
 import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from brute import TRICKY, frame, joined, shingles, similar, without_repeats, words
-from pairloom.llm import common, fingerprint, graph, lines, minhash, suffix
+from pairloom.llm import bloom, common, fingerprint, graph, lines, minhash, suffix
 from pairloom.llm.common import text_view
 from pairloom.operators import joins
+from pairloom.session import shared_dir, store
 
 SF = "/root/testdata/sf0.001"
 
@@ -285,3 +288,28 @@ def test_fingerprints_estimate_containment_and_merge():
     assert abs(len(x) / (len(words(big)) - 4) - 1 / fingerprint.ONE_IN) < 0.02
     assert set(fingerprint.merge(x, y).tolist()) <= set(z.tolist()) and len(z) - len(fingerprint.merge(x, y)) <= 5  # the seam's shingles
     assert np.array_equal(fingerprint.read(fingerprint.written(x)), x)
+
+
+def test_line_dedup_in_rounds_leaves_only_its_result(spark, monkeypatch):
+    rnd = random.Random(8)
+    pool = [" ".join(f"w{rnd.randrange(900)}" for _ in range(9)) for _ in range(40)]
+    rows = [(i, "\n".join(rnd.choice(pool) + rnd.choice(["", "", " x", "!"]) for _ in range(6)) + f"\nown line of {i} {rnd.random()}") for i in range(60)]
+    docs = frame(spark, rows + [(None, None), (5, ""), (5, rows[5][1])])
+    want = sorted(map(str, lines.dedup_lines(docs, counts=True).collect()))
+    folder = Path(shared_dir(spark).removeprefix("file://"), "pairloom")
+    there = set(folder.iterdir())
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(lines, "ROUND_KEYS", 1000)
+    assert sorted(map(str, lines.dedup_lines(docs, counts=True).collect())) == want
+    assert [p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - there] == ["removed-lines"]
+
+
+def test_bit_field_misses_no_key(spark):
+    keys = store(spark.range(0, 20000, 1, 5).select((F.col("id") * 7919 - 40_000_000).alias("k")), "field-keys")
+    held = np.arange(20000) * 7919 - 40_000_000
+    for most in (bloom.MOST, 1 << 16):  # at its full size, and as large as it may be
+        field = bloom.bit_field(keys, "k", most=most).value
+        assert bloom.may_hold(field, held).all()
+    field = bloom.bit_field(keys, "k").value
+    assert bloom.may_hold(field, held + 1).mean() < 0.05
+    assert not bloom.may_hold(bloom.bit_field(store(keys.limit(0), "field-none"), "k").value, held).any()

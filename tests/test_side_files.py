@@ -1,12 +1,16 @@
 """JSON loading with quarantine, manifests in run folders, checkpoint manifests, the refined reward head."""
 
 import json
+import os
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pairloom.operators import models
+from pairloom.session import store, temporary
 from pairloom.sources import comparisons, manifests
 
 
@@ -115,3 +119,33 @@ def test_a_file_per_run_is_written_in_place(spark, tmp_path):
     assert manifests.write_folders(df.limit(0), str(tmp_path / "none"), key="run", text="value") == 0
     got = manifests.folder_lookup(df.select("run"), str(root), key="run", name="k", ddl="BIGINT", default=-1, folder="run={}")
     assert {r.run: (r.k, r.reason) for r in got.collect()}["a"] == (1, "found")
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffles()
+    df = spark.range(0, 1000, 1, 3).groupBy((F.col("id") % 7).alias("k")).count()
+    table = store(df, "counted")
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+    for _ in range(50):  # they are deleted beside the job
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, table.collect()))
+
+
+def test_temporary_tables_go_but_those_kept(spark):
+    with temporary("outer"):
+        with temporary("inner", "outer"):
+            inner, outer, gone = (store(spark.range(3), name) for name in ("inner", "outer", "gone"))
+        assert inner.count() == outer.count() == 3
+        assert not os.path.exists(gone._stored_path.removeprefix("file://"))
+    assert outer.count() == 3 and not os.path.exists(inner._stored_path.removeprefix("file://"))
+    free = store(spark.range(3), "free")
+    assert free.count() == 3
