@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import tokens as tk
 from ..functions.numeric import as_col, dot, literal_vector, softplus
-from ..session import store
+from ..session import release, store, store_parts, temporary
 from .joins import attach, fits_broadcast
 
 TEXT_FEATURES = ("log_chars", "tokens_per_char", "distinct_share", "digit_share", "upper_share", "newline_share")
@@ -23,6 +24,10 @@ TARGET_KL = 0.1
 
 #: Pairs of tokens that are broadcast with their scores: a fixed number, some 30 MB.
 HOT_PAIRS = 1 << 18
+#: Bytes of text whose tokens are worked on at once, as long as that takes no more than so many rounds of a fit or of scores.
+ROUND_BYTES = 16 << 20
+FIT_ROUNDS = 3
+ROUNDS = 6
 
 
 def text_features(text: Column | str) -> Column:
@@ -85,11 +90,16 @@ class BigramModel:
 
 
 BEGIN = "<s>"
+PAIR = ["prev", "tok"]
 
 
 def bigrams(df: DataFrame, *, key: str, text: Column | str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """(key, keep..., pos, prev, tok) for every token; pairs are made inside the row, no shuffle."""
-    toks = df.select(key, *keep, tk.tokens(text).alias("__t"))
+    return _token_pairs(df.select(key, *keep, tk.tokens(text).alias("__t")), key, keep)
+
+
+def _token_pairs(toks: DataFrame, key: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``bigrams`` of rows whose tokens are in the column __t."""
     prev = F.slice(F.concat(F.array(F.lit(BEGIN)), "__t"), F.lit(1), F.size("__t"))
     pairs = toks.select(key, *keep, prev.alias("prev"), F.col("__t").alias("tok"))
     return pairs.select(key, *keep, F.posexplode(F.arrays_zip("prev", "tok")).alias("pos", "__g")).select(
@@ -97,13 +107,39 @@ def bigrams(df: DataFrame, *, key: str, text: Column | str = "text", keep: Seque
     )
 
 
+def _rounds(df: DataFrame, text: Column | str, most: int) -> int:
+    """In how many rounds the tokens of ``df`` are worked on: shuffle files of all of them would take many times the room of the texts."""
+    size = df.agg(F.sum(F.octet_length(as_col(text)))).first()[0] or 0
+    return min(most, size // ROUND_BYTES + 1)
+
+
+def _written_tokens(df: DataFrame, key: str, text: Column | str) -> DataFrame:
+    """(key, __t): texts are cut into tokens once, not in every round."""
+    return store(df.select(key, tk.tokens(text).alias("__t")), "tokens", compression="zstd")
+
+
+def _of_round(table: DataFrame, r: int, rounds: int) -> DataFrame:
+    """The rows of a table whose ``prev`` falls to round ``r``."""
+    return table if rounds == 1 else table.filter(F.pmod(F.xxhash64("prev"), F.lit(rounds)) == r)
+
+
+def _counted(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("prev", "tok").agg(F.count(F.lit(1)).alias("n"))
+
+
 def lm_counts(df: DataFrame, *, key: str, text: Column | str = "text") -> DataFrame:
-    return bigrams(df, key=key, text=text).groupBy("prev", "tok").agg(F.count(F.lit(1)).alias("n"))
+    return _counted(bigrams(df, key=key, text=text))
 
 
 def lm_fit(df: DataFrame, *, key: str, text: Column | str = "text") -> BigramModel:
-    """Add-one bigram model. The count table is written once; both uses read it."""
-    counts = store(lm_counts(df, key=key, text=text), "bigrams")
+    """Add-one bigram model. The count table is written once, in rounds by the previous token; both uses read it."""
+    rounds = _rounds(df, text, FIT_ROUNDS)
+    if rounds == 1:
+        counts = store(lm_counts(df, key=key, text=text), "bigrams")
+    else:
+        tokens = _written_tokens(df, key, text)
+        counts = store_parts((_counted(_of_round(_token_pairs(tokens, key), r, rounds)) for r in range(rounds)), "bigrams", compression="zstd")
+        release(tokens)
     contexts = store(counts.groupBy("prev").agg(F.sum("n").alias("n_prev")), "contexts")
     size = counts.select("tok").distinct().count()
     return BigramModel(counts, contexts, size, fits_broadcast(contexts))
@@ -137,30 +173,60 @@ def _heaviest(table: DataFrame, most: int) -> DataFrame:
 def text_nll(df: DataFrame, models: dict[str, BigramModel], *, key: str, text: Column | str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Summed negative log-likelihood of each text under each model (one column per name).
 
-    Probabilities are worked out once per distinct pair and written. Up to ``HOT_PAIRS`` of the most frequent pairs, or all of a small table,
-    are broadcast, so their tokens are summed where they are read; only tokens of the other pairs are shuffled to their
-    probability, none of them with more than about 1/HOT_PAIRS of all tokens. Columns to ``keep`` are joined to the sums at the end.
+    Many texts are worked on in rounds: their tokens are written once, and a round takes the pairs of a share of the previous
+    tokens, writes the sums by text and deletes what else it wrote. The frequent pairs of all rounds are summed in one more
+    pass. Columns to ``keep`` are joined to the sums at the end.
     """
-    pairs = bigrams(df, key=key, text=text).select(key, "prev", "tok")
-    wanted = pairs.groupBy("prev", "tok").agg(F.count(F.lit(1)).alias("weight"))
-    table = store(wanted, "pairs")  # read several times below
-    for name, model in models.items():
-        table = pair_nll(table, model, name=name)
-    table = store(table, "pair-nll")
-    on = ["prev", "tok"]
+    rounds = _rounds(df, text, ROUNDS)
+    if rounds == 1:
+        pairs = bigrams(df, key=key, text=text)
+        sums, hot = _rare_sums(pairs, models, key, HOT_PAIRS)
+        if hot is not None:
+            sums = _added(_summed(pairs.join(F.broadcast(hot), PAIR), models, key).unionByName(sums), models, key)
+    else:
+        tokens = _written_tokens(df, key, text)
+        pairs, parts, frequent = _token_pairs(tokens, key), [], []
+        for r in range(rounds):
+            own = {name: replace(m, bigrams=_of_round(m.bigrams, r, rounds), contexts=_of_round(m.contexts, r, rounds)) for name, m in models.items()}
+            with temporary("text-sums", "hot-pairs"):
+                sums, hot = _rare_sums(_of_round(pairs, r, rounds), own, key, HOT_PAIRS // rounds)
+                parts.append(store(sums, "text-sums"))
+            frequent += [] if hot is None else [hot]
+        if frequent:
+            hot = functools.reduce(DataFrame.union, frequent)
+            parts.append(store(_summed(pairs.join(F.broadcast(hot), PAIR), models, key), "text-sums"))
+        release(tokens, *frequent)
+        sums = _added(functools.reduce(DataFrame.union, parts), models, key)
+    return df.select(key, *keep).join(sums, key) if keep else sums
+
+
+def _added(parts: DataFrame, models: dict[str, BigramModel], key: str) -> DataFrame:
+    return parts.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("n_tokens", *models)])
+
+
+def _summed(scored: DataFrame, models: dict[str, BigramModel], key: str) -> DataFrame:
+    return scored.groupBy(key).agg(F.count(F.lit(1)).alias("n_tokens"), *[F.sum(name).alias(name) for name in models])
 
-    def summed(scored: DataFrame) -> DataFrame:
-        return scored.groupBy(key).agg(F.count(F.lit(1)).alias("n_tokens"), *[F.sum(name).alias(name) for name in models])
 
+def _rare_sums(pairs: DataFrame, models: dict[str, BigramModel], key: str, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """(key, n_tokens, one column per model), sums over the pairs (key, prev, tok) of each text but for the frequent ones, and the written table
+    of those with their scores; it is None when the sums cover all pairs.
+
+    Probabilities are worked out once per distinct pair and written. All of a small table are broadcast, so that tokens are summed where they are
+    read. Of a larger one up to ``most`` of the most frequent pairs are to be; only tokens of the others are shuffled to their
+    probability, none of them with more than about 1/most of the tokens.
+    """
+    pairs = pairs.select(key, "prev", "tok")
+    wanted = pairs.groupBy("prev", "tok").agg(F.count(F.lit(1)).alias("weight"))
+    table = store(wanted, "pairs", compression="zstd")  # read several times below
+    for name, model in models.items():
+        before, table = table, store(pair_nll(table, model, name=name), "pair-nll", compression="zstd")
+        release(before)
     if fits_broadcast(table):
-        sums = summed(pairs.join(F.broadcast(table.drop("weight")), on))
-    else:
-        hot = store(_heaviest(table, HOT_PAIRS).drop("weight"), "hot-pairs")
-        near = summed(pairs.join(F.broadcast(hot), on))
-        rest = pairs.join(F.broadcast(hot.select(*on)), on, "left_anti")
-        both = near.unionByName(summed(rest.join(table.drop("weight"), on)))
-        sums = both.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("n_tokens", *models)])
-    return df.select(key, *keep).join(sums, key) if keep else sums
+        return _summed(pairs.join(F.broadcast(table.drop("weight")), PAIR), models, key), None
+    hot = store(_heaviest(table, most).drop("weight"), "hot-pairs")
+    rest = pairs.join(F.broadcast(hot.select(*PAIR)), PAIR, "left_anti")
+    return _summed(rest.join(table.drop("weight"), PAIR), models, key), hot
 
 
 def kl_watch(scored: DataFrame, *, by: Sequence[str], policy: str = "policy", reference: str = "reference", reward: str | None = None, coef: float = KL_COEF, target: float = TARGET_KL) -> DataFrame:

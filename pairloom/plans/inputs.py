@@ -20,7 +20,7 @@ from ..operators.models import BigramModel, lm_fit, text_features, text_nll
 from ..operators.rowindex import indexed, row_index
 from ..operators.scoring import score_table
 from ..operators.splits import StagePlan
-from ..session import fill_cores, new_path, store
+from ..session import fill_cores, new_path, store, temporary
 
 WEIGHTS = [((i * 7) % 11 - 5) / 10 for i in range(64)]
 CHAT_WEIGHTS = (0.5, -1.25, 2.0)
@@ -270,7 +270,8 @@ def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def make() -> DataFrame:
         both = {"policy": policy_lm(spark, sf_dir), "reference": reference_lm(spark, sf_dir)}
-        return store(text_nll(lm_documents(spark, sf_dir), both, key="doc_id"), "lm-scores")
+        with temporary("lm-scores"):
+            return store(text_nll(lm_documents(spark, sf_dir), both, key="doc_id"), "lm-scores")
 
     return _once(spark, sf_dir, "lm_scores", make)
 

@@ -3,6 +3,7 @@
 import dataclasses
 import json
 import math
+from pathlib import Path
 
 import pytest
 from pyspark.ml.classification import LogisticRegressionModel
@@ -353,3 +354,24 @@ def test_text_nll_shuffles_only_tokens_of_rare_pairs(spark, monkeypatch):
     heavy = models._heaviest(spark.range(1, 1001).withColumn("weight", F.col("id")), 100)
     assert 50 < heavy.count() <= 100 and heavy.agg(F.min("id"), F.max("id")).first()[1] == 1000
     assert models._heaviest(spark.range(9).withColumn("weight", F.lit(5)), 3).count() == 0
+
+
+def test_rounds_give_the_sums_of_one_and_delete_what_they_wrote(spark, monkeypatch):
+    texts = [(i, " ".join(f"w{(i * k * k) % 23}" for k in range(i % 9))) for i in range(60)] + [(None, "w1 w2"), (3, "w1 w2 w1"), (4, None), (5, "")]
+    df = spark.createDataFrame(texts, "id BIGINT, text STRING")
+    folder = Path(session.shared_dir(spark).removeprefix("file://"), "pairloom")
+
+    def run():
+        there = set(folder.iterdir())
+        both = {"a": models.lm_fit(df.filter("id < 40"), key="id"), "b": models.lm_fit(df.filter("id % 3 = 0"), key="id")}
+        counts = sorted((tuple(r) for m in both.values() for r in m.bigrams.collect()), key=str)
+        got = {r.id: (r.n_tokens, round(r.a, 9), round(r.b, 9)) for r in models.text_nll(df, both, key="id").collect()}
+        return counts, got, {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - there}
+
+    counts, sums, _ = run()
+    for name, value in (("ROUND_BYTES", 16), ("FIT_ROUNDS", 2), ("ROUNDS", 2), ("HOT_PAIRS", 40)):
+        monkeypatch.setattr(models, name, value)
+    for small in (True, False):
+        monkeypatch.setattr(models, "fits_broadcast", lambda t, small=small: small)
+        again = run()
+        assert again[:2] == (counts, sums) and again[2] == {"bigrams", "contexts", "text-sums"}
