@@ -129,7 +129,8 @@ def decode_columns(df: DataFrame, vocab: Vocabulary, columns: dict[str, str], *,
     keep = list(keep)
     rows = df.repartition(key) if vocab.small else df
     if vocab.top is not None:
-        told = rows.crossJoin(F.broadcast(_parts(vocab)))
+        # 0 for every key, as an equal key makes it a hash join
+        told = rows.withColumn("__one", F.pmod(F.xxhash64(key), F.lit(1))).join(F.broadcast(_parts(vocab)), "__one")
 
         last = max(vocab.top, tk.FIRST_ID - 1)
 
@@ -152,13 +153,13 @@ def decode_columns(df: DataFrame, vocab: Vocabulary, columns: dict[str, str], *,
 
 
 def _parts(vocab: Vocabulary) -> DataFrame:
-    """One row: the array of what each id from 0 to the largest adds to a decoded text, NULL for nothing."""
+    """One written row, with __one = 0: the array of what each id from 0 to the largest adds to a decoded text, NULL for nothing."""
     spark = vocab.table.sparkSession
     ids = spark.range(max(vocab.top + 1, tk.FIRST_ID)).select(F.col("id").cast("int").alias("id"))
     part = tk.decoded_part("id", "token").alias("part")
     each = ids.join(F.broadcast(vocab.table.select("id", "token")), "id", "left").select("id", part)
     placed = each.agg(F.array_sort(F.collect_list(F.struct("id", "part"))).alias("items"))
-    return placed.select(F.transform("items", lambda m: m["part"]).alias("__parts"))
+    return store(placed.select(F.lit(0).cast("bigint").alias("__one"), F.transform("items", lambda m: m["part"]).alias("__parts")), "decoded-parts")
 
 
 def _joined(parts: Column) -> Column:
