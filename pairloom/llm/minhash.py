@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.joins import fits_broadcast
-from ..session import store
+from ..session import store, temporary
 from .common import lists_of, mix, text_shingles
 from .graph import components, linked_by_keys
 
@@ -200,16 +200,8 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     The one with the smallest doc_id stays (a null counts as larger), of rows that repeat it the one with the smallest text key,
     and of wholly repeated rows one. Texts without shingles are in no group and all stay.
     """
-    rows = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t1", "t2", "row")
-    in_group = F.col("root").isNotNull()
-    members = rows.filter(in_group).select("root", order.alias("place"), F.struct("doc_id", "t1", "t2").alias("key"))
-    best = members.groupBy("root").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n"))
-    # groups of one keep their row; the others give the keys of the rows that go
-    several = members.drop("place").join(best.filter("n > 1"), "root")
-    chosen = F.struct(F.col("place.doc_id"), F.col("place.t1"), F.col("place.t2"))
-    fate = several.select("key", (F.col("key") == chosen).alias("one")).groupBy("key").agg(F.max("one").alias("one"))
-    fate = store(fate.select("key.*", "one").toDF("__id", "__t1", "__t2", "__one"), "near-fate")
+    with temporary("near-fate"):
+        fate = _fate(near_duplicates(docs, id_col=id_col, text_col=text_col, **options))
     text = F.col(text_col)
     keyed = docs.withColumns({"__k1": F.xxhash64(text), "__k2": F.xxhash64(F.lit(1), F.octet_length(text), text)})
     same = F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__k1") == F.col("__t1")) & (F.col("__k2") == F.col("__t2"))
@@ -219,3 +211,16 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     # rows that repeat the chosen doc_id and text: one of them
     again = joined.filter("__one").dropDuplicates(["__id", "__t1", "__t2"])
     return single.union(again).select(*docs.columns)
+
+
+def _fate(rows: DataFrame) -> DataFrame:
+    """(__id, __t1, __t2, __one) for the rows of groups of several: whether one of the rows of these keys stays. Written."""
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t1", "t2", "row")
+    in_group = F.col("root").isNotNull()
+    members = rows.filter(in_group).select("root", order.alias("place"), F.struct("doc_id", "t1", "t2").alias("key"))
+    best = members.groupBy("root").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n"))
+    # groups of one keep their row; the others give the keys of the rows that go
+    several = members.drop("place").join(best.filter("n > 1"), "root")
+    chosen = F.struct(F.col("place.doc_id"), F.col("place.t1"), F.col("place.t2"))
+    fate = several.select("key", (F.col("key") == chosen).alias("one")).groupBy("key").agg(F.max("one").alias("one"))
+    return store(fate.select("key.*", "one").toDF("__id", "__t1", "__t2", "__one"), "near-fate")

@@ -2,6 +2,7 @@
 
 import gzip
 import io
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -13,6 +14,7 @@ import corpus_pipeline
 from brute import TRICKY, frame
 from compare import compare, connect
 from pairloom.llm import mixing, queries, topk, warc
+from pairloom.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -102,6 +104,13 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == kept
 
 
+def test_pipeline_leaves_only_the_table_of_its_last_stage_but_one(spark):
+    folder = Path(shared_dir(spark).removeprefix("file://"), "pairloom")
+    there = set(folder.iterdir())
+    assert corpus_pipeline.run(spark, SF).count() > 0
+    assert [p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - there] == ["mixture"]
+
+
 def test_pipeline_on_odd_rows(spark, tmp_path):
     rows = [(i, t, "en", None if i == 4 else "s", len(t or "")) for i, t in TRICKY]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
